@@ -1,11 +1,429 @@
-"""Single-operator queries over the listing table (filled in below)."""
+"""Single-operator queries over the whole listing table, each with its SQL.
+
+Each exercises one operator from the inventory on real data (filters, group
+operators, windows, joins, array expressions, rounding, typed ingest) so it
+can be checked alone against DuckDB.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vitrine.functions import guarded_ratio, match_ci, plain_decimal_string, ratio_half_even, scaled_half_even, sum0, to_scaled_double
+from vitrine.operators import (
+    above_scalar,
+    argmax_per_group,
+    exact_order_stats,
+    inequality_join,
+    join_on_keys,
+    leave_one_out_mean,
+    mode_per_group,
+    nearest_k,
+    rank_per_group,
+    top_k_per_group,
+)
+from vitrine.plans import analyses as A
+from vitrine.plans import oracle as O
+from vitrine.plans import params as P
+from vitrine.plans.registry import _on_listings
+from vitrine.sources.ingest import nest_listing, type_listings
+
+c = F.col
+
+
+# ---------------------------------------------------------------- filters
+def filter_or_range(df: DataFrame) -> DataFrame:
+    """range plus a disjunction across two fields."""
+    return df.where(
+        (c("price_usd") <= F.lit(P.T2_MAX_PRICE))
+        & ((c("seller.num_products_listed") >= P.T2_MIN_LISTED) | (c("seller.products_sold") >= P.T2_MIN_SOLD))
+    ).select(
+        "l_orderkey", "l_linenumber", c("brand.name").alias("brand"), c("seller.id").alias("seller_id"),
+        c("price_usd").cast("double").alias("price_usd"),
+    )
+
+
+def filter_regex_ci(df: DataFrame) -> DataFrame:
+    """equality plus a case-insensitive regex."""
+    return df.where((c("gender_target") == P.J1_GENDER) & match_ci("name", P.J1_PATTERN)).select(
+        "l_orderkey", "l_linenumber", "name", "gender_target", c("price_usd").cast("double").alias("price_usd")
+    )
+
+
+def filter_not_null(df: DataFrame) -> DataFrame:
+    """present and not null (NaN is null after ingest)."""
+    return df.where(c("shipping.buyers_fees").isNotNull() & c("price_usd").isNotNull()).select(
+        "l_orderkey", "l_linenumber", c("shipping.warehouse_name").alias("warehouse_name"),
+        c("shipping.buyers_fees").cast("double").alias("buyers_fees"),
+    )
+
+
+# ---------------------------------------------------------------- groups
+def group_conditional_count(df: DataFrame) -> DataFrame:
+    """Conditional counts per warehouse."""
+    return df.groupBy(c("shipping.warehouse_name").alias("warehouse_name")).agg(
+        F.count_if(c("state.sold") == F.lit(True)).alias("sold"),
+        F.count_if(c("state.reserved") == F.lit(True)).alias("reserved"),
+        F.count_if(c("state.available") == F.lit(True)).alias("available"),
+        F.count(F.lit(1)).alias("listings"),
+    )
+
+
+def group_collect_set(df: DataFrame) -> DataFrame:
+    """Distinct brands per seller, as sorted text."""
+    g = df.groupBy(c("seller.id").alias("seller_id")).agg(F.collect_set("brand.name").alias("s"))
+    return g.select(
+        "seller_id",
+        F.concat_ws(",", F.array_sort("s")).alias("brands"),
+        F.size("s").cast("bigint").alias("n_brands"),
+    )
+
+
+def group_argmax(df: DataFrame) -> DataFrame:
+    """Per country, the seller with the highest total earnings."""
+    g = A.country_seller_aggregates(df)
+    top = argmax_per_group(
+        g, ["country"], [("_earn", "desc"), ("username", "asc"), ("seller_id", "asc")], ["username", "_earn"]
+    )
+    return top.select("country", "username", c("_earn").cast("double").alias("total_earnings"))
+
+
+def group_mode(df: DataFrame) -> DataFrame:
+    """Most common color per (season, material), ties to the smallest."""
+    return mode_per_group(df, ["season", "material"], "color", "color", "mode_count")
+
+
+def top_k_types(df: DataFrame) -> DataFrame:
+    """Per condition, the two most listed types."""
+    g = df.groupBy("condition", c("type").alias("product_type")).agg(F.count(F.lit(1)).alias("count"))
+    return top_k_per_group(g, ["condition"], [("count", "desc"), ("product_type", "asc")], 2, "rank")
+
+
+def rank_countries(df: DataFrame) -> DataFrame:
+    """Per warehouse, seller countries numbered by listing count."""
+    g = df.groupBy(
+        c("shipping.warehouse_name").alias("warehouse_name"), c("seller.country").alias("country")
+    ).agg(F.count(F.lit(1)).alias("listings"))
+    return rank_per_group(g, ["warehouse_name"], [("listings", "desc"), ("country", "asc")], "rank")
+
+
+def leave_one_out(df: DataFrame) -> DataFrame:
+    """Per season, each material's total price and the mean total of the
+    other materials (exact sums, one division)."""
+    g = df.groupBy("season", "material").agg(sum0("price_usd").alias("total"))
+    loo = leave_one_out_mean(g, ["season"], "total", "others_mean_total")
+    return loo.select("season", "material", c("total").cast("double").alias("total_price"), "others_mean_total")
+
+
+# ---------------------------------------------------------------- joins
+def scalar_subquery_filter(df: DataFrame) -> DataFrame:
+    """L4: listings liked more than the global mean, counted per condition."""
+    liked = above_scalar(df, c("like_count"), F.sum("like_count"), F.count("like_count"))
+    return liked.groupBy("condition").agg(F.count(F.lit(1)).alias("liked_listings"))
+
+
+def range_join(df: DataFrame) -> DataFrame:
+    """Every listing in the J5 price range (no limit)."""
+    return A.outfit_range_candidates(df, P.J5_GENDER, P.J5_KINDS, P.J5_COLOR)
+
+
+def inequality_join_bucketed(df: DataFrame) -> DataFrame:
+    """L6 through the bucketed path (broadcast disabled): (country, brand)
+    pairs where the brand's mean earning per listing is below the country's."""
+    countries = df.groupBy(c("seller.country").alias("country")).agg(
+        A.exact_mean(F.sum("seller.earning"), F.count("seller.earning")).alias("country_avg")
+    )
+    brands = df.groupBy(c("brand.name").alias("brand")).agg(
+        A.exact_mean(F.sum("seller.earning"), F.count("seller.earning")).alias("brand_avg")
+    )
+    return inequality_join(countries, brands, "country_avg", "brand_avg", "<", max_broadcast_rows=0, buckets=8)
+
+
+def nearest_join(df: DataFrame) -> DataFrame:
+    """Per country, the two types with mean fee nearest the country's."""
+    cube = A.fee_cube(df)
+    countries = A.country_fees(cube)
+    types = cube.groupBy("country", "type").agg(F.sum("fs").alias("fs"), F.sum("fn").alias("fn")).select(
+        "country", "type", A.exact_mean(c("fs"), c("fn")).alias("type_avg_buyers_fees")
+    )
+    return nearest_k(
+        join_on_keys(types, countries, ["country"]), ["country"], c("type_avg_buyers_fees"),
+        c("avg_buyers_fees_country"), 2, ties=[("type", "asc")],
+    )
+
+
+# ---------------------------------------------------------------- arrays
+def explode_keywords(df: DataFrame) -> DataFrame:
+    """Keyword counts after splitting the keyword text."""
+    return A.keyword_rows(df, P.J4_SEPARATOR).groupBy("keyword").agg(F.count(F.lit(1)).alias("count"))
+
+
+def posexplode_rank(df: DataFrame) -> DataFrame:
+    """Words of the name with their 0-based position, counted."""
+    ex = df.select(F.posexplode(F.split(c("name"), " ")).alias("pos", "word"))
+    return ex.groupBy(c("pos").cast("bigint").alias("pos"), "word").agg(F.count(F.lit(1)).alias("count"))
+
+
+def array_transform_filter_reduce(df: DataFrame) -> DataFrame:
+    """Per distinct name, upper-cased words longer than three
+    letters and their total length."""
+    g = df.groupBy("name").agg(F.count(F.lit(1)).alias("listings"))
+    words = F.filter(F.transform(F.split(c("name"), " "), lambda w: F.upper(w)), lambda w: F.length(w) > 3)
+    return g.select(
+        "name",
+        "listings",
+        F.concat_ws(" ", words).alias("long_words"),
+        F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc + F.length(w)).alias("letters"),
+    )
+
+
+# ---------------------------------------------------------------- scalars
+def guarded_ratio_query(df: DataFrame) -> DataFrame:
+    """Likes per product and likes-to-followers percent with a zero
+    guard, per (country, seller)."""
+    g = A.country_seller_aggregates(df)
+    return g.select(
+        "country",
+        "seller_id",
+        guarded_ratio(c("_likes"), c("_products")).alias("likes_per_product"),
+        A.likes_to_followers(c("_likes"), c("_products"), c("_followers")).alias("likes_to_followers_ratio"),
+    )
+
+
+def percent_string(df: DataFrame) -> DataFrame:
+    """Sold percent per (season, category), rounded, and as text."""
+    g = df.groupBy("season", "category").agg(
+        F.count_if(c("state.sold") == F.lit(True)).alias("s"), F.count(F.lit(1)).alias("n")
+    )
+    q = scaled_half_even(c("s") * 100, c("n"), 2)
+    return g.select(
+        "season", "category",
+        to_scaled_double(q, 2).alias("percentage_sold"),
+        F.concat(plain_decimal_string(q, 2), F.lit("%")).alias("percentage_sold_string"),
+    )
+
+
+def round_half_even(df: DataFrame) -> DataFrame:
+    """Mean earning per listing per brand, half to even at two places,
+    next to the unrounded mean."""
+    g = df.groupBy(c("brand.name").alias("brand")).agg(
+        F.sum("seller.earning").alias("s"), F.count("seller.earning").alias("n")
+    )
+    return g.select(
+        "brand", ratio_half_even(c("s"), c("n")).alias("mean_earning_rounded"),
+        A.exact_mean(c("s"), c("n")).alias("mean_earning"),
+    )
+
+
+def order_statistics(df: DataFrame) -> DataFrame:
+    """Exact deciles of the seller earning (sorted index floor(n*q))."""
+    fr = [i / 10 for i in range(1, 10)]
+    st = exact_order_stats(df, "seller.earning", fr, max_sort_rows=5_000)
+    return st.select("fraction", "idx", c("value").cast("double").alias("value"))
+
+
+# ---------------------------------------------------------------- ingest
+def raw_text(df: DataFrame) -> DataFrame:
+    """The listing table as the raw CSV text columns it would be read from."""
+    s = lambda x: c(x).cast("string")
+    return df.select(
+        s("id").alias("product_id"), s("type").alias("product_type"), s("name").alias("product_name"),
+        F.lit(None).cast("string").alias("product_description"), s("keywords").alias("product_keywords"),
+        s("gender_target").alias("product_gender_target"), s("category").alias("product_category"),
+        s("season").alias("product_season"), s("condition").alias("product_condition"),
+        s("like_count").alias("product_like_count"), s("material").alias("product_material"),
+        s("color").alias("product_color"), s("price_usd").alias("price_usd"), s("brand.id").alias("brand_id"),
+        s("brand.name").alias("brand_name"), s("state.sold").alias("sold"), s("state.reserved").alias("reserved"),
+        s("state.available").alias("available"), s("seller.id").alias("seller_id"),
+        s("seller.username").alias("seller_username"), s("seller.country").alias("seller_country"),
+        s("seller.price").alias("seller_price"), s("seller.earning").alias("seller_earning"),
+        s("seller.products_sold").alias("seller_products_sold"),
+        s("seller.num_products_listed").alias("seller_num_products_listed"),
+        s("seller.community_rank").alias("seller_community_rank"),
+        s("seller.num_followers").alias("seller_num_followers"), s("seller.pass_rate").alias("seller_pass_rate"),
+        s("seller.badge").alias("seller_badge"), s("shipping.buyers_fees").alias("buyers_fees"),
+        s("shipping.warehouse_name").alias("warehouse_name"),
+    )
+
+
+def ingest_typed_listings(df: DataFrame) -> DataFrame:
+    """Type and nest the raw text of every listing."""
+    nested = nest_listing(type_listings(raw_text(df)), "full")
+    return nested.select(
+        "id",
+        c("price_usd").cast("double").alias("price_usd"),
+        "like_count",
+        c("state.sold").alias("sold"),
+        c("state.reserved").alias("reserved"),
+        c("state.available").alias("available"),
+        c("seller.id").alias("seller_id"),
+        c("seller.country").alias("seller_country"),
+        c("seller.num_followers").alias("num_followers"),
+        c("seller.pass_rate").alias("pass_rate"),
+        c("seller.products_sold").alias("products_sold"),
+        c("shipping.buyers_fees").cast("double").alias("buyers_fees"),
+        c("shipping.warehouse_name").alias("warehouse_name"),
+        F.size("rejected_fields").cast("bigint").alias("rejected"),
+    )
+
+
+_OPS = {
+    "filter_or_range": filter_or_range,
+    "filter_regex_ci": filter_regex_ci,
+    "filter_not_null": filter_not_null,
+    "group_conditional_count": group_conditional_count,
+    "group_collect_set": group_collect_set,
+    "group_argmax": group_argmax,
+    "group_mode": group_mode,
+    "top_k_per_group": top_k_types,
+    "rank_per_group": rank_countries,
+    "leave_one_out": leave_one_out,
+    "scalar_subquery_filter": scalar_subquery_filter,
+    "range_join": range_join,
+    "inequality_join": inequality_join_bucketed,
+    "nearest_join": nearest_join,
+    "explode_keywords": explode_keywords,
+    "posexplode_rank": posexplode_rank,
+    "array_transform_filter_reduce": array_transform_filter_reduce,
+    "guarded_ratio": guarded_ratio_query,
+    "percent_string": percent_string,
+    "round_half_even": round_half_even,
+    "order_statistics": order_statistics,
+    "ingest_typed_listings": ingest_typed_listings,
+}
+
 
 def operator_queries() -> dict:
-    return {}
+    return {name: _on_listings(fn) for name, fn in _OPS.items()}
 
 
+# ---------------------------------------------------------------- oracle SQL
 def operator_sql() -> dict[str, str]:
-    return {}
+    w = O._with
+    lit = O._lit
+    mean = O.mean
+    nse = O.nse
+    sql = {
+        "filter_or_range": w() + (
+            "SELECT l_orderkey, l_linenumber, brand_name AS brand, seller_id, CAST(price_usd AS DOUBLE) AS price_usd "
+            f"FROM p WHERE price_usd <= {P.T2_MAX_PRICE} AND (num_products_listed >= {P.T2_MIN_LISTED} "
+            f"OR products_sold >= {P.T2_MIN_SOLD})"
+        ),
+        "filter_regex_ci": w() + (
+            "SELECT l_orderkey, l_linenumber, name, gender_target, CAST(price_usd AS DOUBLE) AS price_usd FROM p "
+            f"WHERE gender_target = {lit(P.J1_GENDER)} AND regexp_matches(name, {O._ci(P.J1_PATTERN)})"
+        ),
+        "filter_not_null": w() + (
+            "SELECT l_orderkey, l_linenumber, warehouse_name, CAST(buyers_fees AS DOUBLE) AS buyers_fees FROM p "
+            "WHERE buyers_fees IS NOT NULL AND price_usd IS NOT NULL"
+        ),
+        "group_conditional_count": w() + (
+            "SELECT warehouse_name, CAST(count_if(sold) AS BIGINT) AS sold, CAST(count_if(reserved) AS BIGINT) AS reserved, "
+            "CAST(count_if(available) AS BIGINT) AS available, count(*) AS listings FROM p GROUP BY warehouse_name"
+        ),
+        "group_collect_set": w() + (
+            "SELECT seller_id, string_agg(DISTINCT brand_name, ',' ORDER BY brand_name) AS brands, "
+            "count(DISTINCT brand_name) AS n_brands FROM p GROUP BY seller_id"
+        ),
+        "group_argmax": w(
+            """g AS (SELECT country, seller_id, min(username) AS username, coalesce(sum(earning), 0) AS earn
+      FROM p GROUP BY country, seller_id)"""
+        ) + (
+            "SELECT country, username, CAST(earn AS DOUBLE) AS total_earnings FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY country ORDER BY earn DESC NULLS LAST, username ASC NULLS FIRST, seller_id ASC NULLS FIRST) AS rn "
+            "FROM g) WHERE rn = 1"
+        ),
+        "group_mode": w(
+            "g AS (SELECT season, material, color, count(*) AS n FROM p GROUP BY season, material, color)"
+        ) + (
+            "SELECT season, material, color, n AS mode_count FROM (SELECT *, row_number() OVER (PARTITION BY season, "
+            "material ORDER BY n DESC, color ASC NULLS FIRST) AS rn FROM g) WHERE rn = 1"
+        ),
+        "top_k_per_group": w(
+            "g AS (SELECT condition, type AS product_type, count(*) AS count FROM p GROUP BY condition, type)"
+        ) + (
+            "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY condition ORDER BY count DESC, "
+            "product_type ASC NULLS FIRST) AS BIGINT) AS rank FROM g) WHERE rank <= 2"
+        ),
+        "rank_per_group": w(
+            "g AS (SELECT warehouse_name, country, count(*) AS listings FROM p GROUP BY warehouse_name, country)"
+        ) + (
+            "SELECT *, CAST(row_number() OVER (PARTITION BY warehouse_name ORDER BY listings DESC, "
+            "country ASC NULLS FIRST) AS BIGINT) AS rank FROM g"
+        ),
+        "leave_one_out": w(
+            "g AS (SELECT season, material, coalesce(sum(price_usd), 0) AS total FROM p GROUP BY season, material)"
+        ) + (
+            "SELECT season, material, CAST(total AS DOUBLE) AS total_price, CASE WHEN count(total) OVER w > 1 THEN "
+            "CAST(sum(total) OVER w - total AS DOUBLE) / CAST(count(total) OVER w - 1 AS DOUBLE) END AS others_mean_total "
+            "FROM g WINDOW w AS (PARTITION BY season)"
+        ),
+        "scalar_subquery_filter": w(
+            "st AS (SELECT sum(like_count) AS s, count(like_count) AS n FROM p)"
+        ) + (
+            "SELECT condition, count(*) AS liked_listings FROM p, st WHERE p.like_count * st.n > st.s GROUP BY condition"
+        ),
+        "range_join": O.j5_range(None),
+        "inequality_join": w(
+            f"co AS (SELECT country, {mean('sum(earning)', 'count(earning)')} AS country_avg FROM p GROUP BY country)",
+            f"br AS (SELECT brand_name AS brand, {mean('sum(earning)', 'count(earning)')} AS brand_avg FROM p GROUP BY brand_name)",
+        ) + "SELECT co.country, co.country_avg, br.brand, br.brand_avg FROM co JOIN br ON br.brand_avg < co.country_avg",
+        "nearest_join": w(*O._M4) + (
+            "SELECT ty.country, ty.type, ty.type_avg_buyers_fees, co.avg_buyers_fees_country, "
+            "abs(ty.type_avg_buyers_fees - co.avg_buyers_fees_country) AS diff, CAST(nr.rn AS BIGINT) AS nearest_rank "
+            f"FROM nr JOIN ty ON {nse('nr', 'ty', ['country', 'type'])} JOIN co ON {nse('ty', 'co', ['country'])} "
+            "WHERE nr.rn <= 2"
+        ),
+        "explode_keywords": w() + (
+            "SELECT keyword, count(*) AS count FROM (SELECT unnest(string_split(keywords, "
+            f"{lit(P.J4_SEPARATOR)})) AS keyword FROM p) WHERE keyword <> '' GROUP BY keyword"
+        ),
+        "posexplode_rank": w() + (
+            "SELECT CAST(pos AS BIGINT) AS pos, word, count(*) AS count FROM (SELECT unnest(string_split(name, ' ')) AS word, "
+            "unnest(range(len(string_split(name, ' ')))) AS pos FROM p) GROUP BY pos, word"
+        ),
+        "array_transform_filter_reduce": w(
+            "g AS (SELECT name, count(*) AS listings FROM p GROUP BY name)",
+            """h AS (SELECT name, listings, list_filter(list_transform(string_split(name, ' '), lambda x: upper(x)),
+      lambda x: length(x) > 3) AS ws FROM g)""",
+        ) + (
+            "SELECT name, listings, array_to_string(ws, ' ') AS long_words, "
+            "CAST(list_reduce(list_prepend(0, list_transform(ws, lambda x: length(x))), lambda a, b: a + b) AS BIGINT) "
+            "AS letters FROM h"
+        ),
+        "guarded_ratio": w(
+            """g AS (SELECT country, seller_id, coalesce(sum(like_count), 0) AS likes, min(num_followers) AS followers,
+      count(*) AS products FROM p GROUP BY country, seller_id)"""
+        ) + (
+            "SELECT country, seller_id, CASE WHEN products = 0 THEN 0.0 ELSE CAST(likes AS DOUBLE) / CAST(products AS DOUBLE) END "
+            "AS likes_per_product, CASE WHEN followers = 0 THEN 0.0 ELSE CAST(likes AS DOUBLE) / CAST(products AS DOUBLE) / "
+            "CAST(followers AS DOUBLE) * 100.0 END AS likes_to_followers_ratio FROM g"
+        ),
+        "percent_string": w(
+            f"""g AS (SELECT season, category, {O.half_even_units('count_if(sold) * 100', 'count(*)')} AS q FROM p
+      GROUP BY season, category)"""
+        ) + (
+            f"SELECT season, category, CAST(q AS DOUBLE) / 100.0 AS percentage_sold, {O.units_text('q')} || '%' "
+            "AS percentage_sold_string FROM g"
+        ),
+        "round_half_even": w(
+            "g AS (SELECT brand_name AS brand, sum(earning) AS s, count(earning) AS n FROM p GROUP BY brand_name)"
+        ) + f"SELECT brand, {O.half_even('s', 'n')} AS mean_earning_rounded, {mean('s', 'n')} AS mean_earning FROM g",
+        "order_statistics": w(
+            "v AS (SELECT earning FROM p WHERE earning IS NOT NULL)",
+            "nn AS (SELECT count(*) AS n FROM v)",
+            "rk AS (SELECT earning, row_number() OVER (ORDER BY earning) - 1 AS idx FROM v)",
+            "fr AS (SELECT CAST(i AS DOUBLE) / 10 AS fraction FROM range(1, 10) t(i))",
+        ) + (
+            "SELECT fr.fraction, CAST(rk.idx AS BIGINT) AS idx, CAST(rk.earning AS DOUBLE) AS value "
+            "FROM fr, nn, rk WHERE rk.idx = CAST(floor(nn.n * fr.fraction) AS BIGINT)"
+        ),
+        "ingest_typed_listings": w() + (
+            "SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, CAST(price_usd AS DOUBLE) AS price_usd, "
+            "CAST(like_count AS DOUBLE) AS like_count, sold, reserved, available, CAST(seller_id AS VARCHAR) AS seller_id, "
+            "country AS seller_country, CAST(num_followers AS DOUBLE) AS num_followers, pass_rate, products_sold, "
+            "CAST(buyers_fees AS DOUBLE) AS buyers_fees, warehouse_name, CAST(0 AS BIGINT) AS rejected FROM p"
+        ),
+    }
+    return sql
