@@ -70,6 +70,7 @@ def plain_decimal_string(q: Column, scale: int = 2) -> Column:
 
     ``6667`` -> ``66.67``, ``5000`` -> ``50``, ``5050`` -> ``50.5``. This is the
     shortest decimal text of the rounded value, as a document store prints it.
+    ``q`` is referenced several times: pass a column, not a large expression.
     """
     unit = 10**scale
     aq = F.abs(q)

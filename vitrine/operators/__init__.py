@@ -9,6 +9,7 @@ from vitrine.operators.joins import (
     nearest_k,
     scalar,
 )
+from vitrine.operators.materialize import reuse
 from vitrine.operators.order_stats import band_expr, exact_order_stats, quantile_cuts
 from vitrine.operators.ranking import (
     argmax_expr,
@@ -36,6 +37,7 @@ __all__ = [
     "order_columns",
     "quantile_cuts",
     "rank_per_group",
+    "reuse",
     "scalar",
     "sum_excluding",
     "top_k_per_group",

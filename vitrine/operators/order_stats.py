@@ -3,7 +3,8 @@
 The reference sorts every row into one array and indexes it (A17). That puts
 the table in one place. Here the answer is narrowed by rank brackets:
 
-1. ``n`` = non-null count; target index ``k = floor(n * q)`` (0-based).
+1. ``n`` = non-null count; target index ``k = floor(n * q)`` (0-based). The
+   same pass sketches the first bracket proposals.
 2. Each target keeps a value bracket ``[lo, hi]`` that contains its answer,
    with ``below`` = rows under ``lo`` and ``inside`` = rows in the bracket.
 3. While a bracket holds more than ``max_sort_rows`` rows, ``percentile_approx``
@@ -23,6 +24,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,29 +68,41 @@ def exact_order_stats(
     """
     col = F.col(value) if isinstance(value, str) else value
     v = df.select(col.alias("v")).where(F.col("v").isNotNull())
-    stats = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).first()
-    n = stats["n"]
     spark = df.sparkSession
+    # Pass 1: size, range, and first bracket proposals for every target from
+    # one sketch (relative rank q is known before n is).
+    first_ps = [p for q in fractions for p in (max(0.0, q - margin), min(1.0, q + margin))]
+    stats = v.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("v").alias("mn"),
+        F.max("v").alias("mx"),
+        F.percentile_approx("v", first_ps, accuracy).alias("ps"),
+    ).first()
+    n = stats["n"]
     if not n:
         return spark.createDataFrame([], "fraction double, idx bigint, value " + v.schema["v"].dataType.simpleString())
 
     targets = [min(int(math.floor(n * q)), n - 1) for q in fractions]
     brackets = [_Bracket(k, stats["mn"], stats["mx"], 0, n) for k in targets]
     margins = [margin] * len(brackets)
+    pending = {i: (stats["ps"][2 * i], stats["ps"][2 * i + 1]) for i in range(len(brackets))}
 
     for _ in range(max_rounds):
         active = [i for i, b in enumerate(brackets) if b.inside > max_sort_rows and b.lo != b.hi]
         if not active:
             break
-        aggs = []
-        for i in active:
-            b = brackets[i]
-            p = (b.k - b.below + 0.5) / b.inside
-            ps = [max(0.0, p - margins[i]), min(1.0, p + margins[i])]
-            in_b = (F.col("v") >= F.lit(b.lo)) & (F.col("v") <= F.lit(b.hi))
-            aggs.append(F.percentile_approx(F.when(in_b, F.col("v")), ps, accuracy).alias(f"p{i}"))
-        prow = v.agg(*aggs).first()
-        proposals = [tuple(prow[f"p{i}"]) for i in active]
+        if not all(i in pending for i in active):
+            aggs = []
+            for i in active:
+                b = brackets[i]
+                p = (b.k - b.below + 0.5) / b.inside
+                ps = [max(0.0, p - margins[i]), min(1.0, p + margins[i])]
+                in_b = (F.col("v") >= F.lit(b.lo)) & (F.col("v") <= F.lit(b.hi))
+                aggs.append(F.percentile_approx(F.when(in_b, F.col("v")), ps, accuracy).alias(f"p{i}"))
+            prow = v.agg(*aggs).first()
+            pending = {i: tuple(prow[f"p{i}"]) for i in active}
+        proposals = [pending[i] for i in active]
+        pending = {}
         counts = _count_bracket(v, [brackets[i] for i in active], proposals)
         for i, (plo, phi), (below_add, inside) in zip(active, proposals, counts):
             b = brackets[i]
@@ -114,7 +129,8 @@ def exact_order_stats(
         tags = [
             F.when((x >= F.lit(brackets[i].lo)) & (x <= F.lit(brackets[i].hi)), F.lit(i)) for i in ranked_ids
         ]
-        tagged = v.select(x, F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t"))
+        in_any = reduce(or_, [(x >= F.lit(brackets[i].lo)) & (x <= F.lit(brackets[i].hi)) for i in ranked_ids])
+        tagged = v.where(in_any).select(x, F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t"))
         pick = lambda vals: F.element_at(F.array(*[F.lit(z) for z in vals]), F.col("t") + 1)
         n_all = len(brackets)
         rel = pick([brackets[i].k - brackets[i].below + 1 for i in range(n_all)])

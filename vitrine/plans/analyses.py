@@ -41,6 +41,7 @@ from vitrine.operators import (
     leave_one_out_in_list,
     nearest_k,
     rank_per_group,
+    reuse,
     scalar,
     top_k_per_group,
 )
@@ -312,14 +313,16 @@ def season_sell_through(df: DataFrame) -> DataFrame:
         ).alias("least_sold_category"),
     )
     total = c("total_sold") + c("total_not_sold")
+    # The rounded percent (exact hundredths) is its own column, so the two
+    # outputs below reference it instead of each repeating its expression.
     q = F.when(total > 0, scaled_half_even(c("total_sold") * 100, total, 2)).otherwise(F.lit(0).cast("decimal(38,0)"))
-    out = per.select(
+    out = per.withColumn("_q", q).select(
         "season",
         c("total_sold").cast("bigint").alias("total_sold"),
         c("total_not_sold").cast("bigint").alias("total_not_sold"),
         total.cast("bigint").alias("total_products"),
-        to_scaled_double(q, 2).alias("percentage_sold"),
-        F.concat(plain_decimal_string(q, 2), F.lit("%")).alias("percentage_sold_string"),
+        to_scaled_double(c("_q"), 2).alias("percentage_sold"),
+        F.concat(plain_decimal_string(c("_q"), 2), F.lit("%")).alias("percentage_sold_string"),
         "least_sold_category",
     )
     return out.orderBy(c("percentage_sold").desc_nulls_last(), c("season").asc_nulls_first())
@@ -539,12 +542,14 @@ def country_lead_brand(df: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- M4
-def fee_cube(df: DataFrame) -> DataFrame:
+def fee_cube(df: DataFrame, store: bool = False) -> DataFrame:
     """Listings with a fee, counted once at (warehouse, country, type); the
-    three grains of M4 are roll-ups of this one aggregate, so the table is
-    scanned once (the three branches share one exchange)."""
+    three grains of M4 are roll-ups of this one aggregate. Its size is
+    warehouses x countries x types, independent of the row count. With
+    ``store`` it is written once to the checkpoint folder, so the join's
+    size check and the roll-ups do not each rescan the table."""
     f = df.where(c("shipping.buyers_fees").isNotNull())
-    return f.groupBy(
+    cube = f.groupBy(
         c("shipping.warehouse_name").alias("warehouse_name"), c("seller.country").alias("country"), "type"
     ).agg(
         F.count_if(c("state.sold") == F.lit(True)).alias("s"),
@@ -553,6 +558,7 @@ def fee_cube(df: DataFrame) -> DataFrame:
         F.sum("shipping.buyers_fees").alias("fs"),
         F.count("shipping.buyers_fees").alias("fn"),
     )
+    return reuse(cube) if store else cube
 
 
 def warehouse_state_counts(df: DataFrame, cube: DataFrame | None = None) -> DataFrame:
@@ -579,7 +585,7 @@ def country_fees(cube: DataFrame) -> DataFrame:
 def warehouse_cheaper_countries(df: DataFrame, cube: DataFrame | None = None, **join_kw) -> DataFrame:
     """M4 (part 2): every (warehouse, country) where the country's mean fee is
     below the warehouse's. Warehouses with no cheaper country drop out."""
-    cube = cube if cube is not None else fee_cube(df)
+    cube = cube if cube is not None else fee_cube(df, store=True)
     w = warehouse_state_counts(df, cube)
     pairs = inequality_join(w, country_fees(cube), "avg_buyers_fees", "avg_buyers_fees_country", "<", **join_kw)
     return pairs
@@ -589,7 +595,7 @@ def warehouse_nearest_types(df: DataFrame, k: int = 2) -> DataFrame:
     """M4 (full): each cheaper country with its ``k`` types whose mean fee is
     nearest the country mean (L7). Nearest types depend on the country only,
     so they are found once per country and joined to the pairs."""
-    cube = fee_cube(df)
+    cube = fee_cube(df, store=True)
     countries = country_fees(cube)
     types = cube.groupBy("country", "type").agg(F.sum("fs").alias("fs"), F.sum("fn").alias("fn")).select(
         "country", "type", exact_mean(c("fs"), c("fn")).alias("type_avg_buyers_fees")

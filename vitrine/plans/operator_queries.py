@@ -196,11 +196,11 @@ def percent_string(df: DataFrame) -> DataFrame:
     g = df.groupBy("season", "category").agg(
         F.count_if(c("state.sold") == F.lit(True)).alias("s"), F.count(F.lit(1)).alias("n")
     )
-    q = scaled_half_even(c("s") * 100, c("n"), 2)
+    g = g.withColumn("_q", scaled_half_even(c("s") * 100, c("n"), 2))
     return g.select(
         "season", "category",
-        to_scaled_double(q, 2).alias("percentage_sold"),
-        F.concat(plain_decimal_string(q, 2), F.lit("%")).alias("percentage_sold_string"),
+        to_scaled_double(c("_q"), 2).alias("percentage_sold"),
+        F.concat(plain_decimal_string(c("_q"), 2), F.lit("%")).alias("percentage_sold_string"),
     )
 
 
