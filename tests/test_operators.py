@@ -217,3 +217,27 @@ def test_same_username_two_sellers_group_together(spark):
     ])
     r = A.cheapest_sellers_by_material(df, ["X"], 50).collect()
     assert len(r) == 1 and r[0]["avg_price"] == 15.0
+
+
+def test_distributed_rank_matches_window_with_hot_key(spark):
+    from vitrine.operators import distributed_rank, rank_per_group
+
+    rows = [("hot", i % 97, i) for i in range(3000)] + [(f"k{j}", j, j) for j in range(50)] + [(None, 1, 7)]
+    df = spark.createDataFrame(rows, "g string, v long, id long").repartition(8)
+    order = [("v", "desc"), ("id", "asc")]
+    want = {(r["g"], r["id"]): r["rank"] for r in rank_per_group(df, ["g"], order, max_group_rows=None).collect()}
+    got = {(r["g"], r["id"]): r["rank"] for r in distributed_rank(df, ["g"], order).collect()}
+    assert got == want
+    forced = {(r["g"], r["id"]): r["rank"] for r in rank_per_group(df, ["g"], order, max_group_rows=100).collect()}
+    assert forced == want
+
+
+def test_country_ranking_distributed_path_same_result(spark):
+    from tests.conftest import SF_SMALL
+    from vitrine.sources.store import listings
+
+    df = listings(spark, SF_SMALL)
+    cols = ["country", "username", "total_earnings", "rank"]
+    a = sorted(tuple(r[c] for c in cols) for r in A.country_seller_ranking(df).collect())
+    b = sorted(tuple(r[c] for c in cols) for r in A.country_seller_ranking(df, max_group_rows=0).collect())
+    assert a == b

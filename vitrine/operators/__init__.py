@@ -9,11 +9,12 @@ from vitrine.operators.joins import (
     nearest_k,
     scalar,
 )
-from vitrine.operators.materialize import reuse
+from vitrine.operators.materialize import can_store, reuse
 from vitrine.operators.order_stats import band_expr, exact_order_stats, quantile_cuts
 from vitrine.operators.ranking import (
     argmax_expr,
     argmax_per_group,
+    distributed_rank,
     mode_per_group,
     order_columns,
     rank_per_group,
@@ -26,6 +27,8 @@ __all__ = [
     "argmax_per_group",
     "band_expr",
     "broadcast_if_small",
+    "can_store",
+    "distributed_rank",
     "exact_order_stats",
     "inequality_join",
     "join_on_keys",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,16 +15,17 @@ def leave_one_out_mean(
 
     ``(group sum - own value) / (group count - 1)``. With an exact ``value``
     (decimal or integer) the sum is exact and the one division is the only
-    rounding. Window sums over an unordered partition need no sort; run it on
-    an aggregate, since one group is one task.
+    rounding. Group sums are a partial hash aggregate joined back on the keys
+    (null-safe), so no group has to fit in one task.
     """
-    w = Window.partitionBy(*keys)
+    from vitrine.operators.joins import join_on_keys
+
+    sums = df.groupBy(*keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
     v = F.col(value)
-    s = F.sum(v).over(w)
-    n = F.count(v).over(w)
-    return df.withColumn(
-        name, F.when(v.isNotNull() & (n > 1), (s - v).cast("double") / (n - 1).cast("double"))
+    out = join_on_keys(df, sums, keys).withColumn(
+        name, F.when(v.isNotNull() & (F.col("_c") > 1), (F.col("_s") - v).cast("double") / (F.col("_c") - 1).cast("double"))
     )
+    return out.drop("_s", "_c")
 
 
 def leave_one_out_in_list(

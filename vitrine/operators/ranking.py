@@ -6,9 +6,12 @@ Scale notes
   Catalyst inserts ``WindowGroupLimit`` on both sides of the shuffle: each map
   task keeps at most k rows per key before anything moves, so a hot key
   cannot pile its raw rows into one task.
-* ``argmax_per_group`` and ``mode_per_group`` are plain hash aggregates
-  (``min_by`` over a struct key): partial aggregation on the map side, one
-  small row per key and task crosses the shuffle.
+* ``argmax_per_group`` and ``mode_per_group`` are aggregates (``min_by`` over
+  a struct key) with a partial step on the map side: one small row per key and
+  task crosses the shuffle. A struct buffer is not fixed-width, so Spark runs
+  them as sort aggregates; they are applied to aggregates, not raw rows.
+* ``rank_per_group`` checks the largest group and switches to
+  ``distributed_rank`` (global sort plus per-partition offsets) past a bound.
 """
 
 from __future__ import annotations
@@ -52,12 +55,64 @@ def top_k_per_group(
     return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))
 
 
-def rank_per_group(df: DataFrame, keys: Sequence[str | Column], order: Order, rank_col: str = "rank") -> DataFrame:
+def rank_per_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Order,
+    rank_col: str = "rank",
+    *,
+    max_group_rows: int | None = 1_000_000,
+) -> DataFrame:
     """Number every row of its group 1..n under ``order`` (W2); ties get
-    distinct numbers. Run it on an aggregate, not on raw rows: the window
-    sorts each whole group in one task."""
-    w = Window.partitionBy(*[_col(k_) for k_ in keys]).orderBy(*order_columns(order))
-    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+    distinct numbers (``order`` should make the order total).
+
+    A window sorts each whole group in one task. That is fine while groups are
+    small, so the largest group is measured first (on ``df`` stored once, see
+    ``reuse``) and only when it exceeds ``max_group_rows`` the distributed
+    form runs: a global sort splits a hot group over many tasks and ranks are
+    rebuilt from per-partition offsets. ``max_group_rows=None`` always uses
+    the window.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order_columns(order))
+    if max_group_rows is None:
+        return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+    from vitrine.operators.materialize import can_store, reuse
+
+    if not can_store(df):
+        return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+    stored = reuse(df)
+    biggest = stored.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if biggest <= max_group_rows:
+        return stored.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+    return distributed_rank(stored, keys, order, rank_col)
+
+
+def distributed_rank(df: DataFrame, keys: Sequence[str], order: Order, rank_col: str = "rank") -> DataFrame:
+    """``row_number()`` per group without holding any group in one task.
+
+    1. Sort globally by (keys, order): range partitioning cuts a hot key
+       into many partitions. The sorted result is stored (reliable
+       checkpoint), which pins each row's partition and position.
+    2. Per (partition, key): row count and the index of its first row
+       (``monotonically_increasing_id`` numbers rows in partition order).
+    3. A key's offset in a partition is the sum of its counts in earlier
+       partitions: a window over that small table (one row per partition a
+       key spans).
+    4. rank = offset + (index - first index) + 1, joined back on
+       (partition, key).
+    """
+    from vitrine.operators.joins import join_on_keys
+    from vitrine.operators.materialize import reuse
+
+    sort_cols = [F.col(k).asc_nulls_first() for k in keys] + order_columns(order)
+    ordered = reuse(df.orderBy(*sort_cols))
+    tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_idx", F.monotonically_increasing_id())
+    firsts = tagged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_idx").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = firsts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    joined = join_on_keys(tagged, offsets, ["_pid", *keys])
+    rank = (F.col("_off") + F.col("_idx") - F.col("_first") + 1).cast("bigint")
+    return joined.withColumn(rank_col, rank).drop("_pid", "_idx", "_first", "_off")
 
 
 def _ascending_key(order: Order) -> Column:
@@ -87,12 +142,13 @@ def argmax_per_group(
 ) -> DataFrame:
     """Per group, the ``values`` of its first row under ``order``.
 
-    One hash aggregate: ``min_by(struct(values), key)`` combines partially on
-    the map side, so skewed keys stay cheap.
+    One aggregate: ``min_by(struct(values), key)`` combines partially on the
+    map side, so skewed keys stay cheap.
     """
     pick = argmax_expr(F.struct(*[F.col(v) for v in values]), order).alias("_pick")
     out = df.groupBy(*keys).agg(pick, *extra_aggs)
-    return out.select(*keys, *[F.col(f"_pick.{v}").alias(v) for v in values], *[F.col(a) for a in out.columns if a not in keys and a != "_pick"])
+    others = [a for a in out.columns if a not in keys and a != "_pick"]
+    return out.select(*keys, *[F.col(f"_pick.{v}").alias(v) for v in values], *others)
 
 
 def mode_per_group(

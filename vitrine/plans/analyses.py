@@ -198,9 +198,10 @@ def likes_to_followers(likes: Column, products: Column, followers: Column) -> Co
     )
 
 
-def country_seller_ranking(df: DataFrame) -> DataFrame:
+def country_seller_ranking(df: DataFrame, max_group_rows: int | None = 1_000_000) -> DataFrame:
     """T4: per country, sellers ranked by total earnings (1..n), with likes
-    per product and likes-to-followers percent."""
+    per product and likes-to-followers percent. A country with more than
+    ``max_group_rows`` sellers is ranked by the distributed form."""
     g = country_seller_aggregates(df).select(
         "country",
         "seller_id",
@@ -210,7 +211,8 @@ def country_seller_ranking(df: DataFrame) -> DataFrame:
         likes_to_followers(c("_likes"), c("_products"), c("_followers")).alias("likes_to_followers_ratio"),
     )
     ranked = rank_per_group(
-        g, ["country"], [("total_earnings", "desc"), ("username", "asc"), ("seller_id", "asc")], "rank"
+        g, ["country"], [("total_earnings", "desc"), ("username", "asc"), ("seller_id", "asc")], "rank",
+        max_group_rows=max_group_rows,
     )
     return ranked.select(
         "country", "username", "total_earnings", "avg_likes_per_product", "likes_to_followers_ratio", "rank"
