@@ -56,7 +56,7 @@ def exact_order_stats(
     fractions: Sequence[float],
     *,
     max_sort_rows: int = 100_000,
-    accuracy: int = 100_000,
+    accuracy: int = 10_000,
     margin: float = 0.002,
     max_rounds: int = 40,
 ) -> DataFrame:
