@@ -46,3 +46,22 @@ def test_other_nested_forms_cover_flat_rows(spark):
         df, countries=P.T5_COUNTRIES, min_pass_rate=P.T5_MIN_PASS_RATE
     ).collect()
     assert all(1 <= len(r["top_sellers"]) <= 3 for r in cheap)
+
+
+def test_nest_refuses_a_group_past_the_bound(spark):
+    import pytest
+
+    from vitrine.operators import GroupTooLargeError
+
+    df = listings(spark, SF_SMALL)
+    with pytest.raises(GroupTooLargeError):
+        N.country_seller_ranking_nested(df, max_members=0)
+
+
+def test_bands_dataframe_form(spark):
+    from vitrine.operators import bands
+
+    df = listings(spark, SF_SMALL)
+    b = bands(df, "price_usd", A.QUARTILES, A.BAND_LABELS)
+    flat = A.price_quartile_bands(df)
+    assert sorted(r["band"] for r in b.select("band").collect()) == sorted(r["band"] for r in flat.select("band").collect())

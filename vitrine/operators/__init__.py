@@ -1,6 +1,6 @@
 """Distributed operators shared by the analyses."""
 
-from vitrine.operators.groups import leave_one_out_in_list, leave_one_out_mean, nest, sum_excluding
+from vitrine.operators.groups import GroupTooLargeError, leave_one_out_in_list, leave_one_out_mean, nest, sum_excluding
 from vitrine.operators.joins import (
     above_scalar,
     broadcast_if_small,
@@ -10,7 +10,7 @@ from vitrine.operators.joins import (
     scalar,
 )
 from vitrine.operators.materialize import can_store, reuse
-from vitrine.operators.order_stats import band_expr, exact_order_stats, quantile_cuts
+from vitrine.operators.order_stats import band_expr, bands, exact_order_stats, quantile_cuts
 from vitrine.operators.ranking import (
     argmax_expr,
     argmax_per_group,
@@ -22,10 +22,12 @@ from vitrine.operators.ranking import (
 )
 
 __all__ = [
+    "GroupTooLargeError",
     "above_scalar",
     "argmax_expr",
     "argmax_per_group",
     "band_expr",
+    "bands",
     "broadcast_if_small",
     "can_store",
     "distributed_rank",

@@ -69,19 +69,30 @@ def sum_excluding(total: Column, member_total: Column) -> Column:
     return total - member_total
 
 
+class GroupTooLargeError(ValueError):
+    """A group is too large to gather into one row; use the flat result."""
+
+
 def nest(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     fields: Sequence[str],
     name: str,
+    max_members: int | None = 100_000,
 ) -> DataFrame:
     """Group rows into an ordered list of structs.
 
     ``order`` columns lead the struct so ``array_sort`` orders the list, then
-    ``transform`` keeps only ``fields``. Use it after a top-k: every group is
-    gathered into one row.
+    ``transform`` keeps only ``fields``. Every group becomes one row, so the
+    largest group is measured first and ``GroupTooLargeError`` is raised past
+    ``max_members``. Pass ``max_members=None`` only when the size is already
+    bounded (after a top-k).
     """
+    if max_members is not None:
+        biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if biggest > max_members:
+            raise GroupTooLargeError(f"a group of {biggest} rows exceeds max_members={max_members}")
     lead = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
     packed = F.struct(*lead, *[F.col(f).alias(f) for f in fields])
     out = df.groupBy(*keys).agg(F.array_sort(F.collect_list(packed)).alias(name))

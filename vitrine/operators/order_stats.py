@@ -170,3 +170,28 @@ def band_expr(v: Column, cuts: Sequence[Column], labels: Sequence[str]) -> Colum
     for c, lab in zip(cuts, labels[:-1]):
         expr = expr.when(v < c, F.lit(lab))
     return expr.otherwise(F.lit(labels[-1]))
+
+
+def bands(
+    df: DataFrame,
+    value: str,
+    fractions: Sequence[float],
+    labels: Sequence[str],
+    band_col: str = "band",
+    **kw,
+) -> DataFrame:
+    """Every row with a non-null ``value`` and its band.
+
+    Cut points are the exact order statistics at ``fractions``, attached as
+    one scalar subquery (computed once, no join); ``labels`` has one more
+    entry than ``fractions``.
+    """
+    stats = exact_order_stats(df, value, fractions, **kw)
+    names = [f"c{i}" for i in range(len(fractions))]
+    row = stats.agg(*[
+        F.max(F.when(F.col("fraction") == F.lit(float(q)), F.col("value"))).alias(nm)
+        for q, nm in zip(fractions, names)
+    ])
+    cuts = row.select(F.struct(*names)).scalar()
+    v = F.col(value)
+    return df.where(v.isNotNull()).withColumn(band_col, band_expr(v, [cuts.getField(nm) for nm in names], labels))

@@ -476,6 +476,18 @@ def outfit_range_listings(
     ).limit(k)
 
 
+def outfit_price_range(
+    df: DataFrame,
+    gender: str = REF_J5_GENDER,
+    kinds: Sequence[str] = REF_J5_KINDS,
+    labels: Sequence[str] = REF_J5_LABELS,
+    color: str = REF_J5_COLOR,
+    k: int = 10,
+) -> tuple[DataFrame, DataFrame]:
+    """The four extreme items with totals, and the listings in range."""
+    return outfit_extremes(df, gender, kinds, labels, color), outfit_range_listings(df, gender, kinds, color, k)
+
+
 # --------------------------------------------------------------------- M1
 def top_types_and_colors(df: DataFrame, k_types: int = 2, k_colors: int = 2) -> DataFrame:
     """M1: per condition the ``k_types`` most listed types, each with its
@@ -618,6 +630,9 @@ def warehouse_nearest_types(df: DataFrame, k: int = 2) -> DataFrame:
     ).orderBy("warehouse_name", "country", "nearest_rank")
 
 
+warehouse_fee_comparison = warehouse_nearest_types
+
+
 # --------------------------------------------------------------------- M5
 def price_cut_points(df: DataFrame, **kw) -> DataFrame:
     """Exact quartile cut points of the non-null price: one row with

@@ -21,15 +21,19 @@ c = F.col
 def top_seller_brands_nested(df: DataFrame, **kw) -> DataFrame:
     """``seller {username, num_followers, brands [{brand, totalSold}]}``."""
     flat = A.top_seller_brands(df, **kw).withColumn("_neg", -c("total_sold"))
-    lists = nest(flat, ["username", "num_followers"], ["_neg", "brand"], ["brand", "total_sold"], "brands")
+    lists = nest(flat, ["username", "num_followers"], ["_neg", "brand"], ["brand", "total_sold"], "brands", None)
     return lists.select(F.struct("username", "num_followers", "brands").alias("seller"))
 
 
-def country_seller_ranking_nested(df: DataFrame) -> DataFrame:
-    """``country, rankByEarnings [{username, total_earnings, ..., rank}]``."""
+def country_seller_ranking_nested(df: DataFrame, max_members: int = 100_000) -> DataFrame:
+    """``country, rankByEarnings [{username, total_earnings, ..., rank}]``.
+
+    A country's whole seller list becomes one row, so ``max_members`` bounds
+    it (``GroupTooLargeError`` past it; the flat ranking has no such limit).
+    """
     flat = A.country_seller_ranking(df)
     fields = ["username", "total_earnings", "avg_likes_per_product", "likes_to_followers_ratio", "rank"]
-    return nest(flat, ["country"], ["rank"], fields, "rank_by_earnings").orderBy("country")
+    return nest(flat, ["country"], ["rank"], fields, "rank_by_earnings", max_members).orderBy("country")
 
 
 def top_types_and_colors_nested(df: DataFrame, k_types: int = 2, k_colors: int = 2) -> DataFrame:
@@ -41,6 +45,7 @@ def top_types_and_colors_nested(df: DataFrame, k_types: int = 2, k_colors: int =
         ["_neg", "color"],
         ["color", "color_count"],
         "top_colors",
+        None,
     )
     types = nest(
         colors.withColumn("_neg", -c("count")),
@@ -48,6 +53,7 @@ def top_types_and_colors_nested(df: DataFrame, k_types: int = 2, k_colors: int =
         ["_neg", "product_type"],
         ["product_type", "count", "top_colors"],
         "product_types",
+        None,
     )
     return types.orderBy("condition")
 
@@ -56,7 +62,7 @@ def season_material_leave_one_out_nested(df: DataFrame, k: int = 5) -> DataFrame
     """``season, materials [{material, count, avg_price_usd, avg_of_other, difference}]``."""
     flat = A.season_material_leave_one_out(df, k).withColumn("_neg", -c("count"))
     fields = ["material", "count", "avg_price_usd", "avg_of_other", "difference"]
-    return nest(flat, ["season"], ["_neg", "material"], fields, "materials").orderBy("season")
+    return nest(flat, ["season"], ["_neg", "material"], fields, "materials", None).orderBy("season")
 
 
 def warehouse_fee_comparison_nested(df: DataFrame, k: int = 2) -> DataFrame:
@@ -70,6 +76,7 @@ def warehouse_fee_comparison_nested(df: DataFrame, k: int = 2) -> DataFrame:
         ["_d", "type"],
         ["type", "type_avg_buyers_fees", "diff"],
         "nearest_product_types",
+        None,
     )
     return nest(
         types,
@@ -84,12 +91,12 @@ def badge_report_nested(df: DataFrame, k: int = 3) -> DataFrame:
     """``badge, min/max/avg earnings, count, topSellers [{seller_username, products_sold}]``."""
     flat = A.badge_report(df, k)
     keys = ["badge", "min_earnings", "max_earnings", "avg_earnings", "count"]
-    return nest(flat, keys, ["seller_rank"], ["seller_username", "products_sold"], "top_sellers")
+    return nest(flat, keys, ["seller_rank"], ["seller_username", "products_sold"], "top_sellers", None)
 
 
 def cheapest_sellers_by_material_nested(df: DataFrame, **kw) -> DataFrame:
     """``material, topSellers [{seller, avg_price, pass_rate, seller_country}]``."""
     flat = A.cheapest_sellers_by_material(df, **kw)
-    return nest(flat, ["material"], ["rank"], ["seller", "avg_price", "pass_rate", "seller_country"], "top_sellers").orderBy(
-        "material"
-    )
+    return nest(
+        flat, ["material"], ["rank"], ["seller", "avg_price", "pass_rate", "seller_country"], "top_sellers", None
+    ).orderBy("material")

@@ -18,6 +18,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # Delete checkpoint files of intermediates once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
