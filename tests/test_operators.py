@@ -241,3 +241,15 @@ def test_country_ranking_distributed_path_same_result(spark):
     a = sorted(tuple(r[c] for c in cols) for r in A.country_seller_ranking(df).collect())
     b = sorted(tuple(r[c] for c in cols) for r in A.country_seller_ranking(df, max_group_rows=0).collect())
     assert a == b
+
+
+def test_inequality_join_heavy_value_bucket(spark):
+    # Half of the right side is one value: it gets its own bucket.
+    right = spark.createDataFrame([(j, 5.0) for j in range(200)] + [(1000 + j, float(j % 11)) for j in range(200)], "r long, rv double")
+    left = spark.createDataFrame([(i, float(i % 13)) for i in range(60)], "l long, lv double")
+    rv = {r["r"]: r["rv"] for r in right.collect()}
+    lv = {r["l"]: r["lv"] for r in left.collect()}
+    for op, f in (("<", lambda a, b: b < a), ("<=", lambda a, b: b <= a), (">", lambda a, b: b > a)):
+        brute = {(i, j) for i in lv for j in rv if f(lv[i], rv[j])}
+        got = {(x["l"], x["r"]) for x in inequality_join(left, right, "lv", "rv", op, max_broadcast_rows=0, buckets=8).collect()}
+        assert got == brute, op

@@ -61,6 +61,23 @@ def _bucket_expr(v: Column, cuts: Sequence) -> Column:
     return build(0, len(cuts))
 
 
+def _successor(dtype):
+    """The next representable value above ``v`` for numeric types, else None."""
+    import math
+    from decimal import Decimal
+
+    from pyspark.sql import types as T
+
+    if isinstance(dtype, T.DecimalType):
+        step = Decimal(1).scaleb(-dtype.scale)
+        return lambda v: v + step
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return lambda v: math.nextafter(v, math.inf)
+    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return lambda v: v + 1
+    return None
+
+
 def inequality_join(
     left: DataFrame,
     right: DataFrame,
@@ -82,7 +99,8 @@ def inequality_join(
       row in bucket b pairs with every right row of buckets < b through an
       equi-join on the bucket id (each such pair is an answer), and with its
       own bucket through an equi-join plus the inequality. The work is the
-      output plus one bucket per left row.
+      output plus one bucket per left row. A heavy value (one filling several
+      quantiles) gets a bucket of its own, which a strict comparison skips.
     """
     if op not in ("<", "<=", ">", ">="):
         raise ValueError(f"unsupported operator {op!r}")
@@ -100,7 +118,13 @@ def inequality_join(
     lkey, rkey = F.lit(sign) * lv, F.lit(sign) * rv  # now "rkey < lkey" (or <=)
     probs = [i / buckets for i in range(1, buckets)]
     cuts_row = right.agg(F.percentile_approx(rkey, probs, 10_000).alias("c")).first()
-    cuts = sorted(set(cuts_row["c"] or []))
+    raw = list(cuts_row["c"] or [])
+    # A value that fills more than one quantile is heavy: give it a bucket of
+    # its own, [v, next value), so its many rows never meet a range of others.
+    succ = _successor(right.select(rkey.alias("k")).schema["k"].dataType)
+    heavy = sorted({v for v in raw if raw.count(v) > 1}) if succ else []
+    cuts = sorted(set(raw) | {succ(v) for v in heavy})
+    single = [cuts.index(v) + 1 for v in heavy]
     lb = _bucket_expr(lkey, cuts).alias("_lb")
     rb = _bucket_expr(rkey, cuts).alias("_b")
     lt = left.withColumn("_lb", lb)
@@ -111,7 +135,10 @@ def inequality_join(
     strict = op in ("<", ">")
     same_cond = (rkey < lkey) if strict else (rkey <= lkey)
     part_below = below.join(rt, [*eq, below["_b"] == rt["_b"]], "inner")
-    part_same = lt.join(rt, [*eq, lt["_lb"] == rt["_b"], same_cond], "inner")
+    # Inside a single-value bucket both sides are equal: a strict comparison
+    # never holds there, so those buckets are not joined at all.
+    same_left = lt.where(~F.col("_lb").isin(single)) if strict and single else lt
+    part_same = same_left.join(rt, [*eq, same_left["_lb"] == rt["_b"], same_cond], "inner")
     drop_cols = ["_lb", "_b"]
     a = part_below.drop(below["_b"]).drop(*[rt[k] for k in on]).drop(*drop_cols)
     b = part_same.drop(*[rt[k] for k in on]).drop(*drop_cols)
