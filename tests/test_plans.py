@@ -59,3 +59,17 @@ def test_filters_and_nested_pruning_reach_scan(plans):
 def test_aggregation_is_partial_before_exchange(plans):
     for name in ("country_lead_brand", "category_popularity", "warehouse_state_counts"):
         assert "partial_sum" in plans[name] or "partial_count" in plans[name], name
+
+
+def test_every_window_has_a_partition_key(plans):
+    import re
+
+    node = re.compile(r"\(\d+\) Window\nInput \[\d+\]: \[.*?\]\nArguments: (.*)\n")
+    seen = 0
+    for name, text in plans.items():
+        for args in node.findall(text):
+            # Arguments: [window expressions], [partition keys], [order keys]
+            assert "], [], [" not in args, (name, args)
+            assert "windowspecdefinition(" in args
+            seen += 1
+    assert seen >= 10
