@@ -163,3 +163,34 @@ def test_streaming_ingest(spark, tmp_path):
     q2 = stream_listings_csv(spark, str(src), sink, checkpoint=str(tmp_path / "ckpt"))
     q2.awaitTermination(120)
     assert spark.read.parquet(sink).count() == 2
+
+
+def test_read_documents_in_script_format(spark, tmp_path):
+    from vitrine.sources import read_listing_documents
+
+    # Written the way the reshaping scripts do it: one JSON array, indent=4,
+    # every value a string, one view's subset of fields.
+    docs = [
+        {"id": "p1", "type": "", "name": "Black dress", "brand": {"id": "b1", "name": "Acme"},
+         "season": "Autumn", "condition": "Good", "material": "Wool", "color": "Black", "price_usd": "120.5",
+         "state": {"sold": "True", "reserved": "", "available": "False"},
+         "seller": {"earning": "80.25", "id": "s1", "country": "France"},
+         "shipping": {"buyers_fees": "NaN", "warehouse_name": "Paris"}},
+        {"id": "p2", "type": "Shoes", "name": "Red shoes", "brand": {"id": "b2", "name": "Zed"},
+         "season": "Spring", "condition": "New", "material": "Leather", "color": "Red", "price_usd": "oops",
+         "state": {"sold": "False", "reserved": "True", "available": "True"},
+         "seller": {"earning": "10", "id": "s2", "country": "Spain"},
+         "shipping": {"buyers_fees": "3.5", "warehouse_name": "Madrid"}},
+    ]
+    p = tmp_path / "products.json"
+    with open(p, "w", encoding="utf-8") as f:
+        f.write("[\n" + ",\n".join(json.dumps(d, indent=4) for d in docs) + "\n]")
+    got = {r["id"]: r for r in read_listing_documents(spark, str(p)).collect()}
+    assert set(got) == {"p1", "p2"}
+    a, b = got["p1"], got["p2"]
+    assert a["type"] is None and a["price_usd"] == Decimal("120.5")
+    assert a["state"]["sold"] is True and a["state"]["reserved"] is None and a["state"]["available"] is False
+    assert a["shipping"]["buyers_fees"] is None and a["rejected_fields"] == []
+    assert a["seller"]["username"] is None  # not in this view
+    assert b["price_usd"] is None and b["rejected_fields"] == ["price_usd"]
+    assert b["shipping"]["buyers_fees"] == Decimal("3.5")

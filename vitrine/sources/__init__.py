@@ -5,6 +5,7 @@ from vitrine.sources.ingest import (
     MissingColumnError,
     ingest_listings,
     nest_listing,
+    read_listing_documents,
     read_listings_csv,
     read_listings_json,
     reject_counts,
@@ -26,6 +27,7 @@ __all__ = [
     "listing_view",
     "listings",
     "nest_listing",
+    "read_listing_documents",
     "read_listings_csv",
     "read_listings_json",
     "reject_counts",
