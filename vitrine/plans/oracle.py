@@ -424,6 +424,8 @@ def analysis_sql() -> dict[str, str]:
         "warehouse_cheaper_countries": m4_pairs(),
         "warehouse_nearest_types": m4_nearest(),
         "price_quartile_cuts": m5_cuts(),
+        "country_seller_ranking_distributed": t4(),
+        "price_quartile_cuts_narrowed": m5_cuts(),
         "price_quartile_band_counts": m5_band_counts(),
         "price_quartile_bands": m5_bands(),
     }

@@ -66,7 +66,18 @@ def analysis_queries() -> dict[str, Query]:
     }
 
 
+def scale_path_queries() -> dict[str, Query]:
+    """The same answers through the paths large inputs take: hot-group ranking
+    by global sort and offsets, and quartiles by bracket narrowing. Their
+    bounds are set low so the driver tables reach those paths."""
+    q = _on_listings
+    return {
+        "country_seller_ranking_distributed": q(lambda d: A.country_seller_ranking(d, max_group_rows=0)),
+        "price_quartile_cuts_narrowed": q(lambda d: A.price_quartile_cuts(d, max_sort_rows=2_000)),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     from vitrine.plans.operator_queries import operator_queries
 
-    return {**analysis_queries(), **operator_queries()}
+    return {**analysis_queries(), **scale_path_queries(), **operator_queries()}
