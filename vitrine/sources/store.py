@@ -14,7 +14,9 @@ nothing is written.
 
 from __future__ import annotations
 
+import logging
 import os
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,8 @@ from vitrine.session import checkpoint_root
 from vitrine.sources.driver_tables import listing_view
 
 _WRITTEN: dict[tuple[str, str], str] = {}
+_LOCK = threading.Lock()
+_log = logging.getLogger(__name__)
 
 
 def materialise(df: DataFrame, root: str, name: str) -> str:
@@ -40,10 +44,15 @@ def listings(spark: SparkSession, sf_dir: str, *, stored: bool = True) -> DataFr
     if root is None:
         return listing_view(spark, sf_dir)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _WRITTEN.get(key)
-    if path is None:
-        path = materialise(listing_view(spark, sf_dir), root, "listings")
-        _WRITTEN[key] = path
+    with _LOCK:  # queries started from several threads derive the table once
+        path = _WRITTEN.get(key)
+        if path is None:
+            try:
+                path = materialise(listing_view(spark, sf_dir), root, "listings")
+            except Exception as exc:  # e.g. the shared folder is not writable
+                _log.warning("listing table not stored (%s); using the lazy view", exc)
+                return listing_view(spark, sf_dir)
+            _WRITTEN[key] = path
     return spark.read.parquet(path)
 
 
