@@ -54,13 +54,16 @@ def leave_one_out_in_list(
         total = F.aggregate(rest, F.lit(0.0).cast("double"), lambda acc, x: acc + x["v"].cast("double"))
         return F.when(F.size(rest) > 0, total / F.size(rest).cast("double"))
 
-    ex = gathered.select(*keys, F.explode("_g").alias("_x"), "_g")
+    # Map over the members and add the result inside each one (transform +
+    # withField), then unwind the list back to rows.
+    marked = gathered.select(*keys, F.transform("_g", lambda x: x.withField("loo", others_mean(x["m"]))).alias("_g"))
+    ex = marked.select(*keys, F.explode("_g").alias("_x"))
     return ex.select(
         *keys,
         F.col("_x.m").alias(member),
         F.col("_x.v").alias(value),
         *[F.col(f"_x.{c}").alias(c) for c in carry],
-        others_mean(F.col("_x.m")).alias(name),
+        F.col("_x.loo").alias(name),
     )
 
 
