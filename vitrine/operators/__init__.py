@@ -7,10 +7,10 @@ from vitrine.operators.joins import (
     inequality_join,
     join_on_keys,
     nearest_k,
-    scalar,
+    one_row,
 )
 from vitrine.operators.materialize import can_store, reuse
-from vitrine.operators.order_stats import band_expr, bands, exact_order_stats, quantile_cuts
+from vitrine.operators.order_stats import band_expr, bands, cut_values, exact_order_stats, quantile_cuts
 from vitrine.operators.ranking import (
     argmax_expr,
     argmax_per_group,
@@ -30,6 +30,7 @@ __all__ = [
     "bands",
     "broadcast_if_small",
     "can_store",
+    "cut_values",
     "distributed_rank",
     "exact_order_stats",
     "inequality_join",
@@ -39,11 +40,11 @@ __all__ = [
     "mode_per_group",
     "nearest_k",
     "nest",
+    "one_row",
     "order_columns",
     "quantile_cuts",
     "rank_per_group",
     "reuse",
-    "scalar",
     "sum_excluding",
     "top_k_per_group",
 ]

@@ -1,7 +1,7 @@
 """Joins the reference expresses as lookups: scalar, range, inequality, nearest.
 
-No cross joins. A one-row side (a global aggregate) is attached as a scalar
-subquery, which Spark evaluates once and ships as a literal. A side is
+No cross joins. A one-row side (a global aggregate) runs once and its values
+enter the plan as literals (``one_row``). A side is
 broadcast only after its row count is checked; past the limit a bucketed
 equi-join takes over, so no plan depends on a side staying small.
 """
@@ -29,21 +29,29 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
-def scalar(one_row: DataFrame) -> Column:
-    """Column for a one-row, one-column DataFrame used as an uncorrelated
-    scalar subquery (L4). Spark runs the subquery once per query."""
-    return one_row.scalar()
+def one_row(agg: DataFrame):
+    """The single row of a global aggregate (a few values, never data).
+
+    Used for the reference's scalar lookups (L4, L5, the quartile cut
+    points): the aggregate runs once as its own distributed job and its
+    values enter the main plan as literals. Literals, unlike a scalar
+    subquery referenced several times, are evaluated once and push down
+    into the Parquet scan.
+    """
+    rows = agg.take(2)
+    if len(rows) != 1:
+        raise ValueError(f"expected one row, got {len(rows)}")
+    return rows[0]
 
 
 def above_scalar(df: DataFrame, value: Column, total: Column, count: Column) -> DataFrame:
     """Rows whose ``value`` exceeds the mean of ``value`` over all of ``df``.
 
     The mean is compared exactly, ``value * n > sum``, with ``sum`` and ``n``
-    from one global aggregate attached as a single scalar subquery (L4, F9):
-    one extra scan, run once.
+    from one global aggregate (L4, F9): one extra scan, run once.
     """
-    st = scalar(df.agg(F.struct(total.alias("s"), count.alias("n"))))
-    return df.where(value * st.getField("n") > st.getField("s"))
+    st = one_row(df.agg(total.alias("s"), count.alias("n")))
+    return df.where(value * F.lit(st["n"]) > F.lit(st["s"]))
 
 
 def _bucket_expr(v: Column, cuts: Sequence) -> Column:

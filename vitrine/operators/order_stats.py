@@ -182,16 +182,20 @@ def bands(
 ) -> DataFrame:
     """Every row with a non-null ``value`` and its band.
 
-    Cut points are the exact order statistics at ``fractions``, attached as
-    one scalar subquery (computed once, no join); ``labels`` has one more
-    entry than ``fractions``.
+    Cut points are the exact order statistics at ``fractions``, computed once
+    and applied as literals; ``labels`` has one more entry than
+    ``fractions``.
     """
-    stats = exact_order_stats(df, value, fractions, **kw)
+    if len(labels) != len(fractions) + 1:
+        raise ValueError("need one more label than fractions")
     names = [f"c{i}" for i in range(len(fractions))]
-    row = stats.agg(*[
-        F.max(F.when(F.col("fraction") == F.lit(float(q)), F.col("value"))).alias(nm)
-        for q, nm in zip(fractions, names)
-    ])
-    cuts = row.select(F.struct(*names)).scalar()
+    cut = cut_values(df, value, fractions, names, **kw)
     v = F.col(value)
-    return df.where(v.isNotNull()).withColumn(band_col, band_expr(v, [cuts.getField(nm) for nm in names], labels))
+    return df.where(v.isNotNull()).withColumn(band_col, band_expr(v, [F.lit(cut[n]) for n in names], labels))
+
+
+def cut_values(df: DataFrame, value: str, fractions: Sequence[float], names: Sequence[str], **kw) -> dict:
+    """The exact order statistics as a small dict ``name -> value``: one row
+    computed by the cluster, read once (a few values, not data)."""
+    row = quantile_cuts(df, value, fractions, names, **kw).take(1)
+    return row[0].asDict() if row else {n: None for n in names}

@@ -35,14 +35,15 @@ from vitrine.operators import (
     above_scalar,
     argmax_expr,
     band_expr,
+    cut_values,
     exact_order_stats,
     inequality_join,
     join_on_keys,
     leave_one_out_in_list,
     nearest_k,
     rank_per_group,
+    one_row,
     reuse,
-    scalar,
     top_k_per_group,
 )
 
@@ -138,10 +139,37 @@ def seller_profiles(df: DataFrame) -> DataFrame:
     )
 
 
-def badge_top_sellers(df: DataFrame, k: int = 3) -> DataFrame:
-    """T3 (part 1): per badge, the ``k`` sellers with the most products sold."""
+def seller_badge_cube(df: DataFrame) -> DataFrame:
+    """One scan, aggregated at (seller, listing badge): everything T3 needs.
+
+    Seller profiles and per-badge earnings are both roll-ups of it. It is
+    stored once (``reuse``): column pruning would otherwise give each branch a
+    different aggregate, each rescanning the table. Its size is about one row
+    per seller.
+    """
+    cube = df.groupBy(c("seller.id").alias("seller_id"), c("seller.badge").alias("badge")).agg(
+        F.min("seller.username").alias("seller_username"),
+        F.max("seller.products_sold").alias("products_sold"),
+        F.min("seller.earning").alias("mn"),
+        F.max("seller.earning").alias("mx"),
+        F.sum("seller.earning").alias("s"),
+        F.count("seller.earning").alias("n"),
+        F.count(F.lit(1)).alias("cnt"),
+    )
+    return reuse(cube)
+
+
+def _profiles_from_cube(cube: DataFrame) -> DataFrame:
+    return cube.groupBy("seller_id").agg(
+        F.min("seller_username").alias("seller_username"),
+        F.max("products_sold").alias("products_sold"),
+        F.min("badge").alias("badge"),
+    )
+
+
+def _top_sellers(profiles: DataFrame, k: int) -> DataFrame:
     top = top_k_per_group(
-        seller_profiles(df),
+        profiles,
         ["badge"],
         [("products_sold", "desc"), ("seller_username", "asc"), ("seller_id", "asc")],
         k,
@@ -150,30 +178,47 @@ def badge_top_sellers(df: DataFrame, k: int = 3) -> DataFrame:
     return top.select("badge", "seller_rank", "seller_username", "products_sold")
 
 
-def badge_earnings(df: DataFrame) -> DataFrame:
-    """T3 (part 2): per listing badge, min/max/mean earning and listing count,
-    for the badges that some seller carries."""
-    per_badge = df.groupBy(c("seller.badge").alias("badge")).agg(
-        F.min("seller.earning").alias("mn"),
-        F.max("seller.earning").alias("mx"),
-        F.sum("seller.earning").alias("s"),
-        F.count("seller.earning").alias("n"),
-        F.count(F.lit(1)).alias("count"),
+def _badge_earnings(cube: DataFrame, carried: DataFrame) -> DataFrame:
+    per_badge = cube.groupBy("badge").agg(
+        F.min("mn").alias("mn"),
+        F.max("mx").alias("mx"),
+        F.sum("s").alias("s"),
+        F.sum("n").alias("n"),
+        F.sum("cnt").alias("count"),
     )
-    carried = seller_profiles(df).select("badge").distinct()
     kept = per_badge.join(carried, per_badge["badge"].eqNullSafe(carried["badge"]), "left_semi")
     return kept.select(
         "badge",
         _money(c("mn")).alias("min_earnings"),
         _money(c("mx")).alias("max_earnings"),
         ratio_half_even(c("s"), c("n")).alias("avg_earnings"),
-        "count",
+        c("count").cast("bigint").alias("count"),
     )
 
 
+def badge_top_sellers(df: DataFrame, k: int = 3) -> DataFrame:
+    """T3 (part 1): per badge, the ``k`` sellers with the most products sold."""
+    return _top_sellers(seller_profiles(df), k)
+
+
+def badge_earnings(df: DataFrame) -> DataFrame:
+    """T3 (part 2): per listing badge, min/max/mean earning and listing count,
+    for the badges that some seller carries. One scan (``seller_badge_cube``)."""
+    cube = seller_badge_cube(df)
+    carried = _profiles_from_cube(cube).select("badge").distinct()
+    return _badge_earnings(cube, carried)
+
+
 def badge_report(df: DataFrame, k: int = 3) -> DataFrame:
-    """T3 combined: earnings of each badge next to its top ``k`` sellers."""
-    return join_on_keys(badge_earnings(df), badge_top_sellers(df, k), ["badge"])
+    """T3 combined: earnings of each badge next to its top ``k`` sellers.
+    One scan: both parts are roll-ups of ``seller_badge_cube``; every badge
+    a seller carries has a top seller, so the top list gives the carried set."""
+    cube = seller_badge_cube(df)
+    top = _top_sellers(_profiles_from_cube(cube), k)
+    earnings = _badge_earnings(cube, top.select("badge").distinct())
+    # ``top`` feeds both joins; renaming its key keeps the two sides apart.
+    t = top.withColumnRenamed("badge", "_badge")
+    return earnings.join(t, earnings["badge"].eqNullSafe(t["_badge"])).drop("_badge")
 
 
 # --------------------------------------------------------------------- T4
@@ -443,16 +488,16 @@ def outfit_range_candidates(
     """J5 range join (L5): listings of the color and of the dearest first-kind
     item's material, priced strictly between the two totals.
 
-    The bounds come from a one-row aggregate attached as a scalar subquery;
-    no join of the listing table with anything.
+    The bounds come from a one-row aggregate, run once; as literals they push
+    down into the Parquet scan (price range, color and material), where the
+    clustered row groups let most of the table be skipped. No join.
     """
-    row = _outfit_extremes_row(df, gender, kinds, color)
-    b = scalar(row.select(F.struct(c("lo"), c("hi"), c("dear1.material").alias("mat"))))
+    b = one_row(_outfit_extremes_row(df, gender, kinds, color).select("lo", "hi", c("dear1.material").alias("mat")))
     return df.where(
-        (c("price_usd") > b.getField("lo"))
-        & (c("price_usd") < b.getField("hi"))
+        (c("price_usd") > F.lit(b["lo"]))
+        & (c("price_usd") < F.lit(b["hi"]))
         & (c("color") == color)
-        & (c("material") == b.getField("mat"))
+        & (c("material") == F.lit(b["mat"]).cast("string"))
     ).select(
         c("name").alias("product_name"),
         _money(c("price_usd")).alias("product_price"),
@@ -645,27 +690,39 @@ def price_cut_points(df: DataFrame, **kw) -> DataFrame:
 
 
 def price_quartile_cuts(df: DataFrame, **kw) -> DataFrame:
-    """M5 (cut points): ``n, min_q1, q1_median, median_q3, q3_max, max_price``."""
-    cuts = scalar(price_cut_points(df, **kw).select(F.struct("*")))
+    """M5 (cut points): ``n, min_q1, q1_median, median_q3, q3_max, max_price``.
+
+    Two one-row aggregates (count/min/max, and the cut points) become one row
+    by a union and a max per column: no join, no subquery.
+    """
+    cut_names = list(BAND_LABELS[1:])
     basic = df.where(c("price_usd").isNotNull()).agg(
         F.count(F.lit(1)).alias("n"), F.min("price_usd").alias("mn"), F.max("price_usd").alias("mx")
     )
-    return basic.select(
+    cuts = price_cut_points(df, **kw)
+    typed = {f.name: f.dataType for f in cuts.schema.fields}
+    a = basic.select("n", "mn", "mx", *[F.lit(None).cast(typed[x]).alias(x) for x in cut_names])
+    b = cuts.select(
+        F.lit(None).cast("bigint").alias("n"),
+        F.lit(None).cast(basic.schema["mn"].dataType).alias("mn"),
+        F.lit(None).cast(basic.schema["mx"].dataType).alias("mx"),
+        *cut_names,
+    )
+    one = a.unionByName(b).agg(*[F.max(x).alias(x) for x in ["n", "mn", "mx", *cut_names]])
+    return one.select(
         "n",
         _money(c("mn")).alias("min_q1"),
-        _money(cuts.getField("q1_median")).alias("q1_median"),
-        _money(cuts.getField("median_q3")).alias("median_q3"),
-        _money(cuts.getField("q3_max")).alias("q3_max"),
+        *[_money(c(x)).alias(x) for x in cut_names],
         _money(c("mx")).alias("max_price"),
     )
 
 
 def price_quartile_bands(df: DataFrame, **kw) -> DataFrame:
-    """M5 (bands): every priced listing with its quartile band (whole table)."""
-    cuts = scalar(price_cut_points(df, **kw).select(F.struct("*")))
-    band = band_expr(
-        c("price_usd"), [cuts.getField(n) for n in BAND_LABELS[1:]], BAND_LABELS
-    )
+    """M5 (bands): every priced listing with its quartile band (whole table).
+    The three cut points are computed once and applied as literals."""
+    names = list(BAND_LABELS[1:])
+    cut = cut_values(df, "price_usd", QUARTILES, names, **kw)
+    band = band_expr(c("price_usd"), [F.lit(cut[n]) for n in names], BAND_LABELS)
     return df.where(c("price_usd").isNotNull()).select(
         band.alias("band"), "name", "type", _money(c("price_usd")).alias("price_usd")
     )
