@@ -253,3 +253,25 @@ def test_inequality_join_heavy_value_bucket(spark):
         brute = {(i, j) for i in lv for j in rv if f(lv[i], rv[j])}
         got = {(x["l"], x["r"]) for x in inequality_join(left, right, "lv", "rv", op, max_broadcast_rows=0, buckets=8).collect()}
         assert got == brute, op
+
+
+def test_stored_intermediates_give_same_results(spark):
+    from tests.conftest import SF_SMALL
+    from vitrine.operators.materialize import REUSE_MIN_BYTES_CONF, reuse
+    from vitrine.sources.store import listings
+
+    df = listings(spark, SF_SMALL)
+
+    def rows(frame):
+        return sorted(tuple(r) for r in frame.collect())
+
+    base = {name: rows(fn(df)) for name, fn in [("t3", A.badge_report), ("m4", A.warehouse_nearest_types)]}
+    spark.conf.set(REUSE_MIN_BYTES_CONF, "0")  # store every reused intermediate, as at scale
+    try:
+        cube = A.fee_cube(df, store=True)
+        assert "LogicalRDD" in cube._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(A.badge_report(df)) == base["t3"]
+        assert rows(A.warehouse_nearest_types(df)) == base["m4"]
+    finally:
+        spark.conf.unset(REUSE_MIN_BYTES_CONF)
+    assert reuse(A.fee_cube(df)) is not None

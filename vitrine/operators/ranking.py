@@ -78,7 +78,7 @@ def rank_per_group(
         return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
     from vitrine.operators.materialize import can_store, reuse
 
-    if not can_store(df):
+    if not can_store(df):  # the distributed form needs the shared folder
         return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
     stored = reuse(df)
     biggest = stored.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
@@ -105,7 +105,7 @@ def distributed_rank(df: DataFrame, keys: Sequence[str], order: Order, rank_col:
     from vitrine.operators.materialize import reuse
 
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + order_columns(order)
-    ordered = reuse(df.orderBy(*sort_cols))
+    ordered = reuse(df.orderBy(*sort_cols), force=True)
     tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_idx", F.monotonically_increasing_id())
     firsts = tagged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_idx").alias("_first"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
