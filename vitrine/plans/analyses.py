@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import (
     exact_mean,
-    guarded_ratio,
     match_ci,
     plain_decimal_string,
     ratio_half_even,
