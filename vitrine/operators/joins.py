@@ -34,9 +34,8 @@ def one_row(agg: DataFrame):
 
     Used for the reference's scalar lookups (L4, L5, the quartile cut
     points): the aggregate runs once as its own distributed job and its
-    values enter the main plan as literals. Literals, unlike a scalar
-    subquery referenced several times, are evaluated once and push down
-    into the Parquet scan.
+    values enter the main plan as literals, which (unlike a scalar subquery
+    result) push down into the Parquet scan.
     """
     rows = agg.take(2)
     if len(rows) != 1:
