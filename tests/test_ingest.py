@@ -194,3 +194,26 @@ def test_read_documents_in_script_format(spark, tmp_path):
     assert a["seller"]["username"] is None  # not in this view
     assert b["price_usd"] is None and b["rejected_fields"] == ["price_usd"]
     assert b["shipping"]["buyers_fees"] == Decimal("3.5")
+
+
+def test_streaming_ingest_picks_up_new_files(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    sink, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    _write_csv(src / "1.csv", [_row(product_id="a1")])
+    stream_listings_csv(spark, str(src), sink, checkpoint=ckpt).awaitTermination(120)
+    _write_csv(src / "2.csv", [_row(product_id="b1"), _row(product_id="b2")])
+    stream_listings_csv(spark, str(src), sink, checkpoint=ckpt).awaitTermination(120)
+    assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == ["a1", "b1", "b2"]
+
+
+def test_read_documents_json_lines(spark, tmp_path):
+    from vitrine.sources import read_listing_documents
+
+    p = tmp_path / "docs.jsonl"
+    with open(p, "w", encoding="utf-8") as f:
+        f.write(json.dumps({"id": "x", "price_usd": "5", "seller": {"id": "s", "num_followers": "12"}}) + "\n")
+        f.write(json.dumps({"id": "y", "price_usd": "7.25", "state": {"sold": "1"}}) + "\n")
+    got = {r["id"]: r for r in read_listing_documents(spark, str(p), multiline=False).collect()}
+    assert got["x"]["seller"]["num_followers"] == 12.0 and got["x"]["price_usd"] == Decimal("5")
+    assert got["y"]["state"]["sold"] is True and got["y"]["seller"]["id"] is None

@@ -275,3 +275,16 @@ def test_stored_intermediates_give_same_results(spark):
     finally:
         spark.conf.unset(REUSE_MIN_BYTES_CONF)
     assert reuse(A.fee_cube(df)) is not None
+
+
+def test_inequality_join_with_equality_keys_both_paths(spark):
+    left = spark.createDataFrame([(i, f"g{i % 3}", float(i % 7)) for i in range(40)] + [(99, None, 5.0)], "l long, g string, lv double")
+    right = spark.createDataFrame([(j, f"g{j % 4}", float(j % 6)) for j in range(50)] + [(98, None, 1.0)], "r long, g string, rv double")
+    L = [(r["l"], r["g"], r["lv"]) for r in left.collect()]
+    R = [(r["r"], r["g"], r["rv"]) for r in right.collect()]
+    brute = {(l, r) for l, lg, lv in L for r, rg, rv in R if lg == rg and rv < lv}
+    brute |= {(l, r) for l, lg, lv in L for r, rg, rv in R if lg is None and rg is None and rv < lv}  # null-safe keys
+    for kw in ({}, {"max_broadcast_rows": 0, "buckets": 4}):
+        out = inequality_join(left, right, "lv", "rv", "<", on=["g"], **kw)
+        assert out.columns.count("g") == 1
+        assert {(x["l"], x["r"]) for x in out.collect()} == brute
