@@ -74,3 +74,39 @@ def test_sell_through_counts_bounded_by_rows(spark):
     for r in A.season_sell_through(df).collect():
         assert r["total_sold"] + r["total_not_sold"] <= rows[r["season"]]
         assert r["total_products"] == r["total_sold"] + r["total_not_sold"]
+
+
+FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@FEW
+@given(
+    st.lists(st.one_of(st.none(), st.integers(0, 20)), min_size=1, max_size=40),
+    st.lists(st.one_of(st.none(), st.integers(0, 20)), min_size=1, max_size=60),
+    st.sampled_from(["<", "<=", ">", ">="]),
+    st.integers(2, 9),
+)
+def test_bucketed_inequality_join_matches_brute_force(spark, lvals, rvals, op, buckets):
+    import operator
+
+    from vitrine.operators import inequality_join
+
+    left = spark.createDataFrame(list(enumerate(lvals)), "l long, lv long")
+    right = spark.createDataFrame(list(enumerate(rvals)), "r long, rv long")
+    cmp = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}[op]
+    want = {(i, j) for i, a in enumerate(lvals) for j, b in enumerate(rvals) if a is not None and b is not None and cmp(b, a)}
+    got = inequality_join(left, right, "lv", "rv", op, max_broadcast_rows=0, buckets=buckets).collect()
+    assert {(x["l"], x["r"]) for x in got} == want
+    assert len(got) == len(want)
+
+
+@FEW
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 5)), min_size=1, max_size=120))
+def test_distributed_rank_matches_window(spark, rows):
+    from vitrine.operators import distributed_rank, rank_per_group
+
+    df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(rows)], "g string, v long, id long").repartition(4)
+    order = [("v", "desc"), ("id", "asc")]
+    want = {(r["id"], r["rank"]) for r in rank_per_group(df, ["g"], order, max_group_rows=None).collect()}
+    got = {(r["id"], r["rank"]) for r in distributed_rank(df, ["g"], order).collect()}
+    assert got == want
