@@ -5,10 +5,12 @@ Every function takes the listing table (nested: ``brand.name``,
 DataFrame. Defaults are the reference's own literals; the registry in
 ``__spark_entry__`` passes the values that fit the driver tables.
 
-Plan shape common to all of them: one scan with pruned nested columns and
-pushed filters, a partial (map-side) hash aggregate on the finest grouping the
-analysis needs, then every further step (re-aggregation, windows, joins of
-aggregates) on that small result. No window or collect runs over raw rows.
+Plan shape common to them: a scan with pruned nested columns and pushed
+filters (one per analysis, two where a second pass needs the first's answer),
+a partial (map-side) aggregate on the finest grouping the analysis needs, then
+every further step (re-aggregation, windows, joins of aggregates) on that
+small result. Raw rows meet a window only in bounded sets (a quartile
+bracket) and are never collected.
 
 Determinism: the reference leaves ties to storage order. Here every ordering
 ends in columns that make it total, so results do not depend on partitioning.
@@ -141,10 +143,10 @@ def seller_profiles(df: DataFrame) -> DataFrame:
 def seller_badge_cube(df: DataFrame) -> DataFrame:
     """One scan, aggregated at (seller, listing badge): everything T3 needs.
 
-    Seller profiles and per-badge earnings are both roll-ups of it. It is
-    stored once (``reuse``): column pruning would otherwise give each branch a
-    different aggregate, each rescanning the table. Its size is about one row
-    per seller.
+    Seller profiles and per-badge earnings are both roll-ups of it. When its
+    input is large it is stored once (``reuse``): column pruning would
+    otherwise give each branch a different aggregate, each rescanning the
+    table. Its size is about one row per seller.
     """
     cube = df.groupBy(c("seller.id").alias("seller_id"), c("seller.badge").alias("badge")).agg(
         F.min("seller.username").alias("seller_username"),
@@ -604,8 +606,8 @@ def fee_cube(df: DataFrame, store: bool = False) -> DataFrame:
     """Listings with a fee, counted once at (warehouse, country, type); the
     three grains of M4 are roll-ups of this one aggregate. Its size is
     warehouses x countries x types, independent of the row count. With
-    ``store`` it is written once to the checkpoint folder, so the join's
-    size check and the roll-ups do not each rescan the table."""
+    ``store`` and a large input it is written once to the checkpoint folder,
+    so the join's size check and the roll-ups do not each rescan the table."""
     f = df.where(c("shipping.buyers_fees").isNotNull())
     cube = f.groupBy(
         c("shipping.warehouse_name").alias("warehouse_name"), c("seller.country").alias("country"), "type"
