@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vitrine.session import checkpoint_root
 from vitrine.sources.driver_tables import listing_view
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, str], DataFrame] = {}
 _LOCK = threading.Lock()
 _log = logging.getLogger(__name__)
 
@@ -59,15 +59,18 @@ def listings(spark: SparkSession, sf_dir: str, *, stored: bool = True) -> DataFr
         return listing_view(spark, sf_dir)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _LOCK:  # queries started from several threads derive the table once
-        path = _WRITTEN.get(key)
-        if path is None:
+        table = _WRITTEN.get(key)
+        if table is None:
             try:
                 path = materialise(listing_view(spark, sf_dir), root, "listings", CLUSTER_BY)
             except Exception as exc:  # e.g. the shared folder is not writable
                 _log.warning("listing table not stored (%s); using the lazy view", exc)
                 return listing_view(spark, sf_dir)
-            _WRITTEN[key] = path
-    return spark.read.parquet(path)
+            # One DataFrame per session: the file listing and footer are
+            # read once, not per query.
+            table = spark.read.parquet(path)
+            _WRITTEN[key] = table
+    return table
 
 
 def forget(spark: SparkSession | None = None) -> None:
