@@ -288,3 +288,17 @@ def test_inequality_join_with_equality_keys_both_paths(spark):
         out = inequality_join(left, right, "lv", "rv", "<", on=["g"], **kw)
         assert out.columns.count("g") == 1
         assert {(x["l"], x["r"]) for x in out.collect()} == brute
+
+
+def test_null_condition_is_its_own_group(spark):
+    df = make_listings(spark, [
+        {"condition": None, "type": "T1", "color": "red"},
+        {"condition": None, "type": "T1", "color": "red"},
+        {"condition": None, "type": "T2", "color": "blue"},
+        {"condition": "new", "type": "T1", "color": "blue"},
+    ])
+    rows = sorted(
+        ((r["condition"] or ""), r["product_type"], r["count"], r["color"], r["color_count"])
+        for r in A.top_types_and_colors(df).collect()
+    )
+    assert rows == [("", "T1", 2, "red", 2), ("", "T2", 1, "blue", 1), ("new", "T1", 1, "blue", 1)]
