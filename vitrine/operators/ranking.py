@@ -67,7 +67,8 @@ def rank_per_group(
     distinct numbers (``order`` should make the order total).
 
     A window sorts each whole group in one task. That is fine while groups are
-    small, so the largest group is measured first (on ``df`` stored once, see
+    small: an input Spark estimates below 32 MB gets the window directly;
+    otherwise the largest group is measured first (on ``df`` stored once, see
     ``reuse``) and only when it exceeds ``max_group_rows`` the distributed
     form runs: a global sort splits a hot group over many tasks and ranks are
     rebuilt from per-partition offsets. ``max_group_rows=None`` always uses
@@ -76,10 +77,14 @@ def rank_per_group(
     w = Window.partitionBy(*keys).orderBy(*order_columns(order))
     if max_group_rows is None:
         return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-    from vitrine.operators.materialize import can_store, reuse
+    from vitrine.operators.materialize import REUSE_MIN_BYTES, can_store, estimated_bytes, reuse
 
     if not can_store(df):  # the distributed form needs the shared folder
         return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+    if max_group_rows > 0 and estimated_bytes(df) < REUSE_MIN_BYTES:
+        # Spark's estimate of an aggregate assumes it keeps every input row,
+        # so the whole input, let alone one group, is known to be small.
+        return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
     stored = reuse(df)
     biggest = stored.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if biggest <= max_group_rows:
