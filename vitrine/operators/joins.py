@@ -67,6 +67,22 @@ def _bucket_expr(v: Column, cuts: Sequence) -> Column:
     return build(0, len(cuts))
 
 
+def _under_broadcast_threshold(df: DataFrame) -> bool:
+    """Spark's estimate of ``df`` is within ``autoBroadcastJoinThreshold``.
+
+    The estimate comes from file sizes and, for an aggregate, assumes every
+    input row survives, so for the aggregates joined here it overstates.
+    """
+    from vitrine.operators.materialize import estimated_bytes
+
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit = int(raw)
+    except ValueError:  # e.g. "10MB"
+        return False
+    return 0 < limit and estimated_bytes(df) <= limit
+
+
 def _successor(dtype):
     """The next representable value above ``v`` for numeric types, else None."""
     import math
@@ -99,8 +115,9 @@ def inequality_join(
 
     Nulls never match. ``on`` adds equality keys present on both sides.
 
-    * right side within ``max_broadcast_rows``: broadcast it; the condition is
-      evaluated against each left row in the task that holds it.
+    * right side small (Spark's size estimate within the broadcast threshold,
+      else a row count within ``max_broadcast_rows``): broadcast it; the
+      condition is evaluated against each left row in the task that holds it.
     * otherwise: cut the right values into ``buckets`` quantile ranges. A left
       row in bucket b pairs with every right row of buckets < b through an
       equi-join on the bucket id (each such pair is an answer), and with its
@@ -115,8 +132,11 @@ def inequality_join(
     left = left.where(lv.isNotNull())
     right = right.where(rv.isNotNull())
     eq = [left[k].eqNullSafe(right[k]) for k in on]
-    n_right = right.count()
-    if n_right <= max_broadcast_rows:
+    if max_broadcast_rows > 0 and _under_broadcast_threshold(right):
+        small = True  # Spark's own size check, no job
+    else:
+        small = right.count() <= max_broadcast_rows
+    if small:
         joined = left.join(F.broadcast(right), [*eq, cond] if eq else cond, "inner")
         return joined.drop(*[right[k] for k in on])
 
