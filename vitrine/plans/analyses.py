@@ -693,27 +693,18 @@ def price_cut_points(df: DataFrame, **kw) -> DataFrame:
 def price_quartile_cuts(df: DataFrame, **kw) -> DataFrame:
     """M5 (cut points): ``n, min_q1, q1_median, median_q3, q3_max, max_price``.
 
-    Two one-row aggregates (count/min/max, and the cut points) become one row
-    by a union and a max per column: no join, no subquery.
+    The three exact cut points are computed once and join the count, min and
+    max of one aggregate as literals: no join, no subquery.
     """
-    cut_names = list(BAND_LABELS[1:])
+    names = list(BAND_LABELS[1:])
+    cut = cut_values(df, "price_usd", QUARTILES, names, **kw)
     basic = df.where(c("price_usd").isNotNull()).agg(
         F.count(F.lit(1)).alias("n"), F.min("price_usd").alias("mn"), F.max("price_usd").alias("mx")
     )
-    cuts = price_cut_points(df, **kw)
-    typed = {f.name: f.dataType for f in cuts.schema.fields}
-    a = basic.select("n", "mn", "mx", *[F.lit(None).cast(typed[x]).alias(x) for x in cut_names])
-    b = cuts.select(
-        F.lit(None).cast("bigint").alias("n"),
-        F.lit(None).cast(basic.schema["mn"].dataType).alias("mn"),
-        F.lit(None).cast(basic.schema["mx"].dataType).alias("mx"),
-        *cut_names,
-    )
-    one = a.unionByName(b).agg(*[F.max(x).alias(x) for x in ["n", "mn", "mx", *cut_names]])
-    return one.select(
+    return basic.select(
         "n",
         _money(c("mn")).alias("min_q1"),
-        *[_money(c(x)).alias(x) for x in cut_names],
+        *[_money(F.lit(cut[x])).alias(x) for x in names],
         _money(c("mx")).alias("max_price"),
     )
 
