@@ -107,8 +107,13 @@ def distributed_rank(df: DataFrame, keys: Sequence[str], order: Order, rank_col:
        (partition, key).
     """
     from vitrine.operators.joins import join_on_keys
-    from vitrine.operators.materialize import reuse
+    from vitrine.operators.materialize import can_store, reuse
 
+    if not can_store(df):
+        # Row positions are only stable on a stored copy; without a shared
+        # folder fall back to the (correct, not skew-safe) window.
+        w = Window.partitionBy(*keys).orderBy(*order_columns(order))
+        return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + order_columns(order)
     ordered = reuse(df.orderBy(*sort_cols), force=True)
     tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_idx", F.monotonically_increasing_id())
