@@ -73,3 +73,12 @@ def test_every_window_has_a_partition_key(plans):
             assert "windowspecdefinition(" in args
             seen += 1
     assert seen >= 10
+
+
+def test_one_row_lookups_are_pushed_literals(plans):
+    text = plans["outfit_range_listings"]
+    pushed = text.split("PushedFilters:")[1].splitlines()[0]
+    for f in ("GreaterThan(price_usd,", "LessThan(price_usd,", "EqualTo(color,", "EqualTo(material,"):
+        assert f in pushed, pushed
+    for name in ("outfit_range_listings", "popular_keywords_by_condition", "price_quartile_bands", "price_quartile_cuts"):
+        assert "Subquery" not in plans[name], name
