@@ -8,8 +8,10 @@ the lineage and survives lost executors.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,8 +113,8 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, powers:
     return mix64((prefix[end] - prefix[start]) * down[start])
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
@@ -121,7 +123,7 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end byte of every word of a UTF-8 text."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    gap = _SPACE[data]
+    gap = SPACE[data]
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     if not gap[0]:
         edge = np.concatenate([[0], edge])
@@ -144,3 +146,35 @@ def merge_spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndar
     first = np.concatenate([[True], s[1:] > e[:-1]])
     last = np.concatenate([first[1:], [True]])
     return s[first], e[last]
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Cut batches that are sorted by ``keys`` so that no group is divided.
+    Holds one batch and the group at its end."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        last = np.ones(len(batch), bool)
+        for k in keys:
+            last &= (batch[k] == batch[k].iloc[-1]).to_numpy()
+        cut = int(last.argmax())
+        if cut == 0 and held and all(held[-1][k].iloc[-1] == batch[k].iloc[0] for k in keys):
+            held.append(batch)
+            continue
+        done = pd.concat([*held, batch.iloc[:cut]], ignore_index=True)
+        held = [batch.iloc[cut:]]
+        if len(done):
+            yield done
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def group_starts(*keys: np.ndarray) -> np.ndarray:
+    """Where a new group begins in arrays sorted by all ``keys``."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = False
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)

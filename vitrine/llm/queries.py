@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import mixing
+from vitrine.llm import mixing, simhash
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix": mixing.op1_mix,
+        "op2_simhash": simhash.op2_simhash,
     }
 
 
