@@ -170,6 +170,11 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[p
         yield pd.concat(held, ignore_index=True)
 
 
+def table(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
+    """A batch of plain Python values, where None is null."""
+    return pd.DataFrame(rows, columns=columns, dtype=object)
+
+
 def group_starts(*keys: np.ndarray) -> np.ndarray:
     """Where a new group begins in arrays sorted by all ``keys``."""
     new = np.ones(len(keys[0]), bool)
