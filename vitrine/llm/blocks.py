@@ -18,33 +18,33 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import n_buckets, stored, whole_groups
+from vitrine.llm.common import n_buckets, stored, table, whole_groups
 
 BLOCK_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
-def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, doc_id array, texts array), stored. Ids are read as long."""
+def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
+    """(block, doc_id array, texts array, rests array), stored. Ids are read as
+    long; rests are the columns to ``keep`` as JSON (null if there are none)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = TaskContext.get().partitionId() << 32
-        ids: list = []
-        texts: list = []
+        held: list[tuple] = []
         size = 0
         for b in batches:
-            for i, t in zip(b["doc_id"], b["text"]):
-                ids.append(None if pd.isna(i) else int(i))
-                texts.append(t)
+            for i, t, r in zip(b["doc_id"], b["text"], b["rest"]):
+                held.append((None if i is None else int(i), t, r))
                 size += len(t or "") + 64
                 if size >= block_bytes:
-                    yield pd.DataFrame({"block": [block], "doc_id": [ids], "texts": [texts]})
-                    block, ids, texts, size = block + 1, [], [], 0
-        if ids:
-            yield pd.DataFrame({"block": [block], "doc_id": [ids], "texts": [texts]})
-
-    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")
-    return stored(rows.mapInPandas(run, "block long, doc_id array<long>, texts array<string>"), "blocks")
+                    yield table([(block, *map(list, zip(*held)))], ["block", "doc_id", "texts", "rests"])
+                    block, held, size = block + 1, [], 0
+        if held:
+            yield table([(block, *map(list, zip(*held)))], ["block", "doc_id", "texts", "rests"])
+
+    rest = F.to_json(F.struct(*keep)) if keep else F.lit(None).cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text", rest.alias("rest"))
+    return stored(rows.mapInPandas(run, "block long, doc_id array<long>, texts array<string>, rests array<string>"), "blocks")
 
 
 PACKET = "bucket int, block long, hashes binary, counts binary, marked binary, ids binary, keys binary, rows binary"

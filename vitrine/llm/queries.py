@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import mixing, simhash
+from vitrine.llm import anchors, mixing, simhash, suffixes
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix": mixing.op1_mix,
         "op2_simhash": simhash.op2_simhash,
+        "op5_suffixes": suffixes.op5_suffixes,
+        "op9_anchors": anchors.op9_anchors,
     }
 
 
