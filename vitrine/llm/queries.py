@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import anchors, mixing, simhash, suffixes
+from vitrine.llm import anchors, mixing, simhash, suffixes, warc
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,9 +14,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix": mixing.op1_mix,
         "op2_simhash": simhash.op2_simhash,
         "op5_suffixes": suffixes.op5_suffixes,
+        "op8_warc": warc.op8_warc,
         "op9_anchors": anchors.op9_anchors,
     }
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.OP1_SQL}
+    return {"op1_mix": mixing.OP1_SQL, "op8_warc": warc.OP8_SQL}
