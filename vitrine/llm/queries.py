@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import anchors, mixing, simhash, suffixes, warc
+from vitrine.llm import anchors, covertree, mixing, simhash, suffixes, warc
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix": mixing.op1_mix,
         "op2_simhash": simhash.op2_simhash,
+        "op3_cover_tree": covertree.op3_cover_tree,
         "op5_suffixes": suffixes.op5_suffixes,
         "op8_warc": warc.op8_warc,
         "op9_anchors": anchors.op9_anchors,
@@ -20,4 +21,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.OP1_SQL, "op8_warc": warc.OP8_SQL}
+    return {"op1_mix": mixing.OP1_SQL, "op3_cover_tree": covertree.OP3_SQL, "op8_warc": warc.OP8_SQL}
