@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import anchors, covertree, mixing, simhash, suffixes, warc
+from vitrine.llm import anchors, covertree, mixing, quality, simhash, suffixes, warc
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_simhash": simhash.op2_simhash,
         "op3_cover_tree": covertree.op3_cover_tree,
         "op5_suffixes": suffixes.op5_suffixes,
+        "op7_quality": quality.op7_quality,
         "op8_warc": warc.op8_warc,
         "op9_anchors": anchors.op9_anchors,
     }
