@@ -119,11 +119,11 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
 
-def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end byte of every word of a UTF-8 text."""
+def word_bounds(data: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end byte of every word of a UTF-8 text; ``gaps`` marks the bytes between words."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    gap = SPACE[data]
+    gap = gaps[data]
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     if not gap[0]:
         edge = np.concatenate([[0], edge])

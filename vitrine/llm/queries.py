@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import anchors, covertree, mixing, quality, simhash, suffixes, warc
+from vitrine.llm import anchors, covertree, decontaminate, mixing, quality, simhash, suffixes, warc
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality": quality.op7_quality,
         "op8_warc": warc.op8_warc,
         "op9_anchors": anchors.op9_anchors,
+        "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 
 
