@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import anchors, covertree, decontaminate, mixing, quality, simhash, suffixes, warc
+from vitrine.llm import anchors, brown, covertree, decontaminate, licenses, mixing, quality, simhash, suffixes, warc
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,7 +14,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix": mixing.op1_mix,
         "op2_simhash": simhash.op2_simhash,
         "op3_cover_tree": covertree.op3_cover_tree,
+        "op4_brown": brown.op4_brown,
         "op5_suffixes": suffixes.op5_suffixes,
+        "op6_licenses": licenses.op6_licenses,
         "op7_quality": quality.op7_quality,
         "op8_warc": warc.op8_warc,
         "op9_anchors": anchors.op9_anchors,
@@ -23,4 +25,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.OP1_SQL, "op3_cover_tree": covertree.OP3_SQL, "op8_warc": warc.OP8_SQL}
+    return {
+        "op1_mix": mixing.OP1_SQL,
+        "op3_cover_tree": covertree.OP3_SQL,
+        "op6_licenses": licenses.OP6_SQL,
+        "op8_warc": warc.OP8_SQL,
+    }
