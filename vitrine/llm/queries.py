@@ -10,7 +10,10 @@ from vitrine.llm import anchors, brown, covertree, decontaminate, licenses, mixi
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import corpus_pipeline
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_mix": mixing.op1_mix,
         "op2_simhash": simhash.op2_simhash,
         "op3_cover_tree": covertree.op3_cover_tree,
@@ -25,7 +28,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {
+    import corpus_pipeline
+
+    found = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return found | {
         "op1_mix": mixing.OP1_SQL,
         "op3_cover_tree": covertree.OP3_SQL,
         "op6_licenses": licenses.OP6_SQL,
