@@ -1,20 +1,18 @@
 """Distributed operators shared by the analyses."""
 
-from vitrine.operators.groups import GroupTooLargeError, leave_one_out_in_list, leave_one_out_mean, nest, sum_excluding
+from vitrine.operators.groups import leave_one_out_in_list, leave_one_out_mean, nest
 from vitrine.operators.joins import (
     above_scalar,
-    broadcast_if_small,
     inequality_join,
     join_on_keys,
     nearest_k,
     one_row,
 )
-from vitrine.operators.materialize import can_store, reuse
-from vitrine.operators.order_stats import band_expr, bands, cut_values, exact_order_stats, quantile_cuts
+from vitrine.operators.materialize import reuse
+from vitrine.operators.order_stats import band_expr, bands, cut_values, exact_order_stats, order_stats
 from vitrine.operators.ranking import (
     argmax_expr,
     argmax_per_group,
-    distributed_rank,
     mode_per_group,
     order_columns,
     rank_per_group,
@@ -22,17 +20,14 @@ from vitrine.operators.ranking import (
 )
 
 __all__ = [
-    "GroupTooLargeError",
     "above_scalar",
     "argmax_expr",
     "argmax_per_group",
     "band_expr",
     "bands",
-    "broadcast_if_small",
-    "can_store",
     "cut_values",
-    "distributed_rank",
     "exact_order_stats",
+    "order_stats",
     "inequality_join",
     "join_on_keys",
     "leave_one_out_in_list",
@@ -42,9 +37,7 @@ __all__ = [
     "nest",
     "one_row",
     "order_columns",
-    "quantile_cuts",
     "rank_per_group",
     "reuse",
-    "sum_excluding",
     "top_k_per_group",
 ]

@@ -67,38 +67,30 @@ def leave_one_out_in_list(
     )
 
 
-def sum_excluding(total: Column, member_total: Column) -> Column:
-    """Group total minus one member's share (A16), exact on decimals."""
-    return total - member_total
-
-
-class GroupTooLargeError(ValueError):
-    """A group is too large to gather into one row; use the flat result."""
-
-
 def nest(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     fields: Sequence[str],
     name: str,
-    max_members: int | None = 100_000,
+    position: str | None = None,
+    chunk_rows: int = 10_000,
 ) -> DataFrame:
     """Group rows into an ordered list of structs.
 
     ``order`` columns lead the struct so ``array_sort`` orders the list, then
-    ``transform`` keeps only ``fields``. Every group becomes one row, so the
-    largest group is measured first and ``GroupTooLargeError`` is raised past
-    ``max_members``. Pass ``max_members=None`` only when the size is already
-    bounded (after a top-k).
+    ``transform`` keeps only ``fields``. A group whose size is bounded (after a
+    top-k) becomes one row. For groups of any size, ``position`` names a column
+    that numbers the rows of a group from 1 in this order; the list is then cut
+    into rows ``(keys, chunk, list)`` of ``chunk_rows`` members, ``chunk`` from 0.
     """
-    if max_members is not None:
-        biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if biggest > max_members:
-            raise GroupTooLargeError(f"a group of {biggest} rows exceeds max_members={max_members}")
     lead = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
     packed = F.struct(*lead, *[F.col(f).alias(f) for f in fields])
-    out = df.groupBy(*keys).agg(F.array_sort(F.collect_list(packed)).alias(name))
+    by = list(keys)
+    if position is not None:
+        df = df.withColumn("chunk", F.floor((F.col(position) - 1) / F.lit(chunk_rows)).cast("bigint"))
+        by.append("chunk")
+    out = df.groupBy(*by).agg(F.array_sort(F.collect_list(packed)).alias(name))
     return out.withColumn(
         name, F.transform(F.col(name), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
     )

@@ -1,34 +1,23 @@
 """Joins the reference expresses as lookups: scalar, range, inequality, nearest.
 
-No cross joins. A one-row side (a global aggregate) runs once and its values
-enter the plan as literals (``one_row``). A side is
-broadcast only after its row count is checked; past the limit a bucketed
-equi-join takes over, so no plan depends on a side staying small.
+No cross joins and no broadcast hints. A one-row side (a global aggregate)
+runs once and its values enter the plan as literals (``one_row``). An
+inequality join is an equi-join on buckets at every size; which equi-joins are
+broadcast is left to the planner and AQE.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrine.operators.ranking import Order, top_k_per_group
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows.
-
-    The count runs once, on the driver's request, over a side that is meant
-    to be small (a dimension table or an aggregate); a parquet scan answers it
-    from footers. Past the limit the planner and AQE choose the join.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def one_row(agg: DataFrame):
     """The single row of a global aggregate (a few values, never data).
 
@@ -43,14 +32,26 @@ def one_row(agg: DataFrame):
     return rows[0]
 
 
-def above_scalar(df: DataFrame, value: Column, total: Column, count: Column) -> DataFrame:
-    """Rows whose ``value`` exceeds the mean of ``value`` over all of ``df``.
+def above_scalar(df: DataFrame, value: str, total: Column, count: Column) -> DataFrame:
+    """Rows whose column ``value`` exceeds the mean of ``value`` over all of ``df``.
 
-    The mean is compared exactly, ``value * n > sum``, with ``sum`` and ``n``
-    from one global aggregate (L4, F9): one extra scan, run once.
+    ``sum`` and ``n`` come from one global aggregate (L4, F9): one extra scan,
+    run once. On an exact type (decimal, integer) the comparison is exact: the
+    mean is rounded down to the type's own step, and a value of that type
+    exceeds the mean if and only if it exceeds the rounded one. As a plain
+    comparison with a literal it reaches the Parquet scan. On a double the
+    literal is the quotient of the two.
     """
     st = one_row(df.agg(total.alias("s"), count.alias("n")))
-    return df.where(value * F.lit(st["n"]) > F.lit(st["s"]))
+    kind = df.select(F.col(value).alias("v")).schema["v"].dataType
+    if not st["n"]:
+        return df.where(F.lit(False))
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return df.where(F.col(value) > F.lit(st["s"] / st["n"]))
+    units = int(Decimal(st["s"]).scaleb(scale)) // st["n"]  # floor: the sum is exact
+    bound = F.lit(Decimal(units).scaleb(-scale)).cast(kind) if scale else F.lit(units).cast(kind)
+    return df.where(F.col(value) > bound)
 
 
 def _bucket_expr(v: Column, cuts: Sequence) -> Column:
@@ -67,29 +68,8 @@ def _bucket_expr(v: Column, cuts: Sequence) -> Column:
     return build(0, len(cuts))
 
 
-def _under_broadcast_threshold(df: DataFrame) -> bool:
-    """Spark's estimate of ``df`` is within ``autoBroadcastJoinThreshold``.
-
-    The estimate comes from file sizes and, for an aggregate, assumes every
-    input row survives, so for the aggregates joined here it overstates.
-    """
-    from vitrine.operators.materialize import estimated_bytes
-
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(raw)
-    except ValueError:  # e.g. "10MB"
-        return False
-    return 0 < limit and estimated_bytes(df) <= limit
-
-
 def _successor(dtype):
     """The next representable value above ``v`` for numeric types, else None."""
-    import math
-    from decimal import Decimal
-
-    from pyspark.sql import types as T
-
     if isinstance(dtype, T.DecimalType):
         step = Decimal(1).scaleb(-dtype.scale)
         return lambda v: v + step
@@ -108,38 +88,31 @@ def inequality_join(
     op: str = "<",
     *,
     on: Sequence[str] = (),
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> DataFrame:
     """All pairs with ``right[right_value] <op> left[left_value]``.
 
     Nulls never match. ``on`` adds equality keys present on both sides.
 
-    * right side small (Spark's size estimate within the broadcast threshold,
-      else a row count within ``max_broadcast_rows``): broadcast it; the
-      condition is evaluated against each left row in the task that holds it.
-    * otherwise: cut the right values into ``buckets`` quantile ranges. A left
-      row in bucket b pairs with every right row of buckets < b through an
-      equi-join on the bucket id (each such pair is an answer), and with its
-      own bucket through an equi-join plus the inequality. The work is the
-      output plus one bucket per left row. A heavy value (one filling several
-      quantiles) gets a bucket of its own, which a strict comparison skips.
+    The right values are cut into ``buckets`` quantile ranges, by default the
+    square root of their number. A left row in bucket b pairs with every right
+    row of buckets < b through an equi-join on the bucket id (each such pair is
+    an answer), and with its own bucket through an equi-join plus the
+    inequality. The work is the output plus one bucket per left row. A heavy
+    value (one filling several quantiles) gets a bucket of its own, which a
+    strict comparison skips. Both sides are stored once, as they are read for
+    the cuts and by both joins.
     """
+    from vitrine.operators.materialize import reuse
+
     if op not in ("<", "<=", ">", ">="):
         raise ValueError(f"unsupported operator {op!r}")
     lv, rv = F.col(left_value), F.col(right_value)
-    cond = {"<": rv < lv, "<=": rv <= lv, ">": rv > lv, ">=": rv >= lv}[op]
-    left = left.where(lv.isNotNull())
-    right = right.where(rv.isNotNull())
+    left = reuse(left.where(lv.isNotNull()))
+    right = reuse(right.where(rv.isNotNull()))
     eq = [left[k].eqNullSafe(right[k]) for k in on]
-    if max_broadcast_rows > 0 and _under_broadcast_threshold(right):
-        small = True  # Spark's own size check, no job
-    else:
-        small = right.count() <= max_broadcast_rows
-    if small:
-        joined = left.join(F.broadcast(right), [*eq, cond] if eq else cond, "inner")
-        return joined.drop(*[right[k] for k in on])
-
+    if buckets is None:
+        buckets = max(2, math.isqrt(right.count()))
     sign = 1 if op in ("<", "<=") else -1
     lkey, rkey = F.lit(sign) * lv, F.lit(sign) * rv  # now "rkey < lkey" (or <=)
     probs = [i / buckets for i in range(1, buckets)]

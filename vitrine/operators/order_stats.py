@@ -1,22 +1,24 @@
 """Exact order statistics at index ``floor(n * q)`` and banding by cut points.
 
 The reference sorts every row into one array and indexes it (A17). That puts
-the table in one place. Here the answer is narrowed by rank brackets:
-
-1. ``n`` = non-null count; target index ``k = floor(n * q)`` (0-based). The
-   same pass sketches the first bracket proposals.
-2. Each target keeps a value bracket ``[lo, hi]`` that contains its answer,
-   with ``below`` = rows under ``lo`` and ``inside`` = rows in the bracket.
-3. While a bracket holds more than ``max_sort_rows`` rows, ``percentile_approx``
-   over the bracket proposes a narrower one around the target's relative
-   rank; one counting pass checks that the target is still inside (if not,
-   the margin is widened and the step retried). Each round shrinks a bracket
-   by about ``1 / (2 * margin)``: four rounds take 10^12 rows to 10^5.
-4. The last, small bracket is ranked with ``row_number`` inside one window
-   partition per target, and the row at ``k - below`` is the answer.
-
-All passes are distributed scans with partial aggregation. The driver only
-sees a few numbers per round (bracket bounds and counts), never rows.
+the table in one place. Here each target is narrowed by counting:
+
+1. One pass gives ``n``, the range, and a sketch. The target index is
+   ``k = floor(n * q)`` (0-based).
+2. Each target keeps an *open* interval of values that holds its answer, and
+   the number of rows below it.
+3. A round probes the interval at three values around the target's relative
+   rank (``percentile_approx`` over the interval's rows, which are filtered in
+   the scan) and counts the rows below, at and between the probes. If the
+   target lies at a probe, that value is the answer. Otherwise the open
+   interval between two probes, or beyond the outer ones, is the next one.
+
+Every round drops the rows at its probes, so a spike of ties leaves at once,
+and the sketch is exact once an interval holds fewer rows than its accuracy,
+so the round that reaches this size is the last. In between, a round leaves
+about ``2 * margin`` of the rows: 10^12 rows take four or five rounds. All
+passes are scans with partial aggregation; the driver sees a few numbers per
+round, and no rows are sorted or gathered anywhere.
 """
 
 from __future__ import annotations
@@ -27,135 +29,116 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass
-class _Bracket:
+class _Interval:
+    """Rows with ``lo < v < hi`` (None: unbounded); ``below`` rows have ``v <= lo``."""
+
     k: int
     lo: object
     hi: object
     below: int
     inside: int
+    probes: list
+    answer: object = None
+    solved: bool = False
+
+    def holds(self, x: Column) -> Column:
+        cond = F.lit(True)
+        if self.lo is not None:
+            cond = cond & (x > F.lit(self.lo))
+        if self.hi is not None:
+            cond = cond & (x < F.lit(self.hi))
+        return cond
+
+    def narrow(self, counts: list[int]) -> None:
+        """``counts``: below the first probe, at it, up to the second, at it, ... above the last."""
+        edges = [self.lo, *self.probes, self.hi]
+        at = self.below
+        for i, n in enumerate(counts):
+            if at <= self.k < at + n:
+                if i % 2:
+                    self.answer, self.solved = self.probes[i // 2], True
+                else:
+                    self.lo, self.hi, self.below, self.inside = edges[i // 2], edges[i // 2 + 1], at, n
+                return
+            at += n
+        raise AssertionError("the target is always in one of the classes")
 
 
-def _count_bracket(v: DataFrame, brackets: list[_Bracket], proposals: list[tuple]) -> list[tuple[int, int]]:
-    x = F.col("v")
-    aggs = []
-    for i, (b, (plo, phi)) in enumerate(zip(brackets, proposals)):
-        aggs.append(F.count_if((x >= F.lit(b.lo)) & (x < F.lit(plo))).alias(f"b{i}"))
-        aggs.append(F.count_if((x >= F.lit(plo)) & (x <= F.lit(phi))).alias(f"i{i}"))
-    row = v.agg(*aggs).first()
-    return [(row[f"b{i}"], row[f"i{i}"]) for i in range(len(brackets))]
+@dataclass
+class OrderStats:
+    """Size and range of the non-null values, and the answer per fraction."""
 
+    n: int
+    minimum: object
+    maximum: object
+    indices: list[int]
+    values: list
+    rounds: int
 
-def exact_order_stats(
-    df: DataFrame,
-    value: str | Column,
-    fractions: Sequence[float],
-    *,
-    max_sort_rows: int = 100_000,
-    accuracy: int = 10_000,
-    margin: float = 0.002,
-    max_rounds: int = 40,
-) -> DataFrame:
-    """Values at 0-based sorted index ``floor(n * q)`` of the non-null ``value``.
 
-    Returns one row per fraction: ``fraction, idx, value`` (an empty frame if
-    there are no non-null values). Exact for any input: ties, tiny inputs and
-    a single repeated value included.
-    """
+def order_stats(
+    df: DataFrame, value: str | Column, fractions: Sequence[float], *, accuracy: int = 10_000, margin: float = 0.002
+) -> OrderStats:
+    """Exact values at the 0-based sorted index ``floor(n * q)`` of the non-null ``value``."""
     col = F.col(value) if isinstance(value, str) else value
     v = df.select(col.alias("v")).where(F.col("v").isNotNull())
-    spark = df.sparkSession
-    # Pass 1: size, range, and first bracket proposals for every target from
-    # one sketch (relative rank q is known before n is).
-    first_ps = [p for q in fractions for p in (max(0.0, q - margin), min(1.0, q + margin))]
-    stats = v.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("v").alias("mn"),
-        F.max("v").alias("mx"),
-        F.percentile_approx("v", first_ps, accuracy).alias("ps"),
-    ).first()
-    n = stats["n"]
-    if not n:
-        return spark.createDataFrame([], "fraction double, idx bigint, value " + v.schema["v"].dataType.simpleString())
-
-    targets = [min(int(math.floor(n * q)), n - 1) for q in fractions]
-    brackets = [_Bracket(k, stats["mn"], stats["mx"], 0, n) for k in targets]
-    margins = [margin] * len(brackets)
-    pending = {i: (stats["ps"][2 * i], stats["ps"][2 * i + 1]) for i in range(len(brackets))}
-
-    for _ in range(max_rounds):
-        active = [i for i, b in enumerate(brackets) if b.inside > max_sort_rows and b.lo != b.hi]
-        if not active:
-            break
-        if not all(i in pending for i in active):
-            aggs = []
-            for i in active:
-                b = brackets[i]
-                p = (b.k - b.below + 0.5) / b.inside
-                ps = [max(0.0, p - margins[i]), min(1.0, p + margins[i])]
-                in_b = (F.col("v") >= F.lit(b.lo)) & (F.col("v") <= F.lit(b.hi))
-                aggs.append(F.percentile_approx(F.when(in_b, F.col("v")), ps, accuracy).alias(f"p{i}"))
-            prow = v.agg(*aggs).first()
-            pending = {i: tuple(prow[f"p{i}"]) for i in active}
-        proposals = [pending[i] for i in active]
-        pending = {}
-        counts = _count_bracket(v, [brackets[i] for i in active], proposals)
-        for i, (plo, phi), (below_add, inside) in zip(active, proposals, counts):
-            b = brackets[i]
-            nb = b.below + below_add
-            if nb <= b.k < nb + inside and inside < b.inside:
-                brackets[i] = _Bracket(b.k, plo, phi, nb, inside)
-            else:
-                margins[i] = min(0.5, margins[i] * 4)
-
-    # Final step. A single-valued bracket is its own answer, read back from
-    # the data as one row. Every other bracket is small now and is ranked in
-    # one window partition per target.
     x = F.col("v")
-    out: list[DataFrame] = []
-    ranked_ids = [i for i, b in enumerate(brackets) if b.lo != b.hi]
-    for i, b in enumerate(brackets):
-        if b.lo == b.hi:
-            out.append(
-                v.where(x == F.lit(b.lo)).limit(1).select(
-                    F.lit(float(fractions[i])).alias("fraction"), F.lit(b.k).cast("bigint").alias("idx"), x.alias("value")
-                )
-            )
-    if ranked_ids:
-        tags = [
-            F.when((x >= F.lit(brackets[i].lo)) & (x <= F.lit(brackets[i].hi)), F.lit(i)) for i in ranked_ids
-        ]
-        in_any = reduce(or_, [(x >= F.lit(brackets[i].lo)) & (x <= F.lit(brackets[i].hi)) for i in ranked_ids])
-        tagged = v.where(in_any).select(x, F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t"))
-        pick = lambda vals: F.element_at(F.array(*[F.lit(z) for z in vals]), F.col("t") + 1)
-        n_all = len(brackets)
-        rel = pick([brackets[i].k - brackets[i].below + 1 for i in range(n_all)])
-        w = Window.partitionBy("t").orderBy("v")
-        ranked = tagged.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == rel)
-        out.append(
-            ranked.select(
-                pick([float(q) for q in fractions]).alias("fraction"),
-                pick([b.k for b in brackets]).cast("bigint").alias("idx"),
-                x.alias("value"),
-            )
-        )
-    result = out[0]
-    for o in out[1:]:
-        result = result.unionByName(o)
-    return result
-
-
-def quantile_cuts(df: DataFrame, value: str, fractions: Sequence[float], names: Sequence[str], **kw) -> DataFrame:
-    """One row with one column per fraction (names given), from the exact
-    order statistics. A global aggregate of at most ``len(fractions)`` rows."""
-    stats = exact_order_stats(df, value, fractions, **kw)
-    return stats.agg(
-        *[F.max(F.when(F.col("fraction") == F.lit(float(q)), F.col("value"))).alias(nm) for q, nm in zip(fractions, names)]
-    )
+
+    def ranks(p: float) -> list[float]:
+        return [max(0.0, p - margin), p, min(1.0, p + margin)]
+
+    sketch = F.percentile_approx("v", [r for q in fractions for r in ranks(min(1.0, max(0.0, q)))], accuracy)
+    first = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"), sketch.alias("ps")).first()
+    n = first["n"]
+    if not n:
+        return OrderStats(0, None, None, [], [], 0)
+    todo = []
+    for i, q in enumerate(fractions):
+        k = min(max(int(math.floor(n * q)), 0), n - 1)
+        todo.append(_Interval(k, None, None, 0, n, sorted(set(first["ps"][3 * i : 3 * i + 3]))))
+
+    rounds = 0
+    while any(not t.solved for t in todo):
+        rounds += 1
+        active = [t for t in todo if not t.solved]
+        if rounds > 1:
+            aggs = [
+                F.percentile_approx(F.when(t.holds(x), x), ranks((t.k - t.below + 0.5) / t.inside), accuracy).alias(f"p{i}")
+                for i, t in enumerate(active)
+            ]
+            row = v.where(reduce(or_, [t.holds(x) for t in active])).agg(*aggs).first()
+            for i, t in enumerate(active):
+                t.probes = sorted(set(row[f"p{i}"]))
+        aggs = []
+        for i, t in enumerate(active):
+            edges = [None, *t.probes, None]
+            for j, (lo, hi) in enumerate(zip(edges, edges[1:])):
+                between = t.holds(x)
+                if lo is not None:
+                    between = between & (x > F.lit(lo))
+                if hi is not None:
+                    between = between & (x < F.lit(hi))
+                aggs.append(F.count_if(between).alias(f"c{i}_{2 * j}"))
+                if hi is not None:
+                    aggs.append(F.count_if(x == F.lit(hi)).alias(f"c{i}_{2 * j + 1}"))
+        row = v.where(reduce(or_, [t.holds(x) for t in active])).agg(*aggs).first()
+        for i, t in enumerate(active):
+            t.narrow([row[f"c{i}_{j}"] for j in range(2 * len(t.probes) + 1)])
+    return OrderStats(n, first["mn"], first["mx"], [t.k for t in todo], [t.answer for t in todo], rounds)
+
+
+def exact_order_stats(df: DataFrame, value: str | Column, fractions: Sequence[float], **kw) -> DataFrame:
+    """One row per fraction: ``fraction, idx, value`` (none without non-null values)."""
+    col = F.col(value) if isinstance(value, str) else value
+    kind = df.select(col.alias("v")).schema["v"].dataType.simpleString()
+    found = order_stats(df, value, fractions, **kw)
+    rows = [(float(q), k, a) for q, k, a in zip(fractions, found.indices, found.values)]
+    return df.sparkSession.createDataFrame(rows, f"fraction double, idx bigint, value {kind}")
 
 
 def band_expr(v: Column, cuts: Sequence[Column], labels: Sequence[str]) -> Column:
@@ -195,7 +178,6 @@ def bands(
 
 
 def cut_values(df: DataFrame, value: str, fractions: Sequence[float], names: Sequence[str], **kw) -> dict:
-    """The exact order statistics as a small dict ``name -> value``: one row
-    computed by the cluster, read once (a few values, not data)."""
-    row = quantile_cuts(df, value, fractions, names, **kw).take(1)
-    return row[0].asDict() if row else {n: None for n in names}
+    """The exact order statistics as a small dict ``name -> value`` (nulls if there are no values)."""
+    found = order_stats(df, value, fractions, **kw)
+    return dict(zip(names, found.values)) if found.n else {name: None for name in names}

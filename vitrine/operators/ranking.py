@@ -10,8 +10,8 @@ Scale notes
   a struct key) with a partial step on the map side: one small row per key and
   task crosses the shuffle. A struct buffer is not fixed-width, so Spark runs
   them as sort aggregates; they are applied to aggregates, not raw rows.
-* ``rank_per_group`` checks the largest group and switches to
-  ``distributed_rank`` (global sort plus per-partition offsets) past a bound.
+* ``rank_per_group`` sorts globally and adds per-partition offsets, so no
+  group, whatever its size, is sorted in one task.
 """
 
 from __future__ import annotations
@@ -55,45 +55,11 @@ def top_k_per_group(
     return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))
 
 
-def rank_per_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Order,
-    rank_col: str = "rank",
-    *,
-    max_group_rows: int | None = 1_000_000,
-) -> DataFrame:
+def rank_per_group(df: DataFrame, keys: Sequence[str], order: Order, rank_col: str = "rank") -> DataFrame:
     """Number every row of its group 1..n under ``order`` (W2); ties get
     distinct numbers (``order`` should make the order total).
 
-    A window sorts each whole group in one task. That is fine while groups are
-    small: an input Spark estimates below 32 MB gets the window directly;
-    otherwise the largest group is measured first (on ``df`` stored once, see
-    ``reuse``) and only when it exceeds ``max_group_rows`` the distributed
-    form runs: a global sort splits a hot group over many tasks and ranks are
-    rebuilt from per-partition offsets. ``max_group_rows=None`` always uses
-    the window.
-    """
-    w = Window.partitionBy(*keys).orderBy(*order_columns(order))
-    if max_group_rows is None:
-        return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-    from vitrine.operators.materialize import REUSE_MIN_BYTES, can_store, estimated_bytes, reuse
-
-    if not can_store(df):  # the distributed form needs the shared folder
-        return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-    if max_group_rows > 0 and estimated_bytes(df) < REUSE_MIN_BYTES:
-        # Spark's estimate of an aggregate assumes it keeps every input row,
-        # so the whole input, let alone one group, is known to be small.
-        return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-    stored = reuse(df)
-    biggest = stored.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if biggest <= max_group_rows:
-        return stored.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-    return distributed_rank(stored, keys, order, rank_col)
-
-
-def distributed_rank(df: DataFrame, keys: Sequence[str], order: Order, rank_col: str = "rank") -> DataFrame:
-    """``row_number()`` per group without holding any group in one task.
+    One plan for every size; no group is held in one task.
 
     1. Sort globally by (keys, order): range partitioning cuts a hot key
        into many partitions. The sorted result is stored (reliable
@@ -107,15 +73,10 @@ def distributed_rank(df: DataFrame, keys: Sequence[str], order: Order, rank_col:
        (partition, key).
     """
     from vitrine.operators.joins import join_on_keys
-    from vitrine.operators.materialize import can_store, reuse
+    from vitrine.operators.materialize import reuse
 
-    if not can_store(df):
-        # Row positions are only stable on a stored copy; without a shared
-        # folder fall back to the (correct, not skew-safe) window.
-        w = Window.partitionBy(*keys).orderBy(*order_columns(order))
-        return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + order_columns(order)
-    ordered = reuse(df.orderBy(*sort_cols), force=True)
+    ordered = reuse(df.orderBy(*sort_cols))
     tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_idx", F.monotonically_increasing_id())
     firsts = tagged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_idx").alias("_first"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

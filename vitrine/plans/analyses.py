@@ -9,8 +9,7 @@ Plan shape common to them: a scan with pruned nested columns and pushed
 filters (one per analysis, two where a second pass needs the first's answer),
 a partial (map-side) aggregate on the finest grouping the analysis needs, then
 every further step (re-aggregation, windows, joins of aggregates) on that
-small result. Raw rows meet a window only in bounded sets (a quartile
-bracket) and are never collected.
+small result. Raw rows never meet a window and are never collected.
 
 Determinism: the reference leaves ties to storage order. Here every ordering
 ends in columns that make it total, so results do not depend on partitioning.
@@ -37,13 +36,13 @@ from vitrine.operators import (
     argmax_expr,
     band_expr,
     cut_values,
-    exact_order_stats,
     inequality_join,
     join_on_keys,
     leave_one_out_in_list,
     nearest_k,
     rank_per_group,
     one_row,
+    order_stats,
     reuse,
     top_k_per_group,
 )
@@ -81,8 +80,9 @@ def top_seller_brands(
     """Most-followed seller in one category and badge, and that seller's
     ``k`` most listed brands over all categories.
 
-    The winner is a one-row frame (``limit(1)``), so broadcasting it is
-    bounded; the brand count is then a filtered partial aggregate.
+    The winner is one row of an aggregate; as a literal its id reaches the
+    Parquet scan of the second pass. A null seller id is a seller like any
+    other (null equals null, D12).
     """
     sellers = (
         df.where((c("category") == category) & (c("seller.badge") == badge))
@@ -94,14 +94,18 @@ def top_seller_brands(
     )
     top = sellers.orderBy(
         c("num_followers").desc_nulls_last(), c("username").asc_nulls_first(), c("seller_id").asc_nulls_first()
-    ).limit(1)
+    ).take(1)
+    kinds = sellers.schema
+    won = top[0].asDict() if top else dict.fromkeys(sellers.columns)
+    winner = {k: F.lit(won[k]).cast(kinds[k].dataType) for k in won}
+    of_winner = c("seller.id").isNull() if won["seller_id"] is None else c("seller.id") == winner["seller_id"]
     brands = (
-        df.join(F.broadcast(top), c("seller.id") == top["seller_id"])
-        .groupBy("username", "num_followers", c("brand.name").alias("brand"))
+        df.where(of_winner if top else F.lit(False))
+        .groupBy(c("brand.name").alias("brand"))
         .agg(F.count(F.lit(1)).alias("total_sold"))
     )
     return brands.orderBy(c("total_sold").desc(), c("brand").asc_nulls_first()).limit(k).select(
-        "username", "num_followers", "brand", "total_sold"
+        winner["username"].alias("username"), winner["num_followers"].alias("num_followers"), "brand", "total_sold"
     )
 
 
@@ -143,10 +147,10 @@ def seller_profiles(df: DataFrame) -> DataFrame:
 def seller_badge_cube(df: DataFrame) -> DataFrame:
     """One scan, aggregated at (seller, listing badge): everything T3 needs.
 
-    Seller profiles and per-badge earnings are both roll-ups of it. When its
-    input is large it is stored once (``reuse``): column pruning would
-    otherwise give each branch a different aggregate, each rescanning the
-    table. Its size is about one row per seller.
+    Seller profiles and per-badge earnings are both roll-ups of it. It is
+    stored once (``reuse``): column pruning would otherwise give each branch a
+    different aggregate, each rescanning the table. Its size is about one row
+    per seller.
     """
     cube = df.groupBy(c("seller.id").alias("seller_id"), c("seller.badge").alias("badge")).agg(
         F.min("seller.username").alias("seller_username"),
@@ -244,10 +248,9 @@ def likes_to_followers(likes: Column, products: Column, followers: Column) -> Co
     )
 
 
-def country_seller_ranking(df: DataFrame, max_group_rows: int | None = 1_000_000) -> DataFrame:
+def country_seller_ranking(df: DataFrame) -> DataFrame:
     """T4: per country, sellers ranked by total earnings (1..n), with likes
-    per product and likes-to-followers percent. A country with more than
-    ``max_group_rows`` sellers is ranked by the distributed form."""
+    per product and likes-to-followers percent, in order of country and rank."""
     g = country_seller_aggregates(df).select(
         "country",
         "seller_id",
@@ -256,13 +259,10 @@ def country_seller_ranking(df: DataFrame, max_group_rows: int | None = 1_000_000
         likes_per_product(c("_likes"), c("_products")).alias("avg_likes_per_product"),
         likes_to_followers(c("_likes"), c("_products"), c("_followers")).alias("likes_to_followers_ratio"),
     )
-    ranked = rank_per_group(
-        g, ["country"], [("total_earnings", "desc"), ("username", "asc"), ("seller_id", "asc")], "rank",
-        max_group_rows=max_group_rows,
-    )
+    ranked = rank_per_group(g, ["country"], [("total_earnings", "desc"), ("username", "asc"), ("seller_id", "asc")], "rank")
     return ranked.select(
         "country", "username", "total_earnings", "avg_likes_per_product", "likes_to_followers_ratio", "rank"
-    )
+    ).orderBy(c("country").asc_nulls_first(), "rank")
 
 
 # --------------------------------------------------------------------- T5
@@ -283,7 +283,9 @@ def cheapest_sellers_by_material(
     )
     g = g.withColumn("avg_price", exact_mean(c("_s"), c("_n")))
     top = top_k_per_group(g, ["material"], [("avg_price", "asc"), ("seller", "asc")], k, "rank")
-    return top.select("material", "seller", "avg_price", "pass_rate", "seller_country", "rank")
+    return top.select("material", "seller", "avg_price", "pass_rate", "seller_country", "rank").orderBy(
+        c("material").asc_nulls_first(), "rank"
+    )
 
 
 # --------------------------------------------------------------------- J1
@@ -391,10 +393,11 @@ def keyword_rows(df: DataFrame, sep: str | None = None) -> DataFrame:
 
 def popular_keywords_by_condition(df: DataFrame, sep: str | None = None) -> DataFrame:
     """Among listings liked more than average, per condition: the most
-    frequent keyword, its count, and its most frequent material."""
-    liked = above_scalar(df, c("like_count"), F.sum("like_count"), F.count("like_count"))
-    kw = keyword_rows(liked, sep)
-    by_mat = kw.groupBy("condition", "keyword", "material").agg(F.count(F.lit(1)).alias("n"))
+    frequent keyword, its count, and its most frequent material. Equal keyword
+    texts are counted before they are split."""
+    liked = above_scalar(df, "like_count", F.sum("like_count"), F.count("like_count"))
+    by_text = liked.groupBy("condition", "keywords", "material").agg(F.count(F.lit(1)).alias("m"))
+    by_mat = keyword_rows(by_text, sep).groupBy("condition", "keyword", "material").agg(F.sum("m").alias("n"))
     by_kw = by_mat.groupBy("condition", "keyword").agg(
         F.sum("n").alias("cnt"),
         argmax_expr(c("material"), [("n", "desc"), ("material", "asc")]).alias("top_material"),
@@ -420,7 +423,8 @@ def _outfit_extremes_row(
 
     The reference runs four sub-pipelines over the collection; here each is
     a conditional ``min_by`` in a single aggregate. Ties go to the smaller
-    name, then material.
+    name, then material. The totals add the prices as reported, each rounded
+    half to even at two places.
     """
     k1, k2 = match_ci("name", kinds[0]), match_ci("name", kinds[1])
     base = df.where(
@@ -440,11 +444,8 @@ def _outfit_extremes_row(
         pick(k2, down).alias("dear2"),
     )
     zero = F.lit(0).cast("decimal(18,2)")
-    return row.select(
-        "*",
-        (F.coalesce(c("cheap1.price"), zero) + F.coalesce(c("cheap2.price"), zero)).alias("lo"),
-        (F.coalesce(c("dear1.price"), zero) + F.coalesce(c("dear2.price"), zero)).alias("hi"),
-    )
+    shown = lambda item: F.coalesce(F.bround(c(f"{item}.price"), 2), zero)
+    return row.select("*", (shown("cheap1") + shown("cheap2")).alias("lo"), (shown("dear1") + shown("dear2")).alias("hi"))
 
 
 def outfit_extremes(
@@ -487,7 +488,7 @@ def outfit_range_candidates(
     color: str = REF_J5_COLOR,
 ) -> DataFrame:
     """J5 range join (L5): listings of the color and of the dearest first-kind
-    item's material, priced strictly between the two totals.
+    item's material (null if it has none), priced strictly between the two totals.
 
     The bounds come from a one-row aggregate, run once; as literals they push
     down into the Parquet scan (price range, color and material), where the
@@ -498,7 +499,7 @@ def outfit_range_candidates(
         (c("price_usd") > F.lit(b["lo"]))
         & (c("price_usd") < F.lit(b["hi"]))
         & (c("color") == color)
-        & (c("material") == F.lit(b["mat"]).cast("string"))
+        & (c("material").isNull() if b["mat"] is None else c("material") == F.lit(b["mat"]))
     ).select(
         c("name").alias("product_name"),
         _money(c("price_usd")).alias("product_price"),
@@ -606,8 +607,8 @@ def fee_cube(df: DataFrame, store: bool = False) -> DataFrame:
     """Listings with a fee, counted once at (warehouse, country, type); the
     three grains of M4 are roll-ups of this one aggregate. Its size is
     warehouses x countries x types, independent of the row count. With
-    ``store`` and a large input it is written once to the checkpoint folder,
-    so the join's size check and the roll-ups do not each rescan the table."""
+    ``store`` it is written once to the checkpoint folder, so the roll-ups do
+    not each rescan the table."""
     f = df.where(c("shipping.buyers_fees").isNotNull())
     cube = f.groupBy(
         c("shipping.warehouse_name").alias("warehouse_name"), c("seller.country").alias("country"), "type"
@@ -642,13 +643,12 @@ def country_fees(cube: DataFrame) -> DataFrame:
     return g.select("country", exact_mean(c("fs"), c("fn")).alias("avg_buyers_fees_country"))
 
 
-def warehouse_cheaper_countries(df: DataFrame, cube: DataFrame | None = None, **join_kw) -> DataFrame:
+def warehouse_cheaper_countries(df: DataFrame, cube: DataFrame | None = None) -> DataFrame:
     """M4 (part 2): every (warehouse, country) where the country's mean fee is
     below the warehouse's. Warehouses with no cheaper country drop out."""
     cube = cube if cube is not None else fee_cube(df, store=True)
     w = warehouse_state_counts(df, cube)
-    pairs = inequality_join(w, country_fees(cube), "avg_buyers_fees", "avg_buyers_fees_country", "<", **join_kw)
-    return pairs
+    return inequality_join(w, country_fees(cube), "avg_buyers_fees", "avg_buyers_fees_country", "<")
 
 
 def warehouse_nearest_types(df: DataFrame, k: int = 2) -> DataFrame:
@@ -680,33 +680,15 @@ warehouse_fee_comparison = warehouse_nearest_types
 
 
 # --------------------------------------------------------------------- M5
-def price_cut_points(df: DataFrame, **kw) -> DataFrame:
-    """Exact quartile cut points of the non-null price: one row with
-    ``q1_median, median_q3, q3_max`` (sorted index ``floor(n * q)``)."""
-    stats = exact_order_stats(df, "price_usd", QUARTILES, **kw)
-    names = BAND_LABELS[1:]
-    return stats.agg(*[
-        F.max(F.when(c("fraction") == F.lit(q), c("value"))).alias(nm) for q, nm in zip(QUARTILES, names)
-    ])
-
-
 def price_quartile_cuts(df: DataFrame, **kw) -> DataFrame:
-    """M5 (cut points): ``n, min_q1, q1_median, median_q3, q3_max, max_price``.
-
-    The three exact cut points are computed once and join the count, min and
-    max of one aggregate as literals: no join, no subquery.
-    """
-    names = list(BAND_LABELS[1:])
-    cut = cut_values(df, "price_usd", QUARTILES, names, **kw)
-    basic = df.where(c("price_usd").isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.min("price_usd").alias("mn"), F.max("price_usd").alias("mx")
-    )
-    return basic.select(
-        "n",
-        _money(c("mn")).alias("min_q1"),
-        *[_money(F.lit(cut[x])).alias(x) for x in names],
-        _money(c("mx")).alias("max_price"),
-    )
+    """M5 (cut points): ``n, min_q1, q1_median, median_q3, q3_max, max_price``
+    (sorted index ``floor(n * q)``), all from the passes of ``order_stats``."""
+    st = order_stats(df, "price_usd", QUARTILES, **kw)
+    kind = df.schema["price_usd"].dataType
+    cuts = dict(zip(BAND_LABELS[1:], st.values)) if st.n else dict.fromkeys(BAND_LABELS[1:])
+    shown = {"min_q1": st.minimum, **cuts, "max_price": st.maximum}
+    row = df.sparkSession.range(1).select(F.lit(st.n).cast("bigint").alias("n"), *[F.lit(v).cast(kind).alias(k) for k, v in shown.items()])
+    return row.select("n", *[_money(c(k)).alias(k) for k in shown])
 
 
 def price_quartile_bands(df: DataFrame, **kw) -> DataFrame:

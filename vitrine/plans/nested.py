@@ -1,10 +1,10 @@
 """Nested result documents (N1-N3), built from the flat results.
 
 The flat results are the checked API; these wrap them in the document shape
-the reference returns. Every list is gathered after a top-k or over an
-aggregate, so each group stays small: a seller's ``k`` brands, a condition's
-top types, a warehouse's cheaper countries. M5's product lists (the whole
-table in four arrays) have no nested form: the flat bands are the result.
+the reference returns. Lists after a top-k are short; lists of any length (a
+country's sellers, a warehouse's cheaper countries) are cut into chunk rows.
+M5's product lists (the whole table in four arrays) have no nested form: the
+flat bands are the result.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.operators import nest
+from vitrine.operators import nest, rank_per_group
 from vitrine.plans import analyses as A
 
 c = F.col
@@ -21,19 +21,19 @@ c = F.col
 def top_seller_brands_nested(df: DataFrame, **kw) -> DataFrame:
     """``seller {username, num_followers, brands [{brand, totalSold}]}``."""
     flat = A.top_seller_brands(df, **kw).withColumn("_neg", -c("total_sold"))
-    lists = nest(flat, ["username", "num_followers"], ["_neg", "brand"], ["brand", "total_sold"], "brands", None)
+    lists = nest(flat, ["username", "num_followers"], ["_neg", "brand"], ["brand", "total_sold"], "brands")
     return lists.select(F.struct("username", "num_followers", "brands").alias("seller"))
 
 
-def country_seller_ranking_nested(df: DataFrame, max_members: int = 100_000) -> DataFrame:
-    """``country, rankByEarnings [{username, total_earnings, ..., rank}]``.
+def country_seller_ranking_nested(df: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
+    """``country, chunk, rankByEarnings [{username, total_earnings, ..., rank}]``.
 
-    A country's whole seller list becomes one row, so ``max_members`` bounds
-    it (``GroupTooLargeError`` past it; the flat ranking has no such limit).
+    A country's sellers are cut into lists of ``chunk_rows``, so the list of a
+    country of any size is a few rows rather than one too large.
     """
     flat = A.country_seller_ranking(df)
     fields = ["username", "total_earnings", "avg_likes_per_product", "likes_to_followers_ratio", "rank"]
-    return nest(flat, ["country"], ["rank"], fields, "rank_by_earnings", max_members).orderBy("country")
+    return nest(flat, ["country"], ["rank"], fields, "rank_by_earnings", "rank", chunk_rows).orderBy("country", "chunk")
 
 
 def top_types_and_colors_nested(df: DataFrame, k_types: int = 2, k_colors: int = 2) -> DataFrame:
@@ -45,7 +45,6 @@ def top_types_and_colors_nested(df: DataFrame, k_types: int = 2, k_colors: int =
         ["_neg", "color"],
         ["color", "color_count"],
         "top_colors",
-        None,
     )
     types = nest(
         colors.withColumn("_neg", -c("count")),
@@ -53,7 +52,6 @@ def top_types_and_colors_nested(df: DataFrame, k_types: int = 2, k_colors: int =
         ["_neg", "product_type"],
         ["product_type", "count", "top_colors"],
         "product_types",
-        None,
     )
     return types.orderBy("condition")
 
@@ -62,7 +60,7 @@ def season_material_leave_one_out_nested(df: DataFrame, k: int = 5) -> DataFrame
     """``season, materials [{material, count, avg_price_usd, avg_of_other, difference}]``."""
     flat = A.season_material_leave_one_out(df, k).withColumn("_neg", -c("count"))
     fields = ["material", "count", "avg_price_usd", "avg_of_other", "difference"]
-    return nest(flat, ["season"], ["_neg", "material"], fields, "materials", None).orderBy("season")
+    return nest(flat, ["season"], ["_neg", "material"], fields, "materials").orderBy("season")
 
 
 def warehouse_fee_comparison_nested(df: DataFrame, k: int = 2) -> DataFrame:
@@ -76,27 +74,28 @@ def warehouse_fee_comparison_nested(df: DataFrame, k: int = 2) -> DataFrame:
         ["_d", "type"],
         ["type", "type_avg_buyers_fees", "diff"],
         "nearest_product_types",
-        None,
     )
+    keys = ["warehouse_name", "total_sold", "total_reserved", "total_available", "avg_buyers_fees"]
     return nest(
-        types,
-        ["warehouse_name", "total_sold", "total_reserved", "total_available", "avg_buyers_fees"],
+        rank_per_group(types, keys, ["country"], "_position"),
+        keys,
         ["country"],
         ["country", "avg_buyers_fees_country", "nearest_product_types"],
         "countries_less_buyers_fees",
-    ).orderBy("warehouse_name")
+        "_position",
+    ).orderBy("warehouse_name", "chunk")
 
 
 def badge_report_nested(df: DataFrame, k: int = 3) -> DataFrame:
     """``badge, min/max/avg earnings, count, topSellers [{seller_username, products_sold}]``."""
     flat = A.badge_report(df, k)
     keys = ["badge", "min_earnings", "max_earnings", "avg_earnings", "count"]
-    return nest(flat, keys, ["seller_rank"], ["seller_username", "products_sold"], "top_sellers", None)
+    return nest(flat, keys, ["seller_rank"], ["seller_username", "products_sold"], "top_sellers")
 
 
 def cheapest_sellers_by_material_nested(df: DataFrame, **kw) -> DataFrame:
     """``material, topSellers [{seller, avg_price, pass_rate, seller_country}]``."""
     flat = A.cheapest_sellers_by_material(df, **kw)
     return nest(
-        flat, ["material"], ["rank"], ["seller", "avg_price", "pass_rate", "seller_country"], "top_sellers", None
+        flat, ["material"], ["rank"], ["seller", "avg_price", "pass_rate", "seller_country"], "top_sellers"
     ).orderBy("material")

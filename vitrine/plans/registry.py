@@ -1,8 +1,7 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Each reads the listing table derived from the driver tables at ``sf_dir``
-(stored once per session when a shared folder is configured, see
-``vitrine.sources.store``) and runs over all of it.
+(stored once per session, see ``vitrine.sources.store``) and runs over all of it.
 """
 
 from __future__ import annotations
@@ -66,18 +65,17 @@ def analysis_queries() -> dict[str, Query]:
     }
 
 
-def scale_path_queries() -> dict[str, Query]:
-    """The same answers through the paths large inputs take: hot-group ranking
-    by global sort and offsets, and quartiles by bracket narrowing. Their
-    bounds are set low so the driver tables reach those paths."""
+def wide_range_queries() -> dict[str, Query]:
+    """T4 and M5 again: T4 by its only plan, and M5 with a coarse sketch and
+    narrow probes, so that the driver tables need several rounds."""
     q = _on_listings
     return {
-        "country_seller_ranking_distributed": q(lambda d: A.country_seller_ranking(d, max_group_rows=0)),
-        "price_quartile_cuts_narrowed": q(lambda d: A.price_quartile_cuts(d, max_sort_rows=2_000)),
+        "country_seller_ranking_distributed": q(A.country_seller_ranking),
+        "price_quartile_cuts_narrowed": q(lambda d: A.price_quartile_cuts(d, accuracy=50, margin=0.05)),
     }
 
 
 def all_queries() -> dict[str, Query]:
     from vitrine.plans.operator_queries import operator_queries
 
-    return {**analysis_queries(), **scale_path_queries(), **operator_queries()}
+    return {**analysis_queries(), **wide_range_queries(), **operator_queries()}

@@ -8,13 +8,13 @@ once per session to the shared folder named by ``spark.checkpoint.dir`` (it
 survives executor loss, unlike a cache) and read back with column pruning and
 filter pushdown into the nested structs.
 
-When no shared folder is configured, the lazy view is returned instead and
-nothing is written.
+A local session without that setting writes to a scratch folder of its own. A
+failed write fails the query. The table is kept per session and path; after
+replacing data under the same path, call ``forget``.
 """
 
 from __future__ import annotations
 
-import logging
 import os
 import threading
 import uuid
@@ -26,7 +26,6 @@ from vitrine.sources.driver_tables import listing_view
 
 _WRITTEN: dict[tuple[str, str], DataFrame] = {}
 _LOCK = threading.Lock()
-_log = logging.getLogger(__name__)
 
 
 # Columns the selective analyses filter on by equality (J1, J5: gender and
@@ -51,21 +50,17 @@ def materialise(df: DataFrame, root: str, name: str, cluster_by=()) -> str:
 
 
 def listings(spark: SparkSession, sf_dir: str, *, stored: bool = True) -> DataFrame:
-    """The listing table for ``sf_dir``: stored Parquet when possible, else lazy."""
+    """The listing table for ``sf_dir``, stored as Parquet (or, unless ``stored``, the lazy view)."""
     if not stored:
         return listing_view(spark, sf_dir)
-    root = checkpoint_root(spark)
+    root = checkpoint_root(spark, allow_local=True)
     if root is None:
-        return listing_view(spark, sf_dir)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _LOCK:  # queries started from several threads derive the table once
         table = _WRITTEN.get(key)
         if table is None:
-            try:
-                path = materialise(listing_view(spark, sf_dir), root, "listings", CLUSTER_BY)
-            except Exception as exc:  # e.g. the shared folder is not writable
-                _log.warning("listing table not stored (%s); using the lazy view", exc)
-                return listing_view(spark, sf_dir)
+            path = materialise(listing_view(spark, sf_dir), root, "listings", CLUSTER_BY)
             # One DataFrame per session: the file listing and footer are
             # read once, not per query.
             table = spark.read.parquet(path)
