@@ -13,17 +13,18 @@ meets three already-denormalised sides:
                                                         warehouse)
     lineitem x order_dim x part x supplier_dim
 
-``nation`` and ``region`` are broadcast only after their row counts are
-checked (one job counts both; their join holds at most the product); the
-large joins are left to the planner and AQE, which broadcasts from runtime
-sizes and otherwise sort-merges on the key (splitting skewed keys).
+No join is hinted: the planner and AQE broadcast from file and runtime sizes
+and otherwise sort-merge on the key (splitting skewed keys).
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.sources.schema import LISTING_SCHEMA, MONEY
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -36,7 +37,6 @@ BADGE_EXPERT_MIN = 4000
 BADGE_TRUSTED_MIN = 1500
 
 MONEY2 = "decimal(18,2)"
-DIMENSION_BROADCAST_ROWS = 1_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,25 +51,10 @@ def _gender(flag):
 
 
 def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested listing table over the driver tables. One small job counts the
-    two tiny dimensions; the rest is a lazy plan."""
+    """Nested listing table over the driver tables, a lazy plan."""
     t = lambda n: read_table(spark, sf_dir, n)
     nation = t("nation").select("n_nationkey", "n_name", "n_regionkey")
     region = t("region").select("r_regionkey", "r_name")
-    # One job counts both small dimensions; nation x region bounds their join.
-    sizes = {
-        r["t"]: r["n"]
-        for r in nation.select(F.lit("nation").alias("t"))
-        .unionByName(region.select(F.lit("region").alias("t")))
-        .groupBy("t")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    }
-    n_nation, n_region = sizes.get("nation", 0), sizes.get("region", 0)
-    small = n_nation * max(n_region, 1) <= DIMENSION_BROADCAST_ROWS
-    if small:
-        nation, region = F.broadcast(nation), F.broadcast(region)
-
     supplier_dim = t("supplier").join(
         nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("s_country")),
         "s_nationkey",
@@ -78,7 +63,7 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").alias("c_nationkey"), "r_name"
     )
-    customer_dim = t("customer").join(F.broadcast(geo) if small else geo, "c_nationkey").select(
+    customer_dim = t("customer").join(geo, "c_nationkey").select(
         "c_custkey", "c_mktsegment", "r_name"
     )
     order_dim = t("orders").join(
@@ -94,9 +79,12 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(supplier_dim, li.l_suppkey == supplier_dim.s_suppkey)
     )
 
-    price = F.col("l_extendedprice").cast(MONEY2)
+    # A factor and a rate that give prices and fees more than two decimals.
+    listed = F.col("l_extendedprice").cast(MONEY2)
+    price = (listed * F.lit(Decimal("0.9973"))).cast(MONEY)
+    fee = (F.col("l_tax").cast(MONEY2) * F.lit(Decimal("31.7"))).cast(MONEY)
     acct = F.col("s_acctbal")
-    return j.select(
+    listing = j.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -104,13 +92,14 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
         F.col("p_type").alias("type"),
         F.col("p_name").alias("name"),
+        F.lit(None).cast("string").alias("description"),
         F.col("p_name").alias("keywords"),
         _gender(F.col("l_returnflag")).alias("gender_target"),
         F.col("c_mktsegment").alias("category"),
         F.concat(F.lit("Q"), F.quarter("l_shipdate").cast("string")).alias("season"),
         F.col("o_orderpriority").alias("condition"),
-        F.col("l_quantity").cast(MONEY2).alias("like_count"),
-        F.split_part("p_name", F.lit(" "), F.lit(2)).alias("material"),
+        F.col("l_quantity").cast(MONEY).alias("like_count"),
+        F.when(F.col("l_partkey") % 53 != 0, F.split_part("p_name", F.lit(" "), F.lit(2))).alias("material"),
         F.split_part("p_name", F.lit(" "), F.lit(1)).alias("color"),
         price.alias("price_usd"),
         F.struct(F.col("p_brand").alias("id"), F.col("p_brand").alias("name")).alias("brand"),
@@ -120,23 +109,24 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_linestatus") == "O").alias("available"),
         ).alias("state"),
         F.struct(
-            F.col("l_suppkey").alias("id"),
+            F.when(F.col("l_suppkey") % 31 != 0, F.col("l_suppkey").cast("string")).alias("id"),
             F.col("s_name").alias("username"),
             F.col("s_country").alias("country"),
             price.alias("price"),
-            (price * (F.lit(1) - F.col("l_discount").cast(MONEY2))).cast(MONEY2).alias("earning"),
+            (listed * (F.lit(1) - F.col("l_discount").cast(MONEY2))).cast(MONEY).alias("earning"),
             ((F.col("l_suppkey") * 13) % 100).alias("products_sold"),
             ((F.col("l_suppkey") * 37) % 200).alias("num_products_listed"),
             F.lit(None).cast("double").alias("community_rank"),
-            F.greatest(acct, F.lit(0.0)).cast(MONEY2).alias("num_followers"),
+            F.greatest(acct, F.lit(0.0)).cast(MONEY).alias("num_followers"),
             (F.lit(60) + F.col("l_suppkey") % 41).cast("double").alias("pass_rate"),
-            F.when(acct >= BADGE_EXPERT_MIN, "Expert")
+            F.when(F.col("l_suppkey") % 23 == 0, F.lit(None).cast("string"))
+            .when(acct >= BADGE_EXPERT_MIN, "Expert")
             .when(acct >= BADGE_TRUSTED_MIN, "Trusted")
             .otherwise("Regular")
             .alias("badge"),
         ).alias("seller"),
-        F.struct(
-            F.when(F.col("l_tax") != 0, (F.col("l_tax").cast(MONEY2) * 100).cast(MONEY2)).alias("buyers_fees"),
-            F.col("r_name").alias("warehouse_name"),
-        ).alias("shipping"),
+        F.struct(F.when(F.col("l_tax") != 0, fee).alias("buyers_fees"), F.col("r_name").alias("warehouse_name")).alias("shipping"),
     )
+    # The types of the CSV ingest, field by field, after the source's own keys.
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LISTING_SCHEMA.fields]
+    return listing.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *typed)

@@ -66,7 +66,7 @@ SELLER = T.StructType([
     T.StructField("products_sold", T.LongType()),
     T.StructField("num_products_listed", T.LongType()),
     T.StructField("community_rank", T.DoubleType()),
-    T.StructField("num_followers", T.DoubleType()),
+    T.StructField("num_followers", MONEY),
     T.StructField("pass_rate", T.DoubleType()),
     T.StructField("badge", T.StringType()),
 ])
@@ -85,7 +85,7 @@ LISTING_SCHEMA = T.StructType([
     T.StructField("category", T.StringType()),
     T.StructField("season", T.StringType()),
     T.StructField("condition", T.StringType()),
-    T.StructField("like_count", T.DoubleType()),
+    T.StructField("like_count", MONEY),
     T.StructField("material", T.StringType()),
     T.StructField("color", T.StringType()),
     T.StructField("price_usd", MONEY),

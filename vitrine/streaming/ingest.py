@@ -14,18 +14,24 @@ accepts files that omit optional columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vitrine.session import checkpoint_root
-from vitrine.sources.ingest import ABSENT, nest_listing, type_listings
+from vitrine.sources.ingest import ABSENT, MALFORMED, nest_listing, type_listings
 from vitrine.sources.schema import RAW_SCHEMA
 
 
-def read_listing_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_listing_stream(
+    spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None, *, multiline: bool = False
+) -> DataFrame:
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(MALFORMED, T.StringType(), True)])
     reader = (
-        spark.readStream.schema(RAW_SCHEMA)
+        spark.readStream.schema(schema)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("columnPruning", False)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", ABSENT)
@@ -45,6 +51,7 @@ def stream_listings_csv(
     view: str = "full",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    multiline: bool = False,
 ) -> StreamingQuery:
     """Start the stream. ``available_now`` drains what is there and stops;
     otherwise it keeps polling the folder.
@@ -57,7 +64,7 @@ def stream_listings_csv(
         if root is None:
             raise ValueError("no checkpoint given and spark.checkpoint.dir is unset")
         checkpoint = f"{root}/vitrine/streams/listings"
-    docs = nest_listing(type_listings(read_listing_stream(spark, source_dir, max_files_per_trigger)), view)
+    docs = nest_listing(type_listings(read_listing_stream(spark, source_dir, max_files_per_trigger, multiline=multiline)), view)
     writer = (
         docs.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
