@@ -7,6 +7,8 @@ can be checked alone against DuckDB.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +26,12 @@ from vitrine.operators import (
     top_k_per_group,
 )
 from vitrine.plans import analyses as A
+from vitrine.plans import nested as N
 from vitrine.plans import oracle as O
 from vitrine.plans import params as P
 from vitrine.plans.registry import _on_listings
-from vitrine.sources.ingest import nest_listing, type_listings
+from vitrine.session import checkpoint_root
+from vitrine.sources.ingest import ingest_listings, nest_listing, read_listings_json, type_listings, write_listings_json
 
 c = F.col
 
@@ -71,8 +75,10 @@ def group_conditional_count(df: DataFrame) -> DataFrame:
 
 
 def group_collect_set(df: DataFrame) -> DataFrame:
-    """Distinct brands per seller, as sorted text."""
-    g = df.groupBy(c("seller.id").alias("seller_id")).agg(F.collect_set("brand.name").alias("s"))
+    """Distinct brands per seller, as sorted text. Pairs are made distinct
+    before any set is gathered."""
+    pairs = df.select(c("seller.id").alias("seller_id"), c("brand.name").alias("brand")).distinct()
+    g = pairs.groupBy("seller_id").agg(F.collect_set("brand").alias("s"))
     return g.select(
         "seller_id",
         F.concat_ws(",", F.array_sort("s")).alias("brands"),
@@ -119,7 +125,7 @@ def leave_one_out(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- joins
 def scalar_subquery_filter(df: DataFrame) -> DataFrame:
     """L4: listings liked more than the global mean, counted per condition."""
-    liked = above_scalar(df, c("like_count"), F.sum("like_count"), F.count("like_count"))
+    liked = above_scalar(df, "like_count", F.sum("like_count"), F.count("like_count"))
     return liked.groupBy("condition").agg(F.count(F.lit(1)).alias("liked_listings"))
 
 
@@ -129,15 +135,14 @@ def range_join(df: DataFrame) -> DataFrame:
 
 
 def inequality_join_bucketed(df: DataFrame) -> DataFrame:
-    """L6 through the bucketed path (broadcast disabled): (country, brand)
-    pairs where the brand's mean earning per listing is below the country's."""
+    """(country, brand) pairs where the brand's mean earning per listing is below the country's."""
     countries = df.groupBy(c("seller.country").alias("country")).agg(
         A.exact_mean(F.sum("seller.earning"), F.count("seller.earning")).alias("country_avg")
     )
     brands = df.groupBy(c("brand.name").alias("brand")).agg(
         A.exact_mean(F.sum("seller.earning"), F.count("seller.earning")).alias("brand_avg")
     )
-    return inequality_join(countries, brands, "country_avg", "brand_avg", "<", max_broadcast_rows=0, buckets=8)
+    return inequality_join(countries, brands, "country_avg", "brand_avg", "<", buckets=8)
 
 
 def nearest_join(df: DataFrame) -> DataFrame:
@@ -219,7 +224,20 @@ def round_half_even(df: DataFrame) -> DataFrame:
 def order_statistics(df: DataFrame) -> DataFrame:
     """Exact deciles of the seller earning (sorted index floor(n*q))."""
     fr = [i / 10 for i in range(1, 10)]
-    st = exact_order_stats(df, "seller.earning", fr, max_sort_rows=5_000)
+    st = exact_order_stats(df, "seller.earning", fr)
+    return st.select("fraction", "idx", c("value").cast("double").alias("value"))
+
+
+def order_statistics_few_values(df: DataFrame) -> DataFrame:
+    """A17 on tied values: quartiles of the like count (50 values)."""
+    st = exact_order_stats(df, "like_count", A.QUARTILES, accuracy=20, margin=0.02)
+    return st.select("fraction", "idx", c("value").cast("double").alias("value"))
+
+
+def order_statistics_spike(df: DataFrame) -> DataFrame:
+    """A17 on a column that is distinct below its median and constant above."""
+    spiked = df.select(F.least(c("price_usd"), F.lit(30000).cast("decimal(18,6)")).alias("x"))
+    st = exact_order_stats(spiked, "x", A.QUARTILES, accuracy=50, margin=0.02)
     return st.select("fraction", "idx", c("value").cast("double").alias("value"))
 
 
@@ -253,13 +271,13 @@ def ingest_typed_listings(df: DataFrame) -> DataFrame:
     return nested.select(
         "id",
         c("price_usd").cast("double").alias("price_usd"),
-        "like_count",
+        c("like_count").cast("double").alias("like_count"),
         c("state.sold").alias("sold"),
         c("state.reserved").alias("reserved"),
         c("state.available").alias("available"),
         c("seller.id").alias("seller_id"),
         c("seller.country").alias("seller_country"),
-        c("seller.num_followers").alias("num_followers"),
+        c("seller.num_followers").cast("double").alias("num_followers"),
         c("seller.pass_rate").alias("pass_rate"),
         c("seller.products_sold").alias("products_sold"),
         c("shipping.buyers_fees").cast("double").alias("buyers_fees"),
@@ -268,7 +286,123 @@ def ingest_typed_listings(df: DataFrame) -> DataFrame:
     )
 
 
+def _typed_row(nested: DataFrame, *more) -> DataFrame:
+    return nested.select(
+        "id", c("price_usd").cast("double").alias("price_usd"), c("state.sold").alias("sold"), c("seller.id").alias("seller_id"),
+        c("seller.badge").alias("badge"), "material", c("shipping.buyers_fees").cast("double").alias("buyers_fees"),
+        c("shipping.warehouse_name").alias("warehouse_name"), *more,
+    )
+
+
+def _scratch(df: DataFrame, name: str) -> str:
+    root = checkpoint_root(df.sparkSession, allow_local=True)
+    return f"{root}/vitrine/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ingest_csv_by_header(df: DataFrame) -> DataFrame:
+    """Every listing written as CSV, half of the files with the columns
+    in reverse, some prices unreadable; read back by header and typed."""
+    raw = raw_text(df).withColumn("price_usd", F.when(F.split_part("product_id", F.lit("-"), F.lit(3)).cast("long") % 97 == 0, F.lit("n/a")).otherwise(c("price_usd")))
+    path = _scratch(df, "csv")
+    odd = F.pmod(F.xxhash64("product_id"), F.lit(2)) == 1
+    raw.where(odd).write.option("header", True).option("escape", '"').csv(f"{path}/forward")
+    raw.where(~odd).select(*raw.columns[::-1]).write.option("header", True).option("escape", '"').csv(f"{path}/reverse")
+    nested = ingest_listings(df.sparkSession, f"{path}/*", by_header=True)
+    return _typed_row(nested, F.size("rejected_fields").cast("bigint").alias("rejected"))
+
+
+def ingest_missing_columns(df: DataFrame) -> DataFrame:
+    """The optional columns left out are null."""
+    raw = raw_text(df).drop("sold", "reserved", "available", "product_type")
+    nested = nest_listing(type_listings(raw), "full")
+    return nested.select("id", "type", c("state.sold").alias("sold"), c("state.available").alias("available"), "season")
+
+
+def json_round_trip(df: DataFrame) -> DataFrame:
+    """Typed documents written as JSON Lines and read back."""
+    path = _scratch(df, "json")
+    write_listings_json(nest_listing(type_listings(raw_text(df)), "full").drop("rejected_fields"), path)
+    return _typed_row(read_listings_json(df.sparkSession, path))
+
+
+def _view(name: str):
+    def run(df: DataFrame) -> DataFrame:
+        nested = nest_listing(type_listings(raw_text(df)), name)
+        flat = []
+        for f in nested.schema.fields:
+            if f.dataType.typeName() == "struct":
+                flat += [c(f"{f.name}.{x.name}").cast(_plain(x.dataType)).alias(f"{f.name}_{x.name}") for x in f.dataType.fields]
+            else:
+                flat.append(c(f.name).cast(_plain(f.dataType)).alias(f.name))
+        return nested.select(*flat)
+
+    run.__doc__ = f"S3-S5: the {name} view of every listing, flattened."
+    return run
+
+
+def _plain(kind) -> str:
+    return "double" if kind.typeName() == "decimal" else kind.simpleString()
+
+
+# ---------------------------------------------------------------- nested results
+def seller_brand_lists(df: DataFrame) -> DataFrame:
+    """The winner's brands as one ordered list, unwound with positions."""
+    n = N.top_seller_brands_nested(df, category=P.T1_CATEGORY, badge=P.T1_BADGE)
+    x = n.select(c("seller.username").alias("username"), F.posexplode("seller.brands").alias("pos", "b"))
+    return x.select("username", c("pos").cast("bigint").alias("pos"), c("b.brand").alias("brand"), c("b.total_sold").alias("total_sold"))
+
+
+def country_ranking_lists(df: DataFrame) -> DataFrame:
+    """Each country's sellers as lists of at most two, unwound with positions."""
+    n = N.country_seller_ranking_nested(df, chunk_rows=2)
+    x = n.select("country", "chunk", F.posexplode("rank_by_earnings").alias("pos", "s"))
+    return x.select("country", "chunk", c("pos").cast("bigint").alias("pos"), c("s.username").alias("username"), c("s.rank").alias("rank"))
+
+
+def type_color_lists(df: DataFrame) -> DataFrame:
+    """Conditions with lists of types with lists of colors, unwound with positions."""
+    n = N.top_types_and_colors_nested(df)
+    x = n.select("condition", F.posexplode("product_types").alias("type_pos", "t"))
+    x = x.select("condition", "type_pos", c("t.product_type").alias("product_type"), F.posexplode("t.top_colors").alias("color_pos", "k"))
+    return x.select(
+        "condition", c("type_pos").cast("bigint").alias("type_pos"), "product_type", c("color_pos").cast("bigint").alias("color_pos"),
+        c("k.color").alias("color"), c("k.color_count").alias("color_count"),
+    )
+
+
+def array_access(df: DataFrame) -> DataFrame:
+    """E10, E11, E16-E18 on the words of each name: slice, element (null past
+    the end), distinct, position, and the largest, sum and mean of the lengths."""
+    g = df.groupBy("name").agg(F.count(F.lit(1)).alias("listings"))
+    words = F.split("name", " ")
+    lengths = F.transform(words, lambda w: F.length(w))
+    total = F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
+    return g.select(
+        "name",
+        F.array_join(F.slice(words, 1, 1), " ").alias("first_slice"),
+        F.try_element_at(words, F.lit(2)).alias("second"),
+        F.try_element_at(words, F.lit(9)).alias("ninth"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(words, words))), ",").alias("distinct_words"),
+        F.array_position(words, F.try_element_at(words, F.lit(2))).cast("bigint").alias("position"),
+        F.array_max(lengths).cast("bigint").alias("longest"),
+        total.cast("bigint").alias("letters"),
+        (total.cast("double") / F.size(words).cast("double")).alias("mean_letters"),
+    )
+
+
 _OPS = {
+    "ingest_csv_by_header": ingest_csv_by_header,
+    "ingest_missing_columns": ingest_missing_columns,
+    "json_round_trip": json_round_trip,
+    "view_fulfilment": _view("fulfilment"),
+    "view_catalogue": _view("catalogue"),
+    "view_seller": _view("seller"),
+    "seller_brand_lists": seller_brand_lists,
+    "country_ranking_lists": country_ranking_lists,
+    "type_color_lists": type_color_lists,
+    "array_access": array_access,
+    "order_statistics_few_values": order_statistics_few_values,
+    "order_statistics_spike": order_statistics_spike,
     "filter_or_range": filter_or_range,
     "filter_regex_ci": filter_regex_ci,
     "filter_not_null": filter_not_null,
@@ -299,6 +433,27 @@ def operator_queries() -> dict:
 
 
 # ---------------------------------------------------------------- oracle SQL
+_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+_TYPED = (
+    f"{_ID} AS id, CAST(price_usd AS DOUBLE) AS price_usd, sold, seller_id, badge, material, "
+    "CAST(buyers_fees AS DOUBLE) AS buyers_fees, warehouse_name"
+)
+_VIEW_SQL = {
+    "fulfilment": f"{_ID} AS id, type, name, brand_name AS brand_id, brand_name, season, condition, material, color, "
+    "CAST(price_usd AS DOUBLE) AS price_usd, sold AS state_sold, reserved AS state_reserved, available AS state_available, "
+    "CAST(earning AS DOUBLE) AS seller_earning, seller_id, country AS seller_country, "
+    "CAST(buyers_fees AS DOUBLE) AS shipping_buyers_fees, warehouse_name AS shipping_warehouse_name",
+    "catalogue": f"{_ID} AS id, type, name, CAST(NULL AS VARCHAR) AS description, keywords, gender_target, category, season, condition, "
+    "CAST(like_count AS DOUBLE) AS like_count, material, color, CAST(price_usd AS DOUBLE) AS price_usd, sold AS state_sold, "
+    "reserved AS state_reserved, seller_id, username AS seller_username, CAST(num_followers AS DOUBLE) AS seller_num_followers",
+    "seller": f"{_ID} AS id, brand_name AS brand_id, brand_name, category, condition, CAST(like_count AS DOUBLE) AS like_count, material, "
+    "CAST(price_usd AS DOUBLE) AS price_usd, sold AS state_sold, reserved AS state_reserved, CAST(seller_price AS DOUBLE) AS seller_price, "
+    "CAST(earning AS DOUBLE) AS seller_earning, seller_id, username AS seller_username, country AS seller_country, "
+    "products_sold AS seller_products_sold, num_products_listed AS seller_num_products_listed, CAST(NULL AS DOUBLE) AS seller_community_rank, "
+    "CAST(num_followers AS DOUBLE) AS seller_num_followers, pass_rate AS seller_pass_rate, badge AS seller_badge",
+}
+
+
 def operator_sql() -> dict[str, str]:
     w = O._with
     lit = O._lit
@@ -426,4 +581,43 @@ def operator_sql() -> dict[str, str]:
             "CAST(buyers_fees AS DOUBLE) AS buyers_fees, warehouse_name, CAST(0 AS BIGINT) AS rejected FROM p"
         ),
     }
+    sql["ingest_csv_by_header"] = w() + (
+        f"SELECT {_TYPED.replace('CAST(price_usd AS DOUBLE)', 'CASE WHEN l_partkey % 97 <> 0 THEN CAST(price_usd AS DOUBLE) END')}, "
+        "CAST(l_partkey % 97 = 0 AS BIGINT) AS rejected FROM p"
+    )
+    sql["ingest_missing_columns"] = w() + (
+        f"SELECT {_ID} AS id, CAST(NULL AS VARCHAR) AS type, CAST(NULL AS BOOLEAN) AS sold, CAST(NULL AS BOOLEAN) AS available, season FROM p"
+    )
+    sql["json_round_trip"] = w() + f"SELECT {_TYPED} FROM p"
+    for name, columns in _VIEW_SQL.items():
+        sql[f"view_{name}"] = w() + f"SELECT {columns} FROM p"
+    sql["seller_brand_lists"] = (
+        "SELECT username, row_number() OVER (ORDER BY total_sold DESC, brand ASC NULLS FIRST) - 1 AS pos, brand, total_sold "
+        f"FROM ({O.t1()})"
+    )
+    sql["country_ranking_lists"] = (
+        f"SELECT country, (rank - 1) // 2 AS chunk, (rank - 1) % 2 AS pos, username, rank FROM ({O.t4()})"
+    )
+    sql["type_color_lists"] = (
+        "SELECT condition, dense_rank() OVER (PARTITION BY condition ORDER BY count DESC, product_type ASC NULLS FIRST) - 1 AS type_pos, "
+        "product_type, row_number() OVER (PARTITION BY condition, product_type ORDER BY color_count DESC, color ASC NULLS FIRST) - 1 "
+        f"AS color_pos, color, color_count FROM ({O.m1()})"
+    )
+    sql["array_access"] = w(
+        "g AS (SELECT DISTINCT name, string_split(name, ' ') AS ws FROM p)",
+        "h AS (SELECT *, list_transform(ws, lambda x: length(x)) AS ls FROM g)",
+    ) + (
+        "SELECT name, ws[1] AS first_slice, ws[2] AS second, ws[9] AS ninth, array_to_string(list_sort(list_distinct(ws)), ',') AS distinct_words, "
+        "CAST(list_position(ws, ws[2]) AS BIGINT) AS position, CAST(list_max(ls) AS BIGINT) AS longest, CAST(list_sum(ls) AS BIGINT) AS letters, "
+        "CAST(list_sum(ls) AS DOUBLE) / CAST(len(ws) AS DOUBLE) AS mean_letters FROM h"
+    )
+    for name, column in (("few_values", "like_count"), ("spike", "least(price_usd, 30000)")):
+        sql[f"order_statistics_{name}"] = w(
+            f"v AS (SELECT {column} AS x FROM p)",
+            "rk AS (SELECT x, row_number() OVER (ORDER BY x) - 1 AS idx FROM v WHERE x IS NOT NULL)",
+            "nn AS (SELECT count(x) AS n FROM v)",
+        ) + (
+            "SELECT CAST(q AS DOUBLE) AS fraction, CAST(rk.idx AS BIGINT) AS idx, CAST(rk.x AS DOUBLE) AS value "
+            "FROM (VALUES (0.25), (0.5), (0.75)) f(q), nn, rk WHERE rk.idx = CAST(floor(nn.n * q) AS BIGINT)"
+        )
     return sql

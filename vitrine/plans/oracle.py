@@ -21,25 +21,25 @@ PRODUCTS_CTE = """p AS (
     c.c_mktsegment AS category,
     'Q' || CAST(quarter(l.l_shipdate) AS VARCHAR) AS season,
     o.o_orderpriority AS condition,
-    CAST(l.l_quantity AS DECIMAL(18,2)) AS like_count,
-    split_part(pt.p_name, ' ', 2) AS material,
+    CAST(l.l_quantity AS DECIMAL(18,6)) AS like_count,
+    CASE WHEN l.l_partkey % 53 <> 0 THEN split_part(pt.p_name, ' ', 2) END AS material,
     split_part(pt.p_name, ' ', 1) AS color,
-    CAST(l.l_extendedprice AS DECIMAL(18,2)) AS price_usd,
+    CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.9973 AS DECIMAL(18,6)) AS price_usd,
     pt.p_brand AS brand_name,
     l.l_linestatus = 'F' AS sold,
     l.l_returnflag = 'R' AS reserved,
     l.l_linestatus = 'O' AS available,
-    l.l_suppkey AS seller_id,
+    CASE WHEN l.l_suppkey % 31 <> 0 THEN CAST(l.l_suppkey AS VARCHAR) END AS seller_id,
     s.s_name AS username,
     sn.n_name AS country,
-    CAST(l.l_extendedprice AS DECIMAL(18,2)) AS seller_price,
-    CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l.l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS earning,
+    CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.9973 AS DECIMAL(18,6)) AS seller_price,
+    CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l.l_discount AS DECIMAL(18,2))) AS DECIMAL(18,6)) AS earning,
     (l.l_suppkey * 13) % 100 AS products_sold,
     (l.l_suppkey * 37) % 200 AS num_products_listed,
-    CAST(greatest(s.s_acctbal, 0) AS DECIMAL(18,2)) AS num_followers,
+    CAST(greatest(s.s_acctbal, 0) AS DECIMAL(18,6)) AS num_followers,
     CAST(60 + l.l_suppkey % 41 AS DOUBLE) AS pass_rate,
-    CASE WHEN s.s_acctbal >= 4000 THEN 'Expert' WHEN s.s_acctbal >= 1500 THEN 'Trusted' ELSE 'Regular' END AS badge,
-    CASE WHEN l.l_tax <> 0 THEN CAST(CAST(l.l_tax AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2)) END AS buyers_fees,
+    CASE WHEN l.l_suppkey % 23 = 0 THEN NULL WHEN s.s_acctbal >= 4000 THEN 'Expert' WHEN s.s_acctbal >= 1500 THEN 'Trusted' ELSE 'Regular' END AS badge,
+    CASE WHEN l.l_tax <> 0 THEN CAST(CAST(l.l_tax AS DECIMAL(18,2)) * 31.7 AS DECIMAL(18,6)) END AS buyers_fees,
     r.r_name AS warehouse_name
   FROM lineitem l
   JOIN orders o ON o.o_orderkey = l.l_orderkey
@@ -58,9 +58,9 @@ def _with(*ctes: str) -> str:
 
 def half_even_units(num: str, den: str, scale: int = 2) -> str:
     """SQL: round_half_even(num / den * 10**scale) as an exact HUGEINT.
-    ``num`` has at most two decimal places, ``den`` is an integer."""
-    n = f"CAST(({num}) * {10**scale} AS HUGEINT)"
-    d = f"CAST(({den}) AS HUGEINT)"
+    ``num`` has at most six decimal places, ``den`` is an integer."""
+    n = f"CAST(CAST(({num}) AS DECIMAL(30,6)) * 1000000 AS HUGEINT)"
+    d = f"(CAST(({den}) AS HUGEINT) * {10**(6 - scale)})"
     q = f"(abs({n}) // abs({d}))"
     r = f"(abs({n}) % abs({d}))"
     return (
@@ -73,6 +73,11 @@ def half_even(num: str, den: str, scale: int = 2) -> str:
     return f"(CAST({half_even_units(num, den, scale)} AS DOUBLE) / {float(10**scale)})"
 
 
+def money(x: str) -> str:
+    """SQL: a price as reported, rounded half to even at two places."""
+    return half_even(x, "1")
+
+
 def units_text(q: str) -> str:
     """SQL: non-negative hundredths as the shortest decimal text."""
     return (
@@ -106,7 +111,7 @@ def t1() -> str:
         """top AS (SELECT * FROM s ORDER BY num_followers DESC NULLS LAST, username ASC NULLS FIRST,
       seller_id ASC NULLS FIRST LIMIT 1)""",
     ) + """SELECT t.username, t.num_followers, p.brand_name AS brand, count(*) AS total_sold
-FROM p JOIN top t ON p.seller_id = t.seller_id
+FROM p JOIN top t ON p.seller_id IS NOT DISTINCT FROM t.seller_id
 GROUP BY t.username, t.num_followers, p.brand_name
 ORDER BY total_sold DESC, brand ASC NULLS FIRST LIMIT 5"""
 
@@ -128,7 +133,7 @@ _BADGE_TOP = """bt AS (SELECT badge, CAST(rn AS BIGINT) AS seller_rank, seller_u
       SELECT *, row_number() OVER (PARTITION BY badge ORDER BY products_sold DESC NULLS LAST,
         seller_username ASC NULLS FIRST, seller_id ASC NULLS FIRST) AS rn FROM sp) WHERE rn <= 3)"""
 
-_BADGE_EARN = f"""be AS (SELECT badge, CAST(mn AS DOUBLE) AS min_earnings, CAST(mx AS DOUBLE) AS max_earnings,
+_BADGE_EARN = f"""be AS (SELECT badge, {money('mn')} AS min_earnings, {money('mx')} AS max_earnings,
       {half_even('s', 'n')} AS avg_earnings, cnt AS count FROM (
       SELECT badge, min(earning) AS mn, max(earning) AS mx, sum(earning) AS s, count(earning) AS n, count(*) AS cnt
       FROM p GROUP BY badge) pb
@@ -190,7 +195,7 @@ def j1(max_price=None) -> str:
         """g AS (SELECT season, material, sum(n) AS n, sum(s) AS s, min(mn) AS mn, max(mx) AS mx FROM bc
       GROUP BY season, material)""",
     ) + f"""SELECT g.season || ' - ' || g.material AS season_material, mc.color AS most_common_color,
-  {half_even('g.s', 'g.n')} AS average_price, CAST(g.mn AS DOUBLE) AS min_price, CAST(g.mx AS DOUBLE) AS max_price
+  {half_even('g.s', 'g.n')} AS average_price, {money('g.mn')} AS min_price, {money('g.mx')} AS max_price
 FROM g JOIN mc ON {nse('g', 'mc', ['season', 'material'])} AND mc.rn = 1
 ORDER BY {mean('g.s', 'g.n')} DESC NULLS LAST, g.season ASC NULLS FIRST, g.material ASC NULLS FIRST LIMIT 30"""
 
@@ -257,8 +262,11 @@ def _j5_ctes() -> list[str]:
             f"ORDER BY price_usd {direction}, name ASC NULLS FIRST, material ASC NULLS FIRST LIMIT 1)"
         )
 
-    tot = """tot AS (SELECT coalesce((SELECT price_usd FROM c1), 0) + coalesce((SELECT price_usd FROM c2), 0) AS lo,
-      coalesce((SELECT price_usd FROM d1), 0) + coalesce((SELECT price_usd FROM d2), 0) AS hi)"""
+    def cents(name: str) -> str:
+        return f"coalesce((SELECT {half_even_units('price_usd', '1')} FROM {name}), 0)"
+
+    # In hundredths: the prices as reported, added.
+    tot = f"tot AS (SELECT {cents('c1')} + {cents('c2')} AS lo, {cents('d1')} + {cents('d2')} AS hi)"
     return [base, one("c1", k1, "ASC"), one("c2", k2, "ASC"), one("d1", k1, "DESC"), one("d2", k2, "DESC"), tot]
 
 
@@ -271,7 +279,7 @@ def j5_extremes() -> str:
         m = f"(SELECT material FROM {src})" if mat else "CAST(NULL AS VARCHAR)"
         return (
             f"SELECT {_lit(slot)} AS slot, {_lit(label)} AS type, {col} AS color, (SELECT name FROM {src}) AS product_name, "
-            f"CAST((SELECT price_usd FROM {src}) AS DOUBLE) AS product_price, {m} AS material"
+            f"(SELECT {money('price_usd')} FROM {src}) AS product_price, {m} AS material"
         )
 
     items = " UNION ALL ".join([
@@ -281,7 +289,7 @@ def j5_extremes() -> str:
         item(f"most_expensive_{k2}", l2, "d2", False),
     ])
     return _with(*_j5_ctes()) + (
-        f"SELECT it.*, CAST(tot.lo AS DOUBLE) AS cheapest_total, CAST(tot.hi AS DOUBLE) AS most_expensive_total "
+        "SELECT it.*, CAST(tot.lo AS DOUBLE) / 100.0 AS cheapest_total, CAST(tot.hi AS DOUBLE) / 100.0 AS most_expensive_total "
         f"FROM ({items}) it, tot"
     )
 
@@ -289,10 +297,10 @@ def j5_extremes() -> str:
 def j5_range(limit: int | None = 10) -> str:
     lim = f" ORDER BY product_price ASC, product_name ASC NULLS FIRST, product_gender ASC NULLS FIRST LIMIT {limit}" if limit else ""
     return _with(*_j5_ctes()) + (
-        "SELECT name AS product_name, CAST(price_usd AS DOUBLE) AS product_price, color AS product_color, "
+        f"SELECT name AS product_name, {money('price_usd')} AS product_price, color AS product_color, "
         "gender_target AS product_gender, material AS product_material FROM p "
-        f"WHERE price_usd > (SELECT lo FROM tot) AND price_usd < (SELECT hi FROM tot) AND color = {_lit(P.J5_COLOR)} "
-        f"AND material = (SELECT material FROM d1){lim}"
+        f"WHERE price_usd * 100 > (SELECT lo FROM tot) AND price_usd * 100 < (SELECT hi FROM tot) AND color = {_lit(P.J5_COLOR)} "
+        f"AND material IS NOT DISTINCT FROM (SELECT material FROM d1){lim}"
     )
 
 
@@ -377,16 +385,16 @@ _M5 = [
     """cuts AS (SELECT max(CASE WHEN idx = floor(nn.n * 0.25) THEN price_usd END) AS q1,
       max(CASE WHEN idx = floor(nn.n * 0.5) THEN price_usd END) AS q2,
       max(CASE WHEN idx = floor(nn.n * 0.75) THEN price_usd END) AS q3 FROM rk, nn)""",
-    """bands AS (SELECT CASE WHEN price_usd < q1 THEN 'min_q1' WHEN price_usd < q2 THEN 'q1_median'
+    f"""bands AS (SELECT CASE WHEN price_usd < q1 THEN 'min_q1' WHEN price_usd < q2 THEN 'q1_median'
       WHEN price_usd < q3 THEN 'median_q3' ELSE 'q3_max' END AS band, name, type,
-      CAST(price_usd AS DOUBLE) AS price_usd FROM v, cuts)""",
+      {money('price_usd')} AS price_usd FROM v, cuts)""",
 ]
 
 
 def m5_cuts() -> str:
     return _with(*_M5) + (
-        "SELECT nn.n, CAST(nn.mn AS DOUBLE) AS min_q1, CAST(q1 AS DOUBLE) AS q1_median, "
-        "CAST(q2 AS DOUBLE) AS median_q3, CAST(q3 AS DOUBLE) AS q3_max, CAST(nn.mx AS DOUBLE) AS max_price FROM nn, cuts"
+        f"SELECT nn.n, {money('nn.mn')} AS min_q1, {money('q1')} AS q1_median, "
+        f"{money('q2')} AS median_q3, {money('q3')} AS q3_max, {money('nn.mx')} AS max_price FROM nn, cuts"
     )
 
 
