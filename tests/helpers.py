@@ -28,14 +28,14 @@ def listing(**kw) -> tuple:
     r = {**_DEFAULT, **kw}
     return (
         r["id"], r["type"], r["name"], r["description"], r["keywords"], r["gender_target"], r["category"],
-        r["season"], r["condition"], None if r["like_count"] is None else float(r["like_count"]),
+        r["season"], r["condition"], _dec(r["like_count"]),
         r["material"], r["color"], _dec(r["price_usd"]),
         (r["brand"], r["brand"]),
         (r["sold"], r["reserved"], r["available"]),
         (
             r["seller_id"], r["username"], r["country"], _dec(r["seller_price"]), _dec(r["earning"]),
             r["products_sold"], r["num_products_listed"], r["community_rank"],
-            None if r["num_followers"] is None else float(r["num_followers"]),
+            _dec(r["num_followers"]),
             None if r["pass_rate"] is None else float(r["pass_rate"]), r["badge"],
         ),
         (_dec(r["buyers_fees"]), r["warehouse_name"]),

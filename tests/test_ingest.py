@@ -55,7 +55,7 @@ def _write_csv(path, rows, header=HEADER, quoting=csv.QUOTE_MINIMAL):
 def test_multiline_and_doubled_quote(spark, tmp_path):
     p = tmp_path / "a.csv"
     _write_csv(p, [_row(product_description='line one\nline "two"'), _row(product_id="p2")])
-    df = read_listings_csv(spark, str(p))
+    df = read_listings_csv(spark, str(p), multiline=True)
     rows = df.orderBy("product_id").collect()
     assert len(rows) == 2
     assert rows[0]["product_description"] == 'line one\nline "two"'
@@ -114,6 +114,49 @@ def test_missing_required_column_raises(spark, tmp_path):
         ingest_listings(spark, str(p))
 
 
+def test_files_with_other_column_orders(spark, tmp_path):
+    _write_csv(tmp_path / "a.csv", [_row(product_id="a", warehouse_name="Paris")])
+    _write_csv(tmp_path / "b.csv", [_row(product_id="b", warehouse_name="Rome", product_description="x, \"y\"")], HEADER[::-1])
+    few = [c for c in HEADER if c not in ("sold", "available")]
+    _write_csv(tmp_path / "c.csv", [_row(product_id="c")], few)
+    docs = {r["id"]: r for r in ingest_listings(spark, f"{tmp_path}/*.csv", by_header=True).collect()}
+    assert {k: (r["shipping"]["warehouse_name"], r["state"]["sold"]) for k, r in docs.items()} == {"a": ("Paris", True), "b": ("Rome", True), "c": ("Paris", None)}
+    assert docs["b"]["description"] == 'x, "y"' and docs["b"]["rejected_fields"] == []
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest_listings(spark, f"{tmp_path}/[ab].csv").collect()
+    with pytest.raises(MissingColumnError):
+        ingest_listings(spark, f"{tmp_path}/none*.csv", by_header=True) if (tmp_path / "none.csv").write_text("x\n") else None
+
+
+def test_short_and_long_rows_are_rejects(spark, tmp_path):
+    p = tmp_path / "m.csv"
+    _write_csv(p, [_row(product_id="ok"), _row(product_id="bad", price_usd="abc")])
+    with open(p, "a") as f:
+        f.write("short,T,N\n")
+        f.write(",".join(["long"] + ["1"] * (len(HEADER) + 2)) + "\n")
+    typed = type_listings(read_listings_csv(spark, str(p)))
+    by_id = {r["product_id"]: r["rejected_fields"] for r in typed.collect()}
+    assert by_id["ok"] == [] and by_id["bad"] == ["price_usd"]
+    assert "malformed_row" in by_id["short"] and "malformed_row" in by_id["long"]
+    # Also when a query needs few columns.
+    assert rejected_row_count(typed).first()["rejected_rows"] == 3
+    counts = {r["field"]: r["count"] for r in reject_counts(typed).collect()}
+    assert counts["malformed_row"] == 2
+
+
+def test_one_file_is_split(spark, tmp_path):
+    p = tmp_path / "big.csv"
+    _write_csv(p, [_row(product_id=f"p{i}") for i in range(4000)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        docs = ingest_listings(spark, str(p))
+        assert docs.rdd.getNumPartitions() > 4
+        assert docs.select("id").distinct().count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_views_keep_their_projection(spark, tmp_path):
     p = tmp_path / "e.csv"
     _write_csv(p, [_row()])
@@ -185,7 +228,7 @@ def test_read_documents_in_script_format(spark, tmp_path):
     p = tmp_path / "products.json"
     with open(p, "w", encoding="utf-8") as f:
         f.write("[\n" + ",\n".join(json.dumps(d, indent=4) for d in docs) + "\n]")
-    got = {r["id"]: r for r in read_listing_documents(spark, str(p)).collect()}
+    got = {r["id"]: r for r in read_listing_documents(spark, str(p), multiline=True).collect()}
     assert set(got) == {"p1", "p2"}
     a, b = got["p1"], got["p2"]
     assert a["type"] is None and a["price_usd"] == Decimal("120.5")

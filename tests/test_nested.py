@@ -48,14 +48,12 @@ def test_other_nested_forms_cover_flat_rows(spark):
     assert all(1 <= len(r["top_sellers"]) <= 3 for r in cheap)
 
 
-def test_nest_refuses_a_group_past_the_bound(spark):
-    import pytest
-
-    from vitrine.operators import GroupTooLargeError
-
-    df = listings(spark, SF_SMALL)
-    with pytest.raises(GroupTooLargeError):
-        N.country_seller_ranking_nested(df, max_members=0)
+def test_long_ranking_is_cut_into_chunks(spark):
+    df = listings(spark, "/root/testdata/sf0.01")
+    whole = {(r["country"], x["username"], x["rank"]) for r in N.country_seller_ranking_nested(df).collect() for x in r["rank_by_earnings"]}
+    chunks = N.country_seller_ranking_nested(df, chunk_rows=2).collect()
+    assert max(len(r["rank_by_earnings"]) for r in chunks) == 2
+    assert {(r["country"], x["username"], x["rank"]) for r in chunks for x in r["rank_by_earnings"]} == whole
 
 
 def test_bands_dataframe_form(spark):

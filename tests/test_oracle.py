@@ -7,13 +7,17 @@ import pytest
 import __spark_entry__ as entry_mod
 from tests.conftest import SF_SMALL
 from vitrine.plans.check import compare
+from vitrine.plans.operator_queries import operator_sql
+from vitrine.plans.oracle import analysis_sql
+from vitrine.plans.registry import all_queries
 
-QUERIES = entry_mod.queries()
-SQL = entry_mod.oracle_sql()
+QUERIES = all_queries()
+SQL = {**analysis_sql(), **operator_sql()}
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(SQL) <= set(entry_mod.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -34,7 +34,7 @@ def test_half_even_matches_decimal(spark, pairs):
 )
 def test_order_stats_match_sorting(spark, values, qs):
     df = spark.createDataFrame([(v,) for v in values], "x long")
-    got = {r["fraction"]: r["value"] for r in exact_order_stats(df, "x", qs, max_sort_rows=8).collect()}
+    got = {r["fraction"]: r["value"] for r in exact_order_stats(df, "x", qs, accuracy=4, margin=0.1).collect()}
     s = sorted(values)
     assert got == {q: s[int(len(s) * q)] for q in qs}
 
@@ -95,18 +95,19 @@ def test_bucketed_inequality_join_matches_brute_force(spark, lvals, rvals, op, b
     right = spark.createDataFrame(list(enumerate(rvals)), "r long, rv long")
     cmp = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}[op]
     want = {(i, j) for i, a in enumerate(lvals) for j, b in enumerate(rvals) if a is not None and b is not None and cmp(b, a)}
-    got = inequality_join(left, right, "lv", "rv", op, max_broadcast_rows=0, buckets=buckets).collect()
+    got = inequality_join(left, right, "lv", "rv", op, buckets=buckets).collect()
     assert {(x["l"], x["r"]) for x in got} == want
     assert len(got) == len(want)
 
 
 @FEW
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 5)), min_size=1, max_size=120))
-def test_distributed_rank_matches_window(spark, rows):
-    from vitrine.operators import distributed_rank, rank_per_group
+def test_rank_matches_window(spark, rows):
+    from tests.test_operators import window_rank
+    from vitrine.operators import rank_per_group
 
     df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(rows)], "g string, v long, id long").repartition(4)
     order = [("v", "desc"), ("id", "asc")]
-    want = {(r["id"], r["rank"]) for r in rank_per_group(df, ["g"], order, max_group_rows=None).collect()}
-    got = {(r["id"], r["rank"]) for r in distributed_rank(df, ["g"], order).collect()}
+    want = {(r["id"], r["rank"]) for r in window_rank(df, ["g"], order).collect()}
+    got = {(r["id"], r["rank"]) for r in rank_per_group(df, ["g"], order).collect()}
     assert got == want
