@@ -52,9 +52,12 @@ def _tokens(text: Column) -> Column:
 
 
 def sentences(files: DataFrame) -> DataFrame:
-    """path and sentence for every sentence that speaks of a licence."""
-    cue = files.filter(ascii_lower(F.col("text")).rlike(CUES)).select("path", F.explode(F.split("text", _SENTENCE)).alias("sentence"))
-    return cue.filter(ascii_lower(F.col("sentence")).rlike(CUES))
+    """path, sentence and length for every sentence that speaks of a licence;
+    the lengths of a file's rows add up to its number of words."""
+    cue = files.filter(ascii_lower(F.col("text")).rlike(CUES))
+    spoken = F.filter(F.split("text", _SENTENCE), lambda s: ascii_lower(s).rlike(CUES))
+    found = cue.select("path", F.size(_tokens(F.col("text"))).alias("words"), F.posexplode(spoken).alias("at", "sentence"))
+    return found.select("path", "sentence", F.when(F.col("at") == 0, F.col("words")).otherwise(0).alias("length"))
 
 
 def match_templates(units: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -94,14 +97,14 @@ def scan(files: DataFrame, cosine: float = COSINE, share: float = SHARE) -> Data
     named = stored(sentences(files), "sentences")
     units = stored(named.groupBy("sentence").agg(F.count("*").alias("n")), "units")
     best = stored(match_templates(units, cosine), "matched")
-    hits = named.join(best, "sentence").select("path", "license", "score", F.size(_tokens(F.col("sentence"))).alias("words"))
-    own = hits.groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"), F.sum("words").alias("licensed"))
-    own = stored(own.select("path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), "licensed"), "own-licenses")
+    size = F.when(F.col("license").isNotNull(), F.size(_tokens(F.col("sentence"))))
+    least = F.min(F.when(F.col("license").isNotNull(), F.struct((-F.col("score")).alias("s"), "license"))).alias("b")
+    of_file = named.join(best, "sentence", "left").groupBy("path").agg(least, F.sum(size).alias("licensed"), F.sum("length").alias("length"))
+    own = of_file.filter("b IS NOT NULL").select("path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), "licensed", "length")
+    own = stored(own, "own-licenses")
 
-    # Licence files: all sizes are needed for the few files with a licence only.
-    length = files.join(own.select(F.col("path").alias("_p")).distinct(), F.col("path") == F.col("_p"), "left_semi").groupBy("path").agg(F.sum(F.size(_tokens(F.col("text")))).alias("length"))
     is_named = F.lower(F.regexp_extract("path", "([^/]*)$", 1)).rlike(NAMES)
-    speaks = own.join(length, "path").filter(is_named | (F.col("licensed") >= share * F.col("length")))
+    speaks = own.filter(is_named | (F.col("licensed") >= share * F.col("length")))
     speaks = stored(speaks.select("path", "license", "score"), "licence-files")
     of_dir = speaks.groupBy(_directory(F.col("path")).alias("dir")).agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
     of_dir = stored(of_dir.select(F.col("dir").alias("origin"), F.col("b.license").alias("license"), (-F.col("b.s")).alias("score")), "licensed-directories")
