@@ -152,7 +152,12 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLO
     segs = list(enumerate(_segments(max_bits)))
     mask = [np.int64(_signed(((1 << w) - 1) << s)).item() for _, (s, w) in segs]
     index = fps.select("fp", F.explode(F.array(*(F.struct(F.lit(i).alias("seg"), F.col("fp").bitwiseAND(F.lit(mask[i])).alias("key")) for i, _ in segs))).alias("_")).select("fp", "_.*")
-    probe = fps.select("fp", F.explode(F.concat(*(F.transform(_raised(F.col("fp").bitwiseAND(F.lit(mask[i])), s, w), lambda k, i=i: F.struct(F.lit(i).alias("seg"), k.alias("key"))) for i, (s, w) in segs))).alias("_")).select("fp", "_.*")
+
+    def probes(i: int, shift: int, width: int) -> Column:
+        raised = _raised(F.col("fp").bitwiseAND(F.lit(mask[i])), shift, width)
+        return F.transform(raised, lambda key: F.struct(F.lit(i).alias("seg"), key.alias("key")))
+
+    probe = fps.select("fp", F.explode(F.concat(*(probes(i, s, w) for i, (s, w) in segs))).alias("_")).select("fp", "_.*")
 
     # Blocks of the values that hold many fingerprints, or that many probe.
     full = stored(index.groupBy("seg", "key").agg(F.count("*").alias("n")).filter(F.col("n") > block), "full")
