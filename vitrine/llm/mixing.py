@@ -82,22 +82,22 @@ def _draw(doc_id: Column, text: Column, seed: str) -> Column:
 
 def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED) -> DataFrame:
     """``docs`` with size, source_size, target, copies and taken per document."""
-    sized = docs.withColumn("size", word_count(F.col("text")))
-    targets = source_targets(sized.select("source", "size"), weights, max_rate).select(
-        F.col("source").alias("_source"), "source_size", "target"
-    )
-    rest = sized.drop("source_size", "target", "copies", "taken")
-    joined = rest.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    # The row travels as one column, so that no column of its can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), word_count(F.col("text")).alias("size"))
+    targets = source_targets(rows.select("row.source", "size"), weights, max_rate)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + (_draw(F.col("doc_id"), F.col("text"), seed) < rate - F.floor(rate)).cast("long")
-    return joined.withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies"))
+    copies = F.floor(rate) + (_draw(F.col("row.doc_id"), F.col("row.text"), seed) < rate - F.floor(rate)).cast("long")
+    planned = rows.join(targets, F.col("row.source").eqNullSafe(F.col("source"))).withColumn("copies", copies)
+    added = ["size", "source_size", "target", "copies"]
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return planned.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in [*added, "taken"]), *added, taken)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED) -> DataFrame:
     """The mixed corpus: every row of ``docs`` repeated as often as it is taken."""
-    plan = mix_plan(docs, weights, max_rate, seed)
+    row = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", "source")
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return plan.filter("copies > 0").withColumn("_copy", copy).select(*docs.columns)
+    return mix_plan(row, weights, max_rate, seed).filter("copies > 0").select("row", copy).select("row.*")
 
 
 def op1_mix(spark, sf_dir: str) -> DataFrame:

@@ -218,11 +218,13 @@ def near_duplicate_classes(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
 
 def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` without near-duplicates: one document of each component stays."""
-    kept = near_duplicate_classes(docs, shingle_words, max_bits).filter("keeper").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key")).distinct()
-    kept = stored(kept, "kept")
-    keyed = docs.withColumn("_key", F.coalesce(doc_key(F.col("text")), F.lit(0)))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_key") == F.col("_text_key"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    keepers = near_duplicate_classes(docs, shingle_words, max_bits).filter("keeper").select("doc_id", "text_key").distinct()
+    keepers = stored(keepers, "kept")
+    key = F.coalesce(doc_key(F.col("text")), F.lit(0))
+    # The row travels as one column, so that no column of its can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), key.alias("key"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    return rows.join(keepers, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
