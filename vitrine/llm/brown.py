@@ -7,9 +7,10 @@ class-bigram likelihood. A core of frequent words starts in frequency order;
 every sweep is a Spark job that counts, over all training tokens, which classes
 stand before and after each core word, and the words then move one by one to
 the class that raises the likelihood most. With the core settled, one more
-sweep over every word of the training documents puts the rest into classes by
-the same criterion and counts the words on the way. Counts of all words go back
-to the blocks, where texts are scored.
+sweep over every word puts the rest into classes by the same criterion and
+counts the words on the way: each block sends its words with their counts and
+contexts, and gets back their total counts and classes, with which its texts
+are scored.
 
 P(word | class before) = (1 - u) P(class | class before) P(word | class), where u
 is the chance of an unknown word after that class, estimated from words seen
@@ -24,10 +25,13 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,28 +43,39 @@ CORE = 4096
 SWEEPS = 4
 FOLDS, HELD = 7, 2
 SMOOTHING = 5.0
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 END = CLASSES  # the end token is a class of its own
 OTHER = CLASSES + 1  # in the core's sweeps: words outside of the core
 SLOTS = CLASSES + 2
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes: most are small."""
+    planes = np.ascontiguousarray(tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def encode(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Blocks: block, doc_id and held per document, ends and ids (the tokens, 0 is
     the end token, i the ith distinct word), words (space-joined), trains (their
     counts in training documents). Stored."""
 
     def block_row(block: int, ids: list, held: list, texts: list[bytes]) -> pd.DataFrame:
-        number: dict[bytes, int] = {}
+        number: dict[bytes, int] = defaultdict(itertools.count(1).__next__)
         parts, zero = [], np.zeros(1, np.uint32)
         for text in texts:
             found = text.lower().split()
-            parts += [np.fromiter((number.setdefault(w, len(number) + 1) for w in found), np.uint32, len(found)), zero]
+            parts += [np.fromiter(map(number.__getitem__, found), np.uint32, len(found)), zero]
         tokens = np.concatenate(parts)
         ends = np.flatnonzero(tokens == 0).astype(np.int64) + 1
         train = np.repeat(~np.array(held, bool), np.diff(ends, prepend=0))
         counts = np.bincount(tokens[train], minlength=len(number) + 1)[1:]
-        row = (block, ids, held, ends.tobytes(), tokens.tobytes(), b" ".join(number).decode("utf-8", "surrogatepass"), counts.astype(np.int32))
+        row = (block, ids, held, ends.tobytes(), _packed(tokens), b" ".join(number).decode("utf-8", "surrogatepass"), counts.astype(np.int32).tobytes())
         return pd.DataFrame([row], columns=["block", "doc_id", "held", "ends", "ids", "words", "trains"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,37 +95,34 @@ def encode(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), held.alias("held"), "text")
-    made = rows.mapInPandas(run, "block long, doc_id array<long>, held array<boolean>, ends binary, ids binary, words string, trains array<int>")
+    made = rows.mapInPandas(run, "block long, doc_id array<long>, held array<boolean>, ends binary, ids binary, words string, trains binary")
     return stored(made, "encoded")
 
 
 def _tokens(ids: bytes, ends: bytes, held) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens, ends of the documents, and which tokens are for training."""
-    tokens, ends = np.frombuffer(ids, np.uint32), np.frombuffer(ends, np.int64)
+    tokens, ends = _unpacked(ids), np.frombuffer(ends, np.int64)
     return tokens, ends, np.repeat(~np.array(list(held), bool), np.diff(ends, prepend=0))
 
 
-def _contexts(tokens: np.ndarray, train: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """Sorted (word * 2 SLOTS + slot) with multiplicity: for each training token its
-    class-slot after (first SLOTS) and before (last SLOTS). Documents are joined
-    by their end tokens, which all are in one class."""
-    s = slot[tokens]
-    after = np.flatnonzero(train[:-1] & train[1:])
-    before = after + 1
-    # A training document may follow a held-out one; its first token stands after an end.
-    lead = np.flatnonzero(train & ~np.concatenate([[False], train[:-1]]))
-    wide = np.int64(2 * SLOTS)
-    return np.concatenate(
-        [
-            tokens[after] * wide + s[after + 1],
-            tokens[before] * wide + SLOTS + s[before - 1],
-            tokens[lead] * wide + SLOTS + END,
-        ]
-    ).astype(np.int64)
+def _words(words: str) -> list[str]:
+    return words.split(" ") if words else []
 
 
-def _slots(words: list[str], known: dict[str, int]) -> np.ndarray:
-    return np.array([END, *(known.get(w, OTHER) for w in words)], np.int64)
+def _contexts(word: np.ndarray, slot: np.ndarray, train: np.ndarray, rows: int) -> np.ndarray:
+    """Counts (rows x 2 SLOTS) of the class-slots after (first SLOTS) and before
+    (last SLOTS) the training tokens of the given words (-1: no word of interest).
+    Documents are joined by their end tokens, which all are in one class."""
+    tokens, slots = word[train], slot[train]
+    wide = 2 * SLOTS
+    total = np.zeros((rows + 1) * wide, np.int64)
+    # Held-out documents are left out whole, so what follows an end is a beginning.
+    if len(tokens):
+        at = np.where(tokens < 0, rows, tokens).astype(np.int64) * wide
+        total += np.bincount(at[:-1] + slots[1:], minlength=len(total))
+        total += np.bincount(at[1:] + SLOTS + slots[:-1], minlength=len(total))
+        total[at[0] + SLOTS + END] += 1
+    return total.reshape(rows + 1, wide)[:rows]
 
 
 def core_words(blocks: DataFrame, core: int = CORE) -> list[str]:
@@ -120,32 +132,34 @@ def core_words(blocks: DataFrame, core: int = CORE) -> list[str]:
     def top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for words, trains in zip(b["words"], b["trains"]):
-                count, words = np.asarray(trains), np.array(words.split(" "), object)
-                if len(count):
-                    best = np.argsort(-count, kind="stable")[: 2 * core]
-                    yield pd.DataFrame({"word": words[best], "n": count[best]})
+                count, words = np.frombuffer(trains, np.int32), np.array(_words(words), object)
+                best = np.argsort(-count, kind="stable")[: 2 * core]
+                yield pd.DataFrame({"word": words[best], "n": count[best].astype(np.int64)})
 
     found = blocks.select("words", "trains").mapInPandas(top, "word string, n long")
     ranked = found.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word")
     return [r["word"] for r in ranked.limit(core).collect()]
 
 
-def _sweep_counts(blocks: DataFrame, classes: dict[str, int], words: list[str]) -> np.ndarray:
+def _places(words: str, place: dict[str, int], end: int) -> np.ndarray:
+    """Of a block's tokens 0, 1, ...: place of the core words, -1 of others, ``end`` of the end token."""
+    return np.array([end, *map(place.get, _words(words), itertools.repeat(-1))], np.int64)
+
+
+def _sweep_counts(blocks: DataFrame, words: list[str], of: np.ndarray) -> np.ndarray:
     """Class contexts of the core words over all training tokens: (core + 1) x 2 SLOTS; the last row is the end token."""
     place = {w: i for i, w in enumerate(words)}
     size = len(words) + 1
+    slots = np.concatenate([of, [END, OTHER]]).astype(np.int64)  # -1 is the last
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size * 2 * SLOTS, np.int64)
+        total = np.zeros((size, 2 * SLOTS), np.int64)
         for b in batches:
             for found, ids, ends, held in zip(b["words"], b["ids"], b["ends"], b["held"]):
-                names = found.split(" ")
                 tokens, _, train = _tokens(ids, ends, held)
-                core = np.array([size - 1, *(place.get(w, -1) for w in names)], np.int64)
-                # Words outside of the core have no row of their own.
-                key = _contexts(tokens, train, _slots(names, classes))
-                at = core[key // (2 * SLOTS)]
-                total += np.bincount((at * 2 * SLOTS + key % (2 * SLOTS))[at >= 0], minlength=len(total))
+                word = _places(found, place, size - 1)[tokens]
+                total += _contexts(word, slots[word], train, size)
+        total = total.ravel()
         cell = np.flatnonzero(total)
         yield pd.DataFrame({"cell": cell, "n": total[cell]})
 
@@ -179,20 +193,27 @@ def exchange(counts: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of
 
 
-def cluster_core(blocks: DataFrame, core: int = CORE, sweeps: int = SWEEPS) -> dict[str, int]:
+def cluster_core(blocks: DataFrame, core: int = CORE, sweeps: int = SWEEPS) -> tuple[list[str], np.ndarray]:
+    """The core words and their classes."""
     words = core_words(blocks, core)
     of = np.arange(len(words)) % CLASSES
     for _ in range(sweeps):
-        counts = _sweep_counts(blocks, dict(zip(words, of.tolist())), words)
-        of = exchange(counts, of)
-    return dict(zip(words, of.tolist()))
+        of = exchange(_sweep_counts(blocks, words, of), of)
+    return words, of
+
+
+LEXICON = "block long, at binary, n binary, class binary"
 
 
-def vocabulary(blocks: DataFrame, core: dict[str, int]) -> DataFrame:
-    """word, n (training count), class, for every word of the training documents."""
-    names = list(core)
-    counts = _sweep_counts(blocks, core, names)
-    of = np.array([core[w] for w in names], np.int64)
+def lexicons(blocks: DataFrame, words: list[str], of: np.ndarray) -> DataFrame:
+    """Per block, the total training counts and the classes of its words, in
+    their order. A row with a negative block holds, for a task's words, the sum of
+    the counts (n) and the number of words counted (at). Stored.
+
+    A word meets its own rows, one per block; there is no row per token."""
+    place = {w: i for i, w in enumerate(words)}
+    slots = np.concatenate([of, [END, OTHER]]).astype(np.int64)
+    counts = _sweep_counts(blocks, words, of)
     matrix = np.zeros((SLOTS, SLOTS))
     np.add.at(matrix, of, counts[:-1, :SLOTS])
     matrix[END] += counts[-1, :SLOTS]
@@ -200,65 +221,70 @@ def vocabulary(blocks: DataFrame, core: dict[str, int]) -> DataFrame:
     rows, cols = np.log(matrix.sum(1) + 0.5 * SLOTS)[:CLASSES], np.log(matrix.sum(0) + 0.5 * SLOTS)[:CLASSES]
     # Context slots times this matrix give a word's likelihood in each class; of
     # words outside of the core as neighbours nothing is known yet.
-    table_ = np.concatenate([pair[:CLASSES].T - rows, pair[:, :CLASSES] - cols])
-    table_[[OTHER, SLOTS + OTHER]] = 0
+    likely = np.concatenate([pair[:CLASSES].T - rows, pair[:, :CLASSES] - cols])
+    likely[[OTHER, SLOTS + OTHER]] = 0
 
-    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for found, trains, ids, ends, held in zip(b["words"], b["trains"], b["ids"], b["ends"], b["held"]):
-                words_ = found.split(" ")
-                count = np.asarray(trains)
-                if not len(count):
-                    continue
+            for block, found, trains, ids, ends, held in zip(*(b[c] for c in ("block", "words", "trains", "ids", "ends", "held"))):
+                names, count = _words(found), np.frombuffer(trains, np.int32)
                 tokens, _, train = _tokens(ids, ends, held)
-                key, n = np.unique(_contexts(tokens, train, _slots(words_, core)), return_counts=True)
-                word, slot = key // (2 * SLOTS), key % (2 * SLOTS)
-                packed = ((slot.astype(np.uint32) << np.uint32(24)) | np.minimum(n, (1 << 24) - 1).astype(np.uint32)).tobytes()
-                edge = (4 * np.searchsorted(word, np.arange(1, len(words_) + 2))).tolist()
-                have = np.flatnonzero(count)
-                for i in range(0, len(have), 50_000):
-                    some = have[i : i + 50_000].tolist()
-                    yield pd.DataFrame({"word": [words_[w] for w in some], "n": count[some], "context": [packed[edge[w] : edge[w + 1]] for w in some]})
+                core = _places(found, place, len(words))
+                slot = slots[core][tokens][train]
+                word = tokens[train].astype(np.int64)
+                # The contexts of words outside of the core; its own classes are known.
+                rare = np.flatnonzero(core[word] < 0)
+                before = np.concatenate([[END], slot[:-1]])[rare]
+                after = np.concatenate([slot[1:], [END]])[rare]  # the last token is an end, so never rare
+                key = np.concatenate([word[rare] * (2 * SLOTS) + after, word[rare] * (2 * SLOTS) + SLOTS + before])
+                key, n = np.unique(key, return_counts=True)
+                owner = key // (2 * SLOTS)
+                packed = (((key - owner * (2 * SLOTS)).astype(np.uint32) << np.uint32(24)) | np.minimum(n, (1 << 24) - 1).astype(np.uint32)).tobytes()
+                edge = (4 * np.searchsorted(owner, np.arange(len(names) + 2))).tolist()
+                for i in range(0, len(names), 50_000):
+                    at = range(i, min(len(names), i + 50_000))
+                    yield pd.DataFrame({"word": names[i : i + 50_000], "block": block, "at": at, "n": count[i : i + 50_000], "context": [packed[edge[w + 1] : edge[w + 2]] for w in at]})
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows_ in whole_groups(batches, ["word"]):
-            names_ = rows_["word"].to_numpy()
-            start = group_starts(names_)
-            group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(names_))))
-            raw = [np.frombuffer(x, np.uint32) for x in rows_["context"]]
-            owner = np.repeat(group, [len(x) for x in raw])
-            entry = np.concatenate(raw)
-            seen = np.bincount(owner * 2 * SLOTS + (entry >> np.uint32(24)).astype(np.int64), weights=(entry & np.uint32(0xFFFFFF)).astype(float), minlength=len(start) * 2 * SLOTS)
-            best = (seen.reshape(len(start), 2 * SLOTS) @ table_).argmax(1)
-            words_ = names_[start].tolist()
-            yield pd.DataFrame({"word": words_, "n": np.add.reduceat(rows_["n"].to_numpy(), start), "class": [core.get(w, int(c)) for w, c in zip(words_, best)]})
-
-    sent = blocks.select("words", "trains", "ids", "ends", "held").mapInPandas(contexts, "word string, n long, context binary")
-    sent = sent.repartition(n_buckets(blocks.sparkSession), "word").sortWithinPartitions("word")
-    return stored(sent.mapInPandas(assign, "word string, n long, class int"), "vocabulary")
-
-
-def lexicons(blocks: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Per block, the counts and classes of its words in their order. Stored."""
-    spark = blocks.sparkSession
-    named = blocks.select("block", F.posexplode(F.split("words", " ")).alias("at", "word"))
-    joined = named.join(vocab, "word").select("block", "at", "n", "class")
+        all_n = all_words = 0
+        for part in whole_groups(batches, ["word"]):
+            names = part["word"].to_numpy()
+            start = group_starts(names)
+            group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(names))))
+            length = part["context"].str.len().to_numpy() // 4
+            entry = np.frombuffer(b"".join(part["context"]), np.uint32)
+            cell = np.repeat(group, length) * (2 * SLOTS) + (entry >> np.uint32(24)).astype(np.int64)
+            seen = np.bincount(cell, weights=(entry & np.uint32(0xFFFFFF)).astype(float), minlength=len(start) * 2 * SLOTS)
+            best = (seen.reshape(len(start), 2 * SLOTS) @ likely).argmax(1)
+            own = np.array([place.get(w, -1) for w in names[start].tolist()])
+            best[own >= 0] = of[own[own >= 0]]
+            n = np.add.reduceat(part["n"].to_numpy(np.int64), start)
+            all_n, all_words = all_n + int(n.sum()), all_words + int((n > 0).sum())
+            yield pd.DataFrame({"block": part["block"], "at": part["at"], "n": n[group], "class": best[group].astype(np.int32)})
+        if all_words:
+            yield pd.DataFrame({"block": [-1 - TaskContext.get().partitionId()], "at": [all_words], "n": [all_n], "class": [0]})
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in whole_groups(batches, ["block"]):
-            for block, part in rows.groupby("block", sort=False):
-                yield table([(block, part["at"].to_numpy(np.int32).tobytes(), part["n"].to_numpy(np.int64).tobytes(), part["class"].to_numpy(np.uint8).tobytes())], ["block", "at", "n", "class"])
+        for part in whole_groups(batches, ["block"]):
+            start = group_starts(part["block"].to_numpy()).tolist()
+            for a, z in zip(start, [*start[1:], len(part)]):
+                p = part.iloc[a:z]
+                yield table([(int(p["block"].iloc[0]), p["at"].to_numpy(np.int32).tobytes(), p["n"].to_numpy(np.int64).tobytes(), p["class"].to_numpy(np.uint8).tobytes())], ["block", "at", "n", "class"])
 
-    dealt = joined.repartition(n_buckets(spark), "block").sortWithinPartitions("block")
-    return stored(dealt.mapInPandas(pack, "block long, at binary, n binary, class binary"), "lexicons")
+    parts = n_buckets(blocks.sparkSession)
+    sent = blocks.select("block", "words", "trains", "ids", "ends", "held").mapInPandas(send, "word string, block long, at int, n int, context binary")
+    met = sent.repartition(parts, "word").sortWithinPartitions("word").mapInPandas(assign, "block long, at int, n long, class int")
+    back = met.repartition(parts, "block").sortWithinPartitions("block", "at").mapInPandas(pack, LEXICON)
+    return stored(back, "lexicons")
 
 
 def _lexicon(size: int, at, n, cls, end_count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Count and class of the tokens 0..size of a block; class OTHER is unknown."""
+    """Count and class of the tokens 0..size of a block; those that training lacks are OTHER."""
     count, of = np.zeros(size, np.int64), np.full(size, OTHER, np.int64)
     if at is not None:
         where = np.frombuffer(at, np.int32) + 1
         count[where], of[where] = np.frombuffer(n, np.int64), np.frombuffer(cls, np.uint8)
+        of[count == 0] = OTHER
     count[0], of[0] = end_count, END
     return count, of
 
@@ -302,7 +328,7 @@ def class_model(encoded: DataFrame, end_count: int, n: int, v: int) -> ClassMode
         for b in batches:
             for ids, ends, held, trains, at, c, k in zip(*(b[x] for x in ("ids", "ends", "held", "trains", "at", "n", "class"))):
                 tokens, _, train = _tokens(ids, ends, held)
-                count, of = _lexicon(len(trains) + 1, at, c, k, end_count)
+                count, of = _lexicon(len(trains) // 4 + 1, at, c, k, end_count)
                 tokens = tokens[train]  # whole documents, so each still begins after an end
                 cls, single = of[tokens], count[tokens] == 1
                 before = np.concatenate([[END], cls[:-1]])
@@ -324,18 +350,20 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def score_documents(docs: DataFrame, core: int = CORE, sweeps: int = SWEEPS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``."""
     blocks = encode(docs)
-    vocab = vocabulary(blocks, cluster_core(blocks, core, sweeps))
+    lexicon = lexicons(blocks, *cluster_core(blocks, core, sweeps))
     end_count = blocks.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()[0]
-    words = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n, v = words["n"] + end_count, words["v"] + (end_count > 0)
-    encoded = blocks.drop("words").join(lexicons(blocks, vocab), "block", "left")
+    n, v = end_count, int(end_count > 0)
+    for r in lexicon.filter("block < 0").select("at", "n").toLocalIterator():  # one row per task
+        n, v = n + int(np.frombuffer(r["n"], np.int64).sum()), v + int(np.frombuffer(r["at"], np.int32).sum())
+    # Read twice, by the model's counts and by the scoring.
+    encoded = stored(blocks.drop("words").join(lexicon, "block", "left"), "encoded-with-lexicons")
     model = class_model(encoded, end_count, n, v)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for doc_id, ids, ends, held, trains, at, c, k in zip(*(b[x] for x in ("doc_id", "ids", "ends", "held", "trains", "at", "n", "class"))):
                 tokens, end, _ = _tokens(ids, ends, held)
-                score, base, known = model.score(tokens, *_lexicon(len(trains) + 1, at, c, k, end_count))
+                score, base, known = model.score(tokens, *_lexicon(len(trains) // 4 + 1, at, c, k, end_count))
                 begin = np.concatenate([[0], end[:-1]])
                 out = {"doc_id": pd.array([None if i is None or pd.isna(i) else int(i) for i in doc_id], "Int64"), "held_out": list(held), "n_tokens": end - begin}
                 out |= {"n_known": np.add.reduceat(known.astype(np.int64), begin), "train_tokens": n}
