@@ -175,4 +175,5 @@ class Replies:
 def row_number(block: int, index: int) -> int:
     """A document's place by block and index: 24 bits for the partition, 20 for
     the block in it, 19 for the document in the block."""
+    block, index = int(block), int(index)
     return ((block >> 32) << 39) | ((block & 0xFFFFF) << 19) | index
