@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import n_buckets, stored, table, whole_groups
+from vitrine.llm.common import group_starts, n_buckets, stored, table, whole_groups
 
 BLOCK_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -66,17 +66,17 @@ def packets(
     short: bool = False,
     marked: np.ndarray | None = None,
     order: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
+    by_key: bool = False,
 ) -> pd.DataFrame:
     """A block's hashes by bucket, each once, with its count. ``marked``: which of
     them count as indexed (all, if None). ``order``: document id, text key and
     row of each hash; the smallest of a hash goes along."""
     values = fold(hashes, buckets, short)
     if order is not None:
-        at = np.lexsort((order[2], order[1], order[0], values))
+        same = [values, order[1]] if by_key else [values]
+        at = np.lexsort((order[2], order[1], order[0], *same[::-1]))
+        first = group_starts(*(x[at] for x in same))
         values = values[at]
-        new = np.ones(len(values), bool)
-        new[1:] = values[1:] != values[:-1]
-        first = np.flatnonzero(new)
         unique, counts = values[first], np.diff(np.append(first, len(values)))
         ids, keys, rows = (o[at][first] for o in order)
     else:
@@ -105,7 +105,7 @@ def packets(
     return pd.DataFrame(out, columns=["bucket", "block", "hashes", "counts", "marked", "ids", "keys", "rows"])
 
 
-def _reply(short: bool, buckets: int):
+def _reply(short: bool, ordered: bool, by_key: bool):
     kind = np.uint32 if short else np.uint64
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,19 +115,24 @@ def _reply(short: bool, buckets: int):
                 size = np.array([len(v) for v in values])
                 every = np.concatenate(values)
                 counts = np.concatenate([np.frombuffer(c, np.uint16) if c else np.ones(n, np.uint16) for c, n in zip(part["counts"], size)])
-                unique, inverse = np.unique(every, return_inverse=True)
-                total = np.bincount(inverse, weights=counts, minlength=len(unique)).astype(np.int64)
-                again = total >= 2
-                if (part["marked"].str.len() > 0).any():
-                    mark = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n).astype(bool) if m else np.zeros(n, bool) for m, n in zip(part["marked"], size)])
-                    again &= np.bincount(inverse, weights=mark, minlength=len(unique)) > 0
                 first = np.zeros(len(every), bool)
-                if len(part["ids"].iloc[0]):
+                if ordered:
                     ids, keys, at = (np.concatenate([np.frombuffer(x, np.int64) for x in part[c]]) for c in ("ids", "keys", "rows"))
-                    order = np.lexsort((at, keys, ids, inverse))
-                    lead = np.ones(len(order), bool)
-                    lead[1:] = inverse[order][1:] != inverse[order][:-1]
+                    same = [every, keys] if by_key else [every]
+                    order = np.lexsort((at, keys, ids, *same[::-1]))
+                    lead = group_starts(*(x[order] for x in same))
                     first[order[lead]] = True
+                    inverse = np.empty(len(every), np.int64)
+                    inverse[order] = np.repeat(np.arange(len(lead)), np.diff(np.append(lead, len(every))))
+                    n_unique = len(lead)
+                else:
+                    unique, inverse = np.unique(every, return_inverse=True)
+                    n_unique = len(unique)
+                total = np.bincount(inverse, weights=counts, minlength=n_unique).astype(np.int64)
+                again = total >= 2
+                if (part["marked"].str.len() > 0).any():
+                    mark = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n).astype(bool) if m else np.zeros(n, bool) for m, n in zip(part["marked"], size)])
+                    again &= np.bincount(inverse, weights=mark, minlength=n_unique) > 0
                 hit = again[inverse]
                 out = []
                 for block, e, n in zip(part["block"], np.cumsum(size), size):
@@ -142,15 +147,19 @@ def _reply(short: bool, buckets: int):
     return run
 
 
-def repeated(rows: DataFrame, send: Callable[[Iterator[pd.DataFrame], int], Iterator[pd.DataFrame]], short: bool = False) -> tuple[DataFrame, int]:
+def repeated(
+    rows: DataFrame, send: Callable[[Iterator[pd.DataFrame], int], Iterator[pd.DataFrame]], short: bool = False, ordered: bool = False, by_key: bool = False
+) -> tuple[DataFrame, int]:
     """Run ``send`` (batches of ``rows``, number of buckets -> packets) and gather
     the replies: one row (block, replies: array of hashes, totals, first) per
-    block that has a hash that occurs again. Also returns the number of buckets."""
+    block that has a hash that occurs again. Also returns the number of buckets.
+    ``ordered``: the packets tell the order, and the reply whether the block holds
+    the first. ``by_key``: only hashes with the same text key are the same."""
     n = n_buckets(rows.sparkSession)
     buckets = 2 * n
     sent = rows.mapInPandas(lambda batches: send(batches, buckets), PACKET)
     met = sent.repartition(n, "bucket").sortWithinPartitions("bucket")
-    replies = stored(met.mapInPandas(_reply(short, buckets), REPLY), "replies")
+    replies = stored(met.mapInPandas(_reply(short, ordered, by_key), REPLY), "replies")
     return replies.groupBy("block").agg(F.collect_list(F.struct("hashes", "totals", "first")).alias("replies")), buckets
 
 

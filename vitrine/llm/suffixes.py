@@ -39,6 +39,7 @@ LENGTH = 100
 GRAM = 32
 HOT = 1024
 _CHUNK = 1 << 18
+_PIECE = 2000
 _PLACE = np.uint64((1 << 19) - 1)
 
 
@@ -72,6 +73,30 @@ def _text_key(data: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(data.tobytes()) >> 1
 
 
+def _text_hash(text: str) -> tuple[int, int]:
+    """Two hashes of a text; the second is its key."""
+    raw = text.encode("utf-8", "surrogatepass")
+    return xxhash.xxh3_64_intdigest(raw), xxhash.xxh64_intdigest(raw) >> 1
+
+
+def _doc(doc_id) -> int:
+    return NO_ID if doc_id is None or pd.isna(doc_id) else int(doc_id)
+
+
+def _later_copies(block: int, ids, texts, length: int, known: Replies) -> frozenset[int]:
+    """Documents of a block whose whole text, of ``length`` bytes at least, is that of an earlier document."""
+    found = [(k, *_text_hash(t), _doc(i)) for k, (i, t) in enumerate(zip(ids, texts)) if len((t or "").encode("utf-8", "surrogatepass")) >= length]
+    if not found:
+        return frozenset()
+    k, h, key, did = (np.array(x) for x in zip(*found))
+    h = h.astype(np.uint64)
+    hit, at = known.find(h)
+    order = np.lexsort((k, did, key, h))
+    lead = np.zeros(len(k), bool)
+    lead[order[group_starts(h[order], key[order])]] = True
+    return frozenset(k[hit & ~(lead & known.first[at])].tolist()) if hit.any() else frozenset()
+
+
 COLUMNS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "rest"]
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, rest string"
 OPEN = "block long, idx array<int>, ids array<long>, texts array<string>, rests array<string>, grams array<binary>, starts array<binary>, sizes array<binary>, hots array<binary>"
@@ -163,9 +188,13 @@ def _settle(length: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in whole_groups(batches, ["gram"]):
-            found = marks(rows)
-            if found is not None:
-                yield found
+            # Pieces of whole grams that fit a processor's cache.
+            edges = group_starts(rows["gram"].to_numpy())
+            cuts = np.append(edges[np.unique(np.searchsorted(edges, np.arange(0, len(rows), _PIECE)))[:-1]] if len(rows) > _PIECE else 0, len(rows))
+            for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                found = marks(rows.iloc[a:z])
+                if found is not None:
+                    yield found
 
     return run
 
@@ -188,14 +217,28 @@ def remove_duplicate_spans(docs: DataFrame, length: int = LENGTH, with_text: boo
 
     hits, _ = repeated(blocks, send_grams)
 
+    def send_texts(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for block, ids, texts in zip(b["block"], b["doc_id"], b["texts"]):
+                found = [(*_text_hash(t), _doc(i), row_number(block, k)) for k, (i, t) in enumerate(zip(ids, texts)) if len((t or "").encode("utf-8", "surrogatepass")) >= length]
+                if found:
+                    h, key, did, row = zip(*found)
+                    yield packets(block, np.array(h, np.uint64), buckets, order=(np.array(did), np.array(key), np.array(row)), by_key=True)
+
+    copies, _ = repeated(blocks, send_texts, ordered=True, by_key=True)
+
     def open_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         none = np.zeros(0, np.int64)
         for b in batches:
-            for block, ids, texts, rests, replies in zip(b["block"], b["doc_id"], b["texts"], b["rests"], b["replies"]):
+            for block, ids, texts, rests, replies, twins in zip(*(b[c] for c in ("block", "doc_id", "texts", "rests", "replies", "twins"))):
                 found = Replies(replies)
+                later = _later_copies(block, ids, texts, length, Replies(twins)) if twins is not None else frozenset()
                 rows, left = [], []
                 for k, (i, t, r) in enumerate(zip(ids, texts, rests)):
                     data = text_bytes(t)
+                    if k in later:
+                        rows.append((*_finish(i, data, np.array([0]), np.array([len(data)]), r, with_text), *[None] * 9))
+                        continue
                     grams, start, size = gram_runs(data, length, gram)
                     hit, at = found.find(grams)
                     if hit.any():
@@ -207,31 +250,26 @@ def remove_duplicate_spans(docs: DataFrame, length: int = LENGTH, with_text: boo
                     rows.append((*[None] * 7, block, *map(list, zip(*left))))
                 yield table(rows, [*COLUMNS, "block", "idx", "ids", "texts", "rests", "grams", "starts", "sizes", "hots"])
 
-    state = stored(blocks.join(hits, "block", "left").mapInPandas(open_documents, f"{RESULT}, {OPEN}"), "opened")
+    both = blocks.join(hits, "block", "left").join(copies.withColumnRenamed("replies", "twins"), "block", "left")
+    state = stored(both.mapInPandas(open_documents, f"{RESULT}, {OPEN}"), "opened")
     closed = state.filter("texts IS NULL").select(*COLUMNS)
     left = state.filter("texts IS NOT NULL").drop(*COLUMNS)
 
     def send_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for block, idx, ids, texts, grams, starts, sizes, hots in zip(*(b[c] for c in ("block", "idx", "ids", "texts", "grams", "starts", "sizes", "hots"))):
+                parts, cut = [], []
                 for k, i, t, *runs in zip(idx, ids, texts, grams, starts, sizes, hots):
                     g, s, n, is_hot = _arrays(*runs)
                     g, s, n = g[~is_hot], s[~is_hot], n[~is_hot]
-                    if not len(g):
-                        continue
-                    data = text_bytes(t)
-                    raw = data.tobytes()
-                    yield pd.DataFrame(
-                        {
-                            "gram": g.view(np.int64),
-                            "did": NO_ID if i is None or pd.isna(i) else int(i),
-                            "key": _text_key(data),
-                            "row": row_number(block, k),
-                            "start": s,
-                            "size": n,
-                            "text": [raw[a : a + m - 1 + length] for a, m in zip(s.tolist(), n.tolist())],
-                        }
-                    )
+                    if len(g):
+                        raw = (t or "").encode("utf-8", "surrogatepass")
+                        whose = np.full((3, len(g)), [[_doc(i)], [xxhash.xxh64_intdigest(raw) >> 1], [row_number(block, k)]], np.int64)
+                        parts.append((g.view(np.int64), *whose, s, n))
+                        cut += [raw[a:z] for a, z in zip(s.tolist(), (s + n + (length - 1)).tolist())]
+                if parts:
+                    rows = pd.DataFrame(dict(zip(("gram", "did", "key", "row", "start", "size"), (np.concatenate(x) for x in zip(*parts)))))
+                    yield rows.assign(text=cut)
 
     runs = left.select("block", "idx", "ids", "texts", "grams", "starts", "sizes", "hots").mapInPandas(send_runs, "gram long, did long, key long, row long, start long, size long, text binary")
     runs = runs.repartition(n_buckets(spark), "gram").sortWithinPartitions("gram")
@@ -245,7 +283,7 @@ def remove_duplicate_spans(docs: DataFrame, length: int = LENGTH, with_text: boo
             if is_hot.any():
                 data = text_bytes(t)
                 h, at = _hot_windows(data, s[is_hot], n[is_hot], length)
-                whose = (NO_ID if i is None or pd.isna(i) else int(i), _text_key(data), row_number(block, k))
+                whose = (_doc(i), _text_key(data), row_number(block, k))
                 out.append((h, *(np.full(len(h), x, np.int64) for x in whose), at))
         return tuple(np.concatenate(x) for x in zip(*out)) if out else None
 
@@ -258,7 +296,7 @@ def remove_duplicate_spans(docs: DataFrame, length: int = LENGTH, with_text: boo
                 if found is not None:
                     yield packets(row[0], found[0], buckets, order=found[1:4])
 
-    again, _ = repeated(left.select(*parts), send_hot)
+    again, _ = repeated(left.select(*parts), send_hot, ordered=True)
     spans = spans.groupBy("block").agg(F.collect_list(F.struct("idx", "s", "e")).alias("spans"))
 
     def close_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
