@@ -10,6 +10,7 @@ row is made per word or per byte.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,15 +19,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import group_starts, n_buckets, stored, table, whole_groups
+from vitrine.llm.common import group_starts, n_buckets, shared_path, stored, table, whole_groups
 
 BLOCK_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
-def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
+def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None, bucketed: bool = False) -> DataFrame:
     """(block, doc_id array, texts array, rests array), stored. Ids are read as
-    long; rests are the columns to ``keep`` as JSON (null if there are none)."""
+    long; rests are the columns to ``keep`` as JSON (null if there are none).
+    ``bucketed``: as a table bucketed by block, so that joins on the block move
+    the other side only; the texts are shuffled once, for the writing."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = TaskContext.get().partitionId() << 32
@@ -44,7 +47,14 @@ def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: list[str]
 
     rest = F.to_json(F.struct(*keep)) if keep else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text", rest.alias("rest"))
-    return stored(rows.mapInPandas(run, "block long, doc_id array<long>, texts array<string>, rests array<string>"), "blocks")
+    made = rows.mapInPandas(run, "block long, doc_id array<long>, texts array<string>, rests array<string>")
+    if not bucketed:
+        return stored(made, "blocks")
+    spark = docs.sparkSession
+    n, path = n_buckets(spark), shared_path(spark, "blocks")
+    name = f"vitrine_blocks_{uuid.uuid4().hex}"
+    made.repartition(n, "block").write.bucketBy(n, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
 
 
 PACKET = "bucket int, block long, hashes binary, counts binary, marked binary, ids binary, keys binary, rows binary"

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,7 +100,6 @@ def _later_copies(block: int, ids, texts, length: int, known: Replies) -> frozen
 
 COLUMNS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "rest"]
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, rest string"
-OPEN = "block long, idx array<int>, ids array<long>, texts array<string>, rests array<string>, grams array<binary>, starts array<binary>, sizes array<binary>, hots array<binary>"
 
 
 def _finish(doc_id, data: np.ndarray, start: np.ndarray, end: np.ndarray, rest, with_text: bool) -> tuple:
@@ -114,8 +114,36 @@ def _finish(doc_id, data: np.ndarray, start: np.ndarray, end: np.ndarray, rest,
     return doc_id, len(data), len(data) - len(kept), len(s), hashlib.sha256(raw).hexdigest(), raw.decode("utf-8", "ignore") if with_text else None, rest
 
 
-def _arrays(grams, starts, sizes, hots) -> tuple[np.ndarray, ...]:
-    return np.frombuffer(grams, np.uint64), np.frombuffer(starts, np.int64), np.frombuffer(sizes, np.int64), np.frombuffer(hots, bool)
+# What is known of a block's runs that occur elsewhere: document, gram, first
+# window, windows, whether the gram is hot; and spans that are settled already.
+FOUND = "block long, doc binary, gram binary, start binary, size binary, hot binary, gone_doc binary, gone_start binary, gone_end binary"
+_KINDS = {"doc": np.int32, "gram": np.uint64, "start": np.int64, "size": np.int64, "hot": bool, "gone_doc": np.int32, "gone_start": np.int64, "gone_end": np.int64}
+
+
+def _read(row, names: tuple[str, ...]) -> list[np.ndarray]:
+    """Columns of a joined row as arrays; empty where the block has no row."""
+    return [np.frombuffer(row[n], _KINDS[n]) if row[n] is not None else np.zeros(0, _KINDS[n]) for n in names]
+
+
+class _Docs:
+    """The documents of a block, encoded when they are asked for."""
+
+    def __init__(self, block: int, ids, texts):
+        self.block, self.ids, self.texts = block, ids, texts
+        self._known: dict[int, tuple] = {}
+
+    def get(self, k: int) -> tuple[bytes, tuple[int, int, int]]:
+        """Bytes, and the document's place in the order of documents."""
+        if k not in self._known:
+            raw = (self.texts[k] or "").encode("utf-8", "surrogatepass")
+            self._known[k] = raw, (_doc(self.ids[k]), xxhash.xxh64_intdigest(raw) >> 1, row_number(self.block, k))
+        return self._known[k]
+
+    def cut(self, doc: np.ndarray, start: np.ndarray, size: np.ndarray, length: int) -> tuple[list[bytes], np.ndarray]:
+        """The runs' bytes and the order of their documents (3 x runs)."""
+        text = [self.get(k)[0][s : s + n + length - 1] for k, s, n in zip(doc.tolist(), start.tolist(), size.tolist())]
+        whose = np.array([self.get(k)[1] for k in doc.tolist()], np.int64).reshape(-1, 3).T
+        return text, whose
 
 
 def _hot_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +157,40 @@ def _hot_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, length:
     return out, at
 
 
+RUNS = "bucket int, data binary"
+_FIELDS = ("gram", "did", "key", "row", "start", "size")
+
+
+def _run_packets(gram, whose, start, size, text: list[bytes], buckets: int) -> pd.DataFrame:
+    """A block's runs by bucket of their gram, compressed."""
+    bucket = ((gram >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+    by = np.argsort(bucket, kind="stable")
+    fields = [x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64) for x in (gram, *whose, start, size)]
+    out = []
+    zip_ = zstandard.ZstdCompressor(level=3)
+    for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
+        if len(part):
+            raw = b"".join([len(part).to_bytes(8, "little"), *(f[part].tobytes() for f in fields), *(text[i] for i in part.tolist())])
+            out.append((int(bucket[part[0]]), zip_.compress(raw)))
+    return table(out, ["bucket", "data"])
+
+
+def _unpack_runs(data: list[bytes], length: int) -> pd.DataFrame:
+    """All runs of a bucket, sorted by gram."""
+    columns, text = [], []
+    unzip = zstandard.ZstdDecompressor()
+    for x in data:
+        raw = unzip.decompress(x)
+        n = int.from_bytes(raw[:8], "little")
+        fields = np.frombuffer(raw, np.int64, 6 * n, 8).reshape(6, n)
+        columns.append(fields)
+        at = 8 + 48 * n
+        end = at + np.cumsum(fields[5] + length - 1)
+        text += [raw[a:z] for a, z in zip([at, *end[:-1].tolist()], end.tolist())]
+    rows = pd.DataFrame(dict(zip(_FIELDS, np.concatenate(columns, axis=1))))
+    return rows.assign(text=text).sort_values("gram", kind="stable", ignore_index=True)
+
+
 def _settle(length: int):
     """Per gram: spans (block, idx, s, e) of the windows that start earlier elsewhere."""
 
@@ -187,14 +249,18 @@ def _settle(length: int):
         return pd.DataFrame({"block": block, "idx": (row & 0x7FFFF).astype(np.int32), "s": s, "e": e})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in whole_groups(batches, ["gram"]):
-            # Pieces of whole grams that fit a processor's cache.
-            edges = group_starts(rows["gram"].to_numpy())
-            cuts = np.append(edges[np.unique(np.searchsorted(edges, np.arange(0, len(rows), _PIECE)))[:-1]] if len(rows) > _PIECE else 0, len(rows))
-            for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                found = marks(rows.iloc[a:z])
-                if found is not None:
-                    yield found
+        for packets_ in whole_groups(batches, ["bucket"]):
+            for _, part in packets_.groupby("bucket", sort=False):
+                rows = _unpack_runs(list(part["data"]), length)
+                # Pieces of whole grams that fit a processor's cache.
+                edges = np.append(group_starts(rows["gram"].to_numpy()), len(rows))
+                at = 0
+                while at < len(rows):
+                    end = int(edges[min(np.searchsorted(edges, at + _PIECE), len(edges) - 1)])
+                    found = marks(rows.iloc[at:end])
+                    if found is not None:
+                        yield found
+                    at = end
 
     return run
 
@@ -205,7 +271,8 @@ def remove_duplicate_spans(docs: DataFrame, length: int = LENGTH, with_text: boo
     the other columns."""
     spark = docs.sparkSession
     gram = min(GRAM, length)
-    blocks = text_blocks(docs, keep=[c for c in docs.columns if c not in ("doc_id", "text")] if with_text else [])
+    keep = [c for c in docs.columns if c not in ("doc_id", "text")] if with_text else []
+    blocks = text_blocks(docs, keep=keep, bucketed=True)
 
     def send_grams(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -215,7 +282,7 @@ def remove_duplicate_spans(docs: DataFrame, length: int = LENGTH, with_text: boo
                     found.append(gram_runs(text_bytes(t), length, gram)[0])
                 yield packets(block, np.concatenate(found), buckets)
 
-    hits, _ = repeated(blocks, send_grams)
+    hits, _ = repeated(blocks.select("block", "texts"), send_grams)
 
     def send_texts(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -225,108 +292,102 @@ def remove_duplicate_spans(docs: DataFrame, length: int = LENGTH, with_text: boo
                     h, key, did, row = zip(*found)
                     yield packets(block, np.array(h, np.uint64), buckets, order=(np.array(did), np.array(key), np.array(row)), by_key=True)
 
-    copies, _ = repeated(blocks, send_texts, ordered=True, by_key=True)
+    copies, _ = repeated(blocks.select("block", "doc_id", "texts"), send_texts, ordered=True, by_key=True)
 
-    def open_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        none = np.zeros(0, np.int64)
+    def find_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for block, ids, texts, rests, replies, twins in zip(*(b[c] for c in ("block", "doc_id", "texts", "rests", "replies", "twins"))):
-                found = Replies(replies)
+            for block, ids, texts, replies, twins in zip(*(b[c] for c in ("block", "doc_id", "texts", "replies", "twins"))):
+                if replies is None:
+                    continue
+                known, docs_ = Replies(replies), _Docs(block, ids, texts)
                 later = _later_copies(block, ids, texts, length, Replies(twins)) if twins is not None else frozenset()
-                rows, left = [], []
-                for k, (i, t, r) in enumerate(zip(ids, texts, rests)):
-                    data = text_bytes(t)
-                    if k in later:
-                        rows.append((*_finish(i, data, np.array([0]), np.array([len(data)]), r, with_text), *[None] * 9))
-                        continue
-                    grams, start, size = gram_runs(data, length, gram)
-                    hit, at = found.find(grams)
-                    if hit.any():
-                        is_hot = found.total[at[hit]] > hot
-                        left.append((k, i, t, r, grams[hit].tobytes(), start[hit].tobytes(), size[hit].tobytes(), is_hot.tobytes()))
-                    else:
-                        rows.append((*_finish(i, data, none, none, r, with_text), *[None] * 9))
-                if left:
-                    rows.append((*[None] * 7, block, *map(list, zip(*left))))
-                yield table(rows, [*COLUMNS, "block", "idx", "ids", "texts", "rests", "grams", "starts", "sizes", "hots"])
-
-    both = blocks.join(hits, "block", "left").join(copies.withColumnRenamed("replies", "twins"), "block", "left")
-    state = stored(both.mapInPandas(open_documents, f"{RESULT}, {OPEN}"), "opened")
-    closed = state.filter("texts IS NULL").select(*COLUMNS)
-    left = state.filter("texts IS NOT NULL").drop(*COLUMNS)
+                parts, gone = [], [(k, 0, len(docs_.get(k)[0])) for k in sorted(later)]
+                for k, t in enumerate(texts):
+                    if k not in later:
+                        g, s, n = gram_runs(text_bytes(t), length, gram)
+                        hit, at = known.find(g)
+                        if hit.any():
+                            parts.append((np.full(int(hit.sum()), k, np.int32), g[hit], s[hit], n[hit], known.total[at[hit]] > hot))
+                doc, g, s, n, is_hot = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, _KINDS[c]) for c in ("doc", "gram", "start", "size", "hot"))
+                # Of equal runs in the block, the first goes on; the others start later for certain.
+                text, whose = docs_.cut(doc, s, n, length)
+                same = pd.factorize(np.array(text, object))[0] if text else np.zeros(0, np.int64)
+                order = np.lexsort((s, whose[2], whose[1], whose[0], same))
+                first = np.zeros(len(same), bool)
+                first[order[group_starts(same[order])]] = True
+                on = first | is_hot
+                gone += list(zip(doc[~on].tolist(), s[~on].tolist(), (s[~on] + n[~on] + (length - 1)).tolist()))
+                gd, gs, ge = (np.array(x) for x in zip(*gone)) if gone else (np.zeros(0),) * 3
+                values = dict(doc=doc[on], gram=g[on], start=s[on], size=n[on], hot=is_hot[on], gone_doc=gd, gone_start=gs, gone_end=ge)
+                yield table([(block, *(values[c].astype(_KINDS[c]).tobytes() for c in _KINDS))], ["block", *_KINDS])
+
+    met = blocks.select("block", "doc_id", "texts").join(hits, "block", "left").join(copies.withColumnRenamed("replies", "twins"), "block", "left")
+    found = stored(met.mapInPandas(find_runs, FOUND), "runs")
+
+    buckets = 2 * n_buckets(spark)
+    with_runs = blocks.select("block", "doc_id", "texts").join(found, "block")
 
     def send_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for block, idx, ids, texts, grams, starts, sizes, hots in zip(*(b[c] for c in ("block", "idx", "ids", "texts", "grams", "starts", "sizes", "hots"))):
-                parts, cut = [], []
-                for k, i, t, *runs in zip(idx, ids, texts, grams, starts, sizes, hots):
-                    g, s, n, is_hot = _arrays(*runs)
-                    g, s, n = g[~is_hot], s[~is_hot], n[~is_hot]
-                    if len(g):
-                        raw = (t or "").encode("utf-8", "surrogatepass")
-                        whose = np.full((3, len(g)), [[_doc(i)], [xxhash.xxh64_intdigest(raw) >> 1], [row_number(block, k)]], np.int64)
-                        parts.append((g.view(np.int64), *whose, s, n))
-                        cut += [raw[a:z] for a, z in zip(s.tolist(), (s + n + (length - 1)).tolist())]
-                if parts:
-                    rows = pd.DataFrame(dict(zip(("gram", "did", "key", "row", "start", "size"), (np.concatenate(x) for x in zip(*parts)))))
-                    yield rows.assign(text=cut)
-
-    runs = left.select("block", "idx", "ids", "texts", "grams", "starts", "sizes", "hots").mapInPandas(send_runs, "gram long, did long, key long, row long, start long, size long, text binary")
-    runs = runs.repartition(n_buckets(spark), "gram").sortWithinPartitions("gram")
+            for _, r in b.iterrows():
+                doc, g, s, n, is_hot = _read(r, ("doc", "gram", "start", "size", "hot"))
+                doc, g, s, n = (x[~is_hot] for x in (doc, g, s, n))
+                if len(doc):
+                    text, whose = _Docs(r["block"], r["doc_id"], r["texts"]).cut(doc, s, n, length)
+                    yield _run_packets(g, whose, s, n, text, buckets)
+
+    runs = with_runs.mapInPandas(send_runs, RUNS).repartition(n_buckets(spark), "bucket").sortWithinPartitions("bucket")
     spans = runs.mapInPandas(_settle(length), "block long, idx int, s long, e long")
+    spans = spans.groupBy("block").agg(F.collect_list(F.struct("idx", "s", "e")).alias("spans"))
 
-    def hot_of(block, idx, ids, texts, grams, starts, sizes, hots):
+    def hot_of(r):
         """hash, doc_id, text key, row, place of the hot windows of a block."""
-        out = []
-        for k, i, t, *runs in zip(idx, ids, texts, grams, starts, sizes, hots):
-            _, s, n, is_hot = _arrays(*runs)
-            if is_hot.any():
-                data = text_bytes(t)
-                h, at = _hot_windows(data, s[is_hot], n[is_hot], length)
-                whose = (_doc(i), _text_key(data), row_number(block, k))
-                out.append((h, *(np.full(len(h), x, np.int64) for x in whose), at))
+        doc, s, n, is_hot = _read(r, ("doc", "start", "size", "hot"))
+        docs_, out = _Docs(r["block"], r["doc_id"], r["texts"]), []
+        for k in np.unique(doc[is_hot]).tolist():
+            mine = is_hot & (doc == k)
+            raw, whose = docs_.get(k)
+            h, at = _hot_windows(np.frombuffer(raw, np.uint8), s[mine], n[mine], length)
+            out.append((h, *(np.full(len(h), x, np.int64) for x in whose), at))
         return tuple(np.concatenate(x) for x in zip(*out)) if out else None
 
-    parts = ("block", "idx", "ids", "texts", "grams", "starts", "sizes", "hots")
-
     def send_hot(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for row in zip(*(b[c] for c in parts)):
-                found = hot_of(*row)
-                if found is not None:
-                    yield packets(row[0], found[0], buckets, order=found[1:4])
+            for _, r in b.iterrows():
+                windows = hot_of(r)
+                if windows is not None:
+                    yield packets(r["block"], windows[0], buckets, order=windows[1:4])
 
-    again, _ = repeated(left.select(*parts), send_hot, ordered=True)
-    spans = spans.groupBy("block").agg(F.collect_list(F.struct("idx", "s", "e")).alias("spans"))
+    again, _ = repeated(with_runs, send_hot, ordered=True)
 
     def close_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for rests, spans_, replies, *row in zip(*(b[c] for c in ("rests", "spans", "replies", *parts))):
-                block, idx, ids, texts = row[:4]
-                who = np.array([x["idx"] for x in spans_] if spans_ is not None else [], np.int64)
-                s = np.array([x["s"] for x in spans_] if spans_ is not None else [], np.int64)
-                e = np.array([x["e"] for x in spans_] if spans_ is not None else [], np.int64)
-                found = hot_of(*row) if replies is not None else None
-                if found is not None:
-                    known = Replies(replies)
-                    h, did, key, number, at = found
+            for _, r in b.iterrows():
+                who, s, e = _read(r, ("gone_doc", "gone_start", "gone_end"))
+                if r["spans"] is not None:
+                    more = np.array([(x["idx"], x["s"], x["e"]) for x in r["spans"]], np.int64).reshape(-1, 3).T
+                    who, s, e = (np.concatenate(x) for x in zip((who, s, e), more))
+                windows = hot_of(r) if r["replies"] is not None else None
+                if windows is not None:
+                    known = Replies(r["replies"])
+                    h, did, key, number, at = windows
                     hit, where = known.find(h)
                     order = np.lexsort((at, number, key, did, h))
                     lead = np.zeros(len(h), bool)
                     lead[order[group_starts(h[order])]] = True
-                    late = hit & ~(lead & known.first[where] & hit)
+                    late = hit & ~(lead & known.first[where])
                     who = np.concatenate([who, number[late] & 0x7FFFF])
                     s, e = np.concatenate([s, at[late]]), np.concatenate([e, at[late] + length])
                 by = np.argsort(who, kind="stable")
                 who, s, e = who[by], s[by], e[by]
                 out = []
-                for k, i, t, r in zip(idx, ids, texts, rests):
+                for k, (i, t, rest) in enumerate(zip(r["doc_id"], r["texts"], r["rests"])):
                     a, z = np.searchsorted(who, [k, k + 1])
-                    out.append(_finish(i, text_bytes(t), s[a:z], e[a:z], r, with_text))
+                    out.append(_finish(None if i is None or pd.isna(i) else int(i), text_bytes(t), s[a:z], e[a:z], rest, with_text))
                 yield table(out, COLUMNS)
 
-    ended = left.join(spans, "block", "left").join(again, "block", "left").mapInPandas(close_documents, RESULT)
-    return closed.union(ended)
+    ended = blocks.join(found, "block", "left").join(spans, "block", "left").join(again, "block", "left")
+    return ended.mapInPandas(close_documents, RESULT)
 
 
 def dedup_text(docs: DataFrame, length: int = LENGTH) -> DataFrame:
