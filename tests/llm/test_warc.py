@@ -6,6 +6,7 @@ from pyarrow import fs
 
 from tests.llm import edge
 from vitrine.llm import warc
+from vitrine.llm.common import file_system
 from vitrine.plans.check import compare
 
 
@@ -15,7 +16,7 @@ def test_matches_sql(spark, duck):
 
 
 def files_of(uri):
-    place, root = warc._place(uri)
+    place, root = file_system(uri)
     return {f.base_name: hashlib.sha1(place.open_input_file(f.path).read()).hexdigest() for f in place.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.File}
 
 

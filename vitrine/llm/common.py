@@ -8,10 +8,12 @@ the lineage and survives lost executors.
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete this application's intermediates, when no result that reads them is needed any more."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith("vitrine_blocks_"):
+            spark.sql(f"DROP TABLE `{t.name}`")
+    place, path = file_system(shared_path(spark, "").rsplit("/", 1)[0])
+    if place.get_file_info(path).type != fs.FileType.NotFound:
+        place.delete_dir(path)
+
+
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder's URI (file, HDFS, S3, ...) and the path in it."""
+    return fs.FileSystem.from_uri(re.sub("^(file:)?/+", "file:///", uri))
+
+
 def words(text: Column) -> Column:
     """All runs of bytes other than space and the controls 9 to 13."""
     return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))

@@ -23,18 +23,16 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import shared_path, stored, table
+from vitrine.llm.common import file_system, shared_path, stored, table
 
 REVISIT_BYTES = 1000
 SHARD_BYTES = 32 << 20
@@ -42,10 +40,6 @@ FILE_BYTES = 8 << 20
 DATE = "2000-01-01T00:00:00Z"
 
 
-def _place(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(re.sub("^(file:)?/+", "file:///", uri))
-
-
 def _slot(ends: list[int]):
     """Column function: index of the first of the sorted ``ends`` that is not below an id (0 for null)."""
     limits = np.array(ends, np.int64)
@@ -155,7 +149,7 @@ def write_archive(pages: DataFrame, uri: str, shard_bytes: int = SHARD_BYTES, fi
     ends = _shards(rows.select("page_id", F.when(F.col("revisit"), F.lit(0)).otherwise(F.col("payload_bytes")).alias("payload_bytes")), shard_bytes)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, root = _place(uri)
+        place, root = file_system(uri)
         shard, number, out, count, size, digest, name = None, 0, None, 0, 0, None, ""
 
         def close() -> pd.DataFrame:
@@ -182,7 +176,7 @@ def write_archive(pages: DataFrame, uri: str, shard_bytes: int = SHARD_BYTES, fi
         if out is not None:
             yield close()
 
-    place, root = _place(uri)
+    place, root = file_system(uri)
     place.create_dir(root, recursive=True)
     dealt = rows.select(_slot(ends)("page_id").alias("shard"), F.col("page_id").cast("string").alias("page_id"), "url", "html", "revisit", F.col("refers_to").cast("string").alias("refers_to"), F.col("page_id").alias("_id"))
     order = [F.col("shard"), F.col("_id").isNotNull(), F.col("_id"), F.col("url"), F.col("html")]
