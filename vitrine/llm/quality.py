@@ -150,8 +150,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without those that the classifier rejects. The text is scored where it is read, so nothing is joined."""
-    model = fit(stored(document_statistics(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")), "statistics"), labels)
+    """``docs`` without those that the classifier rejects. Only statistics are
+    joined with the labels; texts are scored where they are read, so none is shuffled."""
+    model = fit(stored(document_statistics(docs), "statistics"), labels)
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
