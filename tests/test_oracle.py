@@ -9,7 +9,7 @@ from tests.conftest import SF_SMALL
 from vitrine.plans.check import compare
 from vitrine.plans.operator_queries import operator_sql
 from vitrine.plans.oracle import analysis_sql
-from vitrine.plans.registry import all_queries
+from vitrine.plans.registry import all_queries, analysis_queries
 
 QUERIES = all_queries()
 SQL = {**analysis_sql(), **operator_sql()}
@@ -29,6 +29,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert r["values_match"], r
 
 
+@pytest.mark.parametrize("name", sorted(analysis_queries()))
+def test_analyses_agree_on_the_typed_text(spark, duck, name, monkeypatch):
+    """The same SQL holds for listings that went through text and the typed ingest."""
+    from vitrine.plans import registry
+    from vitrine.plans.operator_queries import raw_text
+    from vitrine.sources.ingest import nest_listing, type_listings
+    from vitrine.sources.store import listings
+
+    typed = nest_listing(type_listings(raw_text(listings(spark, SF_SMALL))), "full")
+    monkeypatch.setattr(registry, "listings", lambda spark, sf_dir: typed)
+    r = compare(QUERIES[name](spark, SF_SMALL), duck, SQL[name])
+    assert r["values_match"], r
+
+
 def test_entry_runs(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
