@@ -145,8 +145,9 @@ def records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
 def write_archive(pages: DataFrame, uri: str, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """Write ``pages`` (page_id, url, html) under ``uri`` and return the manifest:
     file, records, bytes, sha1."""
-    rows = stored(records(pages, revisit_bytes), "records")
-    ends = _shards(rows.select("page_id", F.when(F.col("revisit"), F.lit(0)).otherwise(F.col("payload_bytes")).alias("payload_bytes")), shard_bytes)
+    size = F.coalesce(F.octet_length("html"), F.lit(0)).cast("long")
+    ends = _shards(stored(pages.select(F.col("page_id").cast("long").alias("page_id"), size.alias("payload_bytes")), "sizes"), shard_bytes)
+    rows = records(pages, revisit_bytes)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place, root = file_system(uri)
