@@ -38,6 +38,7 @@ REVISIT_BYTES = 1000
 SHARD_BYTES = 32 << 20
 FILE_BYTES = 8 << 20
 DATE = "2000-01-01T00:00:00Z"
+_PIECE = 1 << 14
 
 
 def _slot(ends: list[int]):
@@ -193,11 +194,16 @@ READ = "page_id long, payload_bytes long, payload_digest string, record_type str
 
 def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of a file, digests checked."""
-    rest = content
-    while rest:
-        z = zlib.decompressobj(31)
-        raw = z.decompress(rest) + z.flush()
-        rest = z.unused_data
+    view, at = memoryview(content), 0
+    while at < len(view):
+        z, out = zlib.decompressobj(31), []
+        while not z.eof:
+            piece = view[at : at + _PIECE]
+            if not piece:
+                raise ValueError("the last record is cut off")
+            out.append(z.decompress(piece))
+            at += len(piece) - len(z.unused_data)
+        raw = b"".join(out)
         head, _, tail = raw.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         if lines[0] != "WARC/1.1":
