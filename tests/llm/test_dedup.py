@@ -9,6 +9,7 @@ import pytest
 
 from tests.llm import edge
 from vitrine.llm import anchors, bwt, suffixes
+from vitrine.plans.check import compare
 
 
 def rows_of(df, names):
@@ -82,6 +83,12 @@ def test_words_random(spark, window):
     assert rows_of(anchors.remove_repeats(edge.documents(spark, rows), window), WORDS) == sorted(edge.word_dedup(rows, window), key=str)
 
 
+def test_match_sql(spark, duck):
+    for query, sql in ((suffixes.op5_suffixes, suffixes.OP5_SQL), (anchors.op9_anchors, anchors.OP9_SQL)):
+        result = compare(query(spark, edge.SF), duck, sql)
+        assert result["values_match"], result
+
+
 def test_empty(spark):
     assert suffixes.remove_duplicate_spans(edge.empty(spark)).collect() == []
     assert suffixes.dedup_text(edge.empty(spark)).collect() == []

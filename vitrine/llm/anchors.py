@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.blocks import Replies, fold, packets, repeated, text_blocks
-from vitrine.llm.common import BASE_1, BASE_2, prefix_sums, span_hashes, stored, table, text_bytes, word_bounds
+from vitrine.llm.common import BASE_1, BASE_2, WORD, prefix_sums, span_hashes, stored, table, text_bytes, word_bounds
 
 WINDOW_WORDS = 35
 _CHUNK = 1 << 18
@@ -160,3 +160,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, with_text: bool
 def op9_anchors(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP9_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+w AS (SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS p FROM d),
+g AS (SELECT r, p, word, count(*) OVER f AS n, string_agg(word, ' ') OVER f AS seq FROM w
+  WINDOW f AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND {WINDOW_WORDS - 1} FOLLOWING)),
+again AS (SELECT seq FROM g WHERE n = {WINDOW_WORDS} GROUP BY seq HAVING count(*) > 1),
+c AS (SELECT r, p, word, max((n = {WINDOW_WORDS} AND again.seq IS NOT NULL)::INTEGER) OVER
+  (PARTITION BY r ORDER BY p ROWS BETWEEN {WINDOW_WORDS - 1} PRECEDING AND CURRENT ROW) AS gone FROM g LEFT JOIN again USING (seq)),
+k AS (SELECT r, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE gone = 0) AS kept FROM c GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""

@@ -34,6 +34,8 @@ def llm_sql() -> dict[str, str]:
     return found | {
         "op1_mix": mixing.OP1_SQL,
         "op3_cover_tree": covertree.OP3_SQL,
+        "op5_suffixes": suffixes.OP5_SQL,
         "op6_licenses": licenses.OP6_SQL,
         "op8_warc": warc.OP8_SQL,
+        "op9_anchors": anchors.OP9_SQL,
     }

@@ -404,3 +404,18 @@ def dedup_text(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def op5_suffixes(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return remove_duplicate_spans(docs).drop("kept", "rest")
+
+
+# Every window as a row: for small tables.
+OP5_SQL = f"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, text) AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, p, b[p:p + {LENGTH - 1}] AS seq FROM (SELECT r, b, unnest(range(1, octet_length(b) - {LENGTH - 2})) AS p FROM d WHERE octet_length(b) >= {LENGTH})),
+late AS (SELECT r, p FROM (SELECT r, p, row_number() OVER (PARTITION BY seq ORDER BY r, p) AS n FROM w) WHERE n > 1),
+y AS (SELECT r, p, substr(h, 2 * p - 1, 2) AS byte FROM (SELECT r, hex(b) AS h, unnest(range(1, octet_length(b) + 1)) AS p FROM d)),
+c AS (SELECT r, p, byte, max((late.p IS NOT NULL)::INTEGER) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN {LENGTH - 1} PRECEDING AND CURRENT ROW) AS gone
+  FROM y LEFT JOIN late USING (r, p)),
+e AS (SELECT *, gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), 0) = 0 AS opens FROM c),
+k AS (SELECT r, sum(gone)::BIGINT AS n_removed, count_if(opens)::BIGINT AS n_spans, string_agg(byte, '' ORDER BY p) FILTER (WHERE gone = 0) AS kept FROM e GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""
