@@ -55,6 +55,33 @@ def test_word_order_matters(spark):
     assert got[order[0]]["score"] > got[order[0]]["base_score"] + 5
 
 
+def test_words_outside_of_the_core(spark):
+    """Words that never stand beside a core word are exchanged too: alternating ones part."""
+    import random
+
+    r = random.Random(5)
+    first, second = [f"a{i}" for i in range(20)], [f"b{i}" for i in range(20)]
+    held = lambda k: zlib.crc32(str(k).encode()) % 7 == 2
+    rows = [(k, "core " * 40 + "x " + " ".join(r.choice(first) + " " + r.choice(second) for _ in range(40)) + " y" + " core" * 40) for k in range(80) if not held(k)]
+    blocks = brown.encode(edge.documents(spark, rows))
+    words, of = brown.cluster_core(blocks, 1, 1)
+    assert words == ["core"]
+    start = brown.lexicons(blocks, words, of)
+
+    def classes(lexicon):
+        found = {}
+        for b in blocks.join(lexicon, "block").collect():
+            found |= dict(zip([b["words"].split(" ")[i] for i in np.frombuffer(b["at"], np.int32)], np.frombuffer(b["class"], np.uint8).tolist()))
+        return found
+
+    likely = lambda x: brown.likelihood(brown._bigrams(blocks.join(x.withColumnRenamed("class", "cls"), "block")))
+    end = brown.exchange_all(blocks, start)
+    assert len({classes(start)[w] for w in first + second}) > 3  # not one heap
+    got = classes(end)
+    assert not {got[w] for w in first} & {got[w] for w in second}
+    assert likely(end) > likely(start) + 0.05
+
+
 def test_probabilities_add_up():
     rng = np.random.default_rng(0)
     of = np.concatenate([rng.integers(0, brown.CLASSES, 200), [brown.END]])

@@ -9,8 +9,12 @@ stand before and after each core word, and the words then move one by one to
 the class that raises the likelihood most. With the core settled, one more
 sweep over every word puts the rest into classes by the same criterion and
 counts the words on the way: each block sends its words with their counts and
-contexts, and gets back their total counts and classes, with which its texts
-are scored.
+contexts, and gets back their total counts and classes. That is where the exchange
+of all words starts: in turns, every word of one half (by a hash) moves to the class
+that raises the likelihood most, given the classes of all its neighbours, until
+neither half's turn raises the likelihood any more (by ``RISE`` per token). The
+driver holds only the counts of class bigrams. With the best classes the texts are
+scored.
 
 P(word | class before) = (1 - u) P(class | class before) P(word | class), where u
 is the chance of an unknown word after that class, estimated from words seen
@@ -26,6 +30,7 @@ no rows; other columns are not read.
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -41,6 +46,7 @@ from vitrine.llm.common import group_starts, n_buckets, stored, table, whole_gro
 CLASSES = 32
 CORE = 4096
 SWEEPS = 4
+RISE = 1e-3
 FOLDS, HELD = 7, 2
 SMOOTHING = 5.0
 BLOCK_BYTES = 8 << 20
@@ -205,45 +211,50 @@ def cluster_core(blocks: DataFrame, core: int = CORE, sweeps: int = SWEEPS) -> t
 LEXICON = "block long, at binary, n binary, class binary"
 
 
-def lexicons(blocks: DataFrame, words: list[str], of: np.ndarray) -> DataFrame:
+def _gains(matrix: np.ndarray) -> np.ndarray:
+    """Context slots times this matrix give a word's likelihood in each class."""
+    pair = np.log(matrix + 0.5)
+    rows, cols = np.log(matrix.sum(1) + 0.5 * SLOTS)[:CLASSES], np.log(matrix.sum(0) + 0.5 * SLOTS)[:CLASSES]
+    return np.concatenate([pair[:CLASSES].T - rows, pair[:, :CLASSES] - cols])
+
+
+def _stay(matrix: np.ndarray, seen: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Likelihood of each word in its own class, the word's counts taken out of it."""
+    a, b = seen[:, :SLOTS], seen[:, SLOTS:]
+    row, col = np.maximum(matrix[of] - a, 0), np.maximum(matrix.T[of] - b, 0)
+    inside = (np.log(row + 0.5) * a).sum(1) + (np.log(col + 0.5) * b).sum(1)
+    return inside - a.sum(1) * np.log(row.sum(1) + 0.5 * SLOTS) - b.sum(1) * np.log(col.sum(1) + 0.5 * SLOTS)
+
+
+def _meet(blocks: DataFrame, slots_of, choose) -> DataFrame:
     """Per block, the total training counts and the classes of its words, in
     their order. A row with a negative block holds, for a task's words, the sum of
     the counts (n) and the number of words counted (at). Stored.
 
+    ``slots_of`` gives the slots of a block's tokens 0, 1, ... and which of these send
+    their contexts; ``choose`` the classes of words, of their names, contexts and slots.
     A word meets its own rows, one per block; there is no row per token."""
-    place = {w: i for i, w in enumerate(words)}
-    slots = np.concatenate([of, [END, OTHER]]).astype(np.int64)
-    counts = _sweep_counts(blocks, words, of)
-    matrix = np.zeros((SLOTS, SLOTS))
-    np.add.at(matrix, of, counts[:-1, :SLOTS])
-    matrix[END] += counts[-1, :SLOTS]
-    pair = np.log(matrix + 0.5)
-    rows, cols = np.log(matrix.sum(1) + 0.5 * SLOTS)[:CLASSES], np.log(matrix.sum(0) + 0.5 * SLOTS)[:CLASSES]
-    # Context slots times this matrix give a word's likelihood in each class; of
-    # words outside of the core as neighbours nothing is known yet.
-    likely = np.concatenate([pair[:CLASSES].T - rows, pair[:, :CLASSES] - cols])
-    likely[[OTHER, SLOTS + OTHER]] = 0
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for block, found, trains, ids, ends, held in zip(*(b[c] for c in ("block", "words", "trains", "ids", "ends", "held"))):
-                names, count = _words(found), np.frombuffer(trains, np.int32)
-                tokens, _, train = _tokens(ids, ends, held)
-                core = _places(found, place, len(words))
-                slot = slots[core][tokens][train]
+            for r in b.itertuples(index=False):
+                names, count = _words(r.words), np.frombuffer(r.trains, np.int32)
+                tokens, _, train = _tokens(r.ids, r.ends, r.held)
+                of, moves = slots_of(r)
+                slot = of[tokens][train]
                 word = tokens[train].astype(np.int64)
-                # The contexts of words outside of the core; its own classes are known.
-                rare = np.flatnonzero(core[word] < 0)
-                before = np.concatenate([[END], slot[:-1]])[rare]
-                after = np.concatenate([slot[1:], [END]])[rare]  # the last token is an end, so never rare
-                key = np.concatenate([word[rare] * (2 * SLOTS) + after, word[rare] * (2 * SLOTS) + SLOTS + before])
+                sent = np.flatnonzero(moves[word])
+                before = np.concatenate([[END], slot[:-1]])[sent]
+                after = np.concatenate([slot[1:], [END]])[sent]  # the last token is an end, which is not sent
+                key = np.concatenate([word[sent] * (2 * SLOTS) + after, word[sent] * (2 * SLOTS) + SLOTS + before])
                 key, n = np.unique(key, return_counts=True)
                 owner = key // (2 * SLOTS)
                 packed = (((key - owner * (2 * SLOTS)).astype(np.uint32) << np.uint32(24)) | np.minimum(n, (1 << 24) - 1).astype(np.uint32)).tobytes()
                 edge = (4 * np.searchsorted(owner, np.arange(len(names) + 2))).tolist()
                 for i in range(0, len(names), 50_000):
                     at = range(i, min(len(names), i + 50_000))
-                    yield pd.DataFrame({"word": names[i : i + 50_000], "block": block, "at": at, "n": count[i : i + 50_000], "context": [packed[edge[w + 1] : edge[w + 2]] for w in at]})
+                    part = {"word": names[i : i + 50_000], "block": r.block, "at": at, "n": count[i : i + 50_000], "slot": of[i + 1 : i + 1 + len(at)]}
+                    yield pd.DataFrame(part | {"context": [packed[edge[w + 1] : edge[w + 2]] for w in at]})
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         all_n = all_words = 0
@@ -255,9 +266,7 @@ def lexicons(blocks: DataFrame, words: list[str], of: np.ndarray) -> DataFrame:
             entry = np.frombuffer(b"".join(part["context"]), np.uint32)
             cell = np.repeat(group, length) * (2 * SLOTS) + (entry >> np.uint32(24)).astype(np.int64)
             seen = np.bincount(cell, weights=(entry & np.uint32(0xFFFFFF)).astype(float), minlength=len(start) * 2 * SLOTS)
-            best = (seen.reshape(len(start), 2 * SLOTS) @ likely).argmax(1)
-            own = np.array([place.get(w, -1) for w in names[start].tolist()])
-            best[own >= 0] = of[own[own >= 0]]
+            best = choose(names[start].tolist(), seen.reshape(len(start), 2 * SLOTS), part["slot"].to_numpy()[start])
             n = np.add.reduceat(part["n"].to_numpy(np.int64), start)
             all_n, all_words = all_n + int(n.sum()), all_words + int((n > 0).sum())
             yield pd.DataFrame({"block": part["block"], "at": part["at"], "n": n[group], "class": best[group].astype(np.int32)})
@@ -272,12 +281,112 @@ def lexicons(blocks: DataFrame, words: list[str], of: np.ndarray) -> DataFrame:
                 yield table([(int(p["block"].iloc[0]), p["at"].to_numpy(np.int32).tobytes(), p["n"].to_numpy(np.int64).tobytes(), p["class"].to_numpy(np.uint8).tobytes())], ["block", "at", "n", "class"])
 
     parts = n_buckets(blocks.sparkSession)
-    sent = blocks.select("block", "words", "trains", "ids", "ends", "held").mapInPandas(send, "word string, block long, at int, n int, context binary")
+    sent = blocks.mapInPandas(send, "word string, block long, at int, n int, slot int, context binary")
     met = sent.repartition(parts, "word").sortWithinPartitions("word").mapInPandas(assign, "block long, at int, n long, class int")
     back = met.repartition(parts, "block").sortWithinPartitions("block", "at").mapInPandas(pack, LEXICON)
     return stored(back, "lexicons")
 
 
+SENT = ("block", "words", "trains", "ids", "ends", "held")
+
+
+def _by_hash(names: list[str]) -> np.ndarray:
+    return np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in names], np.int64)
+
+
+def lexicons(blocks: DataFrame, words: list[str], of: np.ndarray) -> DataFrame:
+    """Counts and first classes of all words: of the core as given, of the others by
+    their neighbours in the core, or by a hash if they have none."""
+    place = {w: i for i, w in enumerate(words)}
+    slots = np.concatenate([of, [END, OTHER]]).astype(np.int64)
+    counts = _sweep_counts(blocks, words, of)
+    matrix = np.zeros((SLOTS, SLOTS))
+    np.add.at(matrix, of, counts[:-1, :SLOTS])
+    matrix[END] += counts[-1, :SLOTS]
+    # Of words outside of the core as neighbours nothing is known yet.
+    likely = _gains(matrix)
+    likely[[OTHER, SLOTS + OTHER]] = 0
+
+    def slots_of(r) -> tuple[np.ndarray, np.ndarray]:
+        core = _places(r.words, place, len(words))
+        return slots[core], core < 0  # the classes of the core are known
+
+    def choose(names: list[str], seen: np.ndarray, _) -> np.ndarray:
+        best = (seen @ likely).argmax(1)
+        seen[:, [OTHER, SLOTS + OTHER]] = 0
+        alone = np.flatnonzero(~seen.any(1))
+        best[alone] = _by_hash([names[i] for i in alone.tolist()]) % CLASSES
+        own = np.array([place.get(w, -1) for w in names])
+        best[own >= 0] = of[own[own >= 0]]
+        return best
+
+    return _meet(blocks.select(*SENT), slots_of, choose)
+
+
+def _bigrams(classed: DataFrame) -> np.ndarray:
+    """Counts of class after class over all training tokens."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(SLOTS * SLOTS, np.int64)
+        for b in batches:
+            for r in b.itertuples(index=False):
+                tokens, _, train = _tokens(r.ids, r.ends, r.held)
+                of = _lexicon(len(r.trains) // 4 + 1, r.at, r.n, r.cls, 0)[1][tokens[train]]
+                total += np.bincount(np.concatenate([[END], of[:-1]]) * SLOTS + of, minlength=len(total))
+        cell = np.flatnonzero(total)
+        yield pd.DataFrame({"cell": cell, "n": total[cell]})
+
+    out = np.zeros(SLOTS * SLOTS)
+    counted = classed.select("trains", "ids", "ends", "held", "at", "n", "cls").mapInPandas(run, "cell long, n long")
+    for r in counted.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # bounded by the classes
+        out[r["cell"]] = r["n"]
+    return out.reshape(SLOTS, SLOTS)
+
+
+def likelihood(matrix: np.ndarray) -> float:
+    """Of the class bigrams, per token, beyond that of the words by themselves."""
+    share = matrix / max(matrix.sum(), 1)
+    alone = np.outer(share.sum(1), share.sum(0))
+    at = share > 0
+    return float((share[at] * np.log(share[at] / alone[at])).sum())
+
+
+def exchange_all(blocks: DataFrame, lexicon: DataFrame, rise: float = RISE) -> DataFrame:
+    """The lexicon with the classes of all words exchanged until the likelihood stops rising."""
+
+    def classed(found: DataFrame) -> DataFrame:
+        return blocks.select(*SENT).join(found.withColumnRenamed("class", "cls"), "block", "left")
+
+    matrix = _bigrams(classed(lexicon))
+    level, idle = likelihood(matrix), 0
+    for turn in itertools.count():
+        likely = _gains(matrix)
+
+        def slots_of(r, turn=turn) -> tuple[np.ndarray, np.ndarray]:
+            of = _lexicon(len(r.trains) // 4 + 1, r.at, r.n, r.cls, 0)[1]
+            # Only words whose turn it is need their contexts.
+            return of, np.concatenate([[False], _by_hash(_words(r.words)) % 2 == turn % 2])
+
+        def choose(names: list[str], seen: np.ndarray, slot: np.ndarray, matrix=matrix, likely=likely, turn=turn) -> np.ndarray:
+            score = seen @ likely
+            at = np.flatnonzero(slot < CLASSES)
+            score[at, slot[at]] = _stay(matrix, seen[at], slot[at])
+            # Words that training lacks have no class to keep and none to move to.
+            move = (_by_hash(names) % 2 == turn % 2) & (slot < CLASSES)
+            return np.where(move, score.argmax(1), np.minimum(slot, CLASSES - 1))
+
+        moved = _meet(classed(lexicon), slots_of, choose)
+        counted = _bigrams(classed(moved))
+        now = likelihood(counted)
+        idle = 0 if now > level + rise else idle + 1
+        if now > level:
+            lexicon, matrix, level = moved, counted, now
+        # Lets Spark delete the shuffle files of the turns that are over.
+        blocks.sparkSession.sparkContext._jvm.System.gc()
+        if idle == 2:
+            return lexicon
+
+
 def _lexicon(size: int, at, n, cls, end_count: int) -> tuple[np.ndarray, np.ndarray]:
     """Count and class of the tokens 0..size of a block; those that training lacks are OTHER."""
     count, of = np.zeros(size, np.int64), np.full(size, OTHER, np.int64)
@@ -350,7 +459,7 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def score_documents(docs: DataFrame, core: int = CORE, sweeps: int = SWEEPS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``."""
     blocks = encode(docs)
-    lexicon = lexicons(blocks, *cluster_core(blocks, core, sweeps))
+    lexicon = exchange_all(blocks, lexicons(blocks, *cluster_core(blocks, core, sweeps)))
     end_count = blocks.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()[0]
     n, v = end_count, int(end_count > 0)
     for r in lexicon.filter("block < 0").select("at", "n").toLocalIterator():  # one row per task
