@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import anchors, brown, covertree, decontaminate, licenses, linehash, mixing, quality, simhash, suffixes, warc
+from vitrine.llm import anchors, brown, covertree, decontaminate, licenses, linehash, mixing, quality, simhash, suffixes, warc, whiten
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,6 +24,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": warc.op8_warc,
         "op9_anchors": anchors.op9_anchors,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op11_whiten": whiten.op11_whiten,
         "op13_lines": linehash.op13_lines,
     }
 
