@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import anchors, brown, covertree, decontaminate, licenses, linehash, mixing, quality, simhash, suffixes, warc, whiten
+from vitrine.llm import anchors, brown, covertree, decontaminate, licenses, linehash, mixing, quality, simhash, suffixes, trie, warc, whiten
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,6 +25,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_anchors": anchors.op9_anchors,
         "op10_decontaminate": decontaminate.op10_decontaminate,
         "op11_whiten": whiten.op11_whiten,
+        "op12_trie": trie.op12_trie,
         "op13_lines": linehash.op13_lines,
     }
 
@@ -40,5 +41,6 @@ def llm_sql() -> dict[str, str]:
         "op6_licenses": licenses.OP6_SQL,
         "op8_warc": warc.OP8_SQL,
         "op9_anchors": anchors.OP9_SQL,
+        "op12_trie": trie.OP12_SQL,
         "op13_lines": linehash.OP13_SQL,
     }
