@@ -97,6 +97,40 @@ def test_rejects_and_nan(spark, tmp_path):
     assert rejected_row_count(typed).first()["rejected_rows"] == 3
 
 
+def test_nan_in_whole_numbers_is_no_reject(spark, tmp_path):
+    p = tmp_path / "n.csv"
+    _write_csv(p, [_row(seller_products_sold="NaN", seller_num_products_listed=" nan "), _row(product_id="p2", seller_products_sold="1.5"), _row(product_id="p3", seller_products_sold="12.0")])
+    got = {r["product_id"]: (r["seller_products_sold"], r["rejected_fields"]) for r in type_listings(read_listings_csv(spark, str(p))).collect()}
+    assert got == {"p1": (None, []), "p2": (None, ["seller_products_sold"]), "p3": (12, [])}
+
+
+def test_quarantine_is_counted_by_the_write(spark, tmp_path):
+    """The source is gone after the write: counts and raw values come from that one pass."""
+    from vitrine.sources import quarantine, write_listings_with_quarantine
+
+    p, out = tmp_path / "q.csv", str(tmp_path / "out")
+    rows = [_row(product_id=f"p{i}", price_usd="abc" if i % 4 == 0 else "5", sold="maybe" if i % 10 == 0 else "True") for i in range(100)]
+    _write_csv(p, rows)
+    with open(p, "a") as f:
+        f.write("short,T,N\n")
+    docs = ingest_listings(spark, str(p), keep_raw=True)
+    report = write_listings_with_quarantine(docs, out)
+    p.unlink()
+    bad = [(r["id"], r["field"], r["raw"]) for r in quarantine(spark, out, docs.schema).collect()]
+    want = [(f"p{i}", "price_usd", "abc") for i in range(0, 100, 4)] + [(f"p{i}", "sold", "maybe") for i in range(0, 100, 10)]
+    assert sorted(x for x in bad if x[0] != "short") == sorted(want)
+    assert ("short", "malformed_row", "short,T,N") in bad
+    assert report.rows == 101 and report.rejected_rows == len({i for i, _, _ in bad})
+    assert sum(report.rejects.values()) == len(bad) and report.rejects["price_usd"] == 25 and report.rejects["sold"] == 10
+    assert spark.read.parquet(out).count() == 101
+    # Nothing rejected: an empty quarantine.
+    _write_csv(p, [_row()])
+    docs = ingest_listings(spark, str(p), keep_raw=True)
+    report = write_listings_with_quarantine(docs, out + "2")
+    assert (report.rows, report.rejected_rows, report.rejects) == (1, 0, {})
+    assert quarantine(spark, out + "2", docs.schema).collect() == []
+
+
 def test_missing_optional_columns_default_to_null(spark, tmp_path):
     header = [c for c in HEADER if c not in ("sold", "reserved", "available", "product_type")]
     p = tmp_path / "c.csv"

@@ -22,9 +22,11 @@ def plans(spark):
 
 
 def test_no_python_in_any_plan(plans):
+    """But for cutting multi-line CSV into records, on Arrow batches."""
     for name, text in plans.items():
         for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
             assert node not in text, (name, node)
+        assert ("MapInArrow" in text) == (name == "ingest_csv_multiline"), name
 
 
 def test_no_cartesian_product(plans):

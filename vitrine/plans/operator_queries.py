@@ -31,7 +31,15 @@ from vitrine.plans import oracle as O
 from vitrine.plans import params as P
 from vitrine.plans.registry import _on_listings
 from vitrine.session import checkpoint_root
-from vitrine.sources.ingest import ingest_listings, nest_listing, read_listings_json, type_listings, write_listings_json
+from vitrine.sources.ingest import (
+    ingest_listings,
+    nest_listing,
+    quarantine,
+    read_listings_json,
+    type_listings,
+    write_listings_json,
+    write_listings_with_quarantine,
+)
 
 c = F.col
 
@@ -296,6 +304,8 @@ def _typed_row(nested: DataFrame, *more) -> DataFrame:
 
 def _scratch(df: DataFrame, name: str) -> str:
     root = checkpoint_root(df.sparkSession, allow_local=True)
+    if root is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root}/vitrine/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -311,6 +321,35 @@ def ingest_csv_by_header(df: DataFrame) -> DataFrame:
     return _typed_row(nested, F.size("rejected_fields").cast("bigint").alias("rejected"))
 
 
+def ingest_csv_multiline(df: DataFrame) -> DataFrame:
+    """Every listing written as CSV with line breaks, commas and quotes inside its
+    name and description; read back in parallel and typed."""
+    raw = raw_text(df).withColumns({
+        "product_name": F.replace("product_name", F.lit(" "), F.lit("\n")),
+        "product_description": F.concat(F.lit('says "'), "product_type", F.lit('",\n\nand ends')),
+    })
+    path = _scratch(df, "csv")
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    nested = ingest_listings(df.sparkSession, path, multiline=True)
+    return _typed_row(nested, "name", "description", F.size("rejected_fields").cast("bigint").alias("rejected"))
+
+
+def ingest_quarantine(df: DataFrame) -> DataFrame:
+    """Listings with unreadable prices and follower counts, written once; the rejected
+    values come back from the quarantine next to the count that the write observed."""
+    number = F.split_part("product_id", F.lit("-"), F.lit(3)).cast("long")
+    raw = raw_text(df).withColumns({
+        "price_usd": F.when(number % 97 == 0, F.concat(F.lit("EUR "), "price_usd")).otherwise(c("price_usd")),
+        "seller_num_followers": F.when(number % 31 == 0, F.lit("many")).when(number % 29 == 0, F.lit("NaN")).otherwise(c("seller_num_followers")),
+        "seller_products_sold": F.when(number % 29 == 0, F.lit("NaN")).otherwise(c("seller_products_sold")),
+    })
+    docs = nest_listing(type_listings(raw, keep_raw=True), "full")
+    path = _scratch(df, "quarantine")
+    report = write_listings_with_quarantine(docs, path)
+    counted = F.create_map(*(F.lit(x) for pair in report.rejects.items() for x in pair)) if report.rejects else F.lit(None).cast("map<string,int>")
+    return quarantine(df.sparkSession, path, docs.schema).select("id", "field", "raw", counted[F.col("field")].cast("bigint").alias("counted"))
+
+
 def ingest_missing_columns(df: DataFrame) -> DataFrame:
     """The optional columns left out are null."""
     raw = raw_text(df).drop("sold", "reserved", "available", "product_type")
@@ -370,6 +409,40 @@ def type_color_lists(df: DataFrame) -> DataFrame:
     )
 
 
+def material_lists(df: DataFrame) -> DataFrame:
+    """Each season's materials of M2 as a list, unwound with positions."""
+    x = N.season_material_leave_one_out_nested(df).select("season", F.posexplode("materials").alias("pos", "m"))
+    return x.select(
+        "season", c("pos").cast("bigint").alias("pos"), c("m.material").alias("material"), c("m.count").alias("count"),
+        c("m.avg_price_usd").alias("avg_price_usd"), c("m.avg_of_other").alias("avg_of_other"), c("m.difference").alias("difference"),
+    )
+
+
+def warehouse_country_lists(df: DataFrame) -> DataFrame:
+    """M4's warehouses with lists of cheaper countries with lists of types, unwound with positions."""
+    n = N.warehouse_fee_comparison_nested(df)
+    x = n.select("warehouse_name", "total_sold", "avg_buyers_fees", "chunk", F.posexplode("countries_less_buyers_fees").alias("country_pos", "k"))
+    x = x.select("*", F.posexplode("k.nearest_product_types").alias("type_pos", "t"))
+    return x.select(
+        "warehouse_name", "total_sold", "avg_buyers_fees", "chunk", c("country_pos").cast("bigint").alias("country_pos"), c("k.country").alias("country"),
+        c("k.avg_buyers_fees_country").alias("avg_buyers_fees_country"), c("type_pos").cast("bigint").alias("type_pos"), c("t.type").alias("type"),
+        c("t.type_avg_buyers_fees").alias("type_avg_buyers_fees"), c("t.diff").alias("diff"),
+    )
+
+
+def badge_seller_lists(df: DataFrame) -> DataFrame:
+    """T3's badges, each with its earnings and the list of its top sellers, unwound with positions."""
+    x = N.badge_report_nested(df).select("badge", "min_earnings", "max_earnings", "avg_earnings", "count", F.posexplode("top_sellers").alias("pos", "s"))
+    return x.select("badge", "min_earnings", "max_earnings", "avg_earnings", "count", c("pos").cast("bigint").alias("pos"), c("s.seller_username").alias("seller_username"), c("s.products_sold").alias("products_sold"))
+
+
+def material_seller_lists(df: DataFrame) -> DataFrame:
+    """T5's materials, each with the list of its cheapest sellers, unwound with positions."""
+    n = N.cheapest_sellers_by_material_nested(df, countries=P.T5_COUNTRIES, min_pass_rate=P.T5_MIN_PASS_RATE)
+    x = n.select("material", F.posexplode("top_sellers").alias("pos", "s"))
+    return x.select("material", c("pos").cast("bigint").alias("pos"), c("s.seller").alias("seller"), c("s.avg_price").alias("avg_price"), c("s.pass_rate").alias("pass_rate"), c("s.seller_country").alias("seller_country"))
+
+
 def array_access(df: DataFrame) -> DataFrame:
     """E10, E11, E16-E18 on the words of each name: slice, element (null past
     the end), distinct, position, and the largest, sum and mean of the lengths."""
@@ -392,6 +465,8 @@ def array_access(df: DataFrame) -> DataFrame:
 
 _OPS = {
     "ingest_csv_by_header": ingest_csv_by_header,
+    "ingest_csv_multiline": ingest_csv_multiline,
+    "ingest_quarantine": ingest_quarantine,
     "ingest_missing_columns": ingest_missing_columns,
     "json_round_trip": json_round_trip,
     "view_fulfilment": _view("fulfilment"),
@@ -400,6 +475,10 @@ _OPS = {
     "seller_brand_lists": seller_brand_lists,
     "country_ranking_lists": country_ranking_lists,
     "type_color_lists": type_color_lists,
+    "material_lists": material_lists,
+    "warehouse_country_lists": warehouse_country_lists,
+    "badge_seller_lists": badge_seller_lists,
+    "material_seller_lists": material_seller_lists,
     "array_access": array_access,
     "order_statistics_few_values": order_statistics_few_values,
     "order_statistics_spike": order_statistics_spike,
@@ -585,6 +664,14 @@ def operator_sql() -> dict[str, str]:
         f"SELECT {_TYPED.replace('CAST(price_usd AS DOUBLE)', 'CASE WHEN l_partkey % 97 <> 0 THEN CAST(price_usd AS DOUBLE) END')}, "
         "CAST(l_partkey % 97 = 0 AS BIGINT) AS rejected FROM p"
     )
+    sql["ingest_csv_multiline"] = w() + (
+        f"SELECT {_TYPED}, replace(name, ' ', chr(10)) AS name, 'says \"' || type || '\",' || chr(10) || chr(10) || 'and ends' AS description, "
+        "CAST(0 AS BIGINT) AS rejected FROM p"
+    )
+    sql["ingest_quarantine"] = w(
+        f"bad AS (SELECT {_ID} AS id, 'price_usd' AS field, 'EUR ' || CAST(price_usd AS VARCHAR) AS raw FROM p WHERE l_partkey % 97 = 0 AND price_usd IS NOT NULL "
+        f"UNION ALL SELECT {_ID}, 'seller_num_followers', 'many' FROM p WHERE l_partkey % 31 = 0)"
+    ) + "SELECT id, field, raw, count(*) OVER (PARTITION BY field) AS counted FROM bad"
     sql["ingest_missing_columns"] = w() + (
         f"SELECT {_ID} AS id, CAST(NULL AS VARCHAR) AS type, CAST(NULL AS BOOLEAN) AS sold, CAST(NULL AS BOOLEAN) AS available, season FROM p"
     )
@@ -603,6 +690,20 @@ def operator_sql() -> dict[str, str]:
         "product_type, row_number() OVER (PARTITION BY condition, product_type ORDER BY color_count DESC, color ASC NULLS FIRST) - 1 "
         f"AS color_pos, color, color_count FROM ({O.m1()})"
     )
+    sql["material_lists"] = (
+        "SELECT season, row_number() OVER (PARTITION BY season ORDER BY count DESC, material ASC NULLS FIRST) - 1 AS pos, material, count, "
+        f"avg_price_usd, avg_of_other, difference FROM ({O.m2()})"
+    )
+    sql["warehouse_country_lists"] = (
+        "SELECT warehouse_name, total_sold, avg_buyers_fees, CAST(0 AS BIGINT) AS chunk, dense_rank() OVER (PARTITION BY warehouse_name ORDER BY country ASC "
+        "NULLS FIRST) - 1 AS country_pos, country, avg_buyers_fees_country, row_number() OVER (PARTITION BY warehouse_name, country ORDER BY diff, "
+        f"type ASC NULLS FIRST) - 1 AS type_pos, type, type_avg_buyers_fees, diff FROM ({O.m4_nearest()})"
+    )
+    sql["badge_seller_lists"] = (
+        "SELECT badge, min_earnings, max_earnings, avg_earnings, count, CAST(seller_rank - 1 AS BIGINT) AS pos, seller_username, products_sold "
+        f"FROM ({O.t3_report()})"
+    )
+    sql["material_seller_lists"] = f"SELECT material, CAST(rank - 1 AS BIGINT) AS pos, seller, avg_price, pass_rate, seller_country FROM ({O.t5()})"
     sql["array_access"] = w(
         "g AS (SELECT DISTINCT name, string_split(name, ' ') AS ws FROM p)",
         "h AS (SELECT *, list_transform(ws, lambda x: length(x)) AS ls FROM g)",
