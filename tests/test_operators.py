@@ -279,6 +279,33 @@ def test_rank_matches_window_with_hot_key(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("batch", [7, 10_000])
+def test_rank_over_many_partitions_keeps_the_order(spark, batch):
+    """A group over several partitions and batches, null and NaN keys; nothing is sorted or moved again."""
+    from vitrine.operators import rank_per_group
+
+    nan = float("nan")
+    rows = [("hot", 1.0, i % 97, i) for i in range(3000)] + [(f"k{j}", nan, j, j) for j in range(50)] + [(None, None, 1, 7), (None, None, 1, 8), ("k3", nan, 1, 999)]
+    df = spark.createDataFrame(rows, "g string, h double, v long, id long").repartition(8)
+    order = [("v", "desc"), ("id", "asc")]
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.execution.arrow.maxRecordsPerBatch": str(batch)}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        ranked = rank_per_group(df, ["g", "h"], order)
+        assert ranked.rdd.getNumPartitions() > 4
+        got = [(r["g"], str(r["h"]), r["v"], r["id"], r["rank"]) for r in ranked.collect()]
+        text = ranked._jdf.queryExecution().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {(r["g"], r["id"], str(r["h"])): r["rank"] for r in window_rank(df, ["g", "h"], order).collect()}
+    assert {(g, i, h): rank for g, h, _, i, rank in got} == want
+    assert got == sorted(got, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[4]))
+    assert "Exchange" not in text and "Sort [" not in text
+
+
 def test_inequality_join_heavy_value_bucket(spark):
     # Half of the right side is one value: it gets its own bucket.
     right = spark.createDataFrame([(j, 5.0) for j in range(200)] + [(1000 + j, float(j % 11)) for j in range(200)], "r long, rv double")

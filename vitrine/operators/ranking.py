@@ -16,10 +16,19 @@ Scale notes
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# The numbering goes to the executors by value, which so need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Order = Sequence[Column | str | tuple[str | Column, str]]
 
@@ -57,33 +66,63 @@ def top_k_per_group(
 
 def rank_per_group(df: DataFrame, keys: Sequence[str], order: Order, rank_col: str = "rank") -> DataFrame:
     """Number every row of its group 1..n under ``order`` (W2); ties get
-    distinct numbers (``order`` should make the order total).
+    distinct numbers (``order`` should make the order total). The rows come in
+    order of (keys, ``order``).
 
     One plan for every size; no group is held in one task.
 
     1. Sort globally by (keys, order): range partitioning cuts a hot key
        into many partitions. The sorted result is stored (reliable
-       checkpoint), which pins each row's partition and position.
-    2. Per (partition, key): row count and the index of its first row
-       (``monotonically_increasing_id`` numbers rows in partition order).
-    3. A key's offset in a partition is the sum of its counts in earlier
-       partitions: a window over that small table (one row per partition a
-       key spans).
-    4. rank = offset + (index - first index) + 1, joined back on
-       (partition, key).
+       checkpoint), which pins each row's partition and place.
+    2. Count rows per (partition, key). At most one group of a partition began
+       in an earlier one; how many rows it had there is its offset, one number
+       per partition.
+    3. Run over each sorted partition on Arrow batches and count from the
+       group's start, or on from the offset. Nothing moves, so the order stays.
     """
-    from vitrine.operators.joins import join_on_keys
     from vitrine.operators.materialize import reuse
 
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + order_columns(order)
-    ordered = reuse(df.orderBy(*sort_cols))
-    tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_idx", F.monotonically_increasing_id())
-    firsts = tagged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_idx").alias("_first"))
+    ordered = reuse(df.orderBy(*sort_cols)).withColumn("_pid", F.spark_partition_id())
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = firsts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    joined = join_on_keys(tagged, offsets, ["_pid", *keys])
-    rank = (F.col("_off") + F.col("_idx") - F.col("_first") + 1).cast("bigint")
-    return joined.withColumn(rank_col, rank).drop("_pid", "_idx", "_first", "_off")
+    counts = ordered.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    went_on = counts.withColumn("_off", F.sum("_n").over(before)).where("_off > 0").select("_pid", "_off")
+    offsets = {r["_pid"]: r["_off"] for r in went_on.collect()}  # at most one row per partition
+    out = T.StructType([*df.schema.fields, T.StructField(rank_col, T.LongType(), True)])
+    return ordered.mapInArrow(_numbering(list(keys), df.columns, offsets, rank_col), out)
+
+
+def _numbering(keys: list[str], columns: list[str], offsets: dict[int, int], rank_col: str):
+    """Number the rows of one sorted partition's batches by runs of equal keys."""
+
+    def differs(a: pa.Array, b: pa.Array) -> np.ndarray:
+        other = pc.fill_null(pc.not_equal(a, b), False)
+        if pa.types.is_floating(a.type):  # a NaN is the same key as another
+            other = pc.and_not(other, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        return pc.or_(other, pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: pa.RecordBatch | None = None
+        count = 0  # rows so far of the run at the end of the last batch
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, bool)
+            for k in keys:
+                column = batch.column(k)
+                new[1:] |= differs(column.slice(1), column.slice(0, n - 1))
+                if last is not None:
+                    new[0] |= bool(differs(column.slice(0, 1), last.column(k))[0])
+            if last is None:
+                count = offsets.get(batch.column("_pid")[0].as_py(), 0)
+            at = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, at, -1))
+            rank = np.where(start >= 0, at - start + 1, at + 1 + count)
+            count, last = int(rank[-1]), batch.slice(n - 1)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(rank, pa.int64())], names=[*columns, rank_col])
+
+    return run
 
 
 def _ascending_key(order: Order) -> Column:

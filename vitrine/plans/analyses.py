@@ -260,9 +260,8 @@ def country_seller_ranking(df: DataFrame) -> DataFrame:
         likes_to_followers(c("_likes"), c("_products"), c("_followers")).alias("likes_to_followers_ratio"),
     )
     ranked = rank_per_group(g, ["country"], [("total_earnings", "desc"), ("username", "asc"), ("seller_id", "asc")], "rank")
-    return ranked.select(
-        "country", "username", "total_earnings", "avg_likes_per_product", "likes_to_followers_ratio", "rank"
-    ).orderBy(c("country").asc_nulls_first(), "rank")
+    # Already in order of country and rank.
+    return ranked.select("country", "username", "total_earnings", "avg_likes_per_product", "likes_to_followers_ratio", "rank")
 
 
 # --------------------------------------------------------------------- T5
