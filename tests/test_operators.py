@@ -114,6 +114,53 @@ def test_order_stats_rounds_stay_few(spark, kind, expression, q):
     assert got.values == [want] and got.n == n
 
 
+@pytest.mark.parametrize("expression", ["id * 7919 % 1000003", "cast(id % 977 / 8 as decimal(18,6))", "if(id % 3 = 0, 12, id)", "cast(-id as smallint)"])
+def test_nine_deciles_in_three_scans(spark, monkeypatch, expression):
+    """Every scan is one action; the driver's own rows of sketches are not read from the table."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from vitrine.operators import order_stats
+
+    df = spark.range(30_000 if "smallint" in expression else 300_000).selectExpr(f"{expression} AS v")
+    qs = [i / 10 for i in range(1, 10)]
+    scans = []
+    for name in ("first", "collect"):
+        def action(self, *a, run=getattr(DataFrame, name), **kw):
+            if "Range (" in self._jdf.queryExecution().toString():
+                scans.append(1)
+            return run(self, *a, **kw)
+
+        monkeypatch.setattr(DataFrame, name, action)
+    got = order_stats(df, "v", qs)
+    monkeypatch.undo()
+    values = sorted(r["v"] for r in df.collect())
+    assert got.values == [values[int(len(values) * q)] for q in qs]
+    assert got.scans <= 3
+    # ``first`` is a ``collect`` as well.
+    assert len(scans) <= 2 * 3
+
+
+@pytest.mark.parametrize("margin", [0.0, 1e-5, 0.4])
+def test_bounds_that_fail_cost_scans_only(spark, margin):
+    """A margin far below the sketch's error: the counts still lead to the right value."""
+    from vitrine.operators import order_stats
+
+    df = spark.range(50_000).selectExpr("id * 7919 % 50021 AS v")
+    values = sorted(r["v"] for r in df.collect())
+    qs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = order_stats(df, "v", qs, accuracy=8, margin=margin)
+    assert got.values == [values[min(int(len(values) * q), len(values) - 1)] for q in qs]
+
+
+def test_order_stats_of_doubles_and_wide_decimals(spark):
+    from vitrine.operators import order_stats
+
+    df = spark.range(5000).selectExpr("sqrt(id * 37 % 5003) AS d", "cast(id * 37 % 5003 as decimal(38,3)) * 1000000000000 AS w", "cast(id % 100 as int) - 50 AS i")
+    for c in ("d", "w", "i"):
+        values = sorted(r[c] for r in df.collect())
+        assert order_stats(df, c, [0.25, 0.5]).values == [values[1250], values[2500]]
+
+
 def test_order_stats_without_values(spark):
     from vitrine.operators import cut_values, order_stats
 
