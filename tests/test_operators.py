@@ -421,6 +421,30 @@ def test_inequality_join_with_equality_keys_both_paths(spark):
         assert {(x["l"], x["r"]) for x in out.collect()} == brute
 
 
+def test_inequality_join_of_millions_of_distinct_values(spark):
+    """No value enters the plan, however many there are, and all of it is generated code."""
+    right = spark.range(4_000_000).selectExpr("id AS r", "cast(id * 7919 % 4000037 as double) AS rv")
+    left = spark.createDataFrame([(i, float(300 * i)) for i in range(40)] + [(99, -1.0), (98, None)], "l long, lv double")
+    out = inequality_join(left, right, "lv", "rv", "<")
+    text = out._jdf.queryExecution().toString()
+    assert len(text) < 60_000 and "4000036" not in text
+    got = out.groupBy("l").agg(F.count("*").alias("n"), F.max("rv").alias("top")).collect()
+    values = sorted(i * 7919 % 4000037 for i in range(4_000_000))
+    for r in got:
+        below = [v for v in values[:20_000] if v < 300 * r["l"]]
+        assert (r["n"], r["top"]) == (len(below), below[-1])
+    assert {r["l"] for r in got} == set(range(1, 40))
+
+
+def test_inequality_join_of_ties_costs_its_output(spark):
+    """A third of both sides are one value: a strict join makes no pair of them on the way."""
+    left = spark.range(30_000).selectExpr("id AS l", "if(id % 3 = 0, 5, -1) AS lv")
+    right = spark.range(30_000).selectExpr("id AS r", "if(id % 3 = 0, 5, 10 + id) AS rv")
+    assert inequality_join(left, right, "lv", "rv", "<").count() == 0
+    few = left.where("l < 30")
+    assert inequality_join(few, right, "lv", "rv", "<=").count() == 10 * 10_000
+
+
 def test_null_condition_is_its_own_group(spark):
     df = make_listings(spark, [
         {"condition": None, "type": "T1", "color": "red"},

@@ -4,6 +4,8 @@ from vitrine.operators.groups import leave_one_out_in_list, leave_one_out_mean,
 from vitrine.operators.joins import (
     above_scalar,
     inequality_join,
+    pairs_below,
+    place_by_value,
     join_on_keys,
     nearest_k,
     one_row,
@@ -29,6 +31,8 @@ __all__ = [
     "exact_order_stats",
     "order_stats",
     "inequality_join",
+    "pairs_below",
+    "place_by_value",
     "join_on_keys",
     "leave_one_out_in_list",
     "leave_one_out_mean",

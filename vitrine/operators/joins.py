@@ -2,22 +2,22 @@
 
 No cross joins and no broadcast hints. A one-row side (a global aggregate)
 runs once and its values enter the plan as literals (``one_row``). An
-inequality join is an equi-join on buckets at every size; which equi-joins are
-broadcast is left to the planner and AQE.
+inequality join merges both sides in order and is an equi-join on places at every
+size; which equi-joins are broadcast is left to the planner and AQE.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.operators.ranking import Order, top_k_per_group
 
+
 def one_row(agg: DataFrame):
     """The single row of a global aggregate (a few values, never data).
 
@@ -54,32 +54,6 @@ def above_scalar(df: DataFrame, value: str, total: Column, count: Column) -> Dat
     return df.where(F.col(value) > bound)
 
 
-def _bucket_expr(v: Column, cuts: Sequence) -> Column:
-    """Index of the bucket of ``v`` among sorted ``cuts`` (0..len(cuts)):
-    the number of cut points ``<= v``, as a balanced CASE tree (log depth,
-    stays in generated code)."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(v < F.lit(cuts[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    return build(0, len(cuts))
-
-
-def _successor(dtype):
-    """The next representable value above ``v`` for numeric types, else None."""
-    if isinstance(dtype, T.DecimalType):
-        step = Decimal(1).scaleb(-dtype.scale)
-        return lambda v: v + step
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return lambda v: math.nextafter(v, math.inf)
-    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        return lambda v: v + 1
-    return None
-
-
 def inequality_join(
     left: DataFrame,
     right: DataFrame,
@@ -92,56 +66,84 @@ def inequality_join(
 ) -> DataFrame:
     """All pairs with ``right[right_value] <op> left[left_value]``.
 
-    Nulls never match. ``on`` adds equality keys present on both sides.
+    Nulls never match. ``on`` adds equality keys present on both sides (null is
+    a key like others).
 
-    The right values are cut into ``buckets`` quantile ranges, by default the
-    square root of their number. A left row in bucket b pairs with every right
-    row of buckets < b through an equi-join on the bucket id (each such pair is
-    an answer), and with its own bucket through an equi-join plus the
-    inequality. The work is the output plus one bucket per left row. A heavy
-    value (one filling several quantiles) gets a bucket of its own, which a
-    strict comparison skips. Both sides are stored once, as they are read for
-    the cuts and by both joins.
+    Both sides are merged in order of their values (``place_by_value``), so each
+    right row gets its number among the right rows of its keys and each left row
+    the number of right rows that it pairs with: the first so many. Pairs then
+    come from an equi-join (``pairs_below``). No value enters the plan.
+    ``buckets`` is the number of ranges, by default Spark's.
     """
-    from vitrine.operators.materialize import reuse
-
     if op not in ("<", "<=", ">", ">="):
         raise ValueError(f"unsupported operator {op!r}")
-    lv, rv = F.col(left_value), F.col(right_value)
-    left = reuse(left.where(lv.isNotNull()))
-    right = reuse(right.where(rv.isNotNull()))
-    eq = [left[k].eqNullSafe(right[k]) for k in on]
-    if buckets is None:
-        buckets = max(2, math.isqrt(right.count()))
     sign = 1 if op in ("<", "<=") else -1
-    lkey, rkey = F.lit(sign) * lv, F.lit(sign) * rv  # now "rkey < lkey" (or <=)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts_row = right.agg(F.percentile_approx(rkey, probs, 10_000).alias("c")).first()
-    raw = list(cuts_row["c"] or [])
-    # A value that fills more than one quantile is heavy: give it a bucket of
-    # its own, [v, next value), so its many rows never meet a range of others.
-    succ = _successor(right.select(rkey.alias("k")).schema["k"].dataType)
-    heavy = sorted({v for v in raw if raw.count(v) > 1}) if succ else []
-    cuts = sorted(set(raw) | {succ(v) for v in heavy})
-    single = [cuts.index(v) + 1 for v in heavy]
-    lb = _bucket_expr(lkey, cuts).alias("_lb")
-    rb = _bucket_expr(rkey, cuts).alias("_b")
-    lt = left.withColumn("_lb", lb)
-    rt = right.withColumn("_b", rb)
-    below = lt.withColumn(
-        "_b", F.explode(F.when(F.col("_lb") > 0, F.sequence(F.lit(0), F.col("_lb") - 1)).otherwise(F.array()))
-    )
-    strict = op in ("<", ">")
-    same_cond = (rkey < lkey) if strict else (rkey <= lkey)
-    part_below = below.join(rt, [*eq, below["_b"] == rt["_b"]], "inner")
-    # Inside a single-value bucket both sides are equal: a strict comparison
-    # never holds there, so those buckets are not joined at all.
-    same_left = lt.where(~F.col("_lb").isin(single)) if strict and single else lt
-    part_same = same_left.join(rt, [*eq, same_left["_lb"] == rt["_b"], same_cond], "inner")
-    drop_cols = ["_lb", "_b"]
-    a = part_below.drop(below["_b"]).drop(*[rt[k] for k in on]).drop(*drop_cols)
-    b = part_same.drop(*[rt[k] for k in on]).drop(*drop_cols)
-    return a.unionByName(b)
+    lkey, rkey = F.lit(sign) * F.col(left_value), F.lit(sign) * F.col(right_value)  # now "rkey < lkey" (or <=)
+    keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(on)]
+    others = [c for c in right.columns if c not in on]
+    a = left.select(*keys, lkey.alias("_v"), F.lit(False).alias("_right"), F.struct(*left.columns).alias("_l"))
+    b = right.select(*keys, rkey.alias("_v"), F.lit(True).alias("_right"), F.struct(*others).alias("_r"))
+    rows = a.unionByName(b, allowMissingColumns=True).where("_v IS NOT NULL")
+    names = [f"_k{i}" for i in range(len(on))]
+    placed = place_by_value(rows, "_v", F.col("_right"), strict=op in ("<", ">"), on=names, ranges=buckets)
+    pairs = pairs_below(placed.where(~F.col("_right")), placed.where("_right"), names)
+    return pairs.select(F.col("_a._l.*"), F.col("_b._r.*"))
+
+
+def place_by_value(
+    rows: DataFrame, value: str, is_right: Column, *, strict: bool = True, on: Sequence[str] = (), ranges: int | None = None
+) -> DataFrame:
+    """``rows`` of both sides of an inequality join, stored, with ``_at``: how many right
+    rows of the same ``on`` have a smaller ``value`` (unless ``strict``, or the same one). For a
+    right row this counts itself, and numbers it from 1. Where ``is_right`` is null a row
+    belongs to neither side.
+
+    One range partitioning of all rows cuts both sides at the same bounds. A range counts
+    its own right rows in order, and adds those of the earlier ranges (a row per range and
+    key). Ties are cut like other rows, as their order among themselves does not matter."""
+    from vitrine.operators.materialize import reuse
+
+    right = F.coalesce(is_right, F.lit(False))
+    side = right.cast("int") if strict else (~right).cast("int")
+    # Without keys, ``_one`` is the one group of the windows; once stored, it is a column like others.
+    held = rows.withColumns({"_side": side, "_is": right.cast("bigint"), "_one": F.lit(0), "_tie": F.xxhash64(*rows.columns)})
+    order = [F.col(value).asc_nulls_first(), F.col("_side"), F.col("_tie")]
+    by = [*(F.col(k).asc_nulls_first() for k in on), *order]
+    held = held.repartitionByRange(ranges, *by) if ranges else held.repartitionByRange(*by)
+    held = reuse(held.withColumn("_range", F.spark_partition_id()))
+    group = [*on, "_one"]
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = held.groupBy(*group, "_range").agg(F.sum("_is").alias("_n"))
+    sums = sums.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    here = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = held.withColumn("_here", F.sum("_is").over(here))
+    placed = join_on_keys(counted, sums, [*group, "_range"]).withColumn("_at", (F.col("_here") + F.col("_before")).cast("bigint"))
+    return placed.drop("_side", "_is", "_one", "_tie", "_range", "_here", "_before")
+
+
+# Right rows that a left row pairs with as a block: 2^8.
+_BITS = 8
+
+
+def pairs_below(left: DataFrame, right: DataFrame, on: Sequence[str] = ()) -> DataFrame:
+    """(_a, _b): each row of ``left`` with the first ``_at`` right rows of the same ``on``,
+    where ``_at`` comes from ``place_by_value``.
+
+    A left row asks for whole blocks of right rows by number, and for the rows of the last
+    block one by one, so every key that it joins on has its answers: the work is the output
+    plus the two sides."""
+    at = F.col("_at")
+    none = F.lit(-1).cast("bigint")
+    whole, rest = F.shiftright(at, _BITS), at % (1 << _BITS)
+    upto = lambda n, make: F.when(n > 0, F.transform(F.sequence(F.lit(1).cast("bigint"), n), make)).otherwise(F.array().cast("array<struct<block:bigint,row:bigint>>"))
+    key = lambda block, row: F.struct(block.alias("block"), row.cast("bigint").alias("row"))
+    asked = F.concat(upto(whole, lambda i: key(i - 1, none)), upto(rest, lambda i: key(whole, i)))
+    place = at - 1
+    block = F.shiftright(place, _BITS)
+    held = F.array(key(block, none), key(block, place % (1 << _BITS) + 1))
+    a = left.select(*on, F.struct(*left.columns).alias("_a"), F.explode(asked).alias("_key")).select(*on, "_a", "_key.block", "_key.row")
+    b = right.select(*on, F.struct(*right.columns).alias("_b"), F.explode(held).alias("_key")).select(*on, "_b", "_key.block", "_key.row")
+    return join_on_keys(a, b, [*on, "block", "row"]).select("_a", "_b")
 
 
 def nearest_k(

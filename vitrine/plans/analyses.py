@@ -1,8 +1,9 @@
 """The fifteen listing analyses as DataFrame plans (flat results).
 
 Every function takes the listing table (nested: ``brand.name``,
-``seller.country``, ``shipping.buyers_fees`` ...) and returns a lazy
-DataFrame. Defaults are the reference's own literals; the registry in
+``seller.country``, ``shipping.buyers_fees`` ...) and returns a DataFrame. Those
+that need a first answer to go on (T1's winner, J4's mean, J5's bounds, M5's cut
+points) or a stored order (T4, M4) run jobs when they are called. Defaults are the reference's own literals; the registry in
 ``__spark_entry__`` passes the values that fit the driver tables.
 
 Plan shape common to them: a scan with pruned nested columns and pushed
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions import (
@@ -36,13 +37,14 @@ from vitrine.operators import (
     argmax_expr,
     band_expr,
     cut_values,
-    inequality_join,
     join_on_keys,
     leave_one_out_in_list,
     nearest_k,
-    rank_per_group,
     one_row,
     order_stats,
+    pairs_below,
+    place_by_value,
+    rank_per_group,
     reuse,
     top_k_per_group,
 )
@@ -144,16 +146,15 @@ def seller_profiles(df: DataFrame) -> DataFrame:
     )
 
 
-def seller_badge_cube(df: DataFrame) -> DataFrame:
-    """One scan, aggregated at (seller, listing badge): everything T3 needs.
+def badge_grains(df: DataFrame) -> DataFrame:
+    """The two grains of T3 from one scan: rows per seller (``_badge_row`` false, ``badge``
+    is the one the seller carries) and rows per listing badge (true).
 
-    Seller profiles and per-badge earnings are both roll-ups of it. It is
-    stored once (``reuse``): column pruning would otherwise give each branch a
-    different aggregate, each rescanning the table. Its size is about one row
-    per seller.
+    The raw rows are hash-aggregated at (seller, badge, username), where every buffer
+    has a fixed width; grouping sets then roll that up to both grains at once, about a
+    row per seller in and out, so nothing is stored and nothing is scanned twice.
     """
-    cube = df.groupBy(c("seller.id").alias("seller_id"), c("seller.badge").alias("badge")).agg(
-        F.min("seller.username").alias("seller_username"),
+    fine = df.groupBy(c("seller.id").alias("seller_id"), c("seller.badge").alias("badge"), c("seller.username").alias("seller_username")).agg(
         F.max("seller.products_sold").alias("products_sold"),
         F.min("seller.earning").alias("mn"),
         F.max("seller.earning").alias("mx"),
@@ -161,15 +162,21 @@ def seller_badge_cube(df: DataFrame) -> DataFrame:
         F.count("seller.earning").alias("n"),
         F.count(F.lit(1)).alias("cnt"),
     )
-    return reuse(cube)
-
-
-def _profiles_from_cube(cube: DataFrame) -> DataFrame:
-    return cube.groupBy("seller_id").agg(
+    sets = fine.withColumn("_carried", c("badge")).groupingSets([["seller_id"], ["badge"]], "seller_id", "badge")
+    grains = sets.agg(
+        F.grouping("seller_id").alias("_g"),
+        F.min("_carried").alias("_carried"),
         F.min("seller_username").alias("seller_username"),
         F.max("products_sold").alias("products_sold"),
-        F.min("badge").alias("badge"),
+        F.min("mn").alias("mn"),
+        F.max("mx").alias("mx"),
+        F.sum("s").alias("s"),
+        F.sum("n").alias("n"),
+        F.sum("cnt").alias("cnt"),
     )
+    per_badge = c("_g") == 1
+    key = F.when(per_badge, c("badge")).otherwise(c("_carried"))
+    return grains.withColumns({"_badge_row": per_badge, "badge": key}).drop("_g", "_carried")
 
 
 def _top_sellers(profiles: DataFrame, k: int) -> DataFrame:
@@ -183,24 +190,6 @@ def _top_sellers(profiles: DataFrame, k: int) -> DataFrame:
     return top.select("badge", "seller_rank", "seller_username", "products_sold")
 
 
-def _badge_earnings(cube: DataFrame, carried: DataFrame) -> DataFrame:
-    per_badge = cube.groupBy("badge").agg(
-        F.min("mn").alias("mn"),
-        F.max("mx").alias("mx"),
-        F.sum("s").alias("s"),
-        F.sum("n").alias("n"),
-        F.sum("cnt").alias("count"),
-    )
-    kept = per_badge.join(carried, per_badge["badge"].eqNullSafe(carried["badge"]), "left_semi")
-    return kept.select(
-        "badge",
-        _money(c("mn")).alias("min_earnings"),
-        _money(c("mx")).alias("max_earnings"),
-        ratio_half_even(c("s"), c("n")).alias("avg_earnings"),
-        c("count").cast("bigint").alias("count"),
-    )
-
-
 def badge_top_sellers(df: DataFrame, k: int = 3) -> DataFrame:
     """T3 (part 1): per badge, the ``k`` sellers with the most products sold."""
     return _top_sellers(seller_profiles(df), k)
@@ -208,22 +197,29 @@ def badge_top_sellers(df: DataFrame, k: int = 3) -> DataFrame:
 
 def badge_earnings(df: DataFrame) -> DataFrame:
     """T3 (part 2): per listing badge, min/max/mean earning and listing count,
-    for the badges that some seller carries. One scan (``seller_badge_cube``)."""
-    cube = seller_badge_cube(df)
-    carried = _profiles_from_cube(cube).select("badge").distinct()
-    return _badge_earnings(cube, carried)
+    for the badges that some seller carries. One scan (``badge_grains``)."""
+    return badge_report(df, 1).select("badge", "min_earnings", "max_earnings", "avg_earnings", "count")
 
 
 def badge_report(df: DataFrame, k: int = 3) -> DataFrame:
-    """T3 combined: earnings of each badge next to its top ``k`` sellers.
-    One scan: both parts are roll-ups of ``seller_badge_cube``; every badge
-    a seller carries has a top seller, so the top list gives the carried set."""
-    cube = seller_badge_cube(df)
-    top = _top_sellers(_profiles_from_cube(cube), k)
-    earnings = _badge_earnings(cube, top.select("badge").distinct())
-    # ``top`` feeds both joins; renaming its key keeps the two sides apart.
-    t = top.withColumnRenamed("badge", "_badge")
-    return earnings.join(t, earnings["badge"].eqNullSafe(t["_badge"])).drop("_badge")
+    """T3 combined: earnings of each badge next to its top ``k`` sellers, from one scan
+    (``badge_grains``) and without a join: a badge's own row comes before its sellers in
+    the ranking, of which each task sends the first ``k + 1``, and then hands them its
+    earnings. A badge that no seller carries has no seller row, and drops out."""
+    order = [(c("_badge_row").cast("int"), "desc"), ("products_sold", "desc"), ("seller_username", "asc"), ("seller_id", "asc")]
+    top = top_k_per_group(badge_grains(df), ["badge"], order, k + 1, "_r")
+    of_badge = Window.partitionBy("badge")
+    own = {x: F.max(F.when(c("_badge_row"), c(x))).over(of_badge) for x in ("mn", "mx", "s", "n", "cnt")}
+    return top.withColumns(own).where(~c("_badge_row")).select(
+        "badge",
+        _money(c("mn")).alias("min_earnings"),
+        _money(c("mx")).alias("max_earnings"),
+        ratio_half_even(c("s"), c("n")).alias("avg_earnings"),
+        c("cnt").cast("bigint").alias("count"),
+        (c("_r") - 1).alias("seller_rank"),
+        "seller_username",
+        "products_sold",
+    )
 
 
 # --------------------------------------------------------------------- T4
@@ -539,18 +535,19 @@ def top_types_and_colors(df: DataFrame, k_types: int = 2, k_colors: int = 2) ->
     """M1: per condition the ``k_types`` most listed types, each with its
     ``k_colors`` most listed colors.
 
-    One count at (condition, type, color); the type totals are its roll-up
-    (the reference re-scans the collection once per top type instead).
+    One count at (condition, type, color), from which grouping sets make the type
+    totals as well (the reference re-scans the collection once per top type). A
+    type's total comes before its colors in their ranking and is handed to the few
+    that stay, so the types are ranked by it without a join.
     """
-    tc = df.groupBy("condition", c("type").alias("product_type"), "color").agg(
-        F.count(F.lit(1)).alias("color_count")
-    )
-    types = tc.groupBy("condition", "product_type").agg(F.sum("color_count").cast("bigint").alias("count"))
-    top_types = top_k_per_group(types, ["condition"], [("count", "desc"), ("product_type", "asc")], k_types, "type_rank")
-    top_colors = top_k_per_group(
-        tc, ["condition", "product_type"], [("color_count", "desc"), ("color", "asc")], k_colors, "color_rank"
-    )
-    out = join_on_keys(top_types, top_colors, ["condition", "product_type"])
+    tc = df.groupBy("condition", c("type").alias("product_type"), "color").agg(F.count(F.lit(1)).alias("n"))
+    keys = ["condition", "product_type"]
+    sets = tc.groupingSets([keys, [*keys, "color"]], *keys, "color").agg(F.grouping("color").alias("_g"), F.sum("n").alias("n"))
+    colors = top_k_per_group(sets, keys, [("_g", "desc"), ("n", "desc"), ("color", "asc")], k_colors + 1, "_r")
+    total = F.max(F.when(c("_g") == 1, c("n"))).over(Window.partitionBy(*keys))
+    types = Window.partitionBy("condition").orderBy(c("count").desc(), c("product_type").asc_nulls_first())
+    top = colors.withColumn("count", total).withColumn("_t", F.dense_rank().over(types)).where(c("_t") <= k_types)
+    out = top.where(c("_g") == 0).withColumn("color_count", c("n"))
     return out.select("condition", "product_type", "count", "color", "color_count").orderBy(
         c("condition").asc_nulls_first(), c("count").desc(), c("product_type").asc_nulls_first(),
         c("color_count").desc(), c("color").asc_nulls_first(),
@@ -642,23 +639,51 @@ def country_fees(cube: DataFrame) -> DataFrame:
     return g.select("country", exact_mean(c("fs"), c("fn")).alias("avg_buyers_fees_country"))
 
 
-def warehouse_cheaper_countries(df: DataFrame, cube: DataFrame | None = None) -> DataFrame:
+def fee_grains(df: DataFrame) -> DataFrame:
+    """The three grains of M4 from one scan: ``grain`` is warehouse, country or type (of a
+    country), with its mean fee; state counts and sums as in ``fee_cube``, which grouping
+    sets roll up to all three at once."""
+    cube = fee_cube(df).withColumnRenamed("type", "product_type")
+    sets = cube.groupingSets([["warehouse_name"], ["country"], ["country", "product_type"]], "warehouse_name", "country", "product_type")
+    sums = sets.agg(F.grouping("country").alias("_w"), F.grouping("product_type").alias("_c"), *(F.sum(x).alias(x) for x in ("s", "r", "a", "fs", "fn")))
+    grain = F.when(c("_w") == 1, F.lit("warehouse")).when(c("_c") == 1, F.lit("country")).otherwise(F.lit("type"))
+    return sums.select("warehouse_name", "country", c("product_type").alias("type"), grain.alias("grain"), "s", "r", "a", exact_mean(c("fs"), c("fn")).alias("mean"))
+
+
+def _placed_fees(df: DataFrame) -> DataFrame:
+    """The grains in order of their means, stored once: the ranges that warehouses and
+    countries are merged in must be the same for both (the types come along)."""
+    is_country = F.when(c("grain") == "country", F.lit(True)).when(c("grain") == "warehouse", F.lit(False))
+    return place_by_value(fee_grains(df), "mean", is_country)
+
+
+def _cheaper_countries(placed: DataFrame) -> DataFrame:
+    means = placed.where(c("mean").isNotNull())
+    pairs = pairs_below(means.where(c("grain") == "warehouse"), means.where(c("grain") == "country"))
+    return pairs.select(
+        c("_a.warehouse_name").alias("warehouse_name"),
+        c("_a.s").cast("bigint").alias("total_sold"),
+        c("_a.r").cast("bigint").alias("total_reserved"),
+        c("_a.a").cast("bigint").alias("total_available"),
+        c("_a.mean").alias("avg_buyers_fees"),
+        c("_b.country").alias("country"),
+        c("_b.mean").alias("avg_buyers_fees_country"),
+    )
+
+
+def warehouse_cheaper_countries(df: DataFrame) -> DataFrame:
     """M4 (part 2): every (warehouse, country) where the country's mean fee is
     below the warehouse's. Warehouses with no cheaper country drop out."""
-    cube = cube if cube is not None else fee_cube(df, store=True)
-    w = warehouse_state_counts(df, cube)
-    return inequality_join(w, country_fees(cube), "avg_buyers_fees", "avg_buyers_fees_country", "<")
+    return _cheaper_countries(_placed_fees(df))
 
 
 def warehouse_nearest_types(df: DataFrame, k: int = 2) -> DataFrame:
     """M4 (full): each cheaper country with its ``k`` types whose mean fee is
     nearest the country mean (L7). Nearest types depend on the country only,
     so they are found once per country and joined to the pairs."""
-    cube = fee_cube(df, store=True)
-    countries = country_fees(cube)
-    types = cube.groupBy("country", "type").agg(F.sum("fs").alias("fs"), F.sum("fn").alias("fn")).select(
-        "country", "type", exact_mean(c("fs"), c("fn")).alias("type_avg_buyers_fees")
-    )
+    placed = _placed_fees(df)
+    countries = placed.where(c("grain") == "country").select("country", c("mean").alias("avg_buyers_fees_country"))
+    types = placed.where(c("grain") == "type").select("country", "type", c("mean").alias("type_avg_buyers_fees"))
     near = nearest_k(
         join_on_keys(types, countries, ["country"]),
         ["country"],
@@ -667,8 +692,7 @@ def warehouse_nearest_types(df: DataFrame, k: int = 2) -> DataFrame:
         k,
         ties=[("type", "asc")],
     ).drop("avg_buyers_fees_country")
-    pairs = warehouse_cheaper_countries(df, cube)
-    out = join_on_keys(pairs, near, ["country"])
+    out = join_on_keys(_cheaper_countries(placed), near, ["country"])
     return out.select(
         "warehouse_name", "total_sold", "total_reserved", "total_available", "avg_buyers_fees",
         "country", "avg_buyers_fees_country", "type", "type_avg_buyers_fees", "diff",
