@@ -7,6 +7,7 @@ from vitrine.operators.joins import (
     pairs_below,
     place_by_value,
     join_on_keys,
+    lookup,
     nearest_k,
     one_row,
 )
@@ -34,6 +35,7 @@ __all__ = [
     "pairs_below",
     "place_by_value",
     "join_on_keys",
+    "lookup",
     "leave_one_out_in_list",
     "leave_one_out_mean",
     "mode_per_group",

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.operators.ranking import Order, top_k_per_group
+from vitrine.operators.ranking import Order, order_columns, top_k_per_group
 
 
 def one_row(agg: DataFrame):
@@ -164,6 +166,19 @@ def nearest_k(
     return top_k_per_group(d, keys, [(diff_name, "asc"), *ties], k, rank_col)
 
 
+def lookup(left: DataFrame, right: DataFrame, on: dict[str, str], order: Order, k: int, how: str = "left") -> DataFrame:
+    """Per row of ``left``, the first ``k`` rows of ``right`` under ``order`` whose columns
+    equal the row's (L1, W6): ``on`` maps columns of ``left`` to columns of ``right``, null
+    equals null. ``how`` = "left" keeps rows without any, "inner" drops them.
+
+    A lateral join, whose sub-plan is written as for one outer row. Spark turns it into a
+    ranking of ``right`` by these columns, of which each task sends ``k`` rows per key, and an
+    equi-join. ``right`` is usually an aggregate; ``order`` must make its order total."""
+    same = [F.col(r).eqNullSafe(F.col(name).outer()) for name, r in on.items()]
+    found = right.where(reduce(and_, same)).orderBy(*order_columns(order)).limit(k)
+    return left.lateralJoin(found.select(*[c for c in right.columns if c not in on.values()]), None, how)
+
+
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join where null keys match each other (``$expr`` equality treats
     null as equal to null); the right copies of the keys are dropped."""

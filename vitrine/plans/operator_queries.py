@@ -19,6 +19,7 @@ from vitrine.operators import (
     exact_order_stats,
     inequality_join,
     join_on_keys,
+    lookup,
     leave_one_out_mean,
     mode_per_group,
     nearest_k,
@@ -166,6 +167,16 @@ def nearest_join(df: DataFrame) -> DataFrame:
     )
 
 
+def lookup_top_brands(df: DataFrame) -> DataFrame:
+    """For the two sellers with the most products sold of each badge, the three
+    brands that they list most, as a correlated lookup per seller."""
+    sellers = top_k_per_group(
+        A.seller_profiles(df), ["badge"], [("products_sold", "desc"), ("seller_username", "asc"), ("seller_id", "asc")], 2, "seller_rank"
+    ).select("badge", "seller_rank", "seller_id", "seller_username")
+    brands = df.groupBy(c("seller.id").alias("of"), c("brand.name").alias("brand")).agg(F.count(F.lit(1)).alias("listings"))
+    return lookup(sellers, brands, {"seller_id": "of"}, [("listings", "desc"), ("brand", "asc")], 3)
+
+
 # ---------------------------------------------------------------- arrays
 def explode_keywords(df: DataFrame) -> DataFrame:
     """Keyword counts after splitting the keyword text."""
@@ -496,6 +507,7 @@ _OPS = {
     "range_join": range_join,
     "inequality_join": inequality_join_bucketed,
     "nearest_join": nearest_join,
+    "lookup_top_brands": lookup_top_brands,
     "explode_keywords": explode_keywords,
     "posexplode_rank": posexplode_rank,
     "array_transform_filter_reduce": array_transform_filter_reduce,
@@ -603,6 +615,16 @@ def operator_sql() -> dict[str, str]:
             f"co AS (SELECT country, {mean('sum(earning)', 'count(earning)')} AS country_avg FROM p GROUP BY country)",
             f"br AS (SELECT brand_name AS brand, {mean('sum(earning)', 'count(earning)')} AS brand_avg FROM p GROUP BY brand_name)",
         ) + "SELECT co.country, co.country_avg, br.brand, br.brand_avg FROM co JOIN br ON br.brand_avg < co.country_avg",
+        "lookup_top_brands": w(
+            """pr AS (SELECT seller_id, min(username) AS seller_username, max(products_sold) AS products_sold, min(badge) AS badge FROM p GROUP BY seller_id)""",
+            """tp AS (SELECT *, row_number() OVER (PARTITION BY badge ORDER BY products_sold DESC NULLS LAST, seller_username ASC NULLS FIRST,
+      seller_id ASC NULLS FIRST) AS seller_rank FROM pr)""",
+            """br AS (SELECT seller_id, brand_name AS brand, count(*) AS listings, row_number() OVER (PARTITION BY seller_id ORDER BY count(*) DESC,
+      brand_name ASC NULLS FIRST) AS rn FROM p GROUP BY seller_id, brand_name)""",
+        ) + (
+            "SELECT badge, CAST(seller_rank AS BIGINT) AS seller_rank, tp.seller_id, seller_username, brand, listings FROM tp LEFT JOIN br "
+            "ON br.seller_id IS NOT DISTINCT FROM tp.seller_id AND rn <= 3 WHERE seller_rank <= 2"
+        ),
         "nearest_join": w(*O._M4) + (
             "SELECT ty.country, ty.type, ty.type_avg_buyers_fees, co.avg_buyers_fees_country, "
             "abs(ty.type_avg_buyers_fees - co.avg_buyers_fees_country) AS diff, CAST(nr.rn AS BIGINT) AS nearest_rank "

@@ -34,18 +34,27 @@ _LOCK = threading.Lock()
 # most row groups; low-cardinality leading columns also compress better.
 CLUSTER_BY = ("gender_target", "color", "material")
 MAX_RECORDS_PER_FILE = 20_000_000
+# Columns with many values in which one is looked up (T1's second pass: its winner's
+# listings), and that the order above does not cluster. Row groups without any of the
+# value's rows are skipped by their Bloom filters, or by their dictionary where a row
+# group has few enough values for one.
+LOOKED_UP = ("seller.id",)
 
 
-def materialise(df: DataFrame, root: str, name: str, cluster_by=()) -> str:
+def materialise(df: DataFrame, root: str, name: str, cluster_by=(), looked_up=()) -> str:
     """Write ``df`` as Parquet under the shared folder and return its path.
 
     Each task sorts its own rows by ``cluster_by`` (no extra shuffle) and
-    splits its output past ``MAX_RECORDS_PER_FILE`` rows.
+    splits its output past ``MAX_RECORDS_PER_FILE`` rows. Row groups have a Bloom
+    filter of the columns ``looked_up``, as large as the values that occur need.
     """
     path = f"{root}/vitrine/{name}-{uuid.uuid4().hex[:12]}"
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
-    df.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+    writer = df.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    for column in looked_up:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
+    writer.option("parquet.bloom.filter.adaptive.enabled", True).parquet(path)
     return path
 
 
@@ -60,7 +69,7 @@ def listings(spark: SparkSession, sf_dir: str, *, stored: bool = True) -> DataFr
     with _LOCK:  # queries started from several threads derive the table once
         table = _WRITTEN.get(key)
         if table is None:
-            path = materialise(listing_view(spark, sf_dir), root, "listings", CLUSTER_BY)
+            path = materialise(listing_view(spark, sf_dir), root, "listings", CLUSTER_BY, LOOKED_UP)
             # One DataFrame per session: the file listing and footer are
             # read once, not per query.
             table = spark.read.parquet(path)
