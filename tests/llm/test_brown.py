@@ -24,7 +24,7 @@ def check_counts(rows, got):
 
 
 def test_edges(spark):
-    got = brown.score_documents(edge.documents(spark), core=50, sweeps=2).collect()
+    got = brown.score_documents(edge.documents(spark), core=50, sweeps=2, rise=0.05).collect()
     check_counts(edge.texts(), got)
     assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in got)
 
@@ -63,25 +63,93 @@ def test_words_outside_of_the_core(spark):
     first, second = [f"a{i}" for i in range(20)], [f"b{i}" for i in range(20)]
     held = lambda k: zlib.crc32(str(k).encode()) % 7 == 2
     rows = [(k, "core " * 40 + "x " + " ".join(r.choice(first) + " " + r.choice(second) for _ in range(40)) + " y" + " core" * 40) for k in range(80) if not held(k)]
-    blocks = brown.encode(edge.documents(spark, rows))
-    words, of = brown.cluster_core(blocks, 1, 1)
-    assert words == ["core"]
-    start = brown.lexicons(blocks, words, of)
+    hub = brown.Hub(brown.encode(edge.documents(spark, rows)))
+    words, of, placed = brown.cluster_core(hub, 1, 1)
+    start = brown.first_classes(hub, words, of, placed)
 
-    def classes(lexicon):
+    def classes(values):
         found = {}
-        for b in blocks.join(lexicon, "block").collect():
-            found |= dict(zip([b["words"].split(" ")[i] for i in np.frombuffer(b["at"], np.int32)], np.frombuffer(b["class"], np.uint8).tolist()))
+        for b in hub.with_values(values, "u1", "words").collect():
+            found |= dict(zip(b["words"].split(" "), brown._parts(b["parts"], "u1")[1].tolist()))
         return found
 
-    likely = lambda x: brown.likelihood(brown._bigrams(blocks.join(x.withColumnRenamed("class", "cls"), "block")))
-    end = brown.exchange_all(blocks, start)
+    assert len(words) == 1 and classes(start)["core"] == of[0]
+    every = lambda slots, turns: (slots, turns)
+    likely = lambda x: brown.likelihood(brown._matrix(brown._pass(hub.with_values(x, "u1", *brown.SENT), "u1", every)))
+    end = brown.exchange_all(hub, start)
     assert len({classes(start)[w] for w in first + second}) > 3  # not one heap
     got = classes(end)
     assert not {got[w] for w in first} & {got[w] for w in second}
     assert likely(end) > likely(start) + 0.05
 
 
+def brute_score(rows, classes, got):
+    """Each text's score from its words' classes by the formula of the module."""
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    end = brown.END
+    texts = [(i, [*(w.translate(edge.LOWER) for w in edge.split(t)), None]) for i, t in rows]
+    train = [w for i, ws in texts if not held(i) for w in ws]
+    count = Counter(train)
+    n, v = len(train), len(count)
+    of = lambda w: end if w is None else classes[w] if count[w] else brown.OTHER
+    moves, once, into = Counter(), Counter(), Counter()
+    for a, b in zip([None, *train], train):
+        moves[of(a), of(b)] += 1
+        into[of(b)] += 1
+        once[of(a)] += count[b] == 1
+        if a is not None and count[a] == 1:  # after a word seen once, as after an unknown one
+            moves[brown.OTHER, of(b)] += 1
+            once[brown.OTHER] += count[b] == 1
+    out = lambda k: sum(moves[k, c] for c in range(brown.CLASSES + 1))
+    rate = max(sum(once[k] for k in range(brown.CLASSES + 1)) / max(n, 1), 1 / (n + v + 1))
+    want = []
+    for i, ws in texts:
+        total, before = 0.0, end
+        for w in ws:
+            unknown = (once[before] + brown.SMOOTHING * rate) / (out(before) + brown.SMOOTHING)
+            if count[w]:
+                share = into[of(w)] / n
+                follow = (moves[before, of(w)] + brown.SMOOTHING * share) / (out(before) + brown.SMOOTHING)
+                total += math.log10((1 - unknown) * follow * count[w] / into[of(w)])
+            else:
+                total += math.log10(unknown)
+            before = of(w)
+        want.append((str(i), len(ws), round(total, 4)))
+    assert len(got) == len(want)
+    for a, b in zip(sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 4)) for r in got), sorted(want)):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=1e-3), (a, b)
+
+
+def test_scores_by_brute_force(spark, monkeypatch):
+    """With the classes that the exchange ends with, every score is recomputed; many blocks and shards."""
+    monkeypatch.setattr(brown, "SHARD_WORDS", 64)
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{edge.SF}/documents.parquet").filter("doc_id < 60").collect()] + edge.texts()
+    kept = {}
+    run = brown.exchange_all
+
+    def exchange_all(hub, classes, rise):
+        end = run(hub, classes, rise)
+        for b in hub.with_values(end, "u1", "words").collect():
+            kept.update(zip(b["words"].split(" "), brown._parts(b["parts"], "u1")[1].tolist()))
+        return end
+
+    monkeypatch.setattr(brown, "exchange_all", exchange_all)
+    encode = brown.encode
+    monkeypatch.setattr(brown, "encode", lambda docs: encode(docs, 20_000))
+    got = brown.score_documents(edge.documents(spark, rows), core=30, sweeps=1, rise=0.05).collect()
+    check_counts(rows, got)
+    brute_score(rows, kept, got)
+
+
+def test_counts_pack():
+    rng = np.random.default_rng(1)
+    entries = rng.integers(0, 5, 100)
+    slot, n = rng.integers(0, 68, entries.sum()), rng.integers(1, 2**31, entries.sum())
+    back = brown._unpack_contexts(brown._pack_contexts(entries, slot, n))
+    assert all((a == b).all() for a, b in zip(back, (entries, slot, n)))
+    assert (brown._numbers(brown._planes(np.array([-1, 5, 300]), "<i2"), "<i2") == [-1, 5, 300]).all()
+
+
 def test_probabilities_add_up():
     rng = np.random.default_rng(0)
     of = np.concatenate([rng.integers(0, brown.CLASSES, 200), [brown.END]])

@@ -1,20 +1,25 @@
 """Class-based n-grams: a word's class follows the class before it, and the
 class emits the word.
 
-Documents are encoded once into blocks (one row each: its distinct words and
-the tokens as numbers of these). Classes come from exchange clustering on the
-class-bigram likelihood. A core of frequent words starts in frequency order;
-every sweep is a Spark job that counts, over all training tokens, which classes
-stand before and after each core word, and the words then move one by one to
-the class that raises the likelihood most. With the core settled, one more
-sweep over every word puts the rest into classes by the same criterion and
-counts the words on the way: each block sends its words with their counts and
-contexts, and gets back their total counts and classes. That is where the exchange
-of all words starts: in turns, every word of one half (by a hash) moves to the class
-that raises the likelihood most, given the classes of all its neighbours, until
-neither half's turn raises the likelihood any more (by ``RISE`` per token). The
-driver holds only the counts of class bigrams. With the best classes the texts are
-scored.
+Documents are encoded once into blocks (one row each: its distinct words in the
+order of their hashes, and the tokens as numbers of these), stored by block. The
+blocks' words meet once: a shard (a range of hashes) numbers its words and keeps,
+stored by shard, where each block's words are among them. From then on no word is
+sent again. Numbers per word (its class, its count) go down from the shards to the
+blocks as arrays in the words' order, and a word's counts of neighbouring classes go
+up from the blocks as one packed row per block and shard; only these are shuffled.
+
+Classes come from exchange clustering on the class-bigram likelihood. A core of the
+most frequent words starts in frequency order; every sweep counts, over all training
+tokens, which classes stand before and after each core word, and the words then move
+one by one to the class that raises the likelihood most. All other words get a first
+class by their neighbours in the core. That is where the exchange of all words starts:
+in turns, every word of one half (by a hash) moves to the class that raises the
+likelihood most, given the classes of all its neighbours, until neither half's turn
+raises the likelihood any more (by ``RISE`` per token). A turn reads the tokens once:
+for the class bigrams, which tell what the last turn brought, and for the contexts of
+the words that are next. The driver holds only the counts of class bigrams. With the
+best classes the texts are scored.
 
 P(word | class before) = (1 - u) P(class | class before) P(word | class), where u
 is the chance of an unknown word after that class, estimated from words seen
@@ -24,24 +29,25 @@ to one. A text begins after an end token.
 Defined cases: a null or empty text is its end token alone; a null doc_id is
 training; rows that repeat are texts of their own, in counts and in results;
 with no training documents the score is the base score; an empty table gives
-no rows; other columns are not read.
+no rows; other columns are not read. Two words are the same if their 128-bit
+hashes are.
 """
 
 from __future__ import annotations
 
 import itertools
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import group_starts, n_buckets, stored, table, whole_groups
+from vitrine.llm.common import bucketed, discard, group_starts, n_buckets, stored, stored_at, table, whole_groups
 
 CLASSES = 32
 CORE = 4096
@@ -50,39 +56,63 @@ RISE = 1e-3
 FOLDS, HELD = 7, 2
 SMOOTHING = 5.0
 BLOCK_BYTES = 8 << 20
+SHARD_WORDS = 1 << 19  # a shard's words, counted once per block
 END = CLASSES  # the end token is a class of its own
 OTHER = CLASSES + 1  # in the core's sweeps: words outside of the core
 SLOTS = CLASSES + 2
+BITS = 7  # of a context: slot after, or SLOTS + slot before
 
 
-def _packed(tokens: np.ndarray) -> bytes:
+def _planes(numbers: np.ndarray, kind: str) -> bytes:
     """Numbers as compressed byte planes: most are small."""
-    planes = np.ascontiguousarray(tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    width = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(numbers.astype(kind).view(np.uint8).reshape(-1, width).T)
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+def _numbers(raw: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """A 128-bit hash of each word, as two columns."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").astype(np.uint64).reshape(-1, 2)
+
+
+BLOCK = "block long, doc_id array<string>, held array<boolean>, ends binary, ids binary, words string, trains binary, turns binary, size int"
+BLOCK_NAMES = [c.split()[0] for c in BLOCK.split(", ")]
 
 
 def encode(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks: block, doc_id and held per document, ends and ids (the tokens, 0 is
-    the end token, i the ith distinct word), words (space-joined), trains (their
-    counts in training documents). Stored."""
+    """Blocks: doc_id and held per document, ends and ids (the tokens, 0 is the end
+    token, i the ith distinct word), words (space-joined, in the order of their
+    hashes), trains (their counts in training documents), turns (the half that each
+    word is exchanged with) and size (how many they are). Stored by block, so that
+    joins on the block move the other side only. Ids are text, since an array of
+    longs with nulls reaches Python as floats."""
 
     def block_row(block: int, ids: list, held: list, texts: list[bytes]) -> pd.DataFrame:
+        # Training documents first, so that their tokens are a slice.
+        order = np.argsort(np.array(held, bool), kind="stable").tolist()
+        ids, held, texts = ([x[i] for i in order] for x in (ids, held, texts))
         number: dict[bytes, int] = defaultdict(itertools.count(1).__next__)
         parts, zero = [], np.zeros(1, np.uint32)
         for text in texts:
             found = text.lower().split()
             parts += [np.fromiter(map(number.__getitem__, found), np.uint32, len(found)), zero]
-        tokens = np.concatenate(parts)
+        names = list(number)
+        pairs = _hashes(names)
+        order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+        place = np.zeros(len(names) + 1, np.uint32)
+        place[order + 1] = np.arange(1, len(names) + 1)
+        tokens = place[np.concatenate(parts)]
         ends = np.flatnonzero(tokens == 0).astype(np.int64) + 1
-        train = np.repeat(~np.array(held, bool), np.diff(ends, prepend=0))
-        counts = np.bincount(tokens[train], minlength=len(number) + 1)[1:]
-        row = (block, ids, held, ends.tobytes(), _packed(tokens), b" ".join(number).decode("utf-8", "surrogatepass"), counts.astype(np.int32).tobytes())
-        return pd.DataFrame([row], columns=["block", "doc_id", "held", "ends", "ids", "words", "trains"])
+        counts = np.bincount(tokens[_train(ends, held)], minlength=len(names) + 1)[1:]
+        words = b" ".join([names[i] for i in order.tolist()]).decode("utf-8", "surrogatepass")
+        turns = np.packbits((pairs[order, 1] & np.uint64(1)).astype(bool)).tobytes()
+        row = (block, ids, held, _planes(ends, "<i8"), _planes(tokens, "<u4"), words, _planes(counts, "<u4"), turns, len(names))
+        return pd.DataFrame([row], columns=BLOCK_NAMES)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = TaskContext.get().partitionId() << 32
@@ -91,7 +121,7 @@ def encode(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         for b in batches:
             for i, h, t in zip(b["doc_id"], b["held"], b["text"]):
                 raw = (t or "").encode("utf-8", "surrogatepass")
-                rows.append((None if i is None else int(i), bool(h), raw))
+                rows.append((i, bool(h), raw))
                 size += len(raw) + 64
                 if size >= block_bytes:
                     yield block_row(block, *map(list, zip(*rows)))
@@ -101,21 +131,27 @@ def encode(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), held.alias("held"), "text")
-    made = rows.mapInPandas(run, "block long, doc_id array<long>, held array<boolean>, ends binary, ids binary, words string, trains binary")
-    return stored(made, "encoded")
+    # A task writes a file per block: nothing is shuffled.
+    return bucketed(rows.mapInPandas(run, BLOCK), n_buckets(docs.sparkSession), "block", "encoded")
+
+
+def _train(ends: np.ndarray, held) -> slice:
+    """The tokens of the training documents, which are the first of a block."""
+    n = len(held) - int(np.sum(held))
+    return slice(0, int(ends[n - 1]) if n else 0)
 
 
-def _tokens(ids: bytes, ends: bytes, held) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tokens(ids: bytes, ends: bytes, held) -> tuple[np.ndarray, np.ndarray, slice]:
     """Tokens, ends of the documents, and which tokens are for training."""
-    tokens, ends = _unpacked(ids), np.frombuffer(ends, np.int64)
-    return tokens, ends, np.repeat(~np.array(list(held), bool), np.diff(ends, prepend=0))
+    tokens, ends = _numbers(ids, "<u4"), _numbers(ends, "<i8")
+    return tokens, ends, _train(ends, held)
 
 
 def _words(words: str) -> list[str]:
     return words.split(" ") if words else []
 
 
-def _contexts(word: np.ndarray, slot: np.ndarray, train: np.ndarray, rows: int) -> np.ndarray:
+def _contexts(word: np.ndarray, slot: np.ndarray, train: slice, rows: int) -> np.ndarray:
     """Counts (rows x 2 SLOTS) of the class-slots after (first SLOTS) and before
     (last SLOTS) the training tokens of the given words (-1: no word of interest).
     Documents are joined by their end tokens, which all are in one class."""
@@ -131,45 +167,220 @@ def _contexts(word: np.ndarray, slot: np.ndarray, train: np.ndarray, rows: int)
     return total.reshape(rows + 1, wide)[:rows]
 
 
-def core_words(blocks: DataFrame, core: int = CORE) -> list[str]:
-    """The core: of the words among the most frequent of some block, the most
-    frequent over all blocks. At most ``core`` words reach the driver."""
-
-    def top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for words, trains in zip(b["words"], b["trains"]):
-                count, words = np.frombuffer(trains, np.int32), np.array(_words(words), object)
-                best = np.argsort(-count, kind="stable")[: 2 * core]
-                yield pd.DataFrame({"word": words[best], "n": count[best].astype(np.int64)})
-
-    found = blocks.select("words", "trains").mapInPandas(top, "word string, n long")
-    ranked = found.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word")
-    return [r["word"] for r in ranked.limit(core).collect()]
+# -- the words meet: shards above blocks ---------------------------------------------
+
+HUB = "shard int, block long, at binary, counts binary, low binary"
+HUB_NAMES = [c.split()[0] for c in HUB.split(", ")]
+
+
+class Hub:
+    """The shards, stored: per shard a row (block -1) with the training counts of its words
+    and the low bits of their hashes, and a row per block with the places of the block's
+    words (those of the shard's range, in order) among them."""
+
+    def __init__(self, blocks: DataFrame):
+        spark = blocks.sparkSession
+        entries = blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        self.blocks = blocks
+        self.shards = shards = max(n_buckets(spark), -(-entries // SHARD_WORDS))
+
+        def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for block, words, trains in zip(b["block"], b["words"], b["trains"]):
+                    pairs, count = _hashes([w.encode("utf-8", "surrogatepass") for w in _words(words)]), _numbers(trains, "<u4")
+                    yield table([(s, block, pairs[a:e].tobytes(), _planes(count[a:e], "<u4")) for s, a, e in _cuts(pairs[:, 0], shards)], ["shard", "block", "hashes", "counts"])
+
+        def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in whole_groups(batches, ["shard"]):
+                for shard, part in rows.groupby("shard", sort=False):
+                    pairs = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in part["hashes"]]
+                    size = np.cumsum([0, *map(len, pairs)])
+                    every, count = np.concatenate(pairs), np.concatenate([_numbers(x, "<u4") for x in part["counts"]])
+                    order = np.lexsort((every[:, 1], every[:, 0]))
+                    first = group_starts(every[order, 0], every[order, 1])
+                    at = np.empty(len(every), np.int64)
+                    at[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(every))))
+                    totals = np.bincount(at, weights=count, minlength=len(first)).astype(np.int64)
+                    own = [(shard, -1, None, _planes(totals, "<i8"), (every[order, 1][first] & np.uint64(0xFFFF)).astype("<u2").tobytes())]
+                    # Places rise, so their steps are small.
+                    own += [(shard, block, _planes(np.diff(at[a:e], prepend=0), "<u4"), None, None) for block, a, e in zip(part["block"], size, size[1:])]
+                    yield table(own, HUB_NAMES)
+
+        n = max(n_buckets(spark), shards)
+        packets = blocks.select("block", "words", "trains").mapInPandas(send, "shard int, block long, hashes binary, counts binary")
+        numbered = packets.repartition(n, "shard").sortWithinPartitions("shard").mapInPandas(number, HUB)
+        # The partitions are the table's buckets: a file each.
+        self.table = bucketed(numbered, n, "shard", "hub")
+
+    def per_shard(self, make, schema: str) -> DataFrame:
+        """``make(shard, counts, low)`` -> columns of a row per shard."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                rows = [make(int(s), _numbers(c, "<i8"), np.frombuffer(low, "<u2")) for s, c, low in zip(b["shard"], b["counts"], b["low"])]
+                yield pd.concat(rows, ignore_index=True) if rows else pd.DataFrame(columns=[c.split()[0] for c in schema.split(", ")])
+
+        return self.table.where("block < 0").select("shard", "counts", "low").mapInPandas(run, schema)
+
+    def values(self, make, kind: str) -> DataFrame:
+        """(shard, v): an array of numbers for each shard's words, from ``make(shard, counts, low)``."""
+        return self.per_shard(lambda s, c, low: table([(s, _planes(make(s, c, low), kind))], ["shard", "v"]), "shard int, v binary")
+
+    def down(self, values: DataFrame, kind: str) -> DataFrame:
+        """(block, parts): to each block the numbers of its words, by shard."""
+
+        def pick(links: pd.DataFrame, value: pd.DataFrame) -> pd.DataFrame:
+            if not len(value):
+                return table([], ["block", "shard", "v"])
+            v = _numbers(value["v"].iloc[0], kind)
+            return table([(b, s, _planes(v[np.cumsum(_numbers(at, "<u4"))], kind)) for s, b, at in zip(links["shard"], links["block"], links["at"])], ["block", "shard", "v"])
+
+        links = self.table.where("block >= 0").select("shard", "block", "at")
+        met = links.groupBy("shard").cogroup(values.groupBy("shard")).applyInPandas(pick, "block long, shard int, v binary")
+        return met.groupBy("block").agg(F.collect_list(F.struct("shard", "v")).alias("parts"))
+
+    def with_values(self, values: DataFrame, kind: str, *columns: str) -> DataFrame:
+        """The blocks' columns, and the parts of ``values``."""
+        return self.blocks.select("block", *columns).join(self.down(values, kind), "block", "left")
+
+    def up(self, rows: DataFrame, classes: DataFrame, choose) -> DataFrame:
+        """``rows`` (shard, block, data: contexts as ``_pack_contexts`` has them) meet by shard.
+        ``choose(shard, word, slot, n, slots, counts, low)`` -> the new slots, from the sums (word,
+        slot, n) of the contexts in order, most words having few. (shard, v), as ``values``."""
+
+        def run(sent: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            if not len(own):
+                return table([], ["shard", "v"])
+            head = own[own["block"] < 0].iloc[0]
+            counts, low = _numbers(head["counts"], "<i8"), np.frombuffer(head["low"], "<u2")
+            place = {b: at for b, at in zip(own["block"], own["at"]) if b >= 0}
+            cells, amounts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            slots = np.full(len(counts), OTHER, np.uint8)
+            for block, data in zip(sent["block"], sent["data"]):
+                if block < 0:
+                    slots = _numbers(data, "u1")
+                    continue
+                entries, slot, n = _unpack_contexts(data)
+                cells.append(np.repeat(np.cumsum(_numbers(place[block], "<u4"), dtype=np.int64) << BITS, entries) | slot)
+                amounts.append(n)
+            cell, n = _summed(np.concatenate(cells), np.concatenate(amounts))
+            new = choose(int(head["shard"]), cell >> BITS, cell & ((1 << BITS) - 1), n, slots, counts, low)
+            return table([(int(head["shard"]), _planes(new, "u1"))], ["shard", "v"])
+
+        both = rows.select("shard", "block", "data").unionByName(classes.select("shard", F.lit(-1).cast("long").alias("block"), F.col("v").alias("data")))
+        return both.groupBy("shard").cogroup(self.table.groupBy("shard")).applyInPandas(run, "shard int, v binary")
+
+
+def _cuts(high: np.ndarray, shards: int) -> list[tuple[int, int, int]]:
+    """(shard, begin, end) of the ranges that sorted hashes fall in."""
+    shard = (((high >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+    begin = group_starts(shard)
+    return list(zip(shard[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(shard)]))
+
+
+def _summed(cell: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each cell once, in order, with the sum of its counts."""
+    if not len(cell):
+        return cell, n.astype(float)
+    low = int(n.max()).bit_length()
+    if int(cell.max()).bit_length() + low < 63:  # both in one number, which sorts faster than an order is found
+        both = np.sort((cell << low) | n)
+        cell, n = both >> low, both & ((1 << low) - 1)
+    else:
+        by = np.argsort(cell)
+        cell, n = cell[by], n[by]
+    first = group_starts(cell)
+    return cell[first], np.add.reduceat(n, first).astype(float)
+
+
+def _pack_contexts(entries: np.ndarray, slot: np.ndarray, n: np.ndarray) -> bytes:
+    """Per word the number of its contexts; their slots and counts, of which few pass a byte."""
+    large = np.flatnonzero(n >= 255)
+    head = np.array([len(entries), len(slot), len(large)], "<u4").tobytes()
+    parts = (entries.astype(np.uint8), slot.astype(np.uint8), np.minimum(n, 255).astype(np.uint8), large.astype("<u4"), n[large].astype("<u4"))
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(x.tobytes() for x in parts))
+
+
+def _unpack_contexts(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    words, size, large = np.frombuffer(data, "<u4", 3).tolist()
+    entries, slot, n = (np.frombuffer(data, np.uint8, k, o) for k, o in ((words, 12), (size, 12 + words), (size, 12 + words + size)))
+    rest = np.frombuffer(data, "<u4", 2 * large, 12 + words + 2 * size)
+    n = n.astype(np.int64)
+    n[rest[:large]] = rest[large:]
+    return entries, slot, n
+
+
+def _parts(parts, kind: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(shard, number of words) of a block's parts, and all their numbers."""
+    got = sorted(((int(p["shard"]), _numbers(p["v"], kind)) for p in parts), key=lambda p: p[0]) if parts is not None else []
+    return [(s, len(v)) for s, v in got], np.concatenate([np.zeros(0, kind), *(v for _, v in got)])
+
+
+# -- the core ----------------------------------------------------------------------------
+
+
+def core_words(hub: Hub, core: int = CORE) -> list[tuple[int, int]]:
+    """(shard, place) of the most frequent words, ties by hash. A histogram of the counts
+    tells from which count on there are enough; only these words are compared."""
+    grain = 8  # steps of the histogram per doubling
+
+    def steps(counts: np.ndarray) -> np.ndarray:
+        return np.floor(grain * np.log2(counts)).astype(np.int64)
+
+    def histogram(shard: int, counts: np.ndarray, _) -> pd.DataFrame:
+        step, n = np.unique(steps(counts[counts > 0]), return_counts=True)
+        return pd.DataFrame({"step": step, "n": n})
+
+    least, found = 0, 0
+    sizes = hub.per_shard(histogram, "step long, n long").groupBy("step").agg(F.sum("n").alias("n"))
+    for r in sorted(sizes.collect(), reverse=True):  # bounded by the logarithm of the largest count
+        if found < core:
+            least, found = r["step"], found + r["n"]
+
+    def top(shard: int, counts: np.ndarray, _) -> pd.DataFrame:
+        at = np.flatnonzero(counts > 0)
+        at = at[steps(counts[at]) >= least]
+        at = at[np.argsort(-counts[at], kind="stable")[:core]]
+        return pd.DataFrame({"shard": shard, "at": at, "n": counts[at]})
+
+    best = hub.per_shard(top, "shard int, at long, n long").orderBy(F.col("n").desc(), "shard", "at").limit(core)
+    return [(r["shard"], r["at"]) for r in best.collect()]
+
+
+def core_places(hub: Hub, words: list[tuple[int, int]]) -> DataFrame:
+    """(block, parts): the number of each word in the core, or -1. Stored."""
+    of: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for i, (shard, at) in enumerate(words):
+        of[shard].append((at, i))
+
+    def make(shard: int, counts: np.ndarray, _) -> np.ndarray:
+        place = np.full(len(counts), -1, np.int16)
+        for at, i in of.get(shard, []):
+            place[at] = i
+        return place
+
+    return stored(hub.down(hub.values(make, "<i2"), "<i2"), "core-places")
 
 
-def _places(words: str, place: dict[str, int], end: int) -> np.ndarray:
-    """Of a block's tokens 0, 1, ...: place of the core words, -1 of others, ``end`` of the end token."""
-    return np.array([end, *map(place.get, _words(words), itertools.repeat(-1))], np.int64)
-
-
-def _sweep_counts(blocks: DataFrame, words: list[str], of: np.ndarray) -> np.ndarray:
-    """Class contexts of the core words over all training tokens: (core + 1) x 2 SLOTS; the last row is the end token."""
-    place = {w: i for i, w in enumerate(words)}
-    size = len(words) + 1
+def _sweep_counts(blocks: DataFrame, of: np.ndarray) -> np.ndarray:
+    """Class contexts of the core words over all training tokens: (core + 1) x 2 SLOTS; the last
+    row is the end token. ``blocks`` with the ``parts`` of ``core_places``."""
+    size = len(of) + 1
     slots = np.concatenate([of, [END, OTHER]]).astype(np.int64)  # -1 is the last
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((size, 2 * SLOTS), np.int64)
         for b in batches:
-            for found, ids, ends, held in zip(b["words"], b["ids"], b["ends"], b["held"]):
+            for ids, ends, held, parts in zip(b["ids"], b["ends"], b["held"], b["parts"]):
                 tokens, _, train = _tokens(ids, ends, held)
-                word = _places(found, place, size - 1)[tokens]
+                word = np.concatenate([[size - 1], _parts(parts, "<i2")[1]]).astype(np.int64)[tokens]
                 total += _contexts(word, slots[word], train, size)
         total = total.ravel()
         cell = np.flatnonzero(total)
         yield pd.DataFrame({"cell": cell, "n": total[cell]})
 
-    counted = blocks.select("words", "ids", "ends", "held").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = blocks.select("ids", "ends", "held", "parts").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     out = np.zeros(size * 2 * SLOTS)
     for r in counted.collect():  # bounded by the core's size and the classes
         out[r["cell"]] = r["n"]
@@ -199,16 +410,17 @@ def exchange(counts: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of
 
 
-def cluster_core(blocks: DataFrame, core: int = CORE, sweeps: int = SWEEPS) -> tuple[list[str], np.ndarray]:
-    """The core words and their classes."""
-    words = core_words(blocks, core)
+def cluster_core(hub: Hub, core: int = CORE, sweeps: int = SWEEPS) -> tuple[list[tuple[int, int]], np.ndarray, DataFrame]:
+    """The core words, their classes, and the blocks with the core's places."""
+    words = core_words(hub, core)
+    placed = hub.blocks.select("block", "ids", "ends", "held", "turns", "size").join(core_places(hub, words), "block", "left")
     of = np.arange(len(words)) % CLASSES
     for _ in range(sweeps):
-        of = exchange(_sweep_counts(blocks, words, of), of)
-    return words, of
+        of = exchange(_sweep_counts(placed, of), of)
+    return words, of, placed
 
 
-LEXICON = "block long, at binary, n binary, class binary"
+# -- all words ---------------------------------------------------------------------------
 
 
 def _gains(matrix: np.ndarray) -> np.ndarray:
@@ -218,131 +430,127 @@ def _gains(matrix: np.ndarray) -> np.ndarray:
     return np.concatenate([pair[:CLASSES].T - rows, pair[:, :CLASSES] - cols])
 
 
-def _stay(matrix: np.ndarray, seen: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Likelihood of each word in its own class, the word's counts taken out of it."""
-    a, b = seen[:, :SLOTS], seen[:, SLOTS:]
-    row, col = np.maximum(matrix[of] - a, 0), np.maximum(matrix.T[of] - b, 0)
-    inside = (np.log(row + 0.5) * a).sum(1) + (np.log(col + 0.5) * b).sum(1)
-    return inside - a.sum(1) * np.log(row.sum(1) + 0.5 * SLOTS) - b.sum(1) * np.log(col.sum(1) + 0.5 * SLOTS)
+def _groups(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word's contexts begin, and the number among the words of each context's word."""
+    first = group_starts(word)
+    return first, np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
 
 
-def _meet(blocks: DataFrame, slots_of, choose) -> DataFrame:
-    """Per block, the total training counts and the classes of its words, in
-    their order. A row with a negative block holds, for a task's words, the sum of
-    the counts (n) and the number of words counted (at). Stored.
+def _choose(likely: np.ndarray, first, of, slot, n, own=None, stay=None) -> np.ndarray:
+    """Each word's best class, where its ``own`` counts as ``stay``. By matrix products
+    over some thousand words at a time."""
+    best, edge = np.empty(len(first), np.int64), np.append(first, len(of))
+    for g in range(0, len(first), 4096):
+        z = min(g + 4096, len(first))
+        a, e = edge[g], edge[z]
+        seen = np.zeros((z - g, 2 * SLOTS))
+        seen[of[a:e] - g, slot[a:e]] = n[a:e]
+        score = seen @ likely
+        if own is not None:
+            score[np.arange(z - g), own[g:z]] = stay[g:z]
+        best[g:z] = score.argmax(1)
+    return best
 
-    ``slots_of`` gives the slots of a block's tokens 0, 1, ... and which of these send
-    their contexts; ``choose`` the classes of words, of their names, contexts and slots.
-    A word meets its own rows, one per block; there is no row per token."""
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for r in b.itertuples(index=False):
-                names, count = _words(r.words), np.frombuffer(r.trains, np.int32)
-                tokens, _, train = _tokens(r.ids, r.ends, r.held)
-                of, moves = slots_of(r)
-                slot = of[tokens][train]
-                word = tokens[train].astype(np.int64)
-                sent = np.flatnonzero(moves[word])
-                before = np.concatenate([[END], slot[:-1]])[sent]
-                after = np.concatenate([slot[1:], [END]])[sent]  # the last token is an end, which is not sent
-                key = np.concatenate([word[sent] * (2 * SLOTS) + after, word[sent] * (2 * SLOTS) + SLOTS + before])
-                key, n = np.unique(key, return_counts=True)
-                owner = key // (2 * SLOTS)
-                packed = (((key - owner * (2 * SLOTS)).astype(np.uint32) << np.uint32(24)) | np.minimum(n, (1 << 24) - 1).astype(np.uint32)).tobytes()
-                edge = (4 * np.searchsorted(owner, np.arange(len(names) + 2))).tolist()
-                for i in range(0, len(names), 50_000):
-                    at = range(i, min(len(names), i + 50_000))
-                    part = {"word": names[i : i + 50_000], "block": r.block, "at": at, "n": count[i : i + 50_000], "slot": of[i + 1 : i + 1 + len(at)]}
-                    yield pd.DataFrame(part | {"context": [packed[edge[w + 1] : edge[w + 2]] for w in at]})
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        all_n = all_words = 0
-        for part in whole_groups(batches, ["word"]):
-            names = part["word"].to_numpy()
-            start = group_starts(names)
-            group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(names))))
-            length = part["context"].str.len().to_numpy() // 4
-            entry = np.frombuffer(b"".join(part["context"]), np.uint32)
-            cell = np.repeat(group, length) * (2 * SLOTS) + (entry >> np.uint32(24)).astype(np.int64)
-            seen = np.bincount(cell, weights=(entry & np.uint32(0xFFFFFF)).astype(float), minlength=len(start) * 2 * SLOTS)
-            best = choose(names[start].tolist(), seen.reshape(len(start), 2 * SLOTS), part["slot"].to_numpy()[start])
-            n = np.add.reduceat(part["n"].to_numpy(np.int64), start)
-            all_n, all_words = all_n + int(n.sum()), all_words + int((n > 0).sum())
-            yield pd.DataFrame({"block": part["block"], "at": part["at"], "n": n[group], "class": best[group].astype(np.int32)})
-        if all_words:
-            yield pd.DataFrame({"block": [-1 - TaskContext.get().partitionId()], "at": [all_words], "n": [all_n], "class": [0]})
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in whole_groups(batches, ["block"]):
-            start = group_starts(part["block"].to_numpy()).tolist()
-            for a, z in zip(start, [*start[1:], len(part)]):
-                p = part.iloc[a:z]
-                yield table([(int(p["block"].iloc[0]), p["at"].to_numpy(np.int32).tobytes(), p["n"].to_numpy(np.int64).tobytes(), p["class"].to_numpy(np.uint8).tobytes())], ["block", "at", "n", "class"])
-
-    parts = n_buckets(blocks.sparkSession)
-    sent = blocks.mapInPandas(send, "word string, block long, at int, n int, slot int, context binary")
-    met = sent.repartition(parts, "word").sortWithinPartitions("word").mapInPandas(assign, "block long, at int, n long, class int")
-    back = met.repartition(parts, "block").sortWithinPartitions("block", "at").mapInPandas(pack, LEXICON)
-    return stored(back, "lexicons")
-
-
-SENT = ("block", "words", "trains", "ids", "ends", "held")
-
-
-def _by_hash(names: list[str]) -> np.ndarray:
-    return np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in names], np.int64)
-
-
-def lexicons(blocks: DataFrame, words: list[str], of: np.ndarray) -> DataFrame:
-    """Counts and first classes of all words: of the core as given, of the others by
-    their neighbours in the core, or by a hash if they have none."""
-    place = {w: i for i, w in enumerate(words)}
-    slots = np.concatenate([of, [END, OTHER]]).astype(np.int64)
-    counts = _sweep_counts(blocks, words, of)
-    matrix = np.zeros((SLOTS, SLOTS))
-    np.add.at(matrix, of, counts[:-1, :SLOTS])
-    matrix[END] += counts[-1, :SLOTS]
-    # Of words outside of the core as neighbours nothing is known yet.
-    likely = _gains(matrix)
-    likely[[OTHER, SLOTS + OTHER]] = 0
-
-    def slots_of(r) -> tuple[np.ndarray, np.ndarray]:
-        core = _places(r.words, place, len(words))
-        return slots[core], core < 0  # the classes of the core are known
-
-    def choose(names: list[str], seen: np.ndarray, _) -> np.ndarray:
-        best = (seen @ likely).argmax(1)
-        seen[:, [OTHER, SLOTS + OTHER]] = 0
-        alone = np.flatnonzero(~seen.any(1))
-        best[alone] = _by_hash([names[i] for i in alone.tolist()]) % CLASSES
-        own = np.array([place.get(w, -1) for w in names])
-        best[own >= 0] = of[own[own >= 0]]
-        return best
-
-    return _meet(blocks.select(*SENT), slots_of, choose)
+def _stay(matrix: np.ndarray, own: np.ndarray, of: np.ndarray, slot: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Likelihood of each word in its own class, the word's counts taken out of it."""
+    mine, after = own[of], slot < SLOTS
+    there = np.where(after, matrix[mine, np.minimum(slot, SLOTS - 1)], matrix[np.maximum(slot - SLOTS, 0), mine])
+    total = lambda x: np.bincount(of, weights=x, minlength=len(own))
+    a, b = total(n * after), total(n * ~after)
+    rows, cols = np.maximum(matrix.sum(1)[own] - a, 0), np.maximum(matrix.sum(0)[own] - b, 0)
+    return total(n * np.log(np.maximum(there - n, 0) + 0.5)) - a * np.log(rows + 0.5 * SLOTS) - b * np.log(cols + 0.5 * SLOTS)
 
 
-def _bigrams(classed: DataFrame) -> np.ndarray:
-    """Counts of class after class over all training tokens."""
+def _pass(blocks: DataFrame, kind: str, slots_of) -> DataFrame:
+    """One pass over the tokens of blocks with parts. ``slots_of(numbers, turns)`` -> the slots of
+    a block's words and which of these send their contexts. Rows (shard, block, data) with the contexts, and one
+    per block with its counts of class bigrams and no shard (-1)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(SLOTS * SLOTS, np.int64)
         for b in batches:
             for r in b.itertuples(index=False):
                 tokens, _, train = _tokens(r.ids, r.ends, r.held)
-                of = _lexicon(len(r.trains) // 4 + 1, r.at, r.n, r.cls, 0)[1][tokens[train]]
-                total += np.bincount(np.concatenate([[END], of[:-1]]) * SLOTS + of, minlength=len(total))
-        cell = np.flatnonzero(total)
-        yield pd.DataFrame({"cell": cell, "n": total[cell]})
-
+                turns = np.unpackbits(np.frombuffer(r.turns, np.uint8), count=r.size).astype(bool)
+                sizes, numbers = _parts(r.parts, kind)
+                of, moves = slots_of(numbers, turns)
+                of = np.concatenate([[END], of]).astype(np.uint8)
+                word = tokens[train]
+                slot = of[word]
+                before, after = np.roll(slot, 1), np.roll(slot, -1)
+                if len(slot):
+                    before[0] = after[-1] = END
+                matrix = np.bincount(before.astype(np.uint16) * np.uint16(SLOTS) + slot, minlength=SLOTS * SLOTS)
+                # Contexts of the words that send, as sorted numbers of word and slot.
+                moving = np.concatenate([[False], moves])
+                whole = np.int32 if r.size < (1 << 24) else np.int64
+                row = (np.cumsum(moving) - 1).astype(whole) << whole(BITS)
+                sent = np.flatnonzero(moving[word])  # no end token, so there is one after it
+                at = row[word[sent]]
+                cell = np.concatenate([at + after[sent], at + (before[sent] + np.uint8(SLOTS))])
+                cell.sort()
+                first = group_starts(cell)
+                n = np.diff(np.append(first, len(cell)))
+                cell = cell[first]
+                entries = np.bincount(np.flatnonzero(moves)[cell >> BITS], minlength=r.size)
+                edge = np.concatenate([[0], np.cumsum(entries)])
+                slot = (cell & whole((1 << BITS) - 1)).astype(np.uint8)
+                out = [(-1, r.block, None, matrix.tolist())]
+                begin = 0
+                for shard, size in sizes:
+                    end = begin + size
+                    a, e = edge[begin], edge[end]
+                    if e > a:
+                        out.append((shard, r.block, _pack_contexts(entries[begin:end], slot[a:e], n[a:e]), None))
+                    begin = end
+                yield table(out, ["shard", "block", "data", "bigrams"])
+
+    return blocks.mapInPandas(run, "shard int, block long, data binary, bigrams array<long>")
+
+
+def _matrix(rows: DataFrame) -> np.ndarray:
+    """The sum of the class bigrams of a pass's blocks."""
+    counted = rows.where("shard < 0").select(F.posexplode("bigrams").alias("cell", "n")).where("n > 0").groupBy("cell").agg(F.sum("n").alias("n"))
     out = np.zeros(SLOTS * SLOTS)
-    counted = classed.select("trains", "ids", "ends", "held", "at", "n", "cls").mapInPandas(run, "cell long, n long")
-    for r in counted.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # bounded by the classes
+    for r in counted.collect():  # bounded by the classes
         out[r["cell"]] = r["n"]
     return out.reshape(SLOTS, SLOTS)
 
 
+SENT = ("ids", "ends", "held", "turns", "size")
+
+
+def first_classes(hub: Hub, words: list[tuple[int, int]], of: np.ndarray, placed: DataFrame) -> DataFrame:
+    """(shard, v), stored: the first slots of all words. Those of the core as given, of others by
+    their neighbours in the core, or by a hash if they have none; OTHER if training lacks them."""
+    slots = np.concatenate([of, [OTHER]]).astype(np.int64)  # -1 is the last
+    counts = _sweep_counts(placed, of)
+    matrix = np.zeros((SLOTS, SLOTS))
+    np.add.at(matrix, of, counts[:-1, :SLOTS])
+    matrix[END] += counts[-1, :SLOTS]
+    # Of words outside of the core as neighbours nothing is known yet.
+    likely = _gains(matrix)
+    core: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for (shard, at), k in zip(words, of.tolist()):
+        core[shard].append((at, k))
+
+    def slots_of(place: np.ndarray, turns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return slots[place], place < 0  # the classes of the core are known
+
+    def choose(shard: int, word, slot, n, _, counts: np.ndarray, low: np.ndarray) -> np.ndarray:
+        known = (slot != OTHER) & (slot != SLOTS + OTHER)
+        best = ((low >> 1) % CLASSES).astype(np.int64)
+        first, of = _groups(word[known])
+        best[word[known][first]] = _choose(likely, first, of, slot[known], n[known])
+        best[counts == 0] = OTHER
+        for place, k in core.get(shard, []):
+            best[place] = k
+        return best
+
+    none = hub.values(lambda s, c, low: np.full(len(c), OTHER), "u1")
+    return stored(hub.up(_pass(placed, "<i2", slots_of).where("shard >= 0"), none, choose), "classes")
+
+
 def likelihood(matrix: np.ndarray) -> float:
     """Of the class bigrams, per token, beyond that of the words by themselves."""
     share = matrix / max(matrix.sum(), 1)
@@ -351,51 +559,50 @@ def likelihood(matrix: np.ndarray) -> float:
     return float((share[at] * np.log(share[at] / alone[at])).sum())
 
 
-def exchange_all(blocks: DataFrame, lexicon: DataFrame, rise: float = RISE) -> DataFrame:
-    """The lexicon with the classes of all words exchanged until the likelihood stops rising."""
+def exchange_all(hub: Hub, classes: DataFrame, rise: float = RISE) -> DataFrame:
+    """The classes of all words, exchanged until the likelihood stops rising."""
 
-    def classed(found: DataFrame) -> DataFrame:
-        return blocks.select(*SENT).join(found.withColumnRenamed("class", "cls"), "block", "left")
+    def read(current: DataFrame, turn: int) -> tuple[DataFrame, str, np.ndarray]:
+        # Only words whose turn it is need their contexts.
+        of = lambda slots, turns: (slots, (turns == bool(turn % 2)) & (slots < CLASSES))
+        rows, path = stored_at(_pass(hub.with_values(current, "u1", *SENT), "u1", of), "contexts")
+        return rows, path, _matrix(rows)
 
-    matrix = _bigrams(classed(lexicon))
-    level, idle = likelihood(matrix), 0
-    for turn in itertools.count():
+    def moved(rows: DataFrame, current: DataFrame, matrix: np.ndarray, turn: int) -> tuple[DataFrame, str]:
         likely = _gains(matrix)
 
-        def slots_of(r, turn=turn) -> tuple[np.ndarray, np.ndarray]:
-            of = _lexicon(len(r.trains) // 4 + 1, r.at, r.n, r.cls, 0)[1]
-            # Only words whose turn it is need their contexts.
-            return of, np.concatenate([[False], _by_hash(_words(r.words)) % 2 == turn % 2])
-
-        def choose(names: list[str], seen: np.ndarray, slot: np.ndarray, matrix=matrix, likely=likely, turn=turn) -> np.ndarray:
-            score = seen @ likely
-            at = np.flatnonzero(slot < CLASSES)
-            score[at, slot[at]] = _stay(matrix, seen[at], slot[at])
-            # Words that training lacks have no class to keep and none to move to.
-            move = (_by_hash(names) % 2 == turn % 2) & (slot < CLASSES)
-            return np.where(move, score.argmax(1), np.minimum(slot, CLASSES - 1))
-
-        moved = _meet(classed(lexicon), slots_of, choose)
-        counted = _bigrams(classed(moved))
-        now = likelihood(counted)
-        idle = 0 if now > level + rise else idle + 1
-        if now > level:
-            lexicon, matrix, level = moved, counted, now
-        # Lets Spark delete the shuffle files of the turns that are over.
-        blocks.sparkSession.sparkContext._jvm.System.gc()
-        if idle == 2:
-            return lexicon
+        def choose(shard: int, word, slot, n, slots: np.ndarray, counts: np.ndarray, low: np.ndarray) -> np.ndarray:
+            # Only words whose turn it is sent contexts.
+            first, of = _groups(word)
+            own = slots[word[first]].astype(np.int64)
+            new = slots.copy()
+            new[word[first]] = _choose(likely, first, of, slot, n, own, _stay(matrix, own, of, slot, n))
+            return new
 
+        return stored_at(hub.up(rows.where("shard >= 0"), current, choose), "classes")
 
-def _lexicon(size: int, at, n, cls, end_count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Count and class of the tokens 0..size of a block; those that training lacks are OTHER."""
-    count, of = np.zeros(size, np.int64), np.full(size, OTHER, np.int64)
-    if at is not None:
-        where = np.frombuffer(at, np.int32) + 1
-        count[where], of[where] = np.frombuffer(n, np.int64), np.frombuffer(cls, np.uint8)
-        of[count == 0] = OTHER
-    count[0], of[0] = end_count, END
-    return count, of
+    spark = hub.blocks.sparkSession
+    best, best_path, current, current_path = classes, None, classes, None
+    level, idle = -np.inf, 0
+    for turn in itertools.count():
+        rows, path, matrix = read(current, turn)
+        now = likelihood(matrix)
+        if turn:
+            idle = 0 if now > level + rise else idle + 1
+        if now > level:
+            if best_path and best_path != current_path:
+                discard(spark, best_path)
+            best, best_path, level = current, current_path, now
+        if idle == 2:
+            discard(spark, path)
+            return best
+        if current is not best:  # the turn brought nothing: go on from before it
+            discard(spark, path)
+            discard(spark, current_path)
+            current, current_path = best, best_path
+            rows, path, matrix = read(current, turn)
+        current, current_path = moved(rows, current, matrix, turn)
+        discard(spark, path)
 
 
 class ClassModel:
@@ -429,15 +636,20 @@ class ClassModel:
         return np.log10(np.where(known, p, self.unknown[before])), base, known
 
 
+def _lexicon(counts, classes, end_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Count and class of a block's tokens 0, 1, ...; those that training lacks are OTHER."""
+    return np.concatenate([[end_count], _parts(counts, "<i8")[1]]), np.concatenate([[END], _parts(classes, "u1")[1]]).astype(np.int64)
+
+
 def class_model(encoded: DataFrame, end_count: int, n: int, v: int) -> ClassModel:
     wide = SLOTS + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SLOTS * wide, np.int64)
         for b in batches:
-            for ids, ends, held, trains, at, c, k in zip(*(b[x] for x in ("ids", "ends", "held", "trains", "at", "n", "class"))):
+            for ids, ends, held, counts, classes in zip(*(b[x] for x in ("ids", "ends", "held", "counts", "classes"))):
                 tokens, _, train = _tokens(ids, ends, held)
-                count, of = _lexicon(len(trains) // 4 + 1, at, c, k, end_count)
+                count, of = _lexicon(counts, classes, end_count)
                 tokens = tokens[train]  # whole documents, so each still begins after an end
                 cls, single = of[tokens], count[tokens] == 1
                 before = np.concatenate([[END], cls[:-1]])
@@ -449,37 +661,39 @@ def class_model(encoded: DataFrame, end_count: int, n: int, v: int) -> ClassMode
         cell = np.flatnonzero(total)
         yield pd.DataFrame({"cell": cell, "n": total[cell]})
 
-    counted = encoded.mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = encoded.select("ids", "ends", "held", "counts", "classes").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     return ClassModel({r["cell"]: r["n"] for r in counted.collect()}, n, v)
 
 
-RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+RESULT = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_documents(docs: DataFrame, core: int = CORE, sweeps: int = SWEEPS) -> DataFrame:
+def score_documents(docs: DataFrame, core: int = CORE, sweeps: int = SWEEPS, rise: float = RISE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``."""
     blocks = encode(docs)
-    lexicon = exchange_all(blocks, lexicons(blocks, *cluster_core(blocks, core, sweeps)))
+    hub = Hub(blocks)
+    classes = exchange_all(hub, first_classes(hub, *cluster_core(hub, core, sweeps)), rise)
     end_count = blocks.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()[0]
-    n, v = end_count, int(end_count > 0)
-    for r in lexicon.filter("block < 0").select("at", "n").toLocalIterator():  # one row per task
-        n, v = n + int(np.frombuffer(r["n"], np.int64).sum()), v + int(np.frombuffer(r["at"], np.int32).sum())
-    # Read twice, by the model's counts and by the scoring.
-    encoded = stored(blocks.drop("words").join(lexicon, "block", "left"), "encoded-with-lexicons")
+    sums = hub.per_shard(lambda s, c, low: pd.DataFrame({"n": [int(c.sum())], "v": [int((c > 0).sum())]}), "n long, v long")
+    known = sums.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
+    n, v = end_count + known["n"], int(end_count > 0) + known["v"]
+    counts = hub.down(hub.values(lambda s, c, low: c, "<i8"), "<i8").withColumnRenamed("parts", "counts")
+    lexicon = stored(counts.join(hub.down(classes, "u1").withColumnRenamed("parts", "classes"), "block"), "lexicon")
+    encoded = blocks.select("block", "doc_id", "held", "ends", "ids").join(lexicon, "block", "left")
     model = class_model(encoded, end_count, n, v)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for doc_id, ids, ends, held, trains, at, c, k in zip(*(b[x] for x in ("doc_id", "ids", "ends", "held", "trains", "at", "n", "class"))):
+            for doc_id, ids, ends, held, c, k in zip(*(b[x] for x in ("doc_id", "ids", "ends", "held", "counts", "classes"))):
                 tokens, end, _ = _tokens(ids, ends, held)
-                score, base, known = model.score(tokens, *_lexicon(len(trains) // 4 + 1, at, c, k, end_count))
+                score, base, known = model.score(tokens, *_lexicon(c, k, end_count))
                 begin = np.concatenate([[0], end[:-1]])
-                out = {"doc_id": pd.array([None if i is None or pd.isna(i) else int(i) for i in doc_id], "Int64"), "held_out": list(held), "n_tokens": end - begin}
+                out = {"doc_id": list(doc_id), "held_out": list(held), "n_tokens": end - begin}
                 out |= {"n_known": np.add.reduceat(known.astype(np.int64), begin), "train_tokens": n}
                 out |= {"base_score": np.add.reduceat(base, begin), "score": np.add.reduceat(score, begin)}
                 yield pd.DataFrame(out)
 
-    return encoded.mapInPandas(run, RESULT)
+    return encoded.drop("block").mapInPandas(run, RESULT).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def op4_brown(spark, sf_dir: str) -> DataFrame:

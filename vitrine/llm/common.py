@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,12 +42,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the path, for ``discard``. For packed columns: they are not compressed again."""
+    path = shared_path(df.sparkSession, name)
+    df.write.option("compression", "uncompressed").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str | None) -> None:
+    """Delete an intermediate that nothing reads any more."""
+    if path:
+        place, inner = file_system(path)
+        place.delete_dir(inner)
+
+
+def bucketed(df: DataFrame, n: int, column: str, name: str) -> DataFrame:
+    """Write ``df`` as a table of n buckets by ``column``, as its partitions come: joins and
+    groupings by the column then move the other side only."""
+    spark = df.sparkSession
+    table_name = f"vitrine_blocks_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, column).option("path", shared_path(spark, name)).option("compression", "zstd").saveAsTable(table_name)
+    return spark.table(table_name)
+
+
 def release(spark: SparkSession) -> None:
     """Delete this application's intermediates, when no result that reads them is needed any more."""
+    folder = shared_path(spark, "").rsplit("/", 1)[0]
+    own = folder.rsplit("/", 2)[1] + "/" + folder.rsplit("/", 2)[2]
     for t in spark.catalog.listTables():
         if t.name.startswith("vitrine_blocks_"):
-            spark.sql(f"DROP TABLE `{t.name}`")
-    place, path = file_system(shared_path(spark, "").rsplit("/", 1)[0])
+            said = spark.sql(f"DESCRIBE TABLE EXTENDED `{t.name}`").where("col_name = 'Location'").collect()
+            if any(f"/{own}/" in r["data_type"] for r in said):
+                spark.sql(f"DROP TABLE `{t.name}`")
+    place, path = file_system(folder)
     if place.get_file_info(path).type != fs.FileType.NotFound:
         place.delete_dir(path)
 
