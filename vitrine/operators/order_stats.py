@@ -15,7 +15,7 @@ the table in one place. Here all targets are found in three scans:
 The counts are exact, so a bound that fails (it holds with a probability, and a
 caller may ask for a narrower one) only costs more scans: the target is then in
 a known region, which gets a sketch of its own. Of n rows, about ``(2 * margin)^2``
-reach the last step, a millionth by default, and only one row per value leaves
+reach the last step, some millionths by default, and only one row per value leaves
 the tasks. All passes are scans with partial aggregation and filters that reach
 the Parquet scan; the driver sees sketches of some 100 KB and a few numbers.
 

@@ -1,7 +1,6 @@
 """Listing sources and sinks."""
 
 from vitrine.sources.driver_tables import listing_view
-from vitrine.sources.csv_records import csv_records
 from vitrine.sources.ingest import (
     IngestReport,
     MissingColumnError,
@@ -28,7 +27,6 @@ __all__ = [
     "MissingColumnError",
     "RAW_COLUMNS",
     "RAW_SCHEMA",
-    "csv_records",
     "ingest_listings",
     "listing_view",
     "listings",
