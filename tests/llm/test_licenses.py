@@ -39,3 +39,10 @@ def test_edges(spark):
     docs = edge.documents(spark).withColumnRenamed("source", "path")
     assert licenses.scan(docs).count() == len(edge.texts())
     assert licenses.scan(edge.empty(spark).withColumnRenamed("source", "path")).collect() == []
+
+
+def test_query_with_null_ids(spark, tmp_path):
+    rows = [(1, MIT, "en", "a"), (None, MIT, "en", "b"), (None, "nothing to see", None, None), (3, None, "fr", "a/b")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(((r["doc_id"], r["license"]) for r in licenses.op6_licenses(spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted([(1, "MIT"), (None, "MIT"), (None, None), (3, None)], key=str)

@@ -133,9 +133,10 @@ def scan(files: DataFrame, cosine: float = COSINE, share: float = SHARE) -> Data
 
 def op6_licenses(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.col("doc_id"))
+    # Rows without an id share a path, as rows that repeat one do.
+    path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     found = scan(docs.select(path.alias("path"), "text"))
-    return found.select(F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id"), "license", "basis", "score", "origin")
+    return found.select(F.element_at(F.split("path", "/"), -1).try_cast("long").alias("doc_id"), "license", "basis", "score", "origin")
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
