@@ -85,7 +85,18 @@ def test_no_candidate_is_lost(monkeypatch):
     idf = np.array([r.random() * 5 for _ in vocabulary])
     model = d.Model(items, vocabulary, idf, np.eye(len(vocabulary)))
     monkeypatch.setattr(d, "PIECE", 50)
-    hits = 0
+    place = {w: int(np.searchsorted(vocabulary, d.tokens(w)[0])) for w in names if d.tokens(w)[0] in vocabulary}
+
+    def cosine(a, b):
+        u, v = np.zeros(len(vocabulary)), np.zeros(len(vocabulary))
+        for x, words in ((u, a), (v, b)):
+            for w in words:
+                k = place.get(w)
+                if k is not None:
+                    x[k] += idf[k]
+        return u @ v / max(np.sqrt((u @ u) * (v @ v)), 1e-12)
+
+    hits = latent = 0
     for _ in range(60):
         text = pick(r.randrange(1, 150)) + [w for w in r.choice(items)[1].split() if r.random() > 0.25] + pick(r.randrange(1, 150))
         text = [w if r.random() > 0.1 else f"x{r.randrange(99)}" for w in text]
@@ -96,11 +107,54 @@ def test_no_candidate_is_lost(monkeypatch):
             for b in range(0, max(1, len(text) - step), step):
                 span = text[max(0, b - step) : min(b + step + int(model.width[j]), len(text)) + step]
                 shared, answer = d.lcs(words, span) / len(words), d.lcs(tail, span) / len(tail)
-                if shared >= d.SAME or (shared >= d.ALIKE and answer >= d.ANSWER):
+                near = cosine(words, text[b : min(b + step + int(model.width[j]), len(text))]) >= d.COSINE
+                latent += near and d.LOOSE <= shared < d.ALIKE and answer >= d.ANSWER
+                if shared >= d.SAME or (shared >= (d.LOOSE if near else d.ALIKE) and answer >= d.ANSWER):
                     want[item_id] = max(want.get(item_id, (0, 0)), (shared, answer))
         assert {i: (s, a) for i, _, s, a in model.matches(" ".join(text))} == want
         hits += len(want)
-    assert hits > 60
+    assert hits > 60 and latent > 10
+
+
+def test_reworded_and_reordered(spark):
+    """Paraphrases that share less than ALIKE in order, with the whole answer, planted in real documents:
+    those that brute force finds by LCS and answer alone are found by the latent search."""
+    r = random.Random(5)
+    split = lambda t: re.findall(r"\w+", t or "")
+    items = {x["item_id"]: x["text"] for x in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    hosts = [x["text"] for x in spark.read.parquet(f"{SF}/documents.parquet").limit(200).collect()]
+    hosts = [split(t)[:600] for t in hosts if len(split(t)) > 60]
+    rows, want = [], set()
+    for k, (item_id, text) in enumerate(list(items.items()) * 5):
+        words, n = split(text), d.answer_words(text)
+        question = [w if r.random() > 0.25 else r.choice(r.choice(hosts)) for w in words[:-n]]
+        for b in range(0, len(question), 5):
+            part = question[b : b + 5]
+            r.shuffle(part)
+            question[b : b + 5] = part
+        host = r.choice(hosts)
+        cut = r.randrange(len(host))
+        rows.append((k, " ".join([*host[:cut], *question, *words[-n:], *host[cut:]])))
+        if d.LOOSE <= d.lcs(words, question + words[-n:]) / len(words) < 0.55:
+            want.add((k, item_id))
+    docs = edge.documents(spark, rows)
+    got = {(x["doc_id"], x["item_id"]): x for x in d.contaminated(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert len(want) >= 20
+    assert len(want & set(got)) >= 0.9 * len(want)
+    assert all(got[k]["cosine"] >= d.COSINE for k in want & set(got))
+    clean = {x["doc_id"] for x in d.keep_clean(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert clean == {k for k, _ in rows} - {k for k, _ in got}
+
+
+def test_unspaced_scripts(spark):
+    """Every Han or kana character is a word."""
+    item = "水は何度で沸騰するか。答えは百度である。"
+    other = "山川草木日月火水木金土天地人東西南北春夏秋冬"
+    r = random.Random(2)
+    fill = lambda n: "".join(r.choice(other) for _ in range(n))
+    docs = edge.documents(spark, [(1, fill(80) + item + fill(50)), (2, fill(200)), (3, edge.prose(60, 3))])
+    found = d.contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert [(x["doc_id"], x["item_id"], x["lcs"]) for x in found] == [(1, 7, 1.0)]
 
 
 def test_short_items(spark):

@@ -1,20 +1,25 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items and windows of documents are TF-IDF vectors over the items'
-words (damped term frequency; document frequencies counted over all documents).
-A randomised SVD of the items gives a latent space. Every document is cut into
-overlapping windows of each width that items need. A window is a candidate for an
-item if it holds enough of the item's rarest words, which every window with a share
-of ``ALIKE`` of the item's words does. Candidates are verified by the longest
-common subsequence of words: a share of ``SAME`` of the item's words marks the
-document, and for paraphrases a share of ``ALIKE`` does if the item's answer
-(its last sentence, or the last third of a single one) is there as well. The
-cosine in the latent space is reported and cuts nothing: it falls with every rare
-word around an item, so a threshold on it would lose items that are there.
+words (document frequencies counted over all documents). A randomised SVD of the
+items gives a latent space. Every document is cut into overlapping windows of each
+width that items need. A window and an item of its width are candidates from a
+cosine of ``COSINE`` in the latent space on; the cosine is taken wherever a window
+holds enough of the words of the item's answer (its last sentence, or the last third
+of a single one), as no other could pass. Words outside the items' vocabulary have
+no part in the space, so rare words around an item do not lower its cosine.
+Candidates are verified by the longest common subsequence of words: a paraphrase has
+a share of ``LOOSE`` of the item's words, and ``ANSWER`` of its answer's.
+
+A threshold on a cosine can lose copies whose words are all common. So windows with
+enough of an item's rarest words, which every window with a share of ``ALIKE`` of
+the item's words has, are compared too, whatever their cosine; a share of ``SAME``
+marks the document, and one of ``ALIKE`` does with the answer.
 
 Words are runs of letters, digits and non-ASCII bytes of the lower-cased text, so
-case, spacing and punctuation make no difference. The items are taken in blocks
-of bounded size; each block is a pass over the documents.
+case, spacing and punctuation make no difference; in scripts that are written
+without spaces every character is a word. The items are taken in blocks of bounded
+size; each block is a pass over the documents.
 
 Defined cases: null or empty texts and items match nothing; items of fewer than
 ``MIN_WORDS`` words are found by the exact sequence of all their words, answer
@@ -37,20 +42,31 @@ from vitrine.llm.anchors import word_hashes
 from vitrine.llm.common import stored, table, text_bytes, word_bounds
 
 RANK = 128
+COSINE = 0.6
 SAME = 0.8
 ALIKE = 0.6
+LOOSE = 0.4
 ANSWER = 0.8
 MIN_WORDS = 8
 HITS = 4
+ANSWER_HITS = 2
 PIECE = 1 << 16
+ROWS = 1 << 9
 ITEM_BYTES = 1 << 20
 
 _CODES = np.arange(256)
 _GAPS = ~((_CODES >= 128) | ((_CODES >= 48) & (_CODES <= 57)) | ((_CODES >= 97) & (_CODES <= 122)))
 
 
+# Thai, Lao, Burmese, Khmer, kana and Han characters.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+
+
 def tokens(text: str | None) -> np.ndarray:
-    data = text_bytes((text or "").lower())
+    text = (text or "").lower()
+    data = text_bytes(text)
+    if len(data) and data.max() >= 0xE0:  # a character of three bytes or more
+        data = text_bytes(_UNSPACED.sub(r" \1 ", text))
     return word_hashes(data, *word_bounds(data, _GAPS))
 
 
@@ -61,28 +77,38 @@ def answer_words(text: str) -> int:
     return parts[-1] if len(parts) > 1 and 3 <= parts[-1] < total else max(1, total // 3)
 
 
-def lcs(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence, bit-parallel over ``a``."""
+def _places(a: list[int]) -> dict[int, int]:
+    """A bit per place of each word."""
     at: dict[int, int] = {}
     for i, x in enumerate(a):
         at[x] = at.get(x, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return at
+
+
+def _lcs(at: dict[int, int], n: int, b: list[int]) -> int:
+    """Length of the longest common subsequence with n words at these places, bit-parallel over them."""
+    full = (1 << n) - 1
     v = full
     for x in b:
-        u = v & at.get(x, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
+        if x in at:
+            u = v & at[x]
+            v = ((v + u) | (v - u)) & full
+    return n - v.bit_count()
+
+
+def lcs(a: list[int], b: list[int]) -> int:
+    return _lcs(_places(a), len(a), b)
 
 
 def _weights(ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms of a bag of words and their weights: root of the count times idf."""
+    """Terms of a bag of words and their weights: the count times idf."""
     term, count = np.unique(ids, return_counts=True)
-    return term, np.sqrt(count) * idf[term]
+    return term, count * idf[term]
 
 
-def _least(length: int) -> int:
-    """The fewest shared words that are a share of ``ALIKE`` of an item's."""
-    return next(n for n in range(length + 1) if n / length >= ALIKE)
+def _least(length: int, share: float) -> int:
+    """The fewest shared words that are such a share of an item's."""
+    return next(n for n in range(length + 1) if n / length >= share)
 
 
 class Short:
@@ -111,13 +137,27 @@ class Short:
         return held
 
 
-class Model:
-    """The latent space of one block of items, and the items' rarest words.
+class Rare:
+    """Items by their rarest words.
 
     An item of L words that shares at least ``least`` of them with a span shares
-    ``HITS`` of its L - least + HITS rarest ones too, as no more than L - least are
-    missing. So only spans with as many of an item's rarest words are compared
-    with it, and none that could pass is lost, however common the words are."""
+    ``hits`` of its L - least + hits rarest ones too, as no more than L - least are
+    missing. So every span that shares so many has as many of these."""
+
+    def __init__(self, words: list[np.ndarray], share: float, idf: np.ndarray, hits: int = HITS):
+        least = [_least(len(w), share) for w in words]
+        self.hits = np.array([min(hits, n) for n in least])
+        rare = [np.unique(w[np.argsort(-idf[w], kind="stable")[: len(w) - n + h]]) for w, n, h in zip(words, least, self.hits.tolist())]
+        term, item = np.concatenate(rare), np.repeat(np.arange(len(rare)), [len(r) for r in rare])
+        # Those of word t are holds[first[t] : first[t + 1]].
+        self.holds = item[np.argsort(term, kind="stable")]
+        self.first = np.searchsorted(np.sort(term), np.arange(len(idf) + 1))
+
+
+class Model:
+    """The latent space of one block of items, and the items' rarest words: by those of
+    an answer a window is compared in the latent space, by those of an item directly, so
+    that no share of ``ALIKE`` is lost, however common the words are."""
 
     def __init__(self, items: list[tuple[int, str]], vocabulary: np.ndarray, idf: np.ndarray, space: np.ndarray, short: list[tuple[int, np.ndarray]] = ()):
         self.short = Short(short)
@@ -125,9 +165,10 @@ class Model:
         if not items:
             return
         self.vocabulary, self.idf = vocabulary, idf
-        self.space = space.astype(np.float32)
+        self.space = (space * idf[:, None]).astype(np.float32)
         self.words = [np.searchsorted(vocabulary, tokens(t)) for _, t in items]
         self.answers = [answer_words(t) for _, t in items]
+        self.places = [(_places(w.tolist()), _places(w[-n:].tolist())) for w, n in zip(self.words, self.answers)]
         self.latent = np.stack([self._project(w) for w in self.words])
         # Widths grow by half, each item belongs to the first that holds it.
         length = np.array([len(w) for w in self.words])
@@ -138,33 +179,50 @@ class Model:
         self.step = self.width // 4
         # The window and half an item to both sides of it.
         self.span = self.width + 3 * self.step
-        self.hits = np.array([min(HITS, _least(n)) for n in length.tolist()])
-        # Items by rare word: those of word t are holds[first[t] : first[t + 1]].
-        rare = [np.unique(w[np.argsort(-idf[w], kind="stable")[: len(w) - _least(len(w)) + h]]) for w, h in zip(self.words, self.hits.tolist())]
-        term, item = np.concatenate(rare), np.repeat(np.arange(len(rare)), [len(r) for r in rare])
-        self.holds = item[np.argsort(term, kind="stable")]
-        self.first = np.searchsorted(np.sort(term), np.arange(len(vocabulary) + 1))
+        self.rare = Rare(self.words, ALIKE, idf)
+        self.rare_answers = Rare([w[-n:] for w, n in zip(self.words, self.answers)], ANSWER, idf, ANSWER_HITS)
 
     def _project(self, ids: np.ndarray) -> np.ndarray:
-        term, weight = _weights(ids, self.idf)
-        y = weight.astype(np.float32) @ self.space[term]
-        return y / max(float(np.sqrt((y**2).sum())), 1e-12)
+        y = self.space[ids].sum(axis=0, dtype=np.float64)
+        return (y / max(float(np.sqrt((y**2).sum())), 1e-12)).astype(np.float32)
 
-    def _candidates(self, ids: np.ndarray, n: int, begin: int) -> Iterator[tuple[int, int]]:
+    def _similar(self, ids: np.ndarray, item: np.ndarray, window: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Those of the pairs (item, window) whose cosine is ``COSINE`` or more."""
+        order = np.argsort(window * self.step[item], kind="stable")
+        at = np.flatnonzero(ids >= 0)
+        for low in range(0, len(order), ROWS):
+            j, k = item[order[low : low + ROWS]], window[order[low : low + ROWS]]
+            begin, end = (np.searchsorted(at, x) for x in self._bounds(j, k, len(ids)))
+            # Running sums over the words of the items from the first window to the last.
+            first, last = begin.min(), end.max()
+            total = np.zeros((last - first + 1, self.space.shape[1]))
+            np.cumsum(self.space[ids[at[first:last]]], axis=0, dtype=np.float64, out=total[1:])
+            span, place = np.unique((begin - first) * (len(at) + 1) + end - first, return_inverse=True)
+            y = total[span % (len(at) + 1)] - total[span // (len(at) + 1)]
+            y /= np.maximum(np.sqrt((y**2).sum(axis=1, keepdims=True)), 1e-12)
+            near = np.einsum("ij,ij->i", y[place], self.latent[j]) >= COSINE
+            yield from zip(j[near].tolist(), k[near].tolist())
+
+    def _bounds(self, item, window, n: int):
+        """Where a window of an item's width begins and ends in a text of n words."""
+        begin = window * self.step[item]
+        return begin, np.minimum(begin + self.step[item] + self.width[item], n)
+
+    def _holding(self, rare: Rare, ids: np.ndarray, n: int, begin: int) -> tuple[np.ndarray, np.ndarray]:
         """(item, window) of the windows of a text of n words that hold enough of
-        an item's rarest words; ``ids`` are the text's words from ``begin`` on."""
+        the rare words; ``ids`` are the text's words from ``begin`` on."""
         at = np.flatnonzero(ids >= 0)
-        low, count = self.first[ids[at]], self.first[ids[at] + 1] - self.first[ids[at]]
-        item = self.holds[np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)]
+        low, count = rare.first[ids[at]], rare.first[ids[at] + 1] - rare.first[ids[at]]
+        item = rare.holds[np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)]
         at = np.repeat(at + begin, count)
         order = np.argsort(item, kind="stable")
         item, at = item[order], at[order]
         # Hits that have enough others of their item within a span.
         near = np.zeros(len(at), bool)
-        for hits in np.unique(self.hits).tolist():
+        for hits in np.unique(rare.hits).tolist():
             last = np.arange(hits - 1, len(at))
             start = last - (hits - 1)
-            full = start[(self.hits[item[start]] == hits) & (item[start] == item[last]) & (at[last] - at[start] < self.span[item[start]])]
+            full = start[(rare.hits[item[start]] == hits) & (item[start] == item[last]) & (at[last] - at[start] < self.span[item[start]])]
             for i in range(hits):
                 near[full + i] = True
         item, at = item[near], at[near]
@@ -174,14 +232,28 @@ class Model:
         count = np.maximum(high - low + 1, 0)
         window = np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)
         key, found = np.unique(np.repeat(item, count) * (n + 1) + window, return_counts=True)
-        key = key[found >= self.hits[key // (n + 1)]]
-        yield from zip((key // (n + 1)).tolist(), (key % (n + 1)).tolist())
+        key = key[found >= rare.hits[key // (n + 1)]]
+        return key // (n + 1), key % (n + 1)
+
+    def _verify(self, ids: np.ndarray, j: int, k: int, share: float, best: dict[int, tuple[float, float, float]]) -> None:
+        """Compare window k with item j, and keep the item's best (lcs share, answer share, cosine)."""
+        b, e = map(int, self._bounds(j, k, len(ids)))
+        step, (places, tail) = int(self.step[j]), self.places[j]
+        span = ids[max(0, b - step) : e + step].tolist()
+        answer = _lcs(tail, self.answers[j], span) / self.answers[j]
+        if answer < ANSWER and share < ALIKE:
+            return
+        shared = _lcs(places, len(self.words[j]), span) / len(self.words[j])
+        if shared >= SAME or (shared >= share and answer >= ANSWER):
+            bag = ids[b:e]
+            cosine = float(self.latent[j] @ self._project(bag[bag >= 0]))
+            best[j] = max(best.get(j, (0.0, 0.0, -1.0)), (shared, answer, cosine))
 
     def matches(self, text: str | None) -> list[tuple[int, float, float, float]]:
         """(item_id, cosine, lcs share, answer share) of the items that a text holds."""
         found = tokens(text)
         held = [(i, 1.0, 1.0, 1.0) for i in self.short.matches(found)]
-        if not self.item_ids or len(found) < MIN_WORDS * ALIKE:
+        if not self.item_ids or len(found) < MIN_WORDS * LOOSE:
             return held
         ids = np.searchsorted(self.vocabulary, found)
         ids[ids == len(self.vocabulary)] = 0
@@ -189,20 +261,12 @@ class Model:
         best: dict[int, tuple[float, float, float]] = {}
         # Pieces of a text overlap by a span, so each span is whole in one of them.
         for piece in range(0, len(ids), PIECE):
-            for j, k in self._candidates(ids[piece : piece + PIECE + int(self.span.max())], len(ids), piece):
-                step = int(self.step[j])
-                b, e = k * step, min((k + 1) * step + int(self.width[j]), len(ids))
-                words = self.words[j].tolist()
-                span = ids[max(0, b - step) : e + step].tolist()
-                shared = lcs(words, span) / len(words)
-                if shared < ALIKE:
-                    continue
-                tail = words[-self.answers[j] :]
-                answer = lcs(tail, span) / len(tail)
-                if shared >= SAME or answer >= ANSWER:
-                    bag = ids[b:e]
-                    cosine = float(self.latent[j] @ self._project(bag[bag >= 0]))
-                    best[j] = max(best.get(j, (0.0, 0.0, -1.0)), (shared, answer, cosine))
+            part = ids[piece : piece + PIECE + int(self.span.max())]
+            for j, k in self._similar(ids, *self._holding(self.rare_answers, part, len(ids), piece)):
+                self._verify(ids, j, k, LOOSE, best)
+            item, window = self._holding(self.rare, part, len(ids), piece)
+            for j, k in zip(item.tolist(), window.tolist()):
+                self._verify(ids, j, k, ALIKE, best)
         return held + [(self.item_ids[j], c, s, a) for j, (s, a, c) in best.items()]
 
 
