@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.anchors import word_hashes
-from vitrine.llm.common import stored, table, text_bytes, word_bounds
+from vitrine.llm.common import group_starts, stored, table, text_bytes, word_bounds
 
 RANK = 128
 COSINE = 0.6
@@ -138,15 +138,16 @@ class Short:
 
 
 class Rare:
-    """Items by their rarest words.
+    """Lists of words (items, then their answers) by the rarest words of each.
 
-    An item of L words that shares at least ``least`` of them with a span shares
+    A list of L words that shares at least ``least`` of them with a span shares
     ``hits`` of its L - least + hits rarest ones too, as no more than L - least are
     missing. So every span that shares so many has as many of these."""
 
-    def __init__(self, words: list[np.ndarray], share: float, idf: np.ndarray, hits: int = HITS):
-        least = [_least(len(w), share) for w in words]
-        self.hits = np.array([min(hits, n) for n in least])
+    def __init__(self, lists: list[tuple[np.ndarray, float, int]], idf: np.ndarray):
+        words = [w for w, _, _ in lists]
+        least = [_least(len(w), share) for w, share, _ in lists]
+        self.hits = np.array([min(hits, n) for n, (_, _, hits) in zip(least, lists)])
         rare = [np.unique(w[np.argsort(-idf[w], kind="stable")[: len(w) - n + h]]) for w, n, h in zip(words, least, self.hits.tolist())]
         term, item = np.concatenate(rare), np.repeat(np.arange(len(rare)), [len(r) for r in rare])
         # Those of word t are holds[first[t] : first[t + 1]].
@@ -179,8 +180,9 @@ class Model:
         self.step = self.width // 4
         # The window and half an item to both sides of it.
         self.span = self.width + 3 * self.step
-        self.rare = Rare(self.words, ALIKE, idf)
-        self.rare_answers = Rare([w[-n:] for w, n in zip(self.words, self.answers)], ANSWER, idf, ANSWER_HITS)
+        self.sizes = [np.tile(x, 2) for x in (self.width, self.step, self.span)]
+        answers = [w[-n:] for w, n in zip(self.words, self.answers)]
+        self.rare = Rare([(w, ALIKE, HITS) for w in self.words] + [(w, ANSWER, ANSWER_HITS) for w in answers], idf)
 
     def _project(self, ids: np.ndarray) -> np.ndarray:
         y = self.space[ids].sum(axis=0, dtype=np.float64)
@@ -195,8 +197,8 @@ class Model:
             begin, end = (np.searchsorted(at, x) for x in self._bounds(j, k, len(ids)))
             # Running sums over the words of the items from the first window to the last.
             first, last = begin.min(), end.max()
-            total = np.zeros((last - first + 1, self.space.shape[1]))
-            np.cumsum(self.space[ids[at[first:last]]], axis=0, dtype=np.float64, out=total[1:])
+            total = np.zeros((last - first + 1, self.space.shape[1]), np.float32)
+            np.cumsum(self.space[ids[at[first:last]]], axis=0, out=total[1:])
             span, place = np.unique((begin - first) * (len(at) + 1) + end - first, return_inverse=True)
             y = total[span % (len(at) + 1)] - total[span // (len(at) + 1)]
             y /= np.maximum(np.sqrt((y**2).sum(axis=1, keepdims=True)), 1e-12)
@@ -208,9 +210,11 @@ class Model:
         begin = window * self.step[item]
         return begin, np.minimum(begin + self.step[item] + self.width[item], n)
 
-    def _holding(self, rare: Rare, ids: np.ndarray, n: int, begin: int) -> tuple[np.ndarray, np.ndarray]:
-        """(item, window) of the windows of a text of n words that hold enough of
-        the rare words; ``ids`` are the text's words from ``begin`` on."""
+    def _holding(self, ids: np.ndarray, n: int, begin: int) -> tuple[np.ndarray, np.ndarray]:
+        """(item, window) of the windows of a text of n words that hold enough rare words
+        of an item, or of answer i as item number ``len(items) + i``; ``ids`` are the
+        text's words from ``begin`` on."""
+        rare, (width, step, span) = self.rare, self.sizes
         at = np.flatnonzero(ids >= 0)
         low, count = rare.first[ids[at]], rare.first[ids[at] + 1] - rare.first[ids[at]]
         item = rare.holds[np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)]
@@ -222,16 +226,19 @@ class Model:
         for hits in np.unique(rare.hits).tolist():
             last = np.arange(hits - 1, len(at))
             start = last - (hits - 1)
-            full = start[(rare.hits[item[start]] == hits) & (item[start] == item[last]) & (at[last] - at[start] < self.span[item[start]])]
+            full = start[(rare.hits[item[start]] == hits) & (item[start] == item[last]) & (at[last] - at[start] < span[item[start]])]
             for i in range(hits):
                 near[full + i] = True
         item, at = item[near], at[near]
-        step = self.step[item]
-        low = np.maximum((at - self.width[item] - 2 * step) // step + 1, 0)
+        step = step[item]
+        low = np.maximum((at - width[item] - 2 * step) // step + 1, 0)
         high = np.minimum(at // step + 1, (np.maximum(1, n - step) - 1) // step)
         count = np.maximum(high - low + 1, 0)
         window = np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)
-        key, found = np.unique(np.repeat(item, count) * (n + 1) + window, return_counts=True)
+        # Sorted by item and place, so nearly sorted by window: cheap to sort.
+        key = np.sort(np.repeat(item, count) * (n + 1) + window, kind="stable")
+        first = group_starts(key)
+        key, found = key[first], np.diff(first, append=len(key))
         key = key[found >= rare.hits[key // (n + 1)]]
         return key // (n + 1), key % (n + 1)
 
@@ -240,11 +247,11 @@ class Model:
         b, e = map(int, self._bounds(j, k, len(ids)))
         step, (places, tail) = int(self.step[j]), self.places[j]
         span = ids[max(0, b - step) : e + step].tolist()
-        answer = _lcs(tail, self.answers[j], span) / self.answers[j]
-        if answer < ANSWER and share < ALIKE:
-            return
         shared = _lcs(places, len(self.words[j]), span) / len(self.words[j])
-        if shared >= SAME or (shared >= share and answer >= ANSWER):
+        if shared < share:
+            return
+        answer = _lcs(tail, self.answers[j], span) / self.answers[j]
+        if shared >= SAME or answer >= ANSWER:
             bag = ids[b:e]
             cosine = float(self.latent[j] @ self._project(bag[bag >= 0]))
             best[j] = max(best.get(j, (0.0, 0.0, -1.0)), (shared, answer, cosine))
@@ -262,11 +269,12 @@ class Model:
         # Pieces of a text overlap by a span, so each span is whole in one of them.
         for piece in range(0, len(ids), PIECE):
             part = ids[piece : piece + PIECE + int(self.span.max())]
-            for j, k in self._similar(ids, *self._holding(self.rare_answers, part, len(ids), piece)):
-                self._verify(ids, j, k, LOOSE, best)
-            item, window = self._holding(self.rare, part, len(ids), piece)
-            for j, k in zip(item.tolist(), window.tolist()):
+            item, window = self._holding(part, len(ids), piece)
+            cut = int(np.searchsorted(item, len(self.item_ids)))
+            for j, k in zip(item[:cut].tolist(), window[:cut].tolist()):
                 self._verify(ids, j, k, ALIKE, best)
+            for j, k in self._similar(ids, item[cut:] - len(self.item_ids), window[cut:]):
+                self._verify(ids, j, k, LOOSE, best)
         return held + [(self.item_ids[j], c, s, a) for j, (s, a, c) in best.items()]
 
 
