@@ -199,10 +199,10 @@ class Model:
             first, last = begin.min(), end.max()
             total = np.zeros((last - first + 1, self.space.shape[1]), np.float32)
             np.cumsum(self.space[ids[at[first:last]]], axis=0, out=total[1:])
-            span, place = np.unique((begin - first) * (len(at) + 1) + end - first, return_inverse=True)
-            y = total[span % (len(at) + 1)] - total[span // (len(at) + 1)]
-            y /= np.maximum(np.sqrt((y**2).sum(axis=1, keepdims=True)), 1e-12)
-            near = np.einsum("ij,ij->i", y[place], self.latent[j]) >= COSINE
+            y = total[end - first]
+            y -= total[begin - first]
+            length = np.sqrt(np.einsum("ij,ij->i", y, y))
+            near = np.einsum("ij,ij->i", y, self.latent[j]) >= COSINE * np.maximum(length, 1e-12)
             yield from zip(j[near].tolist(), k[near].tolist())
 
     def _bounds(self, item, window, n: int):
