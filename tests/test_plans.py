@@ -134,6 +134,40 @@ def test_bloom_filters_skip_row_groups(spark, tmp_path):
     assert read[("seller.id",)] < read[()] / 5, read
 
 
+def test_build_sorts_narrow_rows_in_bounded_partitions(spark, monkeypatch):
+    """What a task of the build sorts is not nested yet, and does not grow with the table."""
+    from vitrine.sources import store
+    from vitrine.sources.driver_tables import listing_view
+
+    view = listing_view(spark, SF_SMALL, store.CLUSTER_BY)
+    node = view._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Sort":
+        node = node.children().head()
+    kinds = node.schema().catalogString()
+    assert kinds.count("struct<") == 1 and "decimal" not in kinds, kinds
+    rows = lambda df: sorted(df.collect(), key=str)
+    assert rows(view) == rows(listing_view(spark, SF_SMALL))
+
+    own = store.build_session(spark, 100 * store.ROWS_PER_PARTITION)
+    assert own.conf.get("spark.sql.shuffle.partitions") == "100"
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    # With nothing broadcast or put together, the stored files are numbered up to that.
+    monkeypatch.setattr(store, "ROWS_PER_PARTITION", 200)
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    store.forget(spark)
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        files = store.listings(spark, SF_SMALL).inputFiles()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        store.forget(spark)
+    assert max(int(f.rsplit("/part-", 1)[1][:5]) for f in files) >= 8, files
+
+
 def test_one_row_lookups_are_pushed_literals(plans):
     text = plans["outfit_range_listings"]
     pushed = text.split("PushedFilters:")[1].splitlines()[0]
