@@ -225,6 +225,33 @@ def test_json_sink_round_trip(spark, tmp_path):
     assert back.where(F.col("id") == "a").first()["seller"]["earning"] == Decimal("80.25")
 
 
+def test_packed_json_sink_is_small_and_read_in_parallel(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("vitrine.sources.ingest.ROWS_PER_PACKED_FILE", 200)
+    p = tmp_path / "f.csv"
+    _write_csv(p, [_row(product_id=f"p{i}", buyers_fees="NaN" if i % 2 else "1.5") for i in range(1_000)])
+    docs = ingest_listings(spark, str(p)).drop("rejected_fields").coalesce(1)
+    sizes = {}
+    for compression in ("none", "gzip"):
+        out = str(tmp_path / compression)
+        write_listings_json(docs, out, compression=compression)
+        parts = [os.path.join(out, f) for f in os.listdir(out) if f.startswith("part-")]
+        sizes[compression] = len(parts), sum(map(os.path.getsize, parts))
+        assert sorted(read_listings_json(spark, out).collect(), key=str) == sorted(docs.collect(), key=str)
+    assert sizes["gzip"][0] == 5 and sizes["gzip"][1] < sizes["none"][1] / 5, sizes
+
+
+def test_json_round_trip_writes_packed_files(spark, tmp_path):
+    from vitrine.plans import operator_queries as Q
+    from vitrine.sources.store import listings
+
+    seen = Q._scratch(listings(spark, "/root/testdata/sf0.001"), "json").rsplit("/", 1)[0].removeprefix("file:")
+    before = set(os.listdir(seen)) if os.path.isdir(seen) else set()
+    assert Q.json_round_trip(listings(spark, "/root/testdata/sf0.001")).count() == 6_000
+    (new,) = [f for f in set(os.listdir(seen)) - before if f.startswith("json-")]
+    parts = [f for f in os.listdir(f"{seen}/{new}") if f.startswith("part-")]
+    assert parts and all(f.endswith(".json.gz") for f in parts)
+
+
 def test_streaming_ingest(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
