@@ -141,6 +141,26 @@ def test_scores_by_brute_force(spark, monkeypatch):
     brute_score(rows, kept, got)
 
 
+def test_many_shuffle_partitions(spark):
+    """The tasks of a turn follow the data, not the number of shuffle partitions; scores are the same."""
+    docs = spark.read.parquet(f"{edge.SF}/documents.parquet")
+    context, key = spark.sparkContext, "spark.sql.shuffle.partitions"
+    scores = lambda: sorted(map(tuple, brown.score_documents(docs, core=30, sweeps=1, rise=0.5).collect()))
+    want, before = scores(), spark.conf.get(key)
+    spark.conf.set(key, "211")
+    context.setJobGroup("many-partitions", "")
+    try:
+        got = scores()
+    finally:
+        spark.conf.set(key, before)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("many-partitions") for s in tracker.getJobInfo(j).stageIds]
+    assert len(stages) > 20 and max(s.numTasks for s in stages if s) < 50
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert [x for r in got for x in r[5:]] == pytest.approx([x for r in want for x in r[5:]])
+
+
 def test_counts_pack():
     rng = np.random.default_rng(1)
     entries = rng.integers(0, 5, 100)

@@ -57,6 +57,7 @@ FOLDS, HELD = 7, 2
 SMOOTHING = 5.0
 BLOCK_BYTES = 8 << 20
 SHARD_WORDS = 1 << 19  # a shard's words, counted once per block
+SHARD_LEAST = 1 << 18  # no more shards than of so many, whatever the number of shuffle partitions
 END = CLASSES  # the end token is a class of its own
 OTHER = CLASSES + 1  # in the core's sweeps: words outside of the core
 SLOTS = CLASSES + 2
@@ -131,8 +132,11 @@ def encode(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), held.alias("held"), "text")
+    # Buckets of half a block's bytes at least: every turn has a task for each of them.
+    size = docs.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64), F.lit(0))).first()[0]
+    n = max(1, min(n_buckets(docs.sparkSession), -(-2 * size // block_bytes)))
     # A task writes a file per block: nothing is shuffled.
-    return bucketed(rows.mapInPandas(run, BLOCK), n_buckets(docs.sparkSession), "block", "encoded")
+    return bucketed(rows.mapInPandas(run, BLOCK), n, "block", "encoded")
 
 
 def _train(ends: np.ndarray, held) -> slice:
@@ -182,7 +186,8 @@ class Hub:
         spark = blocks.sparkSession
         entries = blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         self.blocks = blocks
-        self.shards = shards = max(n_buckets(spark), -(-entries // SHARD_WORDS))
+        # Every block sends a row to every shard in every turn, so shards are not made for few words.
+        self.shards = shards = max(1, min(n_buckets(spark), -(-entries // SHARD_LEAST)), -(-entries // SHARD_WORDS))
 
         def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -206,11 +211,10 @@ class Hub:
                     own += [(shard, block, _planes(np.diff(at[a:e], prepend=0), "<u4"), None, None) for block, a, e in zip(part["block"], size, size[1:])]
                     yield table(own, HUB_NAMES)
 
-        n = max(n_buckets(spark), shards)
         packets = blocks.select("block", "words", "trains").mapInPandas(send, "shard int, block long, hashes binary, counts binary")
-        numbered = packets.repartition(n, "shard").sortWithinPartitions("shard").mapInPandas(number, HUB)
+        numbered = packets.repartition(shards, "shard").sortWithinPartitions("shard").mapInPandas(number, HUB)
         # The partitions are the table's buckets: a file each.
-        self.table = bucketed(numbered, n, "shard", "hub")
+        self.table = bucketed(numbered, shards, "shard", "hub")
 
     def per_shard(self, make, schema: str) -> DataFrame:
         """``make(shard, counts, low)`` -> columns of a row per shard."""
@@ -226,8 +230,8 @@ class Hub:
         """(shard, v): an array of numbers for each shard's words, from ``make(shard, counts, low)``."""
         return self.per_shard(lambda s, c, low: table([(s, _planes(make(s, c, low), kind))], ["shard", "v"]), "shard int, v binary")
 
-    def down(self, values: DataFrame, kind: str) -> DataFrame:
-        """(block, parts): to each block the numbers of its words, by shard."""
+    def _pieces(self, values: DataFrame, kind: str) -> DataFrame:
+        """(block, shard, v): to each block the numbers of its words, a row for each shard."""
 
         def pick(links: pd.DataFrame, value: pd.DataFrame) -> pd.DataFrame:
             if not len(value):
@@ -236,13 +240,27 @@ class Hub:
             return table([(b, s, _planes(v[np.cumsum(_numbers(at, "<u4"))], kind)) for s, b, at in zip(links["shard"], links["block"], links["at"])], ["block", "shard", "v"])
 
         links = self.table.where("block >= 0").select("shard", "block", "at")
-        met = links.groupBy("shard").cogroup(values.groupBy("shard")).applyInPandas(pick, "block long, shard int, v binary")
-        return met.groupBy("block").agg(F.collect_list(F.struct("shard", "v")).alias("parts"))
+        return links.groupBy("shard").cogroup(values.groupBy("shard")).applyInPandas(pick, "block long, shard int, v binary")
+
+    def down(self, values: DataFrame, kind: str) -> DataFrame:
+        """(block, parts): to each block the numbers of its words, by shard."""
+        return self._pieces(values, kind).groupBy("block").agg(F.collect_list(F.struct("shard", "v")).alias("parts"))
 
     def with_values(self, values: DataFrame, kind: str, *columns: str) -> DataFrame:
         """The blocks' columns, and the parts of ``values``."""
         return self.blocks.select("block", *columns).join(self.down(values, kind), "block", "left")
 
+    def each_block(self, values: DataFrame, kind: str, columns: tuple[str, ...], make, schema: str) -> DataFrame:
+        """``make`` of each row that ``with_values`` has, in the blocks' own buckets: the numbers
+        go to the blocks straight from the shards, in one shuffle."""
+
+        def run(sent: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            parts = [{"shard": s, "v": v} for s, v in zip(sent["shard"], sent["v"])]
+            return make(next(own.assign(parts=[parts]).itertuples(index=False)))
+
+        blocks = self.blocks.select("block", *columns).groupBy("block")
+        return self._pieces(values, kind).groupBy("block").cogroup(blocks).applyInPandas(run, schema)
+
     def up(self, rows: DataFrame, classes: DataFrame, choose) -> DataFrame:
         """``rows`` (shard, block, data: contexts as ``_pack_contexts`` has them) meet by shard.
         ``choose(shard, word, slot, n, slots, counts, low)`` -> the new slots, from the sums (word,
@@ -462,50 +480,58 @@ def _stay(matrix: np.ndarray, own: np.ndarray, of: np.ndarray, slot: np.ndarray,
     return total(n * np.log(np.maximum(there - n, 0) + 0.5)) - a * np.log(rows + 0.5 * SLOTS) - b * np.log(cols + 0.5 * SLOTS)
 
 
+PASSED = "shard int, block long, data binary, bigrams array<long>"
+
+
+def _pass_block(r, kind: str, slots_of) -> pd.DataFrame:
+    """One pass over the tokens of a block with parts. ``slots_of(numbers, turns)`` -> the slots of
+    the block's words and which of these send their contexts. Rows (shard, block, data) with the contexts, and one
+    with the block's counts of class bigrams and no shard (-1)."""
+    tokens, _, train = _tokens(r.ids, r.ends, r.held)
+    turns = np.unpackbits(np.frombuffer(r.turns, np.uint8), count=r.size).astype(bool)
+    sizes, numbers = _parts(r.parts, kind)
+    of, moves = slots_of(numbers, turns)
+    of = np.concatenate([[END], of]).astype(np.uint8)
+    word = tokens[train]
+    slot = of[word]
+    before, after = np.roll(slot, 1), np.roll(slot, -1)
+    if len(slot):
+        before[0] = after[-1] = END
+    matrix = np.bincount(before.astype(np.uint16) * np.uint16(SLOTS) + slot, minlength=SLOTS * SLOTS)
+    # Contexts of the words that send, as sorted numbers of word and slot.
+    moving = np.concatenate([[False], moves])
+    whole = np.int32 if r.size < (1 << 24) else np.int64
+    row = (np.cumsum(moving) - 1).astype(whole) << whole(BITS)
+    sent = np.flatnonzero(moving[word])  # no end token, so there is one after it
+    at = row[word[sent]]
+    cell = np.concatenate([at + after[sent], at + (before[sent] + np.uint8(SLOTS))])
+    cell.sort()
+    first = group_starts(cell)
+    n = np.diff(np.append(first, len(cell)))
+    cell = cell[first]
+    entries = np.bincount(np.flatnonzero(moves)[cell >> BITS], minlength=r.size)
+    edge = np.concatenate([[0], np.cumsum(entries)])
+    slot = (cell & whole((1 << BITS) - 1)).astype(np.uint8)
+    out = [(-1, r.block, None, matrix.tolist())]
+    begin = 0
+    for shard, size in sizes:
+        end = begin + size
+        a, e = edge[begin], edge[end]
+        if e > a:
+            out.append((shard, r.block, _pack_contexts(entries[begin:end], slot[a:e], n[a:e]), None))
+        begin = end
+    return table(out, ["shard", "block", "data", "bigrams"])
+
+
 def _pass(blocks: DataFrame, kind: str, slots_of) -> DataFrame:
-    """One pass over the tokens of blocks with parts. ``slots_of(numbers, turns)`` -> the slots of
-    a block's words and which of these send their contexts. Rows (shard, block, data) with the contexts, and one
-    per block with its counts of class bigrams and no shard (-1)."""
+    """``_pass_block`` of all blocks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples(index=False):
-                tokens, _, train = _tokens(r.ids, r.ends, r.held)
-                turns = np.unpackbits(np.frombuffer(r.turns, np.uint8), count=r.size).astype(bool)
-                sizes, numbers = _parts(r.parts, kind)
-                of, moves = slots_of(numbers, turns)
-                of = np.concatenate([[END], of]).astype(np.uint8)
-                word = tokens[train]
-                slot = of[word]
-                before, after = np.roll(slot, 1), np.roll(slot, -1)
-                if len(slot):
-                    before[0] = after[-1] = END
-                matrix = np.bincount(before.astype(np.uint16) * np.uint16(SLOTS) + slot, minlength=SLOTS * SLOTS)
-                # Contexts of the words that send, as sorted numbers of word and slot.
-                moving = np.concatenate([[False], moves])
-                whole = np.int32 if r.size < (1 << 24) else np.int64
-                row = (np.cumsum(moving) - 1).astype(whole) << whole(BITS)
-                sent = np.flatnonzero(moving[word])  # no end token, so there is one after it
-                at = row[word[sent]]
-                cell = np.concatenate([at + after[sent], at + (before[sent] + np.uint8(SLOTS))])
-                cell.sort()
-                first = group_starts(cell)
-                n = np.diff(np.append(first, len(cell)))
-                cell = cell[first]
-                entries = np.bincount(np.flatnonzero(moves)[cell >> BITS], minlength=r.size)
-                edge = np.concatenate([[0], np.cumsum(entries)])
-                slot = (cell & whole((1 << BITS) - 1)).astype(np.uint8)
-                out = [(-1, r.block, None, matrix.tolist())]
-                begin = 0
-                for shard, size in sizes:
-                    end = begin + size
-                    a, e = edge[begin], edge[end]
-                    if e > a:
-                        out.append((shard, r.block, _pack_contexts(entries[begin:end], slot[a:e], n[a:e]), None))
-                    begin = end
-                yield table(out, ["shard", "block", "data", "bigrams"])
-
-    return blocks.mapInPandas(run, "shard int, block long, data binary, bigrams array<long>")
+                yield _pass_block(r, kind, slots_of)
+
+    return blocks.mapInPandas(run, PASSED)
 
 
 def _matrix(rows: DataFrame) -> np.ndarray:
@@ -565,7 +591,8 @@ def exchange_all(hub: Hub, classes: DataFrame, rise: float = RISE) -> DataFrame:
     def read(current: DataFrame, turn: int) -> tuple[DataFrame, str, np.ndarray]:
         # Only words whose turn it is need their contexts.
         of = lambda slots, turns: (slots, (turns == bool(turn % 2)) & (slots < CLASSES))
-        rows, path = stored_at(_pass(hub.with_values(current, "u1", *SENT), "u1", of), "contexts")
+        passed = hub.each_block(current, "u1", SENT, lambda r: _pass_block(r, "u1", of), PASSED)
+        rows, path = stored_at(passed, "contexts")
         return rows, path, _matrix(rows)
 
     def moved(rows: DataFrame, current: DataFrame, matrix: np.ndarray, turn: int) -> tuple[DataFrame, str]:
