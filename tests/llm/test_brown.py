@@ -161,6 +161,28 @@ def test_many_shuffle_partitions(spark):
     assert [x for r in got for x in r[5:]] == pytest.approx([x for r in want for x in r[5:]])
 
 
+def test_blocks_share_tasks(spark):
+    """A task of a turn reads some blocks, and their training tokens only; words are hashed once."""
+    docs = spark.read.parquet(f"{edge.SF}/documents.parquet")
+    size = sum(len((r["text"] or "").encode()) + 64 for r in docs.collect())
+    blocks = brown.encode(docs, size // 6)
+    assert blocks.count() >= 4 and blocks.select("block").rdd.getNumPartitions() <= 4
+    for b in blocks.collect():
+        ends, train, n = brown._numbers(b["ends"], "<i8"), brown._tokens(b["ids"]), b["held"].count(False)
+        assert b["held"] == sorted(b["held"]) and len(train) == (ends[n - 1] if n else 0)
+        assert len(train) + len(brown._tokens(b["held_ids"])) == ends[-1]
+        assert (train == 0).sum() == n and (brown._numbers(b["trains"], "<u4") == np.bincount(train, minlength=b["size"] + 1)[1:]).all()
+        hashes = brown._hashes([w.encode() for w in b["words"].split(" ")])
+        assert (np.frombuffer(b["hashes"], np.uint64).reshape(-1, 2) == hashes).all() and len(hashes) == b["size"]
+
+
+def test_tokens_pack():
+    for top in (1, 1 << 16, 1 << 24, 1 << 32):
+        tokens = np.random.default_rng(3).integers(0, top, 1000).astype(np.uint32)
+        for part in (tokens, tokens[:1], tokens[:0]):
+            assert (brown._tokens(brown._pack_tokens(part)) == part).all()
+
+
 def test_counts_pack():
     rng = np.random.default_rng(1)
     entries = rng.integers(0, 5, 100)

@@ -41,6 +41,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -56,8 +58,9 @@ RISE = 1e-3
 FOLDS, HELD = 7, 2
 SMOOTHING = 5.0
 BLOCK_BYTES = 8 << 20
+BUCKET_BLOCKS = 2  # a bucket's blocks, which one task reads in every turn
 SHARD_WORDS = 1 << 19  # a shard's words, counted once per block
-SHARD_LEAST = 1 << 18  # no more shards than of so many, whatever the number of shuffle partitions
+SHARD_LEAST = 1 << 19  # no more shards than of so many, whatever the number of shuffle partitions
 END = CLASSES  # the end token is a class of its own
 OTHER = CLASSES + 1  # in the core's sweeps: words outside of the core
 SLOTS = CLASSES + 2
@@ -76,90 +79,109 @@ def _numbers(raw: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def _pack_tokens(tokens: np.ndarray) -> bytes:
+    """Tokens as their low 16 bits, the rest in a byte each (or in two, which the last byte tells)."""
+    rest = "<u2" if len(tokens) and tokens.max() >= 1 << 24 else "<u1"
+    data = tokens.astype("<u2").tobytes() + (tokens >> 16).astype(rest).tobytes() + bytes([np.dtype(rest).itemsize])
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _tokens(raw: bytes) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    n = len(data) // (2 + data[-1])
+    tokens = np.frombuffer(data, f"<u{data[-1]}", n, 2 * n).astype("<u4")
+    tokens <<= 16
+    tokens |= np.frombuffer(data, "<u2", n)
+    return tokens
+
+
 def _hashes(words: list[bytes]) -> np.ndarray:
     """A 128-bit hash of each word, as two columns."""
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").astype(np.uint64).reshape(-1, 2)
 
 
-BLOCK = "block long, doc_id array<string>, held array<boolean>, ends binary, ids binary, words string, trains binary, turns binary, size int"
-BLOCK_NAMES = [c.split()[0] for c in BLOCK.split(", ")]
+BLOCK = (
+    "block long, doc_id array<string>, held array<boolean>, ends binary, ids binary, held_ids binary, "
+    "words string, hashes binary, trains binary, turns binary, size int"
+)
+BLOCK_ARROW = pa.schema(
+    [("block", pa.int64()), ("doc_id", pa.list_(pa.string())), ("held", pa.list_(pa.bool_())), ("ends", pa.binary()), ("ids", pa.binary()), ("held_ids", pa.binary())]
+    + [("words", pa.string()), ("hashes", pa.binary()), ("trains", pa.binary()), ("turns", pa.binary()), ("size", pa.int32())]
+)
 
 
 def encode(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks: doc_id and held per document, ends and ids (the tokens, 0 is the end
-    token, i the ith distinct word), words (space-joined, in the order of their
-    hashes), trains (their counts in training documents), turns (the half that each
-    word is exchanged with) and size (how many they are). Stored by block, so that
-    joins on the block move the other side only. Ids are text, since an array of
-    longs with nulls reaches Python as floats."""
-
-    def block_row(block: int, ids: list, held: list, texts: list[bytes]) -> pd.DataFrame:
+    """Blocks: doc_id and held per document (training documents first), ends of the
+    documents among the tokens, ids (the training documents' tokens, 0 is the end
+    token, i the ith distinct word), held_ids (the others' tokens), words
+    (space-joined, in the order of their hashes), hashes (of these words), trains
+    (their counts in training documents), turns (the half that each word is exchanged
+    with) and size (how many they are). Stored by block, so that joins on the block
+    move the other side only. Ids are text, since an array of longs with nulls
+    reaches Python as floats."""
+
+    def block_row(block: int, rows: pa.Table) -> pa.RecordBatch:
         # Training documents first, so that their tokens are a slice.
-        order = np.argsort(np.array(held, bool), kind="stable").tolist()
-        ids, held, texts = ([x[i] for i in order] for x in (ids, held, texts))
-        number: dict[bytes, int] = defaultdict(itertools.count(1).__next__)
-        parts, zero = [], np.zeros(1, np.uint32)
-        for text in texts:
-            found = text.lower().split()
-            parts += [np.fromiter(map(number.__getitem__, found), np.uint32, len(found)), zero]
-        names = list(number)
-        pairs = _hashes(names)
+        held = rows["held"].to_numpy()
+        order = np.argsort(held, kind="stable")
+        rows, held = rows.take(order).combine_chunks(), held[order]
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(rows["text"].combine_chunks().fill_null("")))
+        coded = lists.flatten().dictionary_encode()
+        # Spaces at the ends of a text leave empty words.
+        full = pc.binary_length(coded.dictionary).to_numpy() > 0
+        code = coded.indices.to_numpy()
+        is_word = full[code]
+        doc = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())[is_word]
+        code = (np.cumsum(full) - 1)[code[is_word]]
+        names = coded.dictionary.filter(pa.array(full))
+        pairs = _hashes(names.cast(pa.binary()).to_pylist())
         order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-        place = np.zeros(len(names) + 1, np.uint32)
-        place[order + 1] = np.arange(1, len(names) + 1)
-        tokens = place[np.concatenate(parts)]
+        place = np.empty(len(names), np.uint32)
+        place[order] = np.arange(1, len(names) + 1)
+        tokens = np.zeros(len(code) + len(lists), np.uint32)
+        tokens[np.arange(len(code)) + doc] = place[code]  # an end token after each document's words
         ends = np.flatnonzero(tokens == 0).astype(np.int64) + 1
-        counts = np.bincount(tokens[_train(ends, held)], minlength=len(names) + 1)[1:]
-        words = b" ".join([names[i] for i in order.tolist()]).decode("utf-8", "surrogatepass")
-        turns = np.packbits((pairs[order, 1] & np.uint64(1)).astype(bool)).tobytes()
-        row = (block, ids, held, _planes(ends, "<i8"), _planes(tokens, "<u4"), words, _planes(counts, "<u4"), turns, len(names))
-        return pd.DataFrame([row], columns=BLOCK_NAMES)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = int(ends[(~held).sum() - 1]) if not held.all() else 0
+        counts = np.bincount(tokens[:n], minlength=len(names) + 1)[1:]
+        pairs = np.ascontiguousarray(pairs[order])
+        words = pc.binary_join(pa.ListArray.from_arrays([0, len(names)], names.take(pa.array(order))), " ")
+        turns = np.packbits((pairs[:, 1] & np.uint64(1)).astype(bool)).tobytes()
+        one = [block], [rows["doc_id"].to_pylist()], [held.tolist()], [_planes(ends, "<i8")], [_pack_tokens(tokens[:n])], [_pack_tokens(tokens[n:])]
+        one += words, [pairs.tobytes()], [_planes(counts, "<u4")], [turns], [len(names)]
+        return pa.record_batch([x if x is words else pa.array(x, f.type) for x, f in zip(one, BLOCK_ARROW)], schema=BLOCK_ARROW)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        rows: list[tuple] = []
+        rows: list[pa.RecordBatch] = []
         size = 0
         for b in batches:
-            for i, h, t in zip(b["doc_id"], b["held"], b["text"]):
-                raw = (t or "").encode("utf-8", "surrogatepass")
-                rows.append((i, bool(h), raw))
-                size += len(raw) + 64
-                if size >= block_bytes:
-                    yield block_row(block, *map(list, zip(*rows)))
-                    block, rows, size = block + 1, [], 0
+            ends = np.cumsum(pc.binary_length(b["text"]).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+            begin, before = 0, 0
+            while begin < len(ends):
+                end = int(np.searchsorted(ends, before + block_bytes - size)) + 1  # with the row that fills the block
+                rows.append(b.slice(begin, end - begin))
+                if end > len(ends):
+                    size += int(ends[-1]) - before
+                    break
+                yield block_row(block, pa.Table.from_batches(rows))
+                block, rows, size = block + 1, [], 0
+                begin, before = end, int(ends[end - 1])
         if rows:
-            yield block_row(block, *map(list, zip(*rows)))
+            yield block_row(block, pa.Table.from_batches(rows))
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), held.alias("held"), "text")
-    # Buckets of half a block's bytes at least: every turn has a task for each of them.
+    # Buckets of some blocks: every turn has a task for each of them.
     size = docs.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64), F.lit(0))).first()[0]
-    n = max(1, min(n_buckets(docs.sparkSession), -(-2 * size // block_bytes)))
+    n = max(1, min(n_buckets(docs.sparkSession), -(-size // (BUCKET_BLOCKS * block_bytes))))
     # A task writes a file per block: nothing is shuffled.
-    return bucketed(rows.mapInPandas(run, BLOCK), n, "block", "encoded")
-
-
-def _train(ends: np.ndarray, held) -> slice:
-    """The tokens of the training documents, which are the first of a block."""
-    n = len(held) - int(np.sum(held))
-    return slice(0, int(ends[n - 1]) if n else 0)
-
-
-def _tokens(ids: bytes, ends: bytes, held) -> tuple[np.ndarray, np.ndarray, slice]:
-    """Tokens, ends of the documents, and which tokens are for training."""
-    tokens, ends = _numbers(ids, "<u4"), _numbers(ends, "<i8")
-    return tokens, ends, _train(ends, held)
-
-
-def _words(words: str) -> list[str]:
-    return words.split(" ") if words else []
+    return bucketed(rows.mapInArrow(run, BLOCK), n, "block", "encoded")
 
 
-def _contexts(word: np.ndarray, slot: np.ndarray, train: slice, rows: int) -> np.ndarray:
+def _contexts(tokens: np.ndarray, slots: np.ndarray, rows: int) -> np.ndarray:
     """Counts (rows x 2 SLOTS) of the class-slots after (first SLOTS) and before
-    (last SLOTS) the training tokens of the given words (-1: no word of interest).
+    (last SLOTS) the training tokens, which are the given words (-1: no word of interest).
     Documents are joined by their end tokens, which all are in one class."""
-    tokens, slots = word[train], slot[train]
     wide = 2 * SLOTS
     total = np.zeros((rows + 1) * wide, np.int64)
     # Held-out documents are left out whole, so what follows an end is a beginning.
@@ -191,8 +213,8 @@ class Hub:
 
         def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                for block, words, trains in zip(b["block"], b["words"], b["trains"]):
-                    pairs, count = _hashes([w.encode("utf-8", "surrogatepass") for w in _words(words)]), _numbers(trains, "<u4")
+                for block, hashes, trains in zip(b["block"], b["hashes"], b["trains"]):
+                    pairs, count = np.frombuffer(hashes, np.uint64).reshape(-1, 2), _numbers(trains, "<u4")
                     yield table([(s, block, pairs[a:e].tobytes(), _planes(count[a:e], "<u4")) for s, a, e in _cuts(pairs[:, 0], shards)], ["shard", "block", "hashes", "counts"])
 
         def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,7 +233,7 @@ class Hub:
                     own += [(shard, block, _planes(np.diff(at[a:e], prepend=0), "<u4"), None, None) for block, a, e in zip(part["block"], size, size[1:])]
                     yield table(own, HUB_NAMES)
 
-        packets = blocks.select("block", "words", "trains").mapInPandas(send, "shard int, block long, hashes binary, counts binary")
+        packets = blocks.select("block", "hashes", "trains").mapInPandas(send, "shard int, block long, hashes binary, counts binary")
         numbered = packets.repartition(shards, "shard").sortWithinPartitions("shard").mapInPandas(number, HUB)
         # The partitions are the table's buckets: a file each.
         self.table = bucketed(numbered, shards, "shard", "hub")
@@ -390,15 +412,14 @@ def _sweep_counts(blocks: DataFrame, of: np.ndarray) -> np.ndarray:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((size, 2 * SLOTS), np.int64)
         for b in batches:
-            for ids, ends, held, parts in zip(b["ids"], b["ends"], b["held"], b["parts"]):
-                tokens, _, train = _tokens(ids, ends, held)
-                word = np.concatenate([[size - 1], _parts(parts, "<i2")[1]]).astype(np.int64)[tokens]
-                total += _contexts(word, slots[word], train, size)
+            for ids, parts in zip(b["ids"], b["parts"]):
+                word = np.concatenate([[size - 1], _parts(parts, "<i2")[1]]).astype(np.int64)[_tokens(ids)]
+                total += _contexts(word, slots[word], size)
         total = total.ravel()
         cell = np.flatnonzero(total)
         yield pd.DataFrame({"cell": cell, "n": total[cell]})
 
-    counted = blocks.select("ids", "ends", "held", "parts").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = blocks.select("ids", "parts").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     out = np.zeros(size * 2 * SLOTS)
     for r in counted.collect():  # bounded by the core's size and the classes
         out[r["cell"]] = r["n"]
@@ -431,7 +452,7 @@ def exchange(counts: np.ndarray, of: np.ndarray) -> np.ndarray:
 def cluster_core(hub: Hub, core: int = CORE, sweeps: int = SWEEPS) -> tuple[list[tuple[int, int]], np.ndarray, DataFrame]:
     """The core words, their classes, and the blocks with the core's places."""
     words = core_words(hub, core)
-    placed = hub.blocks.select("block", "ids", "ends", "held", "turns", "size").join(core_places(hub, words), "block", "left")
+    placed = hub.blocks.select("block", *SENT).join(core_places(hub, words), "block", "left")
     of = np.arange(len(words)) % CLASSES
     for _ in range(sweeps):
         of = exchange(_sweep_counts(placed, of), of)
@@ -487,12 +508,11 @@ def _pass_block(r, kind: str, slots_of) -> pd.DataFrame:
     """One pass over the tokens of a block with parts. ``slots_of(numbers, turns)`` -> the slots of
     the block's words and which of these send their contexts. Rows (shard, block, data) with the contexts, and one
     with the block's counts of class bigrams and no shard (-1)."""
-    tokens, _, train = _tokens(r.ids, r.ends, r.held)
+    word = _tokens(r.ids)
     turns = np.unpackbits(np.frombuffer(r.turns, np.uint8), count=r.size).astype(bool)
     sizes, numbers = _parts(r.parts, kind)
     of, moves = slots_of(numbers, turns)
     of = np.concatenate([[END], of]).astype(np.uint8)
-    word = tokens[train]
     slot = of[word]
     before, after = np.roll(slot, 1), np.roll(slot, -1)
     if len(slot):
@@ -543,7 +563,7 @@ def _matrix(rows: DataFrame) -> np.ndarray:
     return out.reshape(SLOTS, SLOTS)
 
 
-SENT = ("ids", "ends", "held", "turns", "size")
+SENT = ("ids", "turns", "size")
 
 
 def first_classes(hub: Hub, words: list[tuple[int, int]], of: np.ndarray, placed: DataFrame) -> DataFrame:
@@ -674,10 +694,9 @@ def class_model(encoded: DataFrame, end_count: int, n: int, v: int) -> ClassMode
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SLOTS * wide, np.int64)
         for b in batches:
-            for ids, ends, held, counts, classes in zip(*(b[x] for x in ("ids", "ends", "held", "counts", "classes"))):
-                tokens, _, train = _tokens(ids, ends, held)
+            for ids, counts, classes in zip(*(b[x] for x in ("ids", "counts", "classes"))):
+                tokens = _tokens(ids)  # whole documents, so each still begins after an end
                 count, of = _lexicon(counts, classes, end_count)
-                tokens = tokens[train]  # whole documents, so each still begins after an end
                 cls, single = of[tokens], count[tokens] == 1
                 before = np.concatenate([[END], cls[:-1]])
                 total += np.bincount(before * wide + cls, minlength=len(total))
@@ -688,7 +707,7 @@ def class_model(encoded: DataFrame, end_count: int, n: int, v: int) -> ClassMode
         cell = np.flatnonzero(total)
         yield pd.DataFrame({"cell": cell, "n": total[cell]})
 
-    counted = encoded.select("ids", "ends", "held", "counts", "classes").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = encoded.select("ids", "counts", "classes").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     return ClassModel({r["cell"]: r["n"] for r in counted.collect()}, n, v)
 
 
@@ -706,13 +725,13 @@ def score_documents(docs: DataFrame, core: int = CORE, sweeps: int = SWEEPS, ris
     n, v = end_count + known["n"], int(end_count > 0) + known["v"]
     counts = hub.down(hub.values(lambda s, c, low: c, "<i8"), "<i8").withColumnRenamed("parts", "counts")
     lexicon = stored(counts.join(hub.down(classes, "u1").withColumnRenamed("parts", "classes"), "block"), "lexicon")
-    encoded = blocks.select("block", "doc_id", "held", "ends", "ids").join(lexicon, "block", "left")
+    encoded = blocks.select("block", "doc_id", "held", "ends", "ids", "held_ids").join(lexicon, "block", "left")
     model = class_model(encoded, end_count, n, v)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for doc_id, ids, ends, held, c, k in zip(*(b[x] for x in ("doc_id", "ids", "ends", "held", "counts", "classes"))):
-                tokens, end, _ = _tokens(ids, ends, held)
+            for doc_id, ids, held_ids, ends, held, c, k in zip(*(b[x] for x in ("doc_id", "ids", "held_ids", "ends", "held", "counts", "classes"))):
+                tokens, end = np.concatenate([_tokens(ids), _tokens(held_ids)]), _numbers(ends, "<i8")
                 score, base, known = model.score(tokens, *_lexicon(c, k, end_count))
                 begin = np.concatenate([[0], end[:-1]])
                 out = {"doc_id": list(doc_id), "held_out": list(held), "n_tokens": end - begin}
