@@ -168,6 +168,36 @@ def test_build_sorts_narrow_rows_in_bounded_partitions(spark, monkeypatch):
     assert max(int(f.rsplit("/part-", 1)[1][:5]) for f in files) >= 8, files
 
 
+def test_build_in_shares_leaves_no_shuffle_files(spark, monkeypatch):
+    """A share has its own orders only, and its shuffles are deleted when it is stored."""
+    from vitrine.sources import store
+    from vitrine.sources.driver_tables import listing_view
+
+    def shuffle_files() -> set[str]:
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        return {f for f in iter(lambda: found.next().getName() if found.hasNext() else "", "") if f.startswith("shuffle_")}
+
+    shares = [listing_view(spark, SF_SMALL, share=(i, 3)) for i in range(3)]
+    assert all(x._jdf.queryExecution().optimizedPlan().toString().count("(pmod(xxhash64(") == 2 for x in shares)
+    rows = lambda df: sorted(df.collect(), key=str)
+    whole = rows(listing_view(spark, SF_SMALL))
+    assert sorted((r for x in shares for r in x.collect()), key=str) == whole
+
+    monkeypatch.setattr(store, "ROWS_PER_SHARE", 2_500)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    store.forget(spark)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        kept = shuffle_files()
+        table = store.listings(spark, SF_SMALL)
+        left = shuffle_files() - kept
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        store.forget(spark)
+    assert not left, left
+    assert table.columns == listing_view(spark, SF_SMALL).columns and rows(table) == whole
+
+
 def test_one_row_lookups_are_pushed_literals(plans):
     text = plans["outfit_range_listings"]
     pushed = text.split("PushedFilters:")[1].splitlines()[0]

@@ -30,6 +30,9 @@ TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
 ]
 
+# The source's own keys, of which a listing's id is made.
+KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
 # Fixture mapping of return flag to gender and of account
 # balance to badge (FIXTURES.md section 2).
 GENDER_BY_FLAG = {"N": "Women", "A": "Men", "R": "Unisex"}
@@ -50,13 +53,20 @@ def _gender(flag):
     return expr
 
 
-def listing_view(spark: SparkSession, sf_dir: str, cluster_by=()) -> DataFrame:
+def listing_id():
+    return F.concat_ws("-", *KEYS)
+
+
+def listing_view(spark: SparkSession, sf_dir: str, cluster_by=(), share: tuple[int, int] = (0, 1)) -> DataFrame:
     """Nested listing table over the driver tables, a lazy plan.
 
     With ``cluster_by`` (columns of the joined rows: ``gender_target``, ``color``,
-    ``material``) the rows of each partition are sorted by them, before they are
-    typed and nested: a sort holds all rows of its partition, and these are less
-    than half as long.
+    ``material``, ``l_suppkey``) the rows of each partition are sorted by them, before
+    they are typed and nested: a sort holds all rows of its partition, and these are
+    less than half as long.
+
+    ``share`` (i, n): only the i-th of n shares of the listings, divided by order, so
+    that an order is joined in one share only (the planner infers its filter).
     """
     t = lambda n: read_table(spark, sf_dir, n)
     nation = t("nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -78,6 +88,9 @@ def listing_view(spark: SparkSession, sf_dir: str, cluster_by=()) -> DataFrame:
 
     part = t("part").select("p_partkey", "p_name", "p_brand", "p_type")
     li = t("lineitem")
+    i, n = share
+    if n > 1:
+        li = li.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(n)) == i)
 
     j = (
         li.join(order_dim, li.l_orderkey == order_dim.o_orderkey)
@@ -86,7 +99,7 @@ def listing_view(spark: SparkSession, sf_dir: str, cluster_by=()) -> DataFrame:
     )
 
     j = j.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        *KEYS, "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate", "o_orderpriority", "c_mktsegment", "r_name", "p_name", "p_brand",
         "p_type", "s_name", "s_country", "s_acctbal",
         _gender(F.col("l_returnflag")).alias("gender_target"),
@@ -102,11 +115,8 @@ def listing_view(spark: SparkSession, sf_dir: str, cluster_by=()) -> DataFrame:
     fee = (F.col("l_tax").cast(MONEY2) * F.lit(Decimal("31.7"))).cast(MONEY)
     acct = F.col("s_acctbal")
     listing = j.select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        *KEYS,
+        listing_id().alias("id"),
         F.col("p_type").alias("type"),
         F.col("p_name").alias("name"),
         F.lit(None).cast("string").alias("description"),
@@ -146,4 +156,4 @@ def listing_view(spark: SparkSession, sf_dir: str, cluster_by=()) -> DataFrame:
     )
     # The types of the CSV ingest, field by field, after the source's own keys.
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LISTING_SCHEMA.fields]
-    return listing.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *typed)
+    return listing.select(*KEYS, *typed)
