@@ -252,6 +252,49 @@ def test_json_round_trip_writes_packed_files(spark, tmp_path):
     assert parts and all(f.endswith(".json.gz") for f in parts)
 
 
+def _in_files(spark, tmp_path, n):
+    """The listings of sf0.001 as a table of n files, and where queries on it put their text."""
+    from vitrine.plans import operator_queries as Q
+    from vitrine.sources.store import listings, materialise
+
+    table = spark.read.parquet(materialise(listings(spark, "/root/testdata/sf0.001").repartition(n, "id"), str(tmp_path), "t"))
+    return table, Q._scratch(table, "x").rsplit("/", 1)[0].removeprefix("file:")
+
+
+def test_json_round_trip_holds_a_share_as_text(spark, tmp_path, monkeypatch):
+    from vitrine.plans import operator_queries as Q
+
+    table, folder = _in_files(spark, tmp_path, 6)
+    whole = sorted(Q.json_round_trip(table).collect(), key=str)
+    before, seen, write = set(os.listdir(folder)), [], Q.write_listings_json
+
+    def watched(df, path, **options):
+        seen.append((df.count(), [f for f in set(os.listdir(folder)) - before if f.startswith("json-")]))
+        write(df, path, **options)
+
+    monkeypatch.setattr(Q, "write_listings_json", watched)
+    monkeypatch.setattr(Q, "ROWS_AS_TEXT", 2_500)
+    got = Q.json_round_trip(table)
+    assert len(seen) >= 3 and sum(n for n, _ in seen) == 6_000 and all(n <= 2_500 and not other for n, other in seen), seen
+    assert sorted(got.collect(), key=str) == whole and len(whole) == 6_000
+    (_,) = [f for f in set(os.listdir(folder)) - before if f.startswith("json-")]
+
+
+def test_shares_open_their_own_files_only(spark, tmp_path):
+    from vitrine.sources.store import shares
+
+    table, _ = _in_files(spark, tmp_path, 6)
+    assert shares(table, 6_000) == [table]
+    parts = shares(table.select("id", "seller.badge"), 2_000)
+    opened = []
+    for x in parts:
+        plan = x._jdf.queryExecution().executedPlan()
+        x.collect()
+        opened.append(plan.collectLeaves().head().metrics().apply("numFiles").value())
+    assert len(parts) > 2 and sum(opened) == 6, opened
+    assert sorted(r["id"] for x in parts for r in x.collect()) == sorted(r["id"] for r in table.collect())
+
+
 def test_streaming_ingest(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
