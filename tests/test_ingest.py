@@ -280,6 +280,24 @@ def test_json_round_trip_holds_a_share_as_text(spark, tmp_path, monkeypatch):
     (_,) = [f for f in set(os.listdir(folder)) - before if f.startswith("json-")]
 
 
+def test_csv_multiline_holds_a_share_as_text(spark, tmp_path, monkeypatch):
+    from vitrine.plans import operator_queries as Q
+
+    table, folder = _in_files(spark, tmp_path, 6)
+    whole = sorted(Q.ingest_csv_multiline(table).collect(), key=str)
+    before, seen, read = set(os.listdir(folder)), [], Q.ingest_listings
+
+    def watched(spark, path, **options):
+        seen.append([f for f in set(os.listdir(folder)) - before if f.startswith("csv-")])
+        return read(spark, path, **options)
+
+    monkeypatch.setattr(Q, "ingest_listings", watched)
+    monkeypatch.setattr(Q, "ROWS_AS_TEXT", 2_500)
+    got = Q.ingest_csv_multiline(table)
+    assert len(seen) >= 3 and all(len(text) == 1 for text in seen) and len({text[0] for text in seen}) == len(seen), seen
+    assert sorted(got.collect(), key=str) == whole and len(whole) == 6_000
+
+
 def test_shares_open_their_own_files_only(spark, tmp_path):
     from vitrine.sources.store import shares
 
